@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brookledger.fixed_values import ENTITIES
-from brookledger.plans import gold, rejects
+from brookledger.plans import audit, gold, pipeline, rejects, reports, scd2, verify
 from brookledger.plans.silver import to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
 from brookledger.sources.sample_tables import SampleBronze
-from brookledger.sources.tables import stage, stage_all
+from brookledger.sources.tables import new_folder, stage, stage_all
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -117,3 +119,183 @@ def fact_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
         gold.dim_date(spark, AS_OF),
         AS_OF,
     )
+
+
+@query("dim_date_activity")
+def dim_date_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar with the valid transactions and flags of each day."""
+    tables = silver(spark, sf_dir, "transactions", "fraud_flags")
+    return reports.calendar_activity(
+        gold.dim_date(spark, AS_OF), tables["transactions"], tables["fraud_flags"]
+    )
+
+
+def star(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Silver and Gold tables, both written out."""
+    stored = stored_silver(spark, sf_dir)
+    return stored, pipeline.store_gold(
+        stored, AS_OF, new_folder(spark, "gold")
+    )
+
+
+# ---- verification ---------------------------------------------------------
+@query("bronze_row_counts")
+def bronze_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze = SampleBronze(spark, sf_dir)
+    return verify.row_counts({f"RAW_{e.upper()}": bronze.both(e) for e in ENTITIES})
+
+
+@query("bronze_batches")
+def bronze_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.batches(SampleBronze(spark, sf_dir).both("customers"))
+
+
+@query("bronze_null_profile")
+def bronze_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.null_profile(SampleBronze(spark, sf_dir).both("customers"))
+
+
+@query("bronze_sample_customers")
+def bronze_sample_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.sample(SampleBronze(spark, sf_dir).first("customers"), "customer_id")
+
+
+@query("bronze_sample_transactions")
+def bronze_sample_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify.sample(SampleBronze(spark, sf_dir).first("transactions"), "transaction_id")
+
+
+@query("silver_row_counts")
+def silver_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = silver(spark, sf_dir)
+    return verify.row_counts({f"SILVER_{e.upper()}": df for e, df in tables.items()})
+
+
+@query("silver_valid_counts")
+def silver_valid_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = silver(spark, sf_dir)
+    return verify.valid_counts({f"SILVER_{e.upper()}": df for e, df in tables.items()})
+
+
+@query("gold_row_counts")
+def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tables = star(spark, sf_dir)
+    return verify.row_counts({name.upper(): df for name, df in tables.items()})
+
+
+@query("pipeline_run_log")
+def pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of the four Silver loads, appended to a table and read back."""
+    path = new_folder(spark, "run-log")
+    for entity, df in stored_silver(spark, sf_dir).items():
+        audit.append(audit.silver_load_row(df, entity, AS_OF), path)
+    return spark.read.schema(audit.RUN_LOG_SCHEMA).parquet(path)
+
+
+# ---- customer history -----------------------------------------------------
+def _first_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = stored_silver(spark, sf_dir, "customers")
+    return scd2.bootstrap(gold.dim_customers(stored["customers"], AS_OF), AS_OF)
+
+
+def _second_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after the second delivery, over all of Bronze."""
+    return to_silver(SampleBronze(spark, sf_dir).both("customers"), "customers", AS_OF)
+
+
+def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, scd2.HistoryRun]:
+    first = stage(_first_dimension(spark, sf_dir), "dim-customers")
+    return first, scd2.apply_history(first, _second_silver(spark, sf_dir), AS_OF)
+
+
+@query("scd2_bootstrap")
+def scd2_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _first_dimension(spark, sf_dir)
+
+
+@query("scd2_record_hash")
+def scd2_record_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = silver(spark, sf_dir, "customers")["customers"]
+    return rows.select("customer_id", scd2.record_hash().alias("record_hash"))
+
+
+@query("scd2_classify")
+def scd2_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.classify(_first_dimension(spark, sf_dir), _second_silver(spark, sf_dir))
+
+
+@query("scd2_expire")
+def scd2_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, run = _history(spark, sf_dir)
+    return scd2.expire(first, run.changes, AS_OF)
+
+
+@query("scd2_insert_versions")
+def scd2_insert_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, run = _history(spark, sf_dir)
+    return scd2.new_versions(first, run.changes, AS_OF)
+
+
+@query("scd2_dim_customers")
+def scd2_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, sf_dir)[1].dimension
+
+
+@query("scd2_run_summary")
+def scd2_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, sf_dir)[1].summary
+
+
+@query("scd2_run_log")
+def scd2_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _history(spark, sf_dir)[1].log_row
+
+
+@query("scd2_verify_counts")
+def scd2_verify_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.version_counts(scd2_dim_customers(spark, sf_dir))
+
+
+@query("scd2_history_sample")
+def scd2_history_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.history_sample(scd2_dim_customers(spark, sf_dir))
+
+
+@query("scd2_as_of")
+def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scd2.state_on(scd2_dim_customers(spark, sf_dir), dt.date(2025, 6, 30))
+
+
+@query("scd2_as_of_transactions")
+def scd2_as_of_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid transactions by the status their customer had on the day."""
+    dim = stage(scd2_dim_customers(spark, sf_dir), "dim-customers")
+    facts = gold.valid_rows(silver(spark, sf_dir, "transactions")["transactions"]).select(
+        "transaction_id", "customer_id", "amount", "transaction_date"
+    )
+    dated = scd2.with_state_at(
+        facts, dim.withColumnRenamed("status", "customer_status"), "transaction_date",
+        ["customer_status"],
+    )
+    return dated.groupBy("customer_status").agg(
+        F.count(F.lit(1)).alias("transactions"), F.sum("amount").alias("total_amount")
+    )
+
+
+# ---- reports --------------------------------------------------------------
+@query("report_aml_activity")
+def report_aml_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tables = star(spark, sf_dir)
+    return reports.aml_activity(
+        tables["fact_transactions"], tables["fact_fraud"], tables["dim_date"]
+    )
+
+
+@query("report_severity_ranking")
+def report_severity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.severity_ranking(fact_fraud(spark, sf_dir))
+
+
+@query("report_review_sla")
+def report_review_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.review_sla(fact_fraud(spark, sf_dir), gold.dim_date(spark, AS_OF))

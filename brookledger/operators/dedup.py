@@ -47,41 +47,53 @@ def latest_per_key(
     )
 
 
-def superseded_rows(
-    raw: DataFrame, entity: str, *, normalize_key: bool = False
-) -> DataFrame:
-    """Every row that ``latest_per_key`` leaves out.
+def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
+    """Keys that occur more than once, counted from the key column alone.
 
-    A plain ``rank > 1`` would sort a whole hot key in one task. Here:
-
-    1. repeated keys come from a count over the key column alone, combined
-       before its shuffle, so only rows of repeated keys go on;
-    2. those rows are ranked inside (key, input split), which spreads a hot
-       key over as many tasks as it has splits: rank > 1 is superseded;
-    3. the single best row of each (key, split) is ranked over the key, and
-       all but the best of those are superseded as well.
+    The count is combined before its shuffle, so a hot key costs one row per
+    input split. NULL counts as a key.
     """
-    key = BUSINESS_KEY[entity]
-    if normalize_key:
-        raw = raw.withColumn(key, F.trim(key))
-    repeated = (
-        raw.groupBy(F.col(key).alias("_repeated_key"))
+    return (
+        rows.groupBy(F.col(key).alias("_repeated_key"))
         .agg(F.count(F.lit(1)).alias("_copies"))
         .filter(F.col("_copies") > 1)
         .select("_repeated_key")
     )
-    suspects = raw.withColumn(_SLICE, F.spark_partition_id()).join(
-        repeated, F.col(key).eqNullSafe(F.col("_repeated_key")), "left_semi"
+
+
+def all_but_first(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """Every row but the first of its key in the given order.
+
+    A plain ``rank > 1`` would sort a whole hot key in one task. Here:
+
+    1. only rows of repeated keys go on;
+    2. they are ranked inside (key, input split), which spreads a hot key over
+       as many tasks as it has splits: rank > 1 is not the first of its key;
+    3. the best row of each (key, split) is ranked over the key, and all but
+       the best of those are not first either.
+    """
+    suspects = rows.withColumn(_SLICE, F.spark_partition_id()).join(
+        repeated_keys(rows, key),
+        F.col(key).eqNullSafe(F.col("_repeated_key")),
+        "left_semi",
     )
-    order = _newest_first(entity)
     in_slice = Window.partitionBy(key, _SLICE).orderBy(*order)
     over_key = Window.partitionBy(key).orderBy(*order, F.col(_SLICE))
-    # Rows that lose inside their slice are final and skip the second window.
     sliced = suspects.withColumn(_RANK, F.row_number().over(in_slice))
-    lost_in_slice = sliced.filter(F.col(_RANK) > 1)
-    lost_over_key = (
+    later_in_slice = sliced.filter(F.col(_RANK) > 1)
+    later_over_key = (
         sliced.filter(F.col(_RANK) == 1)
         .withColumn(_RANK, F.row_number().over(over_key))
         .filter(F.col(_RANK) > 1)
     )
-    return lost_in_slice.unionByName(lost_over_key).drop(_RANK, _SLICE)
+    return later_in_slice.unionByName(later_over_key).drop(_RANK, _SLICE)
+
+
+def superseded_rows(
+    raw: DataFrame, entity: str, *, normalize_key: bool = False
+) -> DataFrame:
+    """Every row that ``latest_per_key`` leaves out."""
+    key = BUSINESS_KEY[entity]
+    if normalize_key:
+        raw = raw.withColumn(key, F.trim(key))
+    return all_but_first(raw, key, _newest_first(entity))

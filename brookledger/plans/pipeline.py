@@ -1,0 +1,86 @@
+"""The daily batch: Bronze tables in, Silver, rejects, Gold and logs out."""
+
+from __future__ import annotations
+
+import datetime as dt
+import posixpath
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+
+from brookledger.fixed_values import ENTITIES
+from brookledger.plans import audit, gold, rejects
+from brookledger.plans.silver import to_silver
+from brookledger.sources.tables import read_table, write_tables
+
+
+def store_silver(
+    raw: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+) -> dict[str, DataFrame]:
+    """Rebuild all Silver tables from all of Bronze and read them back."""
+    spark = next(iter(raw.values())).sparkSession
+    write_tables({e: to_silver(df, e, as_of) for e, df in raw.items()}, root)
+    return {e: read_table(spark, root, e) for e in raw}
+
+
+def store_gold(
+    silver: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+) -> dict[str, DataFrame]:
+    """Build the star schema from stored Silver tables.
+
+    Dimensions first, then the transaction fact, then the fraud fact, each
+    from the stored tables of the step before.
+    """
+    spark = next(iter(silver.values())).sparkSession
+    write_tables(
+        {
+            "dim_date": gold.dim_date(spark, as_of).coalesce(1),
+            "dim_customers": gold.dim_customers(silver["customers"], as_of),
+            "dim_accounts": gold.dim_accounts(silver["accounts"], as_of),
+        },
+        root,
+    )
+    tables = {n: read_table(spark, root, n) for n in ("dim_date", "dim_customers", "dim_accounts")}
+    dims = (tables["dim_accounts"], tables["dim_customers"], tables["dim_date"])
+    write_tables(
+        {
+            "fact_transactions": gold.fact_transactions(
+                silver["transactions"], silver["fraud_flags"], *dims, as_of
+            )
+        },
+        root,
+    )
+    tables["fact_transactions"] = read_table(spark, root, "fact_transactions")
+    write_tables(
+        {
+            "fact_fraud": gold.fact_fraud(
+                silver["fraud_flags"], tables["fact_transactions"], *dims, as_of
+            )
+        },
+        root,
+    )
+    tables["fact_fraud"] = read_table(spark, root, "fact_fraud")
+    return tables
+
+
+def run_batch(
+    spark: SparkSession, raw: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+) -> dict[str, DataFrame]:
+    """One full rebuild of Silver and Gold under ``root``, which must be new.
+
+    Rejects of the run and its log rows are written next to the tables.
+    """
+    silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
+    write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
+    tables = store_gold(silver, as_of, posixpath.join(root, "gold"))
+    for entity in ENTITIES:
+        audit.append(
+            audit.silver_load_row(silver[entity], entity, as_of),
+            posixpath.join(root, "run_log"),
+        )
+    return {
+        **{f"silver_{e}": df for e, df in silver.items()},
+        **tables,
+        "reject_records": read_table(spark, root, "reject_records"),
+        "run_log": read_table(spark, root, "run_log"),
+    }

@@ -282,6 +282,52 @@ for _e in ENTITIES:
             _load_timestamp desc nulls first, _source_file desc nulls last, {_ties}) > 1
     """
 
+# ---- customer history -----------------------------------------------------
+HASH = (
+    "md5(coalesce(status, '') || '|' || coalesce(cast(credit_score as varchar), '') || '|' "
+    "|| coalesce(credit_tier, '') || '|' || coalesce(city, '') || '|' || coalesce(state, ''))"
+)
+RELATIONS["dim_first"] = f"""
+    select *, date '2024-01-01' as effective_from, date '9999-12-31' as effective_to,
+        true as is_current, {HASH} as record_hash
+    from dim_customers
+"""
+RELATIONS["history_changes"] = f"""
+    select n.*, o.record_hash as old_hash, o.customer_key as existing_key,
+        case when o.customer_id is null then 'NEW'
+             when o.record_hash <> n.new_hash then 'CHANGED'
+             else 'UNCHANGED' end as change_type
+    from (select {_CUSTOMER_DIM}, {HASH} as new_hash from silver2_customers
+          where dq_is_valid) n
+    left join dim_first o on o.customer_id = n.customer_id and o.is_current
+"""
+RELATIONS["history_expired"] = f"""
+    select * replace (
+        case when customer_id in (select customer_id from history_changes
+                                  where change_type = 'CHANGED')
+             then {TODAY} - 1 else effective_to end as effective_to,
+        customer_id not in (select customer_id from history_changes
+                            where change_type = 'CHANGED') as is_current)
+    from dim_first
+"""
+RELATIONS["history_inserted"] = f"""
+    select (select max(customer_key) from dim_first)
+            + row_number() over (order by md5(customer_id), customer_id) as customer_key,
+        * exclude (new_hash, old_hash, existing_key, change_type),
+        {NOW} as _gold_loaded_at, {TODAY} as effective_from,
+        date '9999-12-31' as effective_to, true as is_current, new_hash as record_hash
+    from history_changes where change_type in ('NEW', 'CHANGED')
+"""
+RELATIONS["history"] = (
+    "select * from history_expired union all by name select * from history_inserted"
+)
+RELATIONS["history_counts"] = """
+    select count(*) filter (where change_type in ('NEW', 'CHANGED')) as rows_inserted,
+        count(*) filter (where change_type = 'CHANGED') as rows_expired,
+        count(*) filter (where change_type = 'UNCHANGED') as rows_unchanged
+    from history_changes
+"""
+
 _NAME = re.compile(r"\b[a-z][a-z0-9_]*\b")
 
 

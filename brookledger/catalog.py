@@ -9,7 +9,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookledger.fixed_values import ENTITIES
-from brookledger.plans import audit, gold, pipeline, rejects, reports, scd2, verify
+from brookledger.plans import (
+    audit,
+    contracts,
+    gold,
+    pipeline,
+    quality,
+    rejects,
+    reports,
+    scd2,
+    verify,
+)
+from brookledger.plans.rule_catalogue import (
+    BRONZE_RULES,
+    GOLD_CHECKS,
+    GOLD_RULES,
+    SILVER_CHECKS,
+    SILVER_RULES,
+)
 from brookledger.plans.silver import to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
 from brookledger.sources.sample_tables import SampleBronze
@@ -299,3 +316,109 @@ def report_severity_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("report_review_sla")
 def report_review_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.review_sla(fact_fraud(spark, sf_dir), gold.dim_date(spark, AS_OF))
+
+
+# ---- data quality ---------------------------------------------------------
+def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    bronze = SampleBronze(spark, sf_dir)
+    return {f"raw_{e}": bronze.first(e) for e in ENTITIES}
+
+
+def _silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return {f"silver_{e}": df for e, df in stored_silver(spark, sf_dir).items()}
+
+
+@query("dq_silver_suite")
+def dq_silver_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(_silver_tables(spark, sf_dir), SILVER_CHECKS, AS_OF)
+
+
+@query("dq_gold_suite")
+def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(star(spark, sf_dir)[1], GOLD_CHECKS, AS_OF)
+
+
+@query("dq_bronze_rules")
+def dq_bronze_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(_raw_tables(spark, sf_dir), BRONZE_RULES, AS_OF)
+
+
+@query("dq_silver_rules")
+def dq_silver_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.run_suite(_silver_tables(spark, sf_dir), SILVER_RULES, AS_OF)
+
+
+@query("dq_gold_rules")
+def dq_gold_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tables = star(spark, sf_dir)
+    first = scd2.bootstrap(tables["dim_customers"], AS_OF)
+    run = scd2.apply_history(first, _second_silver(spark, sf_dir), AS_OF)
+    tables["dim_customers_history"] = run.dimension
+    return quality.run_suite(tables, GOLD_RULES, AS_OF)
+
+
+def _both_suites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, tables = star(spark, sf_dir)
+    silver_tables = {f"silver_{e}": df for e, df in stored.items()}
+    return quality.with_suite_name(
+        quality.run_suite(silver_tables, SILVER_CHECKS, AS_OF), "silver_layer"
+    ).unionByName(
+        quality.with_suite_name(quality.run_suite(tables, GOLD_CHECKS, AS_OF), "gold_layer")
+    )
+
+
+@query("dq_suite_summary")
+def dq_suite_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.summarize(_both_suites(spark, sf_dir))
+
+
+@query("dq_critical_gate")
+def dq_critical_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The critical failures that would stop the run, with their escalation."""
+    return quality.critical_failures(_both_suites(spark, sf_dir))
+
+
+@query("dq_report_json")
+def dq_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver report written as JSON and read back as one row per check."""
+    results = dq_silver_suite(spark, sf_dir)
+    path = quality.save_report(results, "silver_layer", AS_OF, new_folder(spark, "dq-report"))
+    report = spark.read.json(path)
+    return report.select(
+        "suite_name", "summary.total", "summary.passed", "summary.pass_rate",
+        F.inline("checks"),
+    ).select(
+        "suite_name", "total", "passed", "pass_rate", "check_name", "table", "severity",
+        "expected", "actual", "status",
+    )
+
+
+@query("coded_rejects")
+def coded_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {**_raw_tables(spark, sf_dir), **_silver_tables(spark, sf_dir)}
+    return quality.coded_rejects(tables, BRONZE_RULES + SILVER_RULES, AS_OF)
+
+
+@query("ri_orphans")
+def ri_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.orphans(stored_silver(spark, sf_dir))
+
+
+# ---- contracts ------------------------------------------------------------
+def _contract_query(entity: str) -> None:
+    @query(f"contract_{entity}")
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return contracts.verdicts(SampleBronze(spark, sf_dir).first(entity), entity, AS_OF)
+
+
+for _entity in ENTITIES:
+    _contract_query(_entity)
+
+
+@query("mask_account_numbers")
+def mask_account_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked numbers stay; plain ones (here the digits of the id) get masked."""
+    raw = SampleBronze(spark, sf_dir).first("accounts")
+    number = F.when(F.col("account_type") == "checking", F.substring("account_id", 4, 10))
+    mixed = raw.withColumn("account_number", F.coalesce(number, "account_number"))
+    return contracts.masked_accounts(mixed)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from brookledger.fixed_values import ENTITIES
+from verification.quality_oracles import QUALITY_ORACLES
 from verification.relations import HASH, NOW, with_relations, yyyymmdd
 
 ORACLES: dict[str, str] = {}
@@ -178,3 +179,5 @@ oracle(
        from fact_fraud f left join dim_date c on c.date_key = f.date_key
        group by all""",
 )
+
+ORACLES.update(QUALITY_ORACLES)

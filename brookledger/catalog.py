@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookledger.fixed_values import ENTITIES
+from brookledger.fixed_values import ENTITIES, SOURCE_COLUMNS
+from brookledger.operators import ledger
 from brookledger.plans import (
     audit,
     contracts,
@@ -18,6 +19,7 @@ from brookledger.plans import (
     rejects,
     reports,
     scd2,
+    synth,
     verify,
 )
 from brookledger.plans.rule_catalogue import (
@@ -29,8 +31,11 @@ from brookledger.plans.rule_catalogue import (
 )
 from brookledger.plans.silver import to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
+from brookledger.sources import bronze, landing
 from brookledger.sources.sample_tables import SampleBronze
-from brookledger.sources.tables import new_folder, stage, stage_all
+from brookledger.sources.tables import new_folder, publish, stage, stage_all
+from brookledger.sources.tables import required_tables as tables_present
+from brookledger.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,8 +52,8 @@ def query(name: str) -> Callable[[Query], Query]:
 # ---- inputs shared by the queries -----------------------------------------
 def silver(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
     """Silver tables as plans, each read once by whoever uses them."""
-    bronze = SampleBronze(spark, sf_dir)
-    return {e: to_silver(bronze.first(e), e, AS_OF) for e in entities or ENTITIES}
+    sample = SampleBronze(spark, sf_dir)
+    return {e: to_silver(sample.first(e), e, AS_OF) for e in entities or ENTITIES}
 
 
 def stored_silver(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
@@ -95,8 +100,8 @@ def latest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("duplicate_rejects")
 def duplicate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = SampleBronze(spark, sf_dir)
-    return rejects.all_duplicates({e: bronze.both(e) for e in ENTITIES}, AS_OF)
+    sample = SampleBronze(spark, sf_dir)
+    return rejects.all_duplicates({e: sample.both(e) for e in ENTITIES}, AS_OF)
 
 
 # ---- Gold -----------------------------------------------------------------
@@ -158,8 +163,8 @@ def star(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[s
 # ---- verification ---------------------------------------------------------
 @query("bronze_row_counts")
 def bronze_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bronze = SampleBronze(spark, sf_dir)
-    return verify.row_counts({f"RAW_{e.upper()}": bronze.both(e) for e in ENTITIES})
+    sample = SampleBronze(spark, sf_dir)
+    return verify.row_counts({f"RAW_{e.upper()}": sample.both(e) for e in ENTITIES})
 
 
 @query("bronze_batches")
@@ -320,8 +325,8 @@ def report_review_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- data quality ---------------------------------------------------------
 def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    bronze = SampleBronze(spark, sf_dir)
-    return {f"raw_{e}": bronze.first(e) for e in ENTITIES}
+    sample = SampleBronze(spark, sf_dir)
+    return {f"raw_{e}": sample.first(e) for e in ENTITIES}
 
 
 def _silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -422,3 +427,198 @@ def mask_account_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     number = F.when(F.col("account_type") == "checking", F.substring("account_id", 4, 10))
     mixed = raw.withColumn("account_number", F.coalesce(number, "account_number"))
     return contracts.masked_accounts(mixed)
+
+
+# ---- landing and Bronze ---------------------------------------------------
+LANDING_DAY = dt.date(2024, 1, 1)
+NEXT_LANDING_DAY = dt.date(2024, 1, 2)
+
+
+def _bronze_load_query(entity: str) -> None:
+    @query(f"bronze_load_{entity}")
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """An extract landed as CSV, parsed into Bronze and read back."""
+        root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
+        landing.land_csv(SampleBronze(spark, sf_dir).first(entity), root, entity, LANDING_DAY)
+        parsed = bronze.read_extract(
+            spark, landing.entity_folder(root, entity), entity, day=LANDING_DAY
+        )
+        bronze.store(bronze.to_bronze(parsed, entity, AS_OF), table)
+        return bronze.rows(spark, table, entity).drop("_source_file")
+
+
+for _entity in ENTITIES:
+    _bronze_load_query(_entity)
+
+
+@query("bronze_quarantine")
+def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flag lines, of which those without a review lack their last fields."""
+    names = SOURCE_COLUMNS["fraud_flags"]
+    fields = [F.coalesce(c, F.lit("")) for c in names]
+    line = F.when(
+        F.col("reviewed_at").isNull(), F.concat_ws(",", *fields[:9])
+    ).otherwise(F.concat_ws(",", *fields))
+    root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    flags = SampleBronze(spark, sf_dir).first("fraud_flags")
+    flags.select(line.alias(",".join(names))).write.options(
+        header="true", sep="\u0001", quote="\u0000",
+        ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false",
+    ).csv(root)
+    parsed = bronze.read_extract(spark, root, "fraud_flags")
+    bronze.store(bronze.to_bronze(parsed, "fraud_flags", AS_OF), table)
+    return bronze.quarantine(spark, table, "fraud_flags").select("record", "_source_entity", "_batch_id")
+
+
+@query("bronze_incremental")
+def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, three runs: every file is loaded by exactly one of them."""
+    sample = SampleBronze(spark, sf_dir)
+    root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    checkpoint = new_folder(spark, "ingest-progress")
+    source = landing.entity_folder(root, "transactions")
+    runs = [(sample.first, LANDING_DAY), (sample.following, NEXT_LANDING_DAY), (None, None)]
+    for number, (delivery, day) in enumerate(runs):
+        if delivery is not None:
+            landing.land_csv(delivery("transactions"), root, "transactions", day)
+        ingest_new_files(
+            spark, source, "transactions", table, checkpoint, AS_OF + dt.timedelta(days=number)
+        )
+    return verify.batches(bronze.rows(spark, table, "transactions"))
+
+
+@query("bronze_forced_reload")
+def bronze_forced_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same extract loaded twice by force: both loads are kept."""
+    root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    landing.land_csv(SampleBronze(spark, sf_dir).first("accounts"), root, "accounts", LANDING_DAY)
+    for number in range(2):
+        parsed = bronze.read_extract(spark, landing.entity_folder(root, "accounts"), "accounts")
+        bronze.store(
+            bronze.to_bronze(parsed, "accounts", AS_OF + dt.timedelta(days=number)), table
+        )
+    return verify.batches(bronze.rows(spark, table, "accounts"))
+
+
+def _landed(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+    sample, root = SampleBronze(spark, sf_dir), new_folder(spark, "landing")
+    for entity in entities:
+        landing.land_csv(sample.first(entity), root, entity, LANDING_DAY)
+    return root
+
+
+@query("landing_manifest")
+def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landed(spark, sf_dir, *ENTITIES)
+    return landing.manifest(spark, root, AS_OF)
+
+
+@query("landing_manifest_totals")
+def landing_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return landing.manifest_totals(landing_manifest(spark, sf_dir))
+
+
+@query("landing_eligibility")
+def landing_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landed(spark, sf_dir, "customers", "accounts")
+    return landing.eligibility(landing.listing(spark, root))
+
+
+@query("landing_reconciliation")
+def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest of one day against the files after the next delivery."""
+    root = _landed(spark, sf_dir, *ENTITIES)
+    promised = stage(landing.manifest(spark, root, AS_OF), "manifest")
+    sample = SampleBronze(spark, sf_dir)
+    landing.land_csv(sample.following("customers"), root, "customers", NEXT_LANDING_DAY)
+    return landing.reconcile(promised, landing.manifest(spark, root, AS_OF)).groupBy(
+        "entity", "state"
+    ).agg(F.count(F.lit(1)).alias("files"))
+
+
+@query("landing_missing_entities")
+def landing_missing_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = _landed(spark, sf_dir, "customers", "transactions")
+    return landing.missing_entities(landing.listing(spark, root))
+
+
+@query("bronze_checksums")
+def bronze_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze rows that carry the checksum of the file they came from."""
+    root = _landed(spark, sf_dir, "accounts")
+    parsed = bronze.read_extract(spark, landing.entity_folder(root, "accounts"), "accounts")
+    sums = stage(landing.manifest(spark, root, AS_OF), "manifest")
+    loaded = bronze.with_checksums(bronze.to_bronze(parsed, "accounts", AS_OF), sums)
+    return loaded.select("account_id", (F.length("_checksum") == 32).alias("has_checksum"))
+
+
+@query("json_sink_accounts")
+def json_sink_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = new_folder(spark, "landing")
+    landing.land_json(SampleBronze(spark, sf_dir).first("accounts"), root, "accounts", LANDING_DAY)
+    schema = ", ".join(f"{c} string" for c in SOURCE_COLUMNS["accounts"])
+    return spark.read.schema(schema).json(landing.day_folder(root, "accounts", LANDING_DAY))
+
+
+@query("required_tables")
+def required_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver tables published by name, and which of the wanted names exist."""
+    root = new_folder(spark, "published")
+    pipeline.store_silver(
+        {e: SampleBronze(spark, sf_dir).first(e) for e in ENTITIES}, AS_OF, root
+    )
+    database = f"brookledger_{root[-12:]}"
+    spark.sql(f"CREATE DATABASE `{database}` LOCATION '{root}/_names'")
+    for entity in ENTITIES:
+        publish(spark, database, f"silver_{entity}", f"{root}/{entity}")
+    wanted = [*[f"silver_{e}" for e in ENTITIES], "dim_date"]
+    return tables_present(spark, database, wanted)
+
+
+# ---- generated sample data ------------------------------------------------
+def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """One generated customer per sample customer, and what hangs on it."""
+    ids = SampleBronze(spark, sf_dir).numbers("customer", "c_custkey")
+    people = synth.customers(ids, AS_OF)
+    held = synth.accounts(people, AS_OF)
+    moved = synth.transactions(held, AS_OF)
+    return {
+        "customers": people,
+        "accounts": held,
+        "transactions": moved,
+        "fraud_flags": synth.fraud_flags(moved, AS_OF),
+    }
+
+
+def _generator_query(entity: str) -> None:
+    @query(f"generate_{entity}")
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return _generated(spark, sf_dir)[entity]
+
+
+for _entity in ENTITIES:
+    _generator_query(_entity)
+
+
+@query("balance_breaks")
+def balance_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated movements, some with a wrong balance written over the right one."""
+    moved = _generated(spark, sf_dir)["transactions"].select(
+        "account_id", "transaction_id", "seq", "amount", "balance_after"
+    )
+    wrong = (F.col("seq") == 4) & F.col("account_id").endswith("7-CH")
+    damaged = moved.withColumn(
+        "balance_after",
+        F.when(wrong, F.col("balance_after") + 1)
+        .otherwise(F.col("balance_after"))
+        .cast("decimal(18,2)"),
+    )
+    return ledger.balance_breaks(
+        damaged.withColumn("page", F.floor(F.col("seq") / 8)),
+        account="account_id", order=["seq"], amount="amount", balance="balance_after",
+        chunk="page",
+    ).select(
+        "account_id", "transaction_id", "amount", "balance_after",
+        F.col("expected_balance").cast("decimal(18,2)").alias("expected_balance"),
+        "reason_code",
+    )

@@ -79,3 +79,45 @@ def add_missing_columns(df: DataFrame, defaults: Mapping[str, tuple[T.DataType,
             if name not in df.columns
         }
     )
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
+    """Mark a side for broadcast only after counting that it is small enough.
+
+    Beyond the bound it is returned as it is and joined like any table.
+    """
+    counted = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if counted <= max_rows else df
+
+
+# ---- catalog tables -------------------------------------------------------
+def publish(spark: SparkSession, database: str, name: str, path: str) -> None:
+    """Make a stored table readable by name, or move the name to a new version.
+
+    Moving the name is the last step of a rewrite: readers see the old table
+    until then, and the files they are reading stay in place.
+    """
+    table = f"`{database}`.`{name}`"
+    if spark.catalog.tableExists(f"{database}.{name}"):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(f"{database}.{name}")
+    else:
+        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{path}'")
+
+
+def table_listing(spark: SparkSession, database: str) -> DataFrame:
+    """Names of the tables in a database."""
+    return spark.sql(f"SHOW TABLES IN `{database}`").select("namespace", "tableName")
+
+
+def required_tables(spark: SparkSession, database: str, names: list[str]) -> DataFrame:
+    """Which of the named tables exist."""
+    wanted = spark.range(1).select(
+        F.explode(F.array(*[F.lit(n) for n in names])).alias("table_name")
+    )
+    present = table_listing(spark, database).select(
+        F.col("tableName").alias("table_name"), F.lit(True).alias("found")
+    )
+    return wanted.join(present, "table_name", "left").select(
+        "table_name", F.coalesce("found", F.lit(False)).alias("table_exists")
+    )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from brookledger.fixed_values import ENTITIES
 from verification.quality_oracles import QUALITY_ORACLES
 from verification.relations import HASH, NOW, with_relations, yyyymmdd
+from verification.source_oracles import SOURCE_ORACLES
 
 ORACLES: dict[str, str] = {}
 
@@ -181,3 +182,4 @@ oracle(
 )
 
 ORACLES.update(QUALITY_ORACLES)
+ORACLES.update(SOURCE_ORACLES)

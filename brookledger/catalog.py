@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from brookledger.fixed_values import ENTITIES, SOURCE_COLUMNS
 from brookledger.operators import ledger
+from brookledger.operators.dedup import latest_per_key, roll_forward
 from brookledger.plans import (
     audit,
     contracts,
@@ -29,11 +30,11 @@ from brookledger.plans.rule_catalogue import (
     SILVER_CHECKS,
     SILVER_RULES,
 )
-from brookledger.plans.silver import to_silver
+from brookledger.plans.silver import clean_silver, to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
 from brookledger.sources import bronze, landing
 from brookledger.sources.sample_tables import SampleBronze
-from brookledger.sources.tables import new_folder, publish, stage, stage_all
+from brookledger.sources.tables import new_folder, publish, side_by_side, stage, stage_all
 from brookledger.sources.tables import required_tables as tables_present
 from brookledger.streaming.incremental import ingest_new_files
 
@@ -62,6 +63,17 @@ def stored_silver(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str,
 
 
 # ---- Silver ---------------------------------------------------------------
+@query("silver_customers_rolled_forward")
+def silver_customers_rolled_forward(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver after the second delivery, from the first day's survivors and it."""
+    sample = SampleBronze(spark, sf_dir)
+    survivors = latest_per_key(sample.first("customers"), "customers")
+    rolled = roll_forward(
+        stage(survivors, "latest-customers"), sample.following("customers"), "customers"
+    )
+    return clean_silver(rolled, "customers", AS_OF)
+
+
 def _silver_query(entity: str) -> None:
     @query(f"silver_{entity}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,9 +220,10 @@ def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline_run_log")
 def pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows of the four Silver loads, appended to a table and read back."""
-    path = new_folder(spark, "run-log")
-    for entity, df in stored_silver(spark, sf_dir).items():
-        audit.append(audit.silver_load_row(df, entity, AS_OF), path)
+    path, tables = new_folder(spark, "run-log"), silver(spark, sf_dir)
+    side_by_side(
+        lambda e: audit.append(audit.silver_load_row(tables[e], e, AS_OF), path), tables
+    )
     return spark.read.schema(audit.RUN_LOG_SCHEMA).parquet(path)
 
 

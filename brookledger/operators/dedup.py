@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookledger.fixed_values import BUSINESS_KEY, SOURCE_COLUMNS
+from brookledger.sources.tables import stage
 
 _RANK = "_rank"
 _SLICE = "_slice"
 
 
-def _newest_first(entity: str) -> list[Column]:
+def _newest_first(entity: str) -> str:
     """Load time, then source file, then every source column.
 
     The trailing columns make the choice among rows of one load repeatable;
     they are compared only where everything before them is equal.
     """
     ties = [c for c in SOURCE_COLUMNS[entity] if c != BUSINESS_KEY[entity]]
-    return [
-        F.col("_load_timestamp").desc_nulls_first(),
-        F.col("_source_file").desc_nulls_last(),
-        *[F.col(c).desc_nulls_last() for c in ties],
-    ]
+    return ", ".join(
+        [
+            "_load_timestamp DESC NULLS FIRST",
+            "_source_file DESC NULLS LAST",
+            *[f"{c} DESC NULLS LAST" for c in ties],
+        ]
+    )
+
+
+def _with_rank(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
+    window = f"PARTITION BY {', '.join(keys)} ORDER BY {order}"
+    return rows.withColumn(_RANK, F.expr(f"row_number() OVER ({window})"))
 
 
 def latest_per_key(
@@ -39,12 +49,17 @@ def latest_per_key(
     key = BUSINESS_KEY[entity]
     if normalize_key:
         raw = raw.withColumn(key, F.trim(key))
-    by_key = Window.partitionBy(key).orderBy(*_newest_first(entity))
-    return (
-        raw.withColumn(_RANK, F.row_number().over(by_key))
-        .filter(F.col(_RANK) == 1)
-        .drop(_RANK)
-    )
+    return _with_rank(raw, [key], _newest_first(entity)).filter(f"{_RANK} = 1").drop(_RANK)
+
+
+def roll_forward(latest: DataFrame, batch: DataFrame, entity: str) -> DataFrame:
+    """The latest rows after one more batch, without rereading older batches.
+
+    ``latest`` is what ``latest_per_key`` gave for all batches so far. The
+    result equals a dedup over all of Bronze, because the newest of some
+    rows' newest is the newest of all of them.
+    """
+    return latest_per_key(latest.unionByName(batch), entity)
 
 
 def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
@@ -56,35 +71,36 @@ def repeated_keys(rows: DataFrame, key: str) -> DataFrame:
     return (
         rows.groupBy(F.col(key).alias("_repeated_key"))
         .agg(F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
+        .filter("_copies > 1")
         .select("_repeated_key")
     )
 
 
-def all_but_first(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+def all_but_first(rows: DataFrame, key: str, order: str) -> DataFrame:
     """Every row but the first of its key in the given order.
 
     A plain ``rank > 1`` would sort a whole hot key in one task. Here:
 
-    1. only rows of repeated keys go on;
+    1. only rows of repeated keys go on, and are stored for the two passes
+       below;
     2. they are ranked inside (key, input split), which spreads a hot key over
        as many tasks as it has splits: rank > 1 is not the first of its key;
     3. the best row of each (key, split) is ranked over the key, and all but
        the best of those are not first either.
     """
-    suspects = rows.withColumn(_SLICE, F.spark_partition_id()).join(
-        repeated_keys(rows, key),
-        F.col(key).eqNullSafe(F.col("_repeated_key")),
-        "left_semi",
+    suspects = stage(
+        rows.withColumn(_SLICE, F.spark_partition_id()).join(
+            repeated_keys(rows, key),
+            F.col(key).eqNullSafe(F.col("_repeated_key")),
+            "left_semi",
+        ),
+        "repeated-keys",
     )
-    in_slice = Window.partitionBy(key, _SLICE).orderBy(*order)
-    over_key = Window.partitionBy(key).orderBy(*order, F.col(_SLICE))
-    sliced = suspects.withColumn(_RANK, F.row_number().over(in_slice))
-    later_in_slice = sliced.filter(F.col(_RANK) > 1)
-    later_over_key = (
-        sliced.filter(F.col(_RANK) == 1)
-        .withColumn(_RANK, F.row_number().over(over_key))
-        .filter(F.col(_RANK) > 1)
+    sliced = _with_rank(suspects, [key, _SLICE], order)
+    later_in_slice = sliced.filter(f"{_RANK} > 1")
+    best_of_slice = sliced.filter(f"{_RANK} = 1")
+    later_over_key = _with_rank(best_of_slice, [key], f"{order}, {_SLICE}").filter(
+        f"{_RANK} > 1"
     )
     return later_in_slice.unionByName(later_over_key).drop(_RANK, _SLICE)
 

@@ -41,7 +41,7 @@ def with_dense_key(
     table, not a long plan. ``tie_break`` orders rows that share an id.
     """
     digits = digits or bucket_digits(rows.sparkSession)
-    digest = F.md5(F.col(id_name).cast("binary"))
+    digest = F.md5(F.coalesce(F.col(id_name), F.lit("")).cast("binary"))
     bucket = F.substring(digest, 1, digits)
 
     sizes = rows.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("_size"))
@@ -60,7 +60,8 @@ def with_dense_key(
     numbered = numbered.withColumn(
         key_name, F.row_number().over(in_bucket).cast("long")
     )
-    return numbered.join(F.broadcast(offsets), _BUCKET).select(
+    # Every bucket has an offset; a left join spares the scan a null test.
+    return numbered.join(F.broadcast(offsets), _BUCKET, "left").select(
         (F.col(key_name) + F.col(_BEFORE)).alias(key_name),
         *[numbered[c] for c in rows.columns],
     )

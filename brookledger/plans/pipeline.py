@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import posixpath
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,11 +74,8 @@ def run_batch(
     silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
     write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
     tables = store_gold(silver, as_of, posixpath.join(root, "gold"))
-    for entity in ENTITIES:
-        audit.append(
-            audit.silver_load_row(silver[entity], entity, as_of),
-            posixpath.join(root, "run_log"),
-        )
+    log_rows = [audit.silver_load_row(silver[e], e, as_of) for e in ENTITIES]
+    audit.append(reduce(DataFrame.unionByName, log_rows), posixpath.join(root, "run_log"))
     return {
         **{f"silver_{e}": df for e, df in silver.items()},
         **tables,

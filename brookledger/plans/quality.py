@@ -28,6 +28,7 @@ from brookledger.plans.rule_catalogue import (
     Measure,
     Rule,
 )
+from brookledger.sources.tables import side_by_side
 
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
 Item = Check | Rule
@@ -224,41 +225,45 @@ def coded_rejects(
     One pass per table evaluates all its rules; only broken ones are unfolded.
     Copies of a key beyond the first are rejected as duplicates.
     """
-    frames = []
-    for name, table in tables.items():
-        entity = next(e for e in ENTITIES if name.endswith(e))
-        key = BUSINESS_KEY[entity]
+    def of_table(name: str) -> list[DataFrame]:
+        key = BUSINESS_KEY[next(e for e in ENTITIES if name.endswith(e))]
         own = [r for r in rules if r.table == name]
-        by_row = [r for r in own if r.action == REJECT]
-        verdicts = [
-            F.when(F.expr(r.measure.predicate), _verdict(r)) for r in by_row
+        return [
+            *_broken_rows(tables[name], key, [r for r in own if r.action == REJECT]),
+            *_further_copies(tables[name], key, [r for r in own if r.action == REJECT_REPEATS]),
         ]
-        if verdicts:
-            broken = F.array_compact(F.array(*verdicts))
-            frames.append(
-                table.select(
-                    F.col(key).alias("business_id"),
-                    F.col("_batch_id").alias("batch_id"),
-                    F.inline(broken),
-                )
-            )
-        for rule in own:
-            if rule.action == REJECT_REPEATS:
-                copies = all_but_first(
-                    table.filter(F.col(key).isNotNull()), key, _any_order(table, key)
-                )
-                frames.append(
-                    copies.select(
-                        F.col(key).alias("business_id"),
-                        F.col("_batch_id").alias("batch_id"),
-                        F.inline(F.array(_verdict(rule))),
-                    )
-                )
+
+    frames = [df for found in side_by_side(of_table, tables) for df in found]
     return reduce(DataFrame.unionByName, frames).withColumn("rejected_at", moment(as_of))
 
 
-def _any_order(table: DataFrame, key: str) -> list[Column]:
-    return [F.col(c) for c in table.columns if c != key]
+def _broken_rows(table: DataFrame, key: str, rules: Sequence[Rule]) -> list[DataFrame]:
+    if not rules:
+        return []
+    verdicts = [F.when(F.expr(r.measure.predicate), _verdict(r)) for r in rules]
+    return [
+        table.select(
+            F.col(key).alias("business_id"),
+            F.col("_batch_id").alias("batch_id"),
+            F.inline(F.array_compact(F.array(*verdicts))),
+        )
+    ]
+
+
+def _further_copies(table: DataFrame, key: str, rules: Sequence[Rule]) -> list[DataFrame]:
+    known = table.filter(F.col(key).isNotNull())
+    return [
+        all_but_first(known, key, _any_order(table, key)).select(
+            F.col(key).alias("business_id"),
+            F.col("_batch_id").alias("batch_id"),
+            F.inline(F.array(_verdict(rule))),
+        )
+        for rule in rules
+    ]
+
+
+def _any_order(table: DataFrame, key: str) -> str:
+    return ", ".join(c for c in table.columns if c != key)
 
 
 def _verdict(rule: Rule) -> Column:

@@ -174,6 +174,11 @@ def to_silver(
 ) -> DataFrame:
     """The Silver table of one entity from all its Bronze rows."""
     newest = latest_per_key(raw, entity, normalize_key=normalize_key)
+    return clean_silver(newest, entity, as_of)
+
+
+def clean_silver(newest: DataFrame, entity: str, as_of: dt.datetime) -> DataFrame:
+    """Silver rows from Bronze rows that hold each key once; no shuffle."""
     clean = _CLEANERS[entity](newest, as_of)
     verdict = _validity(entity)
     return clean.select(

@@ -145,6 +145,13 @@ _TEMPLATES = {
     "transactions": _TRANSACTIONS,
     "fraud_flags": _FRAUD_FLAGS,
 }
+# Declared, so that no job has to look into the files for their columns.
+_SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+}
 _TABLES = {
     "customers": ["customer", "nation"],
     "accounts": ["customer"],
@@ -234,7 +241,8 @@ class SampleBronze:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        reader = self.spark.read.schema(_SCHEMAS[name])
+        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def _run(self, sql: str, entity: str) -> DataFrame:
         frames = {t: self.table(t) for t in _TABLES[entity]}

@@ -5,13 +5,18 @@ from __future__ import annotations
 import posixpath
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+Item = TypeVar("Item")
+Result = TypeVar("Result")
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
@@ -42,17 +47,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
-    """Write independent tables side by side, one folder each under ``root``.
+def side_by_side(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+    """Run independent Spark jobs at the same time, one thread each.
 
     The first failure is raised after the others have finished.
     """
-    def write(item: tuple[str, DataFrame]) -> None:
-        name, df = item
-        df.write.mode(mode).parquet(posixpath.join(root, name))
+    listed = list(items)
+    with ThreadPoolExecutor(max_workers=max(1, len(listed))) as pool:
+        return list(pool.map(inheritable_thread_target(work), listed))
+
+
+def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
+    """Write independent tables side by side, one folder each under ``root``."""
+
+    def write(name: str) -> None:
+        tables[name].write.mode(mode).parquet(posixpath.join(root, name))
 
-    with ThreadPoolExecutor(max_workers=max(1, len(tables))) as pool:
-        list(pool.map(write, tables.items()))
+    side_by_side(write, tables)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:

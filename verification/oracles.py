@@ -17,6 +17,7 @@ def oracle(name: str, sql: str, extra: dict[str, str] | None = None) -> None:
 for _e in ENTITIES:
     oracle(f"silver_{_e}", f"select * from silver_{_e}")
     oracle(f"rejects_{_e}", f"select * from rejects_{_e}")
+oracle("silver_customers_rolled_forward", "select * from silver2_customers")
 oracle("reject_records", "select * from reject_records")
 oracle(
     "reject_summary",

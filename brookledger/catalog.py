@@ -34,7 +34,7 @@ from brookledger.plans.silver import clean_silver, to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
 from brookledger.sources import bronze, landing
 from brookledger.sources.sample_tables import SampleBronze
-from brookledger.sources.tables import new_folder, publish, side_by_side, stage, stage_all
+from brookledger.sources.tables import new_folder, publish, stage, stage_all
 from brookledger.sources.tables import required_tables as tables_present
 from brookledger.streaming.incremental import ingest_new_files
 
@@ -220,10 +220,8 @@ def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("pipeline_run_log")
 def pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows of the four Silver loads, appended to a table and read back."""
-    path, tables = new_folder(spark, "run-log"), silver(spark, sf_dir)
-    side_by_side(
-        lambda e: audit.append(audit.silver_load_row(tables[e], e, AS_OF), path), tables
-    )
+    path = new_folder(spark, "run-log")
+    audit.append(audit.silver_load_rows(silver(spark, sf_dir), AS_OF), path)
     return spark.read.schema(audit.RUN_LOG_SCHEMA).parquet(path)
 
 

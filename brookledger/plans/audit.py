@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -81,5 +83,10 @@ def silver_load_row(silver: DataFrame, entity: str, as_of: dt.datetime) -> DataF
     )
 
 
+def silver_load_rows(silver: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
+    rows = [silver_load_row(df, entity, as_of) for entity, df in silver.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def append(log_rows: DataFrame, path: str) -> None:
     log_rows.write.mode("append").parquet(path)

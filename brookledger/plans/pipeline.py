@@ -5,21 +5,19 @@ from __future__ import annotations
 import datetime as dt
 import posixpath
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brookledger.fixed_values import ENTITIES
 from brookledger.plans import audit, gold, rejects
 from brookledger.plans.silver import to_silver
-from brookledger.sources.tables import read_table, write_tables
+from brookledger.sources.tables import read_table, session_of, write_tables
 
 
 def store_silver(
     raw: Mapping[str, DataFrame], as_of: dt.datetime, root: str
 ) -> dict[str, DataFrame]:
     """Rebuild all Silver tables from all of Bronze and read them back."""
-    spark = next(iter(raw.values())).sparkSession
+    spark = session_of(raw)
     write_tables({e: to_silver(df, e, as_of) for e, df in raw.items()}, root)
     return {e: read_table(spark, root, e) for e in raw}
 
@@ -32,7 +30,7 @@ def store_gold(
     Dimensions first, then the transaction fact, then the fraud fact, each
     from the stored tables of the step before.
     """
-    spark = next(iter(silver.values())).sparkSession
+    spark = session_of(silver)
     write_tables(
         {
             "dim_date": gold.dim_date(spark, as_of).coalesce(1),
@@ -74,8 +72,7 @@ def run_batch(
     silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
     write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
     tables = store_gold(silver, as_of, posixpath.join(root, "gold"))
-    log_rows = [audit.silver_load_row(silver[e], e, as_of) for e in ENTITIES]
-    audit.append(reduce(DataFrame.unionByName, log_rows), posixpath.join(root, "run_log"))
+    audit.append(audit.silver_load_rows(silver, as_of), posixpath.join(root, "run_log"))
     return {
         **{f"silver_{e}": df for e, df in silver.items()},
         **tables,

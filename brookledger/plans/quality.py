@@ -28,7 +28,7 @@ from brookledger.plans.rule_catalogue import (
     Measure,
     Rule,
 )
-from brookledger.sources.tables import side_by_side
+from brookledger.sources.tables import session_of, side_by_side
 
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
 Item = Check | Rule
@@ -129,7 +129,7 @@ def run_suite(
     spark: SparkSession | None = None,
 ) -> DataFrame:
     """One row per check or rule with its actual value and status."""
-    spark = spark or next(iter(tables.values())).sparkSession
+    spark = spark or session_of(tables)
     frames: list[DataFrame] = []
     for table in dict.fromkeys(i.table for i in items):
         own = [i for i in items if i.table == table]
@@ -233,7 +233,8 @@ def coded_rejects(
             *_further_copies(tables[name], key, [r for r in own if r.action == REJECT_REPEATS]),
         ]
 
-    frames = [df for found in side_by_side(of_table, tables) for df in found]
+    found = side_by_side(session_of(tables), of_table, tables)
+    frames = [df for of_one in found for df in of_one]
     return reduce(DataFrame.unionByName, frames).withColumn("rejected_at", moment(as_of))
 
 

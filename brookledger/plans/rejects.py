@@ -20,7 +20,7 @@ from brookledger.fixed_values import (
 )
 from brookledger.functions.calendar import compact_stamp, moment
 from brookledger.operators.dedup import superseded_rows
-from brookledger.sources.tables import side_by_side
+from brookledger.sources.tables import session_of, side_by_side
 
 COLUMNS = [
     "reject_id", "source_table", "source_layer", "batch_id", "entity",
@@ -100,5 +100,5 @@ def duplicates(raw: DataFrame, entity: str, as_of: dt.datetime) -> DataFrame:
 
 
 def all_duplicates(raw: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
-    parts = side_by_side(lambda e: duplicates(raw[e], e, as_of), raw)
+    parts = side_by_side(session_of(raw), lambda e: duplicates(raw[e], e, as_of), raw)
     return reduce(DataFrame.unionByName, parts)

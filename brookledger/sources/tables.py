@@ -47,14 +47,21 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def side_by_side(work: Callable[[Item], Result], items: Iterable[Item]) -> list[Result]:
+def side_by_side(
+    spark: SparkSession, work: Callable[[Item], Result], items: Iterable[Item]
+) -> list[Result]:
     """Run independent Spark jobs at the same time, one thread each.
 
-    The first failure is raised after the others have finished.
+    They must not write to one folder. The first failure is raised after the
+    others have finished.
     """
     listed = list(items)
     with ThreadPoolExecutor(max_workers=max(1, len(listed))) as pool:
-        return list(pool.map(inheritable_thread_target(work), listed))
+        return list(pool.map(inheritable_thread_target(spark)(work), listed))
+
+
+def session_of(tables: Mapping[str, DataFrame]) -> SparkSession:
+    return next(iter(tables.values())).sparkSession
 
 
 def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "overwrite") -> None:
@@ -63,7 +70,7 @@ def write_tables(tables: Mapping[str, DataFrame], root: str, mode: str = "overwr
     def write(name: str) -> None:
         tables[name].write.mode(mode).parquet(posixpath.join(root, name))
 
-    side_by_side(write, tables)
+    side_by_side(session_of(tables), write, tables)
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -72,7 +79,7 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def stage_all(tables: Mapping[str, DataFrame], label: str) -> dict[str, DataFrame]:
     """``stage`` for several independent tables at once."""
-    spark = next(iter(tables.values())).sparkSession
+    spark = session_of(tables)
     root = new_folder(spark, label)
     write_tables(tables, root)
     return {

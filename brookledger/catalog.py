@@ -14,8 +14,8 @@ from brookledger.operators.dedup import latest_per_key, roll_forward
 from brookledger.plans import (
     audit,
     contracts,
+    daily_batch,
     gold,
-    pipeline,
     quality,
     rejects,
     reports,
@@ -167,7 +167,7 @@ def dim_date_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def star(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Silver and Gold tables, both written out."""
     stored = stored_silver(spark, sf_dir)
-    return stored, pipeline.store_gold(
+    return stored, daily_batch.store_gold(
         stored, AS_OF, new_folder(spark, "gold")
     )
 
@@ -217,8 +217,8 @@ def gold_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.row_counts({name.upper(): df for name, df in tables.items()})
 
 
-@query("pipeline_run_log")
-def pipeline_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("run_log")
+def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows of the four Silver loads, appended to a table and read back."""
     path = new_folder(spark, "run-log")
     audit.append(audit.silver_load_rows(silver(spark, sf_dir), AS_OF), path)
@@ -575,7 +575,7 @@ def json_sink_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def required_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver tables published by name, and which of the wanted names exist."""
     root = new_folder(spark, "published")
-    pipeline.store_silver(
+    daily_batch.store_silver(
         {e: SampleBronze(spark, sf_dir).first(e) for e in ENTITIES}, AS_OF, root
     )
     database = f"brookledger_{root[-12:]}"

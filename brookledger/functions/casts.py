@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 # date, which the contract does not allow.
 _ISO_DATE_HEAD = r"^\d{4}-\d{2}-\d{2}"
 
+# Characters besides white space after which a new word begins.
+_WORD_BREAKS = r"""[!?@"^#$&~_,.:;+\-*%/|\\\[\](){}<>]"""
+
 
 def text(name: str) -> Column:
     """Blanks trimmed; text of blanks only becomes '' and stays not null."""
@@ -16,8 +19,17 @@ def text(name: str) -> Column:
 
 
 def title(name: str) -> Column:
-    """Trimmed text with each blank-separated word capitalised."""
-    return F.initcap(text(name))
+    """Trimmed text with each word capitalised.
+
+    ``initcap`` knows words between blanks only. Text with other word breaks,
+    such as a hyphen or a tab, is cut after each break and put together again.
+    """
+    words = F.split(F.lower(text(name)), rf"(?<={_WORD_BREAKS}|\s)")
+    capitalised = F.transform(
+        words, lambda w: F.concat(F.upper(F.left(w, F.lit(1))), F.substr(w, F.lit(2)))
+    )
+    unusual = text(name).rlike(rf"{_WORD_BREAKS}|[\s&&[^ ]]")
+    return F.when(unusual, F.array_join(capitalised, "")).otherwise(F.initcap(text(name)))
 
 
 def whole_number(name: str) -> Column:

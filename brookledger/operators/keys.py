@@ -14,11 +14,12 @@ _MIN_DIGITS, _MAX_DIGITS = 2, 5
 def bucket_digits(spark: SparkSession) -> int:
     """Hex digits of the id digest that name a bucket.
 
-    Enough buckets for four per shuffle partition, at most 16**5 (about a
-    million), which also bounds the offset table that is broadcast. The keys
-    do not depend on the choice: they follow (digest, id) order throughout.
+    Enough buckets for 64 per shuffle partition, so that the partitions come
+    out even, at most 16**5 (about a million), which also bounds the offset
+    table that is broadcast. The keys do not depend on the choice: they follow
+    (digest, id) order throughout.
     """
-    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = 64 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     digits = _MIN_DIGITS
     while digits < _MAX_DIGITS and 16**digits < wanted:
         digits += 1

@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from conftest import AS_OF, executed_plan_of
 
-from brookledger.plans import gold, pipeline
+from brookledger.plans import daily_batch, gold
 from brookledger.plans.silver import to_silver
 from brookledger.sources.tables import stage_all
 
@@ -75,7 +75,7 @@ def _small_star(raw):
 
 def test_facts_keep_unmatched_rows_and_never_fan_out(spark, raw, tmp_path):
     silver = stage_all(_small_star(raw), "silver")
-    tables = pipeline.store_gold(silver, AS_OF, str(tmp_path / "gold"))
+    tables = daily_batch.store_gold(silver, AS_OF, str(tmp_path / "gold"))
     facts = {r.transaction_id: r for r in tables["fact_transactions"].collect()}
     assert set(facts) == {"T0", "T1", "T2"}
     assert tables["fact_transactions"].count() == 3
@@ -143,7 +143,7 @@ def test_batch_run_invariants(spark, tmp_path):
 
     sample = SampleBronze(spark, "/root/testdata/sf0.001")
     raw_tables = {e: sample.both(e) for e in ENTITIES}
-    out = pipeline.run_batch(spark, raw_tables, DEFAULT_AS_OF, str(tmp_path / "lake"))
+    out = daily_batch.run_batch(spark, raw_tables, DEFAULT_AS_OF, str(tmp_path / "lake"))
     for entity in ENTITIES:
         from brookledger.operators.dedup import superseded_rows
 

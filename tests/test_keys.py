@@ -30,7 +30,7 @@ def test_empty_input(spark):
 def test_buckets_follow_the_shuffle_width(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        for partitions, digits in (("8", 2), ("200", 3), ("4000", 4), ("100000", 5)):
+        for partitions, digits in (("2", 2), ("8", 3), ("200", 4), ("1000", 4), ("100000", 5)):
             spark.conf.set("spark.sql.shuffle.partitions", partitions)
             assert bucket_digits(spark) == digits
     finally:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from brookledger.plans import gold, scd2
 from brookledger.plans.silver import to_silver
-from brookledger.sources.tables import publish, stage
+from brookledger.sources.tables import publish, publish_bucketed, stage
 
 DAY0, DAY1, DAY2 = (dt.datetime(2024, 5, d) for d in (1, 10, 20))
 BASE = {"first_name": "a", "last_name": "b", "email": "x@y", "date_of_birth": "1990-01-01",
@@ -112,3 +112,22 @@ def test_readers_move_to_the_new_version_by_name(spark, first, silver, tmp_path)
         assert spark.read.parquet(old).count() == 3
     finally:
         spark.sql("DROP DATABASE IF EXISTS swap_test CASCADE")
+
+
+def test_bucketed_tables_are_compared_without_a_shuffle(spark, first, silver, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS bucket_test LOCATION '{tmp_path}/db'")
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "-1")
+        batch = silver(("C1", {"city": "oslo"}), ("C2", {}))
+        for name, df in (("dim", first), ("silver", batch)):
+            publish_bucketed(df, "bucket_test", name, str(tmp_path / name), "customer_id", 4)
+        changes = scd2.classify(spark.table("bucket_test.dim"), spark.table("bucket_test.silver"))
+        plan = changes._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert {r.customer_id: r.change_type for r in changes.collect()} == {
+            "C1": "CHANGED", "C2": "UNCHANGED"}
+    finally:
+        spark.conf.set(threshold, before)
+        spark.sql("DROP DATABASE IF EXISTS bucket_test CASCADE")

@@ -63,6 +63,19 @@ def test_only_iso_dates_are_read(raw, text, date):
     assert row.dq_is_valid is (date is not None)
 
 
+@pytest.mark.parametrize(
+    ("text", "name"),
+    [
+        (" mary ANN ", "Mary Ann"), ("o'BRIEN-smith", "O'brien-Smith"), ("j.r. tolkien", "J.R. Tolkien"),
+        ("nation_17", "Nation_17"), ("a\tb", "A\tB"), ("x/y (z)", "X/Y (Z)"), ("[q]\\w", "[Q]\\W"),
+        ("", ""), (None, None),
+    ],
+)
+def test_names_are_capitalised_after_every_word_break(raw, text, name):
+    row = one(to_silver(raw("customers", {**GOOD, "first_name": text}), "customers", AS_OF))
+    assert row.first_name == name
+
+
 def test_blank_email_is_empty_and_valid(raw):
     row = one(to_silver(raw("customers", {**GOOD, "email": "  "}), "customers", AS_OF))
     assert (row.email, row.dq_is_valid, row.dq_issues) == ("", True, None)

@@ -79,7 +79,7 @@ oracle(
 _GOLD = ("dim_date", "dim_customers", "dim_accounts", "fact_transactions", "fact_fraud")
 oracle("gold_row_counts", _counts({t.upper(): t for t in _GOLD}))
 oracle(
-    "pipeline_run_log",
+    "run_log",
     " union all ".join(
         f"""select 'SILVER_{e.upper()}_20280101_000000' as run_id,
             'bronze_to_silver' as pipeline_name, '{e}' as entity, 'SUCCESS' as status,

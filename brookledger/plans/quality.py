@@ -42,50 +42,60 @@ class CriticalChecksFailed(ValueError):
         self.names = names
 
 
-def meets(actual: Column, expected: str) -> Column:
-    """Whether a number meets '>= n', '> n', '= n', '<= n' or '< n'.
+def meets(actual: str, expected: str) -> str:
+    """SQL for whether a number meets '>= n', '> n', '= n', '<= n' or '< n'.
 
-    Any other text is met by nothing.
+    Any other text is met by nothing, and nothing is met by NULL.
     """
     sign, _, bound = expected.strip().partition(" ")
-    tests = {
-        ">=": actual.__ge__, ">": actual.__gt__, "=": actual.__eq__,
-        "<=": actual.__le__, "<": actual.__lt__,
-    }
     try:
-        return F.coalesce(tests[sign](F.lit(float(bound))), F.lit(False))
-    except (KeyError, ValueError):
-        return F.lit(False)
+        limit = float(bound)
+    except ValueError:
+        return "false"
+    if sign not in (">=", ">", "=", "<=", "<"):
+        return "false"
+    return f"coalesce({actual} {sign} {limit!r}D, false)"
 
 
-def _count_of(measure: Measure) -> Column:
-    total = F.count(F.lit(1))
+def _count_of(measure: Measure) -> str:
     if measure.kind == "rows":
-        return total.cast("double")
-    hits = F.count_if(F.expr(measure.predicate))
+        return "cast(count(1) AS double)"
+    hits = f"cast(count_if({measure.predicate}) AS double)"
     if measure.kind == "breaches":
-        return hits.cast("double")
-    return F.round(hits.cast("double") * 100.0 / F.nullif(total, F.lit(0)), 2)
+        return hits
+    return f"round({hits} * 100.0D / nullif(count(1), 0), 2)"
+
+
+def _text(value: object) -> str:
+    """A SQL string literal, or a NULL of type string."""
+    if value is None:
+        return "cast(NULL AS string)"
+    escaped = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def _unfold(
-    counted: DataFrame, items: Sequence[Item], actuals: Sequence[Column], as_of: dt.datetime
+    counted: DataFrame, items: Sequence[Item], actuals: Sequence[str], as_of: dt.datetime
 ) -> DataFrame:
-    """One result row per rule from a one-row aggregate."""
+    """One result row per rule from a one-row aggregate.
+
+    One SQL expression for all of them: suites are many small constants, which
+    would be slow to put together call by call.
+    """
     rows = []
     for item, actual in zip(items, actuals):
         facts = asdict(item)
         facts.pop("measure")
-        rows.append(
-            F.struct(
-                *[F.lit(v).cast("string").alias(k) for k, v in facts.items()],
-                actual.alias("actual"),
-                F.when(meets(actual, item.expected), PASSED).otherwise(FAILED).alias("status"),
-                F.lit("").alias("error_message"),
-                moment(as_of).alias("executed_at"),
-            )
-        )
-    return counted.select(F.inline(F.array(*rows)))
+        labels = [f"'{name}', {_text(value)}" for name, value in facts.items()]
+        met = meets(actual, item.expected)
+        results = [
+            f"'actual', {actual}",
+            f"'status', if({met}, '{PASSED}', '{FAILED}')",
+            "'error_message', ''",
+            f"'executed_at', timestamp_ntz'{as_of.isoformat(sep=' ')}'",
+        ]
+        rows.append(f"named_struct({', '.join(labels + results)})")
+    return counted.select(F.expr(f"inline(array({', '.join(rows)}))"))
 
 
 def _measured(table: DataFrame, items: Sequence[Item], as_of: dt.datetime) -> list[DataFrame]:
@@ -94,8 +104,10 @@ def _measured(table: DataFrame, items: Sequence[Item], as_of: dt.datetime) -> li
     scanned = [i for i in items if i.measure.kind not in grouped_kinds]
     if scanned:
         names = [f"m{n}" for n in range(len(scanned))]
-        counted = table.agg(*[_count_of(i.measure).alias(n) for i, n in zip(scanned, names)])
-        frames.append(_unfold(counted, scanned, [F.col(n) for n in names], as_of))
+        counts = [
+            F.expr(_count_of(i.measure)).alias(n) for i, n in zip(scanned, names)
+        ]
+        frames.append(_unfold(table.agg(*counts), scanned, names, as_of))
     for item in items:
         if item.measure.kind not in grouped_kinds:
             continue
@@ -108,7 +120,7 @@ def _measured(table: DataFrame, items: Sequence[Item], as_of: dt.datetime) -> li
             .agg(per_value.alias("n"))
             .agg(F.count_if(wrong).cast("double").alias("m"))
         )
-        frames.append(_unfold(counted, [item], [F.col("m")], as_of))
+        frames.append(_unfold(counted, [item], ["m"], as_of))
     return frames
 
 
@@ -116,8 +128,8 @@ def _not_measured(
     spark: SparkSession, items: Sequence[Item], error: str, as_of: dt.datetime
 ) -> DataFrame:
     """A rule that cannot be evaluated has failed; the reason is kept."""
-    nothing = F.lit(None).cast("double")
-    rows = _unfold(spark.range(1), items, [nothing] * len(items), as_of)
+    nothing = ["cast(NULL AS double)"] * len(items)
+    rows = _unfold(spark.range(1), items, nothing, as_of)
     return rows.withColumns({"status": F.lit(FAILED), "error_message": F.lit(error)})
 
 

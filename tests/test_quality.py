@@ -35,10 +35,19 @@ def test_catalogue_is_complete():
     ],
 )
 def test_comparators(spark, expected, value, met):
-    row = spark.range(1).select(quality.meets(F.lit(value).cast("double"), expected).alias("m")).first()
+    number = "cast(NULL AS double)" if value is None else f"{value}D"
+    row = spark.range(1).selectExpr(f"{quality.meets(number, expected)} AS m").first()
     assert row.m is met
 
 
+def test_texts_are_quoted(spark):
+    odd = "it's \\ odd"
+    results = quality.run_suite(
+        {"t": spark.range(1)}, [Check("c", odd, "SILVER", "t", "LOW", Measure("rows"), "> 0")], AS_OF
+    )
+    assert results.first().description == odd
+
+
 def check(name, measure, expected, severity="HIGH", table="t"):
     return Check(name, "", "SILVER", table, severity, measure, expected)
 

@@ -526,13 +526,21 @@ def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("landing_manifest_totals")
 def landing_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landing.manifest_totals(landing_manifest(spark, sf_dir))
+    """Per entity: is every file in the manifest loaded. File counts vary by run."""
+    totals = landing.manifest_totals(landing_manifest(spark, sf_dir))
+    return totals.select(
+        "entity",
+        (F.col("total_files") > 0).alias("has_files"),
+        (F.col("successful") == F.col("total_files")).alias("all_successful"),
+        "failed",
+    )
 
 
 @query("landing_eligibility")
 def landing_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _landed(spark, sf_dir, "customers", "accounts")
-    return landing.eligibility(landing.listing(spark, root))
+    files = landing.eligibility(landing.listing(spark, root))
+    return files.select("entity", "is_valid", "reason").distinct()
 
 
 @query("landing_reconciliation")
@@ -542,9 +550,8 @@ def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     promised = stage(landing.manifest(spark, root, AS_OF), "manifest")
     sample = SampleBronze(spark, sf_dir)
     landing.land_csv(sample.following("customers"), root, "customers", NEXT_LANDING_DAY)
-    return landing.reconcile(promised, landing.manifest(spark, root, AS_OF)).groupBy(
-        "entity", "state"
-    ).agg(F.count(F.lit(1)).alias("files"))
+    states = landing.reconcile(promised, landing.manifest(spark, root, AS_OF))
+    return states.select("entity", "state").distinct()
 
 
 @query("landing_missing_entities")

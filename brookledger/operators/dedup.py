@@ -52,14 +52,27 @@ def latest_per_key(
     return _with_rank(raw, [key], _newest_first(entity)).filter(f"{_RANK} = 1").drop(_RANK)
 
 
-def roll_forward(latest: DataFrame, batch: DataFrame, entity: str) -> DataFrame:
+def roll_forward(
+    latest: DataFrame, batch: DataFrame, entity: str, *, max_batch_keys: int = 2_000_000
+) -> DataFrame:
     """The latest rows after one more batch, without rereading older batches.
 
     ``latest`` is what ``latest_per_key`` gave for all batches so far. The
     result equals a dedup over all of Bronze, because the newest of some
     rows' newest is the newest of all of them.
+
+    A batch counted to hold few keys is broadcast by key: rows it does not
+    touch pass through unshuffled, and only the touched ones are compared. A
+    larger batch is compared with all rows in one shuffle.
     """
-    return latest_per_key(latest.unionByName(batch), entity)
+    key = BUSINESS_KEY[entity]
+    keys = batch.select(F.col(key).alias("_batch_key")).distinct()
+    if keys.limit(max_batch_keys + 1).count() > max_batch_keys:
+        return latest_per_key(latest.unionByName(batch), entity)
+    in_batch = F.col(key).eqNullSafe(F.col("_batch_key"))
+    untouched = latest.join(F.broadcast(keys), in_batch, "left_anti")
+    touched = latest.join(F.broadcast(keys), in_batch, "left_semi")
+    return untouched.unionByName(latest_per_key(touched.unionByName(batch), entity))
 
 
 def repeated_keys(rows: DataFrame, key: str) -> DataFrame:

@@ -8,8 +8,9 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from brookledger.operators.dedup import latest_per_key, roll_forward
 from brookledger.plans import audit, gold, rejects
-from brookledger.plans.silver import to_silver
+from brookledger.plans.silver import clean_silver, to_silver
 from brookledger.sources.tables import read_table, session_of, write_tables
 
 
@@ -70,6 +71,47 @@ def run_batch(
     Rejects of the run and its log rows are written next to the tables.
     """
     silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
+    return _after_silver(spark, silver, as_of, root)
+
+
+def store_latest(raw: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
+    """The newest Bronze row per key of each entity, to start increments from."""
+    write_tables({e: latest_per_key(df, e) for e, df in raw.items()}, root)
+    return {e: read_table(session_of(raw), root, e) for e in raw}
+
+
+def run_increment(
+    spark: SparkSession,
+    latest: Mapping[str, DataFrame],
+    batch: Mapping[str, DataFrame],
+    as_of: dt.datetime,
+    root: str,
+) -> dict[str, DataFrame]:
+    """The state after one more batch, from the newest rows so far.
+
+    Gives what ``run_batch`` gives over all of Bronze. Silver is projected from
+    the newest rows without a further shuffle; it is projected whole, because
+    ages and tenures move with the day. The new newest rows are returned as
+    ``latest_*`` for the next run. Entities without a delivery stay as they are.
+    """
+    rolled = {
+        e: roll_forward(df, batch[e], e) if e in batch else df for e, df in latest.items()
+    }
+    latest_root = posixpath.join(root, "latest")
+    write_tables(rolled, latest_root)
+    stored = {e: read_table(spark, latest_root, e) for e in latest}
+    silver_root = posixpath.join(root, "silver")
+    write_tables({e: clean_silver(df, e, as_of) for e, df in stored.items()}, silver_root)
+    silver = {e: read_table(spark, silver_root, e) for e in latest}
+    return {
+        **_after_silver(spark, silver, as_of, root),
+        **{f"latest_{e}": df for e, df in stored.items()},
+    }
+
+
+def _after_silver(
+    spark: SparkSession, silver: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+) -> dict[str, DataFrame]:
     write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
     tables = store_gold(silver, as_of, posixpath.join(root, "gold"))
     audit.append(audit.silver_load_rows(silver, as_of), posixpath.join(root, "run_log"))

@@ -169,18 +169,36 @@ def test_dedup_limits_groups_before_the_shuffle(raw):
     assert physical.index("Exchange hashpartitioning") < physical.index("row_number(), 1, Partial")
 
 
-def test_roll_forward_equals_dedup_over_everything(raw):
+@pytest.mark.parametrize("max_batch_keys", [0, 100])
+def test_roll_forward_equals_dedup_over_everything(raw, max_batch_keys):
     first = raw("customers", GOOD, {**GOOD, "customer_id": "C2"}, {**GOOD, "customer_id": None})
     later = raw(
         "customers",
         {**GOOD, "phone": "9", "_load_timestamp": dt.datetime(2023, 2, 1)},
         {**GOOD, "customer_id": "C3"},
+        {**GOOD, "customer_id": None, "phone": "1"},
+        {**GOOD, "customer_id": "C2", "_load_timestamp": dt.datetime(2020, 1, 1)},
     )
     whole = latest_per_key(first.unionByName(later), "customers")
-    rolled = roll_forward(latest_per_key(first, "customers"), later, "customers")
+    rolled = roll_forward(
+        latest_per_key(first, "customers"), later, "customers", max_batch_keys=max_batch_keys
+    )
     assert rows_of(rolled) == rows_of(whole)
 
 
+def test_rows_a_small_batch_does_not_touch_are_not_shuffled(spark, raw):
+    path = "/root/testdata/sf0.001/customer.parquet"
+    stored = raw("customers", GOOD).limit(0).unionByName(
+        spark.read.parquet(path).selectExpr("concat('K', c_custkey) AS customer_id"),
+        allowMissingColumns=True,
+    )
+    rolled = roll_forward(stored, raw("customers", GOOD), "customers")
+    plan = plan_of(rolled)
+    untouched = plan[plan.index("== Physical Plan =="):].split("LeftAnti")[1].split("LeftSemi")[0]
+    assert "FileScan parquet" in untouched
+    assert "Window" not in untouched.split("FileScan parquet")[0]
+
+
 def test_hot_key_is_split_and_stays_whole(spark):
     """A third of all rows share a key; many rows are exact copies."""
     rows = spark.range(30_000, numPartitions=12).selectExpr(

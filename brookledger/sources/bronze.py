@@ -7,6 +7,7 @@ many fields is quarantined with its text instead of being dropped.
 from __future__ import annotations
 
 import datetime as dt
+import posixpath
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,12 @@ from brookledger.fixed_values import (
     SOURCE_COLUMNS,
 )
 from brookledger.functions.calendar import compact_day, moment
+from brookledger.sources.landing import day_parts
 from brookledger.sources.tables import broadcast_if_small
 
 BAD_RECORD = "_corrupt_record"
 QUARANTINED = "_quarantined"
+PARTITIONS = [QUARANTINED, "_batch_id"]
 _FILE = "_file"
 
 
@@ -59,16 +62,16 @@ def read_extract(
     day: dt.date | None = None,
     multi_line: bool = False,
 ) -> DataFrame:
-    """Parsed rows of an entity's landing folder, or of one landing day."""
-    rows = (
+    """Parsed rows of an entity's landing folder, or of one landing day.
+
+    For a day only its own folder is listed and read.
+    """
+    reader = (
         spark.read.schema(extract_schema(entity))
         .options(**csv_options(multi_line=multi_line))
-        .csv(path)
+        .option("basePath", path)
     )
-    if day is not None:
-        on_day = (F.col("year") == day.year) & (F.col("month") == day.month)
-        rows = rows.filter(on_day & (F.col("day") == day.day))
-    return rows
+    return reader.csv(path if day is None else posixpath.join(path, day_parts(day)))
 
 
 def _null_tokens_out(name: str) -> Column:
@@ -103,8 +106,11 @@ def with_checksums(bronze: DataFrame, manifest: DataFrame, *, max_files: int = 1
 
 
 def store(bronze: DataFrame, path: str) -> None:
-    """Append a load, whole and quarantined rows apart, from one parse."""
-    bronze.write.mode("append").partitionBy(QUARANTINED).parquet(path)
+    """Append a load, whole and quarantined rows apart, from one parse.
+
+    Each batch has folders of its own, so later jobs can read it alone.
+    """
+    bronze.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
 
 
 def table_schema(entity: str) -> T.StructType:
@@ -117,9 +123,13 @@ def table_schema(entity: str) -> T.StructType:
     return T.StructType([*fields, T.StructField(QUARANTINED, T.BooleanType())])
 
 
-def rows(spark: SparkSession, path: str, entity: str) -> DataFrame:
-    """The well-formed rows of a stored Bronze table."""
+def rows(
+    spark: SparkSession, path: str, entity: str, *, batch_id: str | None = None
+) -> DataFrame:
+    """The well-formed rows of a stored Bronze table, or of one of its batches."""
     stored = spark.read.schema(table_schema(entity)).parquet(path)
+    if batch_id is not None:
+        stored = stored.filter(F.col("_batch_id") == batch_id)
     return stored.filter(~F.col(QUARANTINED)).select(
         *SOURCE_COLUMNS[entity], *LINEAGE_COLUMNS
     )

@@ -29,11 +29,13 @@ def entity_folder(root: str, entity: str) -> str:
     return posixpath.join(root, "raw", entity)
 
 
+def day_parts(day: dt.date) -> str:
+    """Dated part of a landing path; month and day have two digits."""
+    return posixpath.join(f"year={day:%Y}", f"month={day:%m}", f"day={day:%d}")
+
+
 def day_folder(root: str, entity: str, day: dt.date) -> str:
-    """Dated folder of an entity; month and day have two digits."""
-    return posixpath.join(
-        entity_folder(root, entity), f"year={day:%Y}", f"month={day:%m}", f"day={day:%d}"
-    )
+    return posixpath.join(entity_folder(root, entity), day_parts(day))
 
 
 def _dated(df: DataFrame, entity: str, day: dt.date) -> DataFrame:

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import SparkSession
 
 from brookledger.sources.bronze import (
-    QUARANTINED,
+    PARTITIONS,
     csv_options,
     extract_schema,
     to_bronze,
@@ -44,7 +44,7 @@ def ingest_new_files(
         to_bronze(arrived, entity, as_of)
         .writeStream.format("parquet")
         .outputMode("append")
-        .partitionBy(QUARANTINED)
+        .partitionBy(*PARTITIONS)
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

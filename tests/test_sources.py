@@ -67,7 +67,7 @@ def test_quoted_line_breaks_need_multi_line(spark, tmp_path):
     assert row.flag_reason == "two\nlines"
 
 
-def test_one_landing_day_prunes_the_others(spark, tmp_path):
+def test_one_landing_day_reads_its_folder_only(spark, tmp_path):
     put(tmp_path, "a.csv", line("F1"))
     put(tmp_path, "a.csv", line("F2"), day=dt.date(2024, 11, 12))
     parsed = bronze.read_extract(
@@ -75,8 +75,18 @@ def test_one_landing_day_prunes_the_others(spark, tmp_path):
         day=dt.date(2024, 11, 12),
     )
     assert [r.flag_id for r in parsed.collect()] == ["F2"]
-    plan = parsed._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(year" in plan
+    assert len(parsed.inputFiles()) == 1
+
+
+def test_one_batch_prunes_the_others(spark, tmp_path):
+    put(tmp_path, "a.csv", line("F1"), "short")
+    target = tmp_path / "bronze"
+    for day in (1, 2):
+        load(spark, tmp_path, target, as_of=dt.datetime(2024, 1, day))
+    batch = bronze.rows(spark, str(target), "fraud_flags", batch_id="BATCH_20240102")
+    assert [(r.flag_id, r._batch_id) for r in batch.collect()] == [("F1", "BATCH_20240102")]
+    plan = batch._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_batch_id" in plan and "PushedFilters: []" in plan
 
 
 def test_landing_folders_have_two_digit_parts(spark, raw, tmp_path):

@@ -88,5 +88,22 @@ def silver_load_rows(silver: Mapping[str, DataFrame], as_of: dt.datetime) -> Dat
     return reduce(DataFrame.unionByName, rows)
 
 
+def gold_load_rows(tables: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
+    """Log rows of Gold loads: every row of a stored table was loaded."""
+    rows = [
+        run_row(
+            df.agg(F.count(F.lit(1)).alias("n")),
+            run_id=f"GOLD_{name.upper()}_{as_of:%Y%m%d_%H%M%S}",
+            pipeline="silver_to_gold",
+            entity=name,
+            started_at=as_of,
+            read=F.col("n"),
+            loaded=F.col("n"),
+        )
+        for name, df in tables.items()
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def append(log_rows: DataFrame, path: str) -> None:
     log_rows.write.mode("append").parquet(path)

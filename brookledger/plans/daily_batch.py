@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
+import uuid
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from brookledger.functions.calendar import compact_stamp
 from brookledger.operators.dedup import latest_per_key, roll_forward
-from brookledger.plans import audit, gold, rejects
+from brookledger.plans import audit, gold, quality, rejects, scd2
+from brookledger.plans.rule_catalogue import GOLD_CHECKS, SILVER_CHECKS
 from brookledger.plans.silver import clean_silver, to_silver
-from brookledger.sources.tables import read_table, session_of, write_tables
+from brookledger.sources.tables import (
+    publish,
+    read_table,
+    session_of,
+    stage,
+    write_tables,
+)
 
 
 def store_silver(
@@ -114,10 +125,61 @@ def _after_silver(
 ) -> dict[str, DataFrame]:
     write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
     tables = store_gold(silver, as_of, posixpath.join(root, "gold"))
-    audit.append(audit.silver_load_rows(silver, as_of), posixpath.join(root, "run_log"))
+    log_rows = audit.silver_load_rows(silver, as_of).unionByName(
+        audit.gold_load_rows(tables, as_of)
+    )
+    audit.append(log_rows, posixpath.join(root, "run_log"))
     return {
         **{f"silver_{e}": df for e, df in silver.items()},
         **tables,
         "reject_records": read_table(spark, root, "reject_records"),
         "run_log": read_table(spark, root, "run_log"),
     }
+
+
+def run_history(
+    spark: SparkSession,
+    table: tuple[str, str],
+    silver_customers: DataFrame,
+    as_of: dt.datetime,
+    root: str,
+) -> DataFrame:
+    """Bring the customer dimension of a catalog table to the state of Silver.
+
+    ``table`` is (database, name). The next state is written to a folder of
+    its own under ``root`` and the name is moved there last; the summary of
+    the run is returned and its log row appended to ``root``/run_log.
+    """
+    database, name = table
+    dim = scd2.bootstrap(spark.table(f"`{database}`.`{name}`"), as_of)
+    run = scd2.apply_history(dim, silver_customers, as_of)
+    path = posixpath.join(root, f"{name}-{compact_stamp(as_of)}-{uuid.uuid4().hex[:8]}")
+    run.dimension.write.parquet(path)
+    audit.append(run.log_row, posixpath.join(root, "run_log"))
+    summary = stage(run.summary, "history-summary")
+    publish(spark, database, name, path)
+    return summary
+
+
+def check_quality(
+    silver: Mapping[str, DataFrame],
+    gold_tables: Mapping[str, DataFrame],
+    as_of: dt.datetime,
+    folder: str,
+) -> DataFrame:
+    """Run both suites, save a report of each, and stop on a critical failure."""
+    spark = session_of(silver)
+    suites = {
+        "silver_layer": ({f"silver_{e}": df for e, df in silver.items()}, SILVER_CHECKS),
+        "gold_layer": (dict(gold_tables), GOLD_CHECKS),
+    }
+    measured = [
+        quality.with_suite_name(quality.run_suite(tables, checks, as_of, spark=spark), name)
+        for name, (tables, checks) in suites.items()
+    ]
+    results = stage(reduce(DataFrame.unionByName, measured), "dq-results")
+    for name in suites:
+        own = results.filter(F.col("suite_name") == name).drop("suite_name")
+        quality.save_report(own, name, as_of, folder)
+    quality.require_no_critical_failure(results)
+    return results

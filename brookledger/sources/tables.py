@@ -113,10 +113,16 @@ def publish(spark: SparkSession, database: str, name: str, path: str) -> None:
     """Make a stored table readable by name, or move the name to a new version.
 
     Moving the name is the last step of a rewrite: readers see the old table
-    until then, and the files they are reading stay in place.
+    until then, and the files they are reading stay in place. Columns the new
+    version adds are added to the table first.
     """
     table = f"`{database}`.`{name}`"
     if spark.catalog.tableExists(f"{database}.{name}"):
+        known = spark.table(table).columns
+        added = [f for f in spark.read.parquet(path).schema if f.name not in known]
+        if added:
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
         spark.catalog.refreshTable(f"{database}.{name}")
     else:

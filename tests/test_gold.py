@@ -156,7 +156,9 @@ def test_batch_run_invariants(spark, tmp_path):
     assert out["fact_fraud"].count() == valid["fraud_flags"]
     rejected = sum(out[f"silver_{e}"].filter("not dq_is_valid").count() for e in ENTITIES)
     assert out["reject_records"].count() == rejected
-    assert out["run_log"].count() == len(ENTITIES)
+    logged = {r.entity: r.records_loaded for r in out["run_log"].collect()}
+    assert len(logged) == len(ENTITIES) + 5
+    assert logged["fact_fraud"] == logged["fraud_flags"] == valid["fraud_flags"]
     for table, key in (("dim_customers", "customer_key"), ("fact_transactions", "transaction_key")):
         row = out[table].selectExpr(f"count(distinct {key}) n", f"min({key}) a", f"max({key}) z").first()
         assert (row.a, row.z) == (1, row.n) and row.n == out[table].count()

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
-from brookledger.plans import gold, scd2
+from brookledger.plans import daily_batch, gold, scd2
 from brookledger.plans.silver import to_silver
 from brookledger.sources.tables import publish, publish_bucketed, stage
 
@@ -99,17 +99,19 @@ def test_state_at_the_time_of_a_fact(spark, first, silver):
     assert got == {1: "ACTIVE", 2: "SUSPENDED", 3: None, 4: None, 5: None}
 
 
-def test_readers_move_to_the_new_version_by_name(spark, first, silver, tmp_path):
+def test_history_job_moves_readers_to_the_new_version(spark, first, silver, tmp_path):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS swap_test LOCATION '{tmp_path}/db'")
+    name = ("swap_test", "dim_customers")
     try:
-        old, new = str(tmp_path / "v1"), str(tmp_path / "v2")
-        first.write.parquet(old)
-        publish(spark, "swap_test", "dim_customers", old)
-        current = spark.table("swap_test.dim_customers")
-        scd2.apply_history(current, silver(("C1", {"city": "oslo"})), DAY1).dimension.write.parquet(new)
-        publish(spark, "swap_test", "dim_customers", new)
-        assert spark.table("swap_test.dim_customers").count() == 4
-        assert spark.read.parquet(old).count() == 3
+        first.drop(*scd2.HISTORY_COLUMNS).write.parquet(str(tmp_path / "v1"))
+        publish(spark, *name, str(tmp_path / "v1"))
+        batch = stage(silver(("C1", {"city": "oslo"}), ("C2", {})), "silver")
+        for day, inserted in ((DAY1, 1), (DAY2, 0)):
+            summary = daily_batch.run_history(spark, name, batch, day, str(tmp_path))
+            assert summary.first().rows_inserted == inserted
+            assert spark.table("swap_test.dim_customers").count() == 4
+        assert spark.read.parquet(str(tmp_path / "v1")).count() == 3
+        assert spark.read.parquet(str(tmp_path / "run_log")).count() == 2
     finally:
         spark.sql("DROP DATABASE IF EXISTS swap_test CASCADE")
 

@@ -90,3 +90,26 @@ SELECT doc_id, size, source_size, target,
              + CASE WHEN 2 * (start + 2 * source_size) + size < 2 * target THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM laid
 """
+
+
+@query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.license_scan import license_scan
+
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.quality_zstd import learn, quality
+
+    docs = table(spark, sf_dir, "documents")
+    return quality(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
+@query
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.language_id import language_id, learn
+
+    docs = table(spark, sf_dir, "documents")
+    return language_id(docs, learn(docs))

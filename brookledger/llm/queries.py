@@ -113,3 +113,22 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return language_id(docs, learn(docs))
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from brookledger.llm.token_files import token_digests, token_folder, write_token_files
+
+    folder = token_folder(spark)
+    write_token_files(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"))
+    return token_digests(spark, folder)
+
+
+@query
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.sentencepiece_dropout import encoded
+
+    digests = encoded(table(spark, sf_dir, "documents"))
+    return digests.select("doc_id", "n_tokens", F.md5(F.to_json("ids")).alias("ids_md5"), "lossless")

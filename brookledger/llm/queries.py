@@ -132,3 +132,27 @@ def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     digests = encoded(table(spark, sf_dir, "documents"))
     return digests.select("doc_id", "n_tokens", F.md5(F.to_json("ids")).alias("ids_md5"), "lossless")
+
+
+@query
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
+ORACLES["op3_substring_dedup"] = r"""
+WITH w AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+g AS (
+    SELECT doc_id, p, array_to_string(words[p:p + 19], ' ') AS gram
+    FROM w, unnest(range(1, len(words) - 18)) AS t(p)),
+later AS (
+    SELECT doc_id, p FROM g
+    QUALIFY row_number() OVER (PARTITION BY gram ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM later, range(0, 20) AS t(k)),
+per AS (SELECT doc_id, list(p) AS places FROM gone GROUP BY doc_id)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(list_filter(words, lambda x, i: NOT coalesce(list_contains(places, i), false)), ' ')) AS kept_sha256
+FROM w LEFT JOIN per USING (doc_id)
+"""

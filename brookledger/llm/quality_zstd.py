@@ -87,7 +87,8 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         F.col("quality").isin(0, 1) & F.col("id").isNotNull() & (fold(F.col("id"), 3) != 1)
     ).distinct()
     n = {r[0]: r[1] for r in marked.groupBy("quality").count().collect()}
-    chosen = sampled(marked, "quality", "id", per_label)
+    # About 2 * per_label rows of an id and a label: small enough for every executor, whatever the table's size.
+    chosen = F.broadcast(sampled(marked, "quality", "id", per_label))
     rows = (
         docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where(F.col("text").isNotNull())
         .join(chosen, "id").select("id", "quality", "text").orderBy("id", "text").collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brookledger.llm.row_keys import rows_of_keys
 from brookledger.llm.shared_folder import written
 
 #: Fixed value: the characters that do not count when texts are compared.
@@ -90,36 +91,8 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan
     )
 
 
-def exact_keys(docs: DataFrame, doc_id: str, text: str, keep: list[str] | None = None) -> DataFrame:
-    """Id and digest of each row, beside the columns to keep."""
-    return docs.select(
-        *(keep or []),
-        F.col(doc_id).alias("_keep_id"),
-        F.sha2(normalised(F.col(text)), 256).alias("_keep_sha"),
-    )
-
-
 def without_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns.
-
-    They are found by id and digest. Rows that repeat both cannot be told apart
-    by that, so such rows, and only they, are made distinct by an aggregate.
-    """
-    names = docs.columns
+    """The rows of ``docs`` that stay, with their own columns; found by id and digest."""
     kept = written(exact_dedup(docs, doc_id, text).where("kept"), "kept")
-    repeated = (
-        exact_keys(docs, doc_id, text).groupBy("_keep_id", "_keep_sha").count()
-        .where("count > 1").select("_keep_id", "_keep_sha")
-    )
-    wanted = kept.select(F.col("doc_id").alias("_keep_id"), F.col("text_sha256").alias("_keep_sha"))
-    marked = exact_keys(docs, doc_id, text, keep=names)
-
-    def same(side: DataFrame):
-        return marked["_keep_id"].eqNullSafe(side["_keep_id"]) & (marked["_keep_sha"] == side["_keep_sha"])
-
-    held = written(repeated, "repeated")
-    once = marked.join(wanted, same(wanted), "left_semi")
-    single = once.join(held, once["_keep_id"].eqNullSafe(held["_keep_id"]) & (once["_keep_sha"] == held["_keep_sha"]), "left_anti")
-    several = once.join(held, once["_keep_id"].eqNullSafe(held["_keep_id"]) & (once["_keep_sha"] == held["_keep_sha"]), "left_semi")
-    several = several.dropDuplicates(["_keep_id", "_keep_sha"])
-    return single.select(*names).unionAll(several.select(*names))
+    digest = F.sha2(normalised(F.col(text)), 256)
+    return rows_of_keys(docs, doc_id, digest, kept.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("content")))

@@ -156,3 +156,10 @@ SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(len(places), 0)::BIGINT A
        sha256(array_to_string(list_filter(words, lambda x, i: NOT coalesce(list_contains(places, i), false)), ' ')) AS kept_sha256
 FROM w LEFT JOIN per USING (doc_id)
 """
+
+
+@query
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.jaccard_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"))

@@ -163,3 +163,10 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from brookledger.llm.jaccard_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.pq_neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "embeddings")).drop("label")

@@ -481,9 +481,21 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.quarantine(spark, table, "fraud_flags").select("record", "_source_entity", "_batch_id")
 
 
+def backdate(spark: SparkSession, folder: str, days: int) -> None:
+    """Give the files of a folder older times, as copies have that keep theirs."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path):
+        if status.isFile():
+            fs.setTimes(status.getPath(), status.getModificationTime() - days * 86_400_000, -1)
+
+
 @query("bronze_incremental")
 def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two deliveries, three runs: every file is loaded by exactly one of them."""
+    """Two deliveries, three runs: every file is loaded by exactly one of them.
+
+    The files of the second delivery are a month older than those of the first.
+    """
     sample = SampleBronze(spark, sf_dir)
     root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
     checkpoint = new_folder(spark, "ingest-progress")
@@ -492,6 +504,8 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     for number, (delivery, day) in enumerate(runs):
         if delivery is not None:
             landing.land_csv(delivery("transactions"), root, "transactions", day)
+        if day == NEXT_LANDING_DAY:
+            backdate(spark, landing.day_folder(root, "transactions", day), 30)
         ingest_new_files(
             spark, source, "transactions", table, checkpoint, AS_OF + dt.timedelta(days=number)
         )
@@ -500,11 +514,13 @@ def bronze_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bronze_forced_reload")
 def bronze_forced_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same extract loaded twice by force: both loads are kept."""
+    """An extract loaded once as new files and twice by force: all three loads are kept."""
     root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    source = landing.entity_folder(root, "accounts")
     landing.land_csv(SampleBronze(spark, sf_dir).first("accounts"), root, "accounts", LANDING_DAY)
-    for number in range(2):
-        parsed = bronze.read_extract(spark, landing.entity_folder(root, "accounts"), "accounts")
+    ingest_new_files(spark, source, "accounts", table, new_folder(spark, "ingest-progress"), AS_OF)
+    for number in (1, 2):
+        parsed = bronze.read_extract(spark, source, "accounts")
         bronze.store(
             bronze.to_bronze(parsed, "accounts", AS_OF + dt.timedelta(days=number)), table
         )

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 import posixpath
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 
 from brookledger.fixed_values import (
     BATCH_PREFIX,
+    LANDING_MAX_MB,
     LINEAGE_COLUMNS,
     NULL_TOKENS,
     SOURCE_COLUMNS,
@@ -25,7 +27,11 @@ from brookledger.sources.tables import broadcast_if_small
 
 BAD_RECORD = "_corrupt_record"
 QUARANTINED = "_quarantined"
-PARTITIONS = [QUARANTINED, "_batch_id"]
+#: Which load of a batch id a row came with; a load's folders are written whole.
+LOAD = "_load"
+PARTITIONS = [QUARANTINED, "_batch_id", LOAD]
+#: Names of the files that are read as CSV; others in a landing folder are left alone.
+CSV_FILES = "*.csv"
 _FILE = "_file"
 
 
@@ -61,17 +67,27 @@ def read_extract(
     *,
     day: dt.date | None = None,
     multi_line: bool = False,
+    max_mb: int = LANDING_MAX_MB,
 ) -> DataFrame:
     """Parsed rows of an entity's landing folder, or of one landing day.
 
-    For a day only its own folder is listed and read.
+    For a day only its own folder is listed and read. Only eligible files are:
+    those of another type, or above ``max_mb``, are dropped from the listing
+    and never opened; ``landing.eligibility`` lists them with the reason.
     """
     reader = (
         spark.read.schema(extract_schema(entity))
         .options(**csv_options(multi_line=multi_line))
         .option("basePath", path)
+        .option("pathGlobFilter", CSV_FILES)
     )
-    return reader.csv(path if day is None else posixpath.join(path, day_parts(day)))
+    found = reader.csv(path if day is None else posixpath.join(path, day_parts(day)))
+    return found.filter(small_enough(max_mb))
+
+
+def small_enough(max_mb: int) -> Column:
+    """Whether a row's file is within the size limit; known from the listing."""
+    return F.col("_metadata.file_size") <= max_mb * 1024 * 1024
 
 
 def _null_tokens_out(name: str) -> Column:
@@ -108,9 +124,21 @@ def with_checksums(bronze: DataFrame, manifest: DataFrame, *, max_files: int = 1
 def store(bronze: DataFrame, path: str) -> None:
     """Append a load, whole and quarantined rows apart, from one parse.
 
-    Each batch has folders of its own, so later jobs can read it alone.
+    Each batch has folders of its own, so later jobs can read it alone. The
+    table may be one that incremental loads append to.
     """
-    bronze.write.mode("append").partitionBy(*PARTITIONS).parquet(path)
+    store_load(bronze, path, f"forced-{uuid.uuid4().hex[:12]}")
+
+
+def store_load(bronze: DataFrame, path: str, load: str) -> None:
+    """Write the folders of one named load; what an earlier try left there is replaced."""
+    (
+        bronze.withColumn(LOAD, F.lit(load))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*PARTITIONS)
+        .parquet(path)
+    )
 
 
 def table_schema(entity: str) -> T.StructType:
@@ -120,7 +148,8 @@ def table_schema(entity: str) -> T.StructType:
         kind = T.TimestampNTZType() if name == "_load_timestamp" else T.StringType()
         fields.append(T.StructField(name, kind))
     fields.append(T.StructField(BAD_RECORD, T.StringType()))
-    return T.StructType([*fields, T.StructField(QUARANTINED, T.BooleanType())])
+    fields.append(T.StructField(QUARANTINED, T.BooleanType()))
+    return T.StructType([*fields, T.StructField(LOAD, T.StringType())])
 
 
 def rows(

@@ -91,27 +91,32 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def eligibility(files: DataFrame) -> DataFrame:
-    """Whether each file may be loaded, and why not."""
+def eligibility(files: DataFrame, *, max_mb: int = LANDING_MAX_MB) -> DataFrame:
+    """Whether each file may be loaded, and why not.
+
+    ``max_mb`` is the largest size of a file, in megabytes of 1024 * 1024 bytes.
+    """
     extension = F.regexp_extract("path", r"(\.[^./]+)$", 1)
     reason = F.when(~extension.isin(LANDING_EXTENSIONS), "Invalid file type").when(
-        F.col("length") > LANDING_MAX_MB * _BYTES_PER_MB, "File too large"
+        F.col("length") > max_mb * _BYTES_PER_MB, "File too large"
     )
     return files.select(
         "path", "entity", "length", reason.isNull().alias("is_valid"), reason.alias("reason")
     )
 
 
-def manifest(spark: SparkSession, root: str, as_of: dt.datetime) -> DataFrame:
+def manifest(
+    spark: SparkSession, root: str, as_of: dt.datetime, *, max_mb: int = LANDING_MAX_MB
+) -> DataFrame:
     """MD5 and size of each file that may be loaded; others are listed as FAILED.
 
-    Only files within the size limit are opened, so no task holds more than
-    one file of that size.
+    Only files within the size limit (``max_mb``) are opened, so no task holds
+    more than one file of that size.
     """
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     )
-    limit = LANDING_MAX_MB * _BYTES_PER_MB
+    limit = max_mb * _BYTES_PER_MB
     allowed = F.regexp_extract("path", r"(\.[^./]+)$", 1).isin(LANDING_EXTENSIONS)
     entity = F.regexp_extract("path", _ENTITY_IN_PATH, 1).alias("entity")
     hashed = files.filter((F.col("length") <= limit) & allowed).select(

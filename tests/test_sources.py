@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 from conftest import AS_OF, rows_of
+from pyspark.sql import functions as F
 
 from brookledger.fixed_values import SOURCE_COLUMNS
 from brookledger.plans import verify
@@ -35,6 +36,48 @@ def load(spark, root, target, as_of=AS_OF, **options):
     bronze.store(bronze.to_bronze(parsed, "fraud_flags", as_of), str(target))
 
 
+def test_late_files_and_forced_reloads_share_one_table(spark, tmp_path):
+    import os
+
+    source = landing.entity_folder(str(tmp_path), "fraud_flags")
+    target, progress = str(tmp_path / "bronze"), str(tmp_path / "progress")
+    put(tmp_path, "a.csv", line("F1"))
+    ingest_new_files(spark, source, "fraud_flags", target, progress, dt.datetime(2024, 1, 1))
+    late = put(tmp_path, "late.csv", line("F2"))
+    month_ago = late.stat().st_mtime - 30 * 86400
+    os.utime(late, (month_ago, month_ago))
+    put(tmp_path, "b.csv", line("F3"))
+    ingest_new_files(spark, source, "fraud_flags", target, progress, dt.datetime(2024, 1, 2))
+    load(spark, tmp_path, target, as_of=dt.datetime(2024, 1, 3))
+    load(spark, tmp_path, target, as_of=dt.datetime(2024, 1, 3))
+    found = sorted((r._batch_id[-1], r.flag_id) for r in bronze.rows(spark, target, "fraud_flags").collect())
+    assert found == [("1", "F1"), ("2", "F2"), ("2", "F3")] + [("3", f) for f in ("F1", "F1", "F2", "F2", "F3", "F3")]
+
+
+def test_a_retried_micro_batch_replaces_what_it_wrote(spark, raw, tmp_path):
+    rows = raw("fraud_flags", {"flag_id": "F1"}).withColumn(bronze.BAD_RECORD, F.lit(None).cast("string"))
+    rows = rows.withColumn(bronze.QUARANTINED, F.lit(False))
+    for _ in range(2):
+        bronze.store_load(rows, str(tmp_path), "stream-0")
+    bronze.store_load(rows, str(tmp_path), "stream-1")
+    assert bronze.rows(spark, str(tmp_path), "fraud_flags").count() == 2
+
+
+def test_ineligible_files_are_not_loaded(spark, tmp_path):
+    put(tmp_path, "a.csv", line("F1"))
+    put(tmp_path, "b.txt", line("F2"))
+    put(tmp_path, "c.json", '{"flag_id": "F3"}')
+    put(tmp_path, "big.csv", *[line(f"F9{k}", "x" * 200) for k in range(6000)])
+    source = landing.entity_folder(str(tmp_path), "fraud_flags")
+    ingest_new_files(spark, source, "fraud_flags", str(tmp_path / "one"), str(tmp_path / "p"), AS_OF, max_mb=1)
+    load(spark, tmp_path, tmp_path / "two", max_mb=1)
+    for table in ("one", "two"):
+        assert [r.flag_id for r in bronze.rows(spark, str(tmp_path / table), "fraud_flags").collect()] == ["F1"]
+        assert bronze.quarantine(spark, str(tmp_path / table), "fraud_flags").count() == 0
+    verdicts = {r.path.rsplit("/", 1)[1]: r.reason for r in landing.eligibility(landing.listing(spark, source), max_mb=1).collect()}
+    assert verdicts == {"a.csv": None, "b.txt": "Invalid file type", "c.json": None, "big.csv": "File too large"}
+
+
 def test_null_tokens_quotes_and_lineage(spark, tmp_path):
     path = put(
         tmp_path, "a.csv", line("F1", "NULL"), line("F2", "null"), line("F3", "None"),

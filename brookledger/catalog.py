@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,6 @@ from brookledger.plans import (
     rejects,
     reports,
     scd2,
-    synth,
     verify,
 )
 from brookledger.plans.rule_catalogue import (
@@ -52,9 +52,9 @@ def query(name: str) -> Callable[[Query], Query]:
 
 # ---- inputs shared by the queries -----------------------------------------
 def silver(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
-    """Silver tables as plans, each read once by whoever uses them."""
+    """Silver tables over all deliveries, as plans read once by whoever uses them."""
     sample = SampleBronze(spark, sf_dir)
-    return {e: to_silver(sample.first(e), e, AS_OF) for e in entities or ENTITIES}
+    return {e: to_silver(sample.both(e), e, AS_OF) for e in entities or ENTITIES}
 
 
 def stored_silver(spark: SparkSession, sf_dir: str, *entities: str) -> dict[str, DataFrame]:
@@ -191,12 +191,12 @@ def bronze_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bronze_sample_customers")
 def bronze_sample_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verify.sample(SampleBronze(spark, sf_dir).first("customers"), "customer_id")
+    return verify.sample(SampleBronze(spark, sf_dir).both("customers"), "customer_id")
 
 
 @query("bronze_sample_transactions")
 def bronze_sample_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return verify.sample(SampleBronze(spark, sf_dir).first("transactions"), "transaction_id")
+    return verify.sample(SampleBronze(spark, sf_dir).both("transactions"), "transaction_id")
 
 
 @query("silver_row_counts")
@@ -227,18 +227,26 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- customer history -----------------------------------------------------
 def _first_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = stored_silver(spark, sf_dir, "customers")
-    return scd2.bootstrap(gold.dim_customers(stored["customers"], AS_OF), AS_OF)
+    """The dimension after the first delivery, which the history starts from."""
+    first = to_silver(SampleBronze(spark, sf_dir).first("customers"), "customers", AS_OF)
+    return scd2.bootstrap(gold.dim_customers(stage(first, "silver-customers"), AS_OF), AS_OF)
 
 
 def _second_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver after the second delivery, over all of Bronze."""
-    return to_silver(SampleBronze(spark, sf_dir).both("customers"), "customers", AS_OF)
+    return silver(spark, sf_dir, "customers")["customers"]
 
 
-def _history(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, scd2.HistoryRun]:
+def _history(
+    spark: SparkSession, sf_dir: str, as_of: dt.datetime = AS_OF
+) -> tuple[DataFrame, scd2.HistoryRun]:
     first = stage(_first_dimension(spark, sf_dir), "dim-customers")
-    return first, scd2.apply_history(first, _second_silver(spark, sf_dir), AS_OF)
+    return first, scd2.apply_history(first, _second_silver(spark, sf_dir), as_of)
+
+
+#: A day of the second delivery that lies inside the dates of the facts, and days on both sides of it.
+MIDDLE = dt.datetime(2025, 6, 30)
+DAYS_AROUND = [dt.date(2024, 2, 15), dt.date(2025, 6, 29), dt.date(2025, 6, 30), dt.date(2026, 1, 1)]
 
 
 @query("scd2_bootstrap")
@@ -296,13 +304,16 @@ def scd2_history_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("scd2_as_of")
 def scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scd2.state_on(scd2_dim_customers(spark, sf_dir), dt.date(2025, 6, 30))
+    """The state on days before and after the second versions begin."""
+    dim = stage(_history(spark, sf_dir, MIDDLE)[1].dimension, "dim-customers")
+    days = [scd2.state_on(dim, day).select(F.lit(day).alias("as_of_day"), "*") for day in DAYS_AROUND]
+    return reduce(DataFrame.unionByName, days)
 
 
 @query("scd2_as_of_transactions")
 def scd2_as_of_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Valid transactions by the status their customer had on the day."""
-    dim = stage(scd2_dim_customers(spark, sf_dir), "dim-customers")
+    dim = stage(_history(spark, sf_dir, MIDDLE)[1].dimension, "dim-customers")
     facts = gold.valid_rows(silver(spark, sf_dir, "transactions")["transactions"]).select(
         "transaction_id", "customer_id", "amount", "transaction_date"
     )
@@ -337,7 +348,7 @@ def report_review_sla(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- data quality ---------------------------------------------------------
 def _raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     sample = SampleBronze(spark, sf_dir)
-    return {f"raw_{e}": sample.first(e) for e in ENTITIES}
+    return {f"raw_{e}": sample.both(e) for e in ENTITIES}
 
 
 def _silver_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -411,8 +422,13 @@ def dq_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("coded_rejects")
 def coded_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {**_raw_tables(spark, sf_dir), **_silver_tables(spark, sf_dir)}
-    return quality.coded_rejects(tables, BRONZE_RULES + SILVER_RULES, AS_OF)
+    """Rows that break a rule, later copies of a key, and balances that do not add up."""
+    raw, stored = _raw_tables(spark, sf_dir), _silver_tables(spark, sf_dir)
+    by_rule = quality.coded_rejects({**raw, **stored}, BRONZE_RULES + SILVER_RULES, AS_OF)
+    copies = rejects.all_duplicates({e: raw[f"raw_{e}"] for e in ENTITIES}, AS_OF)
+    return by_rule.unionByName(quality.coded_duplicates(copies, SILVER_RULES)).unionByName(
+        quality.coded_breaks(_breaks(stored["silver_transactions"]), "silver_transactions", AS_OF)
+    )
 
 
 @query("ri_orphans")
@@ -424,7 +440,7 @@ def ri_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _contract_query(entity: str) -> None:
     @query(f"contract_{entity}")
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return contracts.verdicts(SampleBronze(spark, sf_dir).first(entity), entity, AS_OF)
+        return contracts.verdicts(SampleBronze(spark, sf_dir).both(entity), entity, AS_OF)
 
 
 for _entity in ENTITIES:
@@ -434,8 +450,8 @@ for _entity in ENTITIES:
 @query("mask_account_numbers")
 def mask_account_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Masked numbers stay; plain ones (here the digits of the id) get masked."""
-    raw = SampleBronze(spark, sf_dir).first("accounts")
-    number = F.when(F.col("account_type") == "checking", F.substring("account_id", 4, 10))
+    raw = SampleBronze(spark, sf_dir).both("accounts")
+    number = F.when(F.upper("account_type") == "CHECKING", F.substring("account_id", 4, 10))
     mixed = raw.withColumn("account_number", F.coalesce(number, "account_number"))
     return contracts.masked_accounts(mixed)
 
@@ -609,49 +625,20 @@ def required_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables_present(spark, database, wanted)
 
 
-# ---- generated sample data ------------------------------------------------
-def _generated(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """One generated customer per sample customer, and what hangs on it."""
-    ids = SampleBronze(spark, sf_dir).numbers("customer", "c_custkey")
-    people = synth.customers(ids, AS_OF)
-    held = synth.accounts(people, AS_OF)
-    moved = synth.transactions(held, AS_OF)
-    return {
-        "customers": people,
-        "accounts": held,
-        "transactions": moved,
-        "fraud_flags": synth.fraud_flags(moved, AS_OF),
-    }
-
-
-def _generator_query(entity: str) -> None:
-    @query(f"generate_{entity}")
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _generated(spark, sf_dir)[entity]
-
-
-for _entity in ENTITIES:
-    _generator_query(_entity)
+# ---- ledger ---------------------------------------------------------------
+def _breaks(transactions: DataFrame) -> DataFrame:
+    """Valid movements whose balance does not follow from the one before, by month."""
+    return ledger.balance_breaks(
+        gold.valid_rows(transactions).withColumn("page", F.date_format("transaction_date", "yyyyMM")),
+        account="account_id", order=["transaction_date", "transaction_id"],
+        amount="amount", balance="balance_after", chunk="page",
+    )
 
 
 @query("balance_breaks")
 def balance_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated movements, some with a wrong balance written over the right one."""
-    moved = _generated(spark, sf_dir)["transactions"].select(
-        "account_id", "transaction_id", "seq", "amount", "balance_after"
-    )
-    wrong = (F.col("seq") == 4) & F.col("account_id").endswith("7-CH")
-    damaged = moved.withColumn(
-        "balance_after",
-        F.when(wrong, F.col("balance_after") + 1)
-        .otherwise(F.col("balance_after"))
-        .cast("decimal(18,2)"),
-    )
-    return ledger.balance_breaks(
-        damaged.withColumn("page", F.floor(F.col("seq") / 8)),
-        account="account_id", order=["seq"], amount="amount", balance="balance_after",
-        chunk="page",
-    ).select(
+    stored = stored_silver(spark, sf_dir, "transactions")
+    return _breaks(stored["transactions"]).select(
         "account_id", "transaction_id", "amount", "balance_after",
         F.col("expected_balance").cast("decimal(18,2)").alias("expected_balance"),
         "reason_code",

@@ -161,33 +161,3 @@ ESCALATION = {
     "MEDIUM": ("4 hours", "Data engineer"),
     "LOW": ("Next business day", "Logged only"),
 }
-
-# ---- sample generator: value lists, ranges and weights --------------------
-SAMPLE_CHANNELS = CHANNELS
-SAMPLE_CUSTOMER_STATUS = [("ACTIVE", 85), ("INACTIVE", 10), ("SUSPENDED", 5)]
-SAMPLE_TRANSACTION_TYPE = [
-    ("DEPOSIT", 25), ("WITHDRAWAL", 35), ("TRANSFER", 20), ("PAYMENT", 15),
-    ("FEE", 5),
-]
-SAMPLE_TRANSACTION_STATUS = [
-    ("COMPLETED", 88), ("PENDING", 7), ("FAILED", 3), ("REVERSED", 2),
-]
-SAMPLE_SEVERITY = [("LOW", 40), ("MEDIUM", 35), ("HIGH", 20), ("CRITICAL", 5)]
-SAMPLE_BALANCE_RANGE = {
-    "CHECKING": (500, 50000),
-    "SAVINGS": (1000, 200000),
-    "LOAN": (-50000, -1000),
-    "CREDIT": (-5000, 0),
-}
-SAMPLE_RATE_RANGE = {
-    "CHECKING": ("0.01", "0.01"),
-    "SAVINGS": ("0.03", "0.05"),
-    "LOAN": ("0.04", "0.12"),
-    "CREDIT": ("0.15", "0.29"),
-}
-SAMPLE_SCORE_RANGE = {
-    "LOW": ("0.3", "0.5"),
-    "MEDIUM": ("0.5", "0.7"),
-    "HIGH": ("0.7", "0.9"),
-    "CRITICAL": ("0.9", "1.0"),
-}

@@ -275,6 +275,29 @@ def _further_copies(table: DataFrame, key: str, rules: Sequence[Rule]) -> list[D
     ]
 
 
+def coded_duplicates(copies: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Later copies of a key in Bronze, under the rule that wants the key unique.
+
+    ``copies`` are the rows of ``rejects.all_duplicates``; a missing key is no copy.
+    """
+    frames = []
+    for rule in (r for r in rules if r.action == REJECT_REPEATS):
+        entity = next(e for e in ENTITIES if rule.table.endswith(e))
+        own = copies.filter((F.col("entity") == entity) & F.col("business_id").isNotNull())
+        verdict = _verdict(rule).withField("source_table", F.lower("source_table"))
+        frames.append(own.select("business_id", "batch_id", F.inline(F.array(verdict)), "rejected_at"))
+    return reduce(DataFrame.unionByName, frames)
+
+
+def coded_breaks(breaks: DataFrame, table: str, as_of: dt.datetime) -> DataFrame:
+    """Entries of a ledger whose balance does not add up."""
+    return breaks.select(
+        F.col("transaction_id").alias("business_id"), F.col("_batch_id").alias("batch_id"),
+        F.lit(None).cast("string").alias("rule_id"), F.lit(table).alias("source_table"),
+        "reason_code", F.lit("HIGH").alias("severity"), moment(as_of).alias("rejected_at"),
+    )
+
+
 def _any_order(table: DataFrame, key: str) -> str:
     return ", ".join(c for c in table.columns if c != key)
 

@@ -6,8 +6,14 @@ import pytest
 from conftest import AS_OF
 from pyspark.sql import functions as F
 
+from brookledger.catalog import QUERIES
+from brookledger.fixed_values import BUSINESS_KEY, ENTITIES
+from brookledger.operators.dedup import latest_per_key
 from brookledger.operators.ledger import balance_breaks
-from brookledger.plans import synth
+from brookledger.plans import contracts
+from brookledger.sources.sample_tables import SampleBronze
+
+SF_DIR = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("chunk_size", [1, 3, 7, 1000])
@@ -31,64 +37,37 @@ def test_breaks_match_brute_force_with_one_hot_account(spark, chunk_size):
     assert {(r.account, r.seq) for r in breaks.collect()} == expected
 
 
-@pytest.fixture(scope="module")
-def sample(spark):
-    people = synth.customers(spark.range(3000).withColumnRenamed("id", "n"), AS_OF)
-    held = synth.accounts(people, AS_OF)
-    moved = synth.transactions(held, AS_OF)
-    return people, held, moved, synth.fraud_flags(moved, AS_OF)
-
-
-def test_customers(sample):
-    people = sample[0]
-    row = people.agg(
-        F.count_distinct("customer_id").alias("ids"), F.min("credit_score").alias("lo"),
-        F.max("credit_score").alias("hi"), F.min("date_of_birth").alias("born"),
-        F.avg((F.col("status") == "ACTIVE").cast("double")).alias("active"),
-    ).first()
-    assert row.ids == 3000 and 580 <= row.lo and row.hi <= 850 and row.born.year >= 1950
-    assert 0.82 < row.active < 0.88
-
-
-def test_accounts(sample):
-    people, held = sample[:2]
-    per = held.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("account_type").alias("types")
-    )
-    assert per.count() == 3000
-    assert {r.n for r in per.select("n").distinct().collect()} == {1, 2, 3}
-    assert per.filter("n <> types").count() == 0
-    assert held.filter(
-        "(account_type = 'LOAN' and balance not between -50000 and -1000) or "
-        "(account_type = 'CREDIT' and interest_rate not between 0.15 and 0.29)"
-    ).count() == 0
-    status = held.join(people.select("customer_id", F.col("status").alias("owner")), "customer_id")
-    assert status.filter("(status = 'ACTIVE') <> (owner = 'ACTIVE')").count() == 0
-
-
-def test_transactions(sample):
-    held, moved = sample[1:3]
-    per = moved.groupBy("account_id").count()
-    row = per.agg(F.min("count").alias("lo"), F.max("count").alias("hi")).first()
-    assert (row.lo, row.hi) == (5, 20)
-    live = held.filter("account_type in ('CHECKING', 'SAVINGS') and status = 'ACTIVE'")
-    assert per.count() == live.count()
-    assert moved.filter("(transaction_type = 'DEPOSIT') <> (amount > 0)").count() == 0
-    assert balance_breaks(
-        moved.withColumn("page", F.lit(0)), account="account_id", order=["seq"],
-        amount="amount", balance="balance_after", chunk="page",
-    ).count() == 0
-
-
-def test_fraud_flags(sample):
-    moved, flags = sample[2:]
-    suspicious = moved.filter("abs(amount) > 1000 or status = 'FAILED'").count()
-    assert 0.12 < flags.count() / suspicious < 0.18
-    assert flags.filter("fraud_score not between 0.3 and 1.0").count() == 0
-
-
-def test_same_rows_whatever_the_partitions(spark, sample):
-    again = synth.customers(
-        spark.range(3000, numPartitions=3).repartition(5).withColumnRenamed("id", "n"), AS_OF
-    )
-    assert again.exceptAll(sample[0]).count() == 0
+@pytest.mark.parametrize("entity", ENTITIES)
+def test_deliveries_hold_changes_repeats_ties_and_missing_keys(spark, entity):
+    sample, key = SampleBronze(spark, SF_DIR), BUSINESS_KEY[entity]
+    both = sample.both(entity)
+    latest = latest_per_key(both, entity)
+    assert sample.following(entity).count() > 0 and latest.count() < both.count()
+    assert both.filter(F.col(key).isNull()).count() > 1
+    ties = both.groupBy(key, "_batch_id").count().filter(f"{key} is not null and count > 1")
+    assert ties.count() > 0
+    assert sample.following(entity).join(sample.first(entity).select(key), key, "left_anti").count() > 0
+
+
+@pytest.mark.parametrize("entity", ENTITIES)
+def test_most_rows_meet_their_contract_and_each_rule_is_broken(spark, entity):
+    rows = contracts.verdicts(SampleBronze(spark, SF_DIR).both(entity), entity, AS_OF)
+    valid = rows.filter("is_valid").count()
+    assert 2 * valid > rows.count()
+    broken = {v for r in rows.select("violations").distinct().collect() for v in r.violations.split(",")}
+    never = {"address_line1", "address_line2", "zip_code", "city", "phone", "created_at", "updated_at"} if entity == "customers" else set()
+    assert {name for name, _ in contracts._CONTRACTS[entity]()} - broken <= never
+
+
+def test_coded_rejects_hold_all_reason_codes(spark):
+    codes = {r.reason_code for r in QUERIES["coded_rejects"](spark, SF_DIR).select("reason_code").distinct().collect()}
+    assert codes == {
+        "NULL_PK", "DUPLICATE_KEY", "REFERENTIAL_INTEGRITY", "INVALID_FORMAT", "INVALID_DOMAIN",
+        "INVALID_DATE", "OUT_OF_RANGE", "ZERO_AMOUNT", "ARITHMETIC_FAILURE"}
+
+
+def test_versions_before_and_after_the_second_delivery(spark):
+    rows = QUERIES["scd2_as_of"](spark, SF_DIR)
+    versions = {(str(r.as_of_day), r.is_current) for r in rows.select("as_of_day", "is_current").distinct().collect()}
+    assert ("2025-06-29", False) in versions and ("2025-06-30", True) in versions
+    assert rows.filter("as_of_day = date'2025-06-30' and effective_from = date'2025-06-30'").count() > 0

@@ -17,7 +17,7 @@ def oracle(name: str, sql: str, extra: dict[str, str] | None = None) -> None:
 for _e in ENTITIES:
     oracle(f"silver_{_e}", f"select * from silver_{_e}")
     oracle(f"rejects_{_e}", f"select * from rejects_{_e}")
-oracle("silver_customers_rolled_forward", "select * from silver2_customers")
+oracle("silver_customers_rolled_forward", "select * from silver_customers")
 oracle("reject_records", "select * from reject_records")
 oracle(
     "reject_summary",
@@ -64,11 +64,11 @@ oracle(
 )
 oracle(
     "bronze_sample_customers",
-    "select * from raw_customers order by customer_id nulls last limit 5",
+    "select * from both_customers order by customer_id nulls last limit 5",
 )
 oracle(
     "bronze_sample_transactions",
-    "select * from raw_transactions order by transaction_id nulls last limit 5",
+    "select * from both_transactions order by transaction_id nulls last limit 5",
 )
 _SILVER = {f"SILVER_{e.upper()}": f"silver_{e}" for e in ENTITIES}
 oracle("silver_row_counts", _counts(_SILVER))
@@ -139,15 +139,17 @@ oracle(
 )
 oracle(
     "scd2_as_of",
-    """select * from history
-       where date '2025-06-30' between effective_from and effective_to""",
+    """select as_of_day, h.* from history_middle h
+       join (select unnest([date '2024-02-15', date '2025-06-29', date '2025-06-30',
+                            date '2026-01-01']) as as_of_day)
+         on as_of_day between effective_from and effective_to""",
 )
 oracle(
     "scd2_as_of_transactions",
     """select h.status as customer_status, count(*) as transactions,
            cast(sum(t.amount) as decimal(28,2)) as total_amount
        from silver_transactions t
-       left join history h on h.customer_id = t.customer_id
+       left join history_middle h on h.customer_id = t.customer_id
          and cast(t.transaction_date as date) between h.effective_from and h.effective_to
        where t.dq_is_valid group by 1""",
 )

@@ -11,7 +11,6 @@ import re
 from brookledger.fixed_values import (
     BUSINESS_KEY,
     ENTITIES,
-    REQUIRED_IN_SILVER,
     SOURCE_COLUMNS,
 )
 from brookledger.sources.sample_tables import next_batch_sql, raw_sql
@@ -41,6 +40,12 @@ def word(expression: str) -> str:
     return f"upper(trim({expression})[1]) || lower(trim({expression})[2:])"
 
 
+def words(expression: str) -> str:
+    """Capitalise each of several words, blanks between them kept."""
+    split = f"string_split(lower(trim({expression})), ' ')"
+    return f"array_to_string(list_transform({split}, lambda w: upper(w[1]) || w[2:]), ' ')"
+
+
 def yyyymmdd(expression: str) -> str:
     return f"cast(strftime({expression}, '%Y%m%d') as integer)"
 
@@ -77,8 +82,29 @@ def _latest(entity: str, source: str) -> str:
     )
 
 
+_REQUIRED = {
+    "customers": [
+        ("customer_id", "Missing customer_id"), ("email", "Missing or invalid email"),
+        ("date_of_birth", "Missing or invalid date_of_birth"), ("status", "Missing status"),
+    ],
+    "accounts": [
+        ("account_id", "Missing account_id"), ("customer_id", "Missing customer_id"),
+        ("account_type", "Missing account_type"),
+    ],
+    "transactions": [
+        ("transaction_id", "Missing transaction_id"), ("account_id", "Missing account_id"),
+        ("amount", "Missing or invalid amount"),
+        ("transaction_date", "Missing or invalid transaction_date"),
+    ],
+    "fraud_flags": [
+        ("flag_id", "Missing flag_id"), ("transaction_id", "Missing transaction_id"),
+        ("fraud_score", "Missing or invalid fraud_score"),
+    ],
+}
+
+
 def _verdict(entity: str) -> str:
-    rules = REQUIRED_IN_SILVER[entity]
+    rules = _REQUIRED[entity]
     valid = " and ".join(f"{c} is not null" for c, _ in rules)
     issue = " ".join(f"when {c} is null then '{m}'" for c, m in rules)
     return f"({valid}) as dq_is_valid, case {issue} end as dq_issues"
@@ -131,7 +157,7 @@ _CLEAN = {
             upper(trim(currency)) as currency,
             try_cast(balance_after as decimal(18,2)) as balance_after,
             trim(description) as description,
-            case when merchant_name is not null then 'Whole Foods' end as merchant_name,
+            {words('merchant_name')} as merchant_name,
             upper(trim(merchant_category)) as merchant_category,
             upper(trim(channel)) as channel, upper(trim(status)) as status,
             {ts('transaction_date')} as transaction_date,
@@ -157,15 +183,12 @@ RELATIONS: dict[str, str] = {}
 
 for _e in ENTITIES:
     RELATIONS[f"raw_{_e}"] = raw_sql(_e, "duckdb")
-for _e in ("customers", "transactions"):
     RELATIONS[f"next_{_e}"] = next_batch_sql(_e, "duckdb")
     RELATIONS[f"both_{_e}"] = (
         f"select * from raw_{_e} union all by name select * from next_{_e}"
     )
-for _e in ("accounts", "fraud_flags"):
-    RELATIONS[f"both_{_e}"] = f"select * from raw_{_e}"
-for _e in ENTITIES:
-    for _silver, _raw in ((f"silver_{_e}", f"raw_{_e}"), (f"silver2_{_e}", f"both_{_e}")):
+    # Silver holds all deliveries; its state after the first one starts the history.
+    for _silver, _raw in ((f"silver_{_e}", f"both_{_e}"), (f"silver1_{_e}", f"raw_{_e}")):
         RELATIONS[_silver] = (
             f"select *, {_verdict(_e)}, {NOW} as _silver_loaded_at "
             f"from ({_CLEAN[_e]} from ({_latest(_e, _raw)}))"
@@ -201,6 +224,7 @@ RELATIONS["dim_customers"] = f"""
     select {dense('customer_key', 'customer_id')}, *, {NOW} as _gold_loaded_at
     from (select {_CUSTOMER_DIM} from silver_customers where dq_is_valid)
 """
+RELATIONS["dim_customers_first"] = RELATIONS["dim_customers"].replace("silver_customers", "silver1_customers")
 RELATIONS["dim_accounts"] = f"""
     select {dense('account_key', 'account_id')}, account_id, customer_id, account_number,
         account_type,
@@ -290,14 +314,14 @@ HASH = (
 RELATIONS["dim_first"] = f"""
     select *, date '2024-01-01' as effective_from, date '9999-12-31' as effective_to,
         true as is_current, {HASH} as record_hash
-    from dim_customers
+    from dim_customers_first
 """
 RELATIONS["history_changes"] = f"""
     select n.*, o.record_hash as old_hash, o.customer_key as existing_key,
         case when o.customer_id is null then 'NEW'
              when o.record_hash <> n.new_hash then 'CHANGED'
              else 'UNCHANGED' end as change_type
-    from (select {_CUSTOMER_DIM}, {HASH} as new_hash from silver2_customers
+    from (select {_CUSTOMER_DIM}, {HASH} as new_hash from silver_customers
           where dq_is_valid) n
     left join dim_first o on o.customer_id = n.customer_id and o.is_current
 """
@@ -328,6 +352,26 @@ RELATIONS["history_counts"] = """
     from history_changes
 """
 
+# A run of the history inside the dates of the facts.
+_MIDDLE = "date '2025-06-30'"
+for _name in ("history_expired", "history_inserted", "history"):
+    RELATIONS[f"{_name}_middle"] = (
+        RELATIONS[_name].replace(TODAY, _MIDDLE).replace(NOW, "timestamp '2025-06-30 00:00:00'")
+        .replace("history_expired", "history_expired_middle")
+        .replace("history_inserted", "history_inserted_middle")
+    )
+
+# ---- ledger -----------------------------------------------------------------
+RELATIONS["balance_breaks"] = """
+    select * from (
+        select account_id, transaction_id, amount, balance_after, _batch_id,
+            cast(lag(balance_after) over (partition by account_id
+                order by transaction_date, transaction_id) + amount as decimal(18,2))
+                as expected_balance
+        from silver_transactions where dq_is_valid)
+    where balance_after <> expected_balance
+"""
+
 _NAME = re.compile(r"\b[a-z][a-z0-9_]*\b")
 
 

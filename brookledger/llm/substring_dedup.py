@@ -28,10 +28,13 @@ def _owners(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _entries(words: Texts, at: np.ndarray, owner: np.ndarray, length: int, part: pa.RecordBatch, whole: bool) -> grams.Entries:
-    """Entries of runs of words; ``whole`` hashes decide, others (of 64 bits) only call for a closer look."""
+    """Entries of runs of words; ``whole`` hashes (of 96 bits) decide, others only call for a closer look."""
     ids, ties = _owners(part)
     h1 = _FIRST.runs(_FIRST.words(words.text, words.starts, words.lengths), at, length)
-    h2 = _SECOND.runs(_SECOND.words(words.text, words.starts, words.lengths), at, length) if whole else np.zeros(len(at), np.uint64)
+    if whole:
+        h2 = _SECOND.runs(_SECOND.words(words.text, words.starts, words.lengths), at, length) & grams.HALF
+    else:
+        h1, h2 = h1 & grams.SHORT, np.zeros(len(at), np.uint64)
     return {
         "h1": h1, "h2": h2, "owner": ids[owner], "tie": ties[owner],
         "place": (at - words.first[:-1][owner]).astype(np.int32), "extra": np.zeros(len(at), np.int32),
@@ -73,13 +76,13 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
        distance from their starts, so a window without a repeated anchor is new.
        Anchors meet by hash; those that occur once are forgotten.
     2. Extension: around the repeated anchors of a document all windows that
-       hold one are hashed whole (128 bits), and those that are not the first of
+       hold one are hashed whole (96 bits), and those that are not the first of
        their hash are marked.
     3. Each document drops the words that marked windows cover.
 
     All exchanges are by hash, with one entry of a hash from each slice of text,
-    so no group grows with the number of copies. The text itself moves once, to
-    the documents' own places, which both joins use.
+    so no group grows with the number of copies. The text itself moves once: both
+    joins read the same columns of it, so they share one exchange.
     """
     spark = docs.sparkSession
     small_batches(spark)
@@ -154,7 +157,8 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     names = ["owner", "tie", "place"]
     sent = rows.select("owner", "tie", "text").mapInArrow(anchors, grams.ROW)
     repeated = grams.meet(sent, lambda e, first, company: company | (e["extra"] > 0), names, entry)
-    near = rows.join(_list_places(repeated), ["owner", "tie"]).select("owner", "tie", "text", "places")
+    # The same columns as in the last join, which then reuses this exchange of the texts.
+    near = rows.join(_list_places(repeated), ["owner", "tie"]).select("doc_id", "owner", "tie", "text", "places")
     marked = grams.meet(near.mapInArrow(windows, grams.ROW), _later, names, entry)
     placed = rows.join(_list_places(marked), ["owner", "tie"], "left")
     return placed.select("doc_id", "text", "places").mapInArrow(drop, "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import functools
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +19,42 @@ DROPOUT = 0.1
 DRAWS = 4
 #: Fixed value: how the vocabulary writes a blank.
 BLANK = "▁"
-_M64 = (1 << 64) - 1
+
+
+class PairTable:
+    """A number for each of many pairs of numbers: hash tables, each for what the ones before cannot hold."""
+
+    BITS, TABLES = 20, 6
+
+    def __init__(self, pairs: np.ndarray, values: np.ndarray):
+        keys = (pairs[:, 0] << 32) | pairs[:, 1]
+        self.keys, self.values, self.odd = [], [], []
+        for k in range(self.TABLES):
+            odd = np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x1000003D)
+            table, value = np.full(1 << self.BITS, -1, np.int64), np.full(1 << self.BITS, -1, np.int64)
+            at = self._place(keys, odd)
+            table[at], value[at] = keys, values
+            self.keys.append(table)
+            self.values.append(value)
+            self.odd.append(odd)
+            left = table[at] != keys
+            keys, values = keys[left], values[left]
+            if not len(keys):
+                return
+        raise ValueError("too many merges for the tables")
+
+    def _place(self, keys: np.ndarray, odd: np.uint64) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.view(np.uint64) * odd) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The numbers of pairs, -1 for a pair that is not there."""
+        keys = (left.astype(np.int64) << 32) | right
+        out = np.full(len(keys), -1, np.int64)
+        for table, value, odd in zip(self.keys, self.values, self.odd):
+            at = self._place(keys, odd)
+            out = np.where(table[at] == keys, value[at], out)
+        return out
 
 
 class Pieces:
@@ -30,86 +64,140 @@ class Pieces:
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        self.ids: dict[str, int] = {}
-        self.score: list[float] = []
+        ids: dict[str, int] = {}
+        score: list[float] = []
         self.byte = [0] * 256
         content: list[bytes] = []
         for k in range(model.get_piece_size()):
             piece = model.id_to_piece(k)
-            self.score.append(model.get_score(k))
+            score.append(model.get_score(k))
             if model.is_byte(k):
                 self.byte[int(piece[3:5], 16)] = k
                 content.append(bytes([int(piece[3:5], 16)]))
             elif model.is_control(k) or model.is_unknown(k):
                 content.append(b"")
             else:
-                self.ids[piece] = k
+                ids[piece] = k
                 content.append(piece.replace(BLANK, " ").encode())
-        if any(BLANK in p.lstrip(BLANK) for p in self.ids):
+        if any(BLANK in p.lstrip(BLANK) for p in ids):
             raise ValueError("a piece reaches across words: words cannot be encoded one by one")
-        merged = {c for p in self.ids if len(p) > 1 for c in p}
+        merged = {c for p in ids if len(p) > 1 for c in p}
         #: Control characters that no merge takes in.
         self.cuts = byte_table(k for k in range(0x20) if chr(k) not in merged)
         self.lengths = np.array([len(c) for c in content], np.int64)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(content), np.uint8)
-        self.cache = WordCache(500_000)
+        #: The piece of each character; -1 where it has none, and for the character that stands for a blank.
+        self.piece_of = np.full(0x110000, -1, np.int64)
+        for piece, k in ids.items():
+            if len(piece) == 1 and piece != BLANK:
+                self.piece_of[ord(piece)] = k
+        self.piece_of[0x20] = ids[BLANK]
+        pairs = {(ids[p[:n]], ids[p[n:]]): k for p, k in ids.items() for n in range(1, len(p)) if p[:n] in ids and p[n:] in ids}
+        self.merges = PairTable(np.array(list(pairs), np.int64).reshape(-1, 2), np.array(list(pairs.values()), np.int64))
+        self.score = np.array(score, np.float32)
+        self.cache = WordCache()
         self.hasher = Hasher(55)
 
-    def segment(self, word: str, key: int, dropout: float) -> list[int]:
-        """Ids of a word whose blanks are plain spaces.
+    def _candidates(self, left, right, start, end, key, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """(score, merged piece) of neighbouring symbols; minus infinity where they do not merge or are skipped.
+
+        A candidate is skipped when the hash of the word's key and its two ends says so.
+        """
+        piece = self.merges.get(left, right)
+        score = np.where(piece >= 0, self.score[piece], -np.inf).astype(np.float32)
+        if dropout:
+            with np.errstate(over="ignore"):
+                h = mix(key ^ (start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + end.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
+            score[(h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout] = -np.inf
+        return score, piece
+
+    def _merge(self, symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces of all words one after the other, number of each), from rows of padded symbols.
+
+        Each row has an agenda of candidates. In each round every word with a
+        candidate left takes its best one, the leftmost of equal scores, and the
+        merged symbol proposes itself to its two neighbours.
+        """
+        n, width = symbols.shape
+        at = np.arange(width)
+        end = np.broadcast_to(at + 1, (n, width)).copy()
+        before = np.broadcast_to(at - 1, (n, width)).copy()
+        alive = at < sizes[:, None]
+        symbols = np.where(alive, symbols, -1)
+        score, piece = np.full((n, width), -np.inf, np.float32), np.full((n, width), -1, np.int64)
+        row, left = np.nonzero((symbols >= 0) & (at + 1 < sizes[:, None]))
+        right_ok = symbols[row, left + 1] >= 0
+        row, left = row[right_ok], left[right_ok]
+
+        def propose(row: np.ndarray, left: np.ndarray) -> None:
+            right = end[row, left]
+            good = (symbols[row, left] >= 0) & (symbols[row, right] >= 0)
+            score[row[~good], left[~good]] = -np.inf
+            row, left, right = row[good], left[good], right[good]
+            score[row, left], piece[row, left] = self._candidates(
+                symbols[row, left], symbols[row, right], left, end[row, right], keys[row], dropout)
+
+        propose(row, left)
+        rows = np.arange(n)
+        while len(rows):
+            best = score[rows].argmax(axis=1)
+            going = score[rows, best] > -np.inf
+            rows, left = rows[going], best[going]
+            right = end[rows, left]
+            symbols[rows, left] = piece[rows, left]
+            end[rows, left] = end[rows, right]
+            alive[rows, right] = False
+            score[rows, right] = score[rows, left] = -np.inf
+            follows = end[rows, left] < sizes[rows]
+            before[rows[follows], end[rows, left][follows]] = left[follows]
+            propose(rows[follows], left[follows])
+            led = left > 0
+            propose(rows[led], before[rows[led], left[led]])
+        return symbols[alive], alive.sum(axis=1)
+
+    def segments(self, words: list[bytes], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, number of each). Blanks in words are plain spaces.
 
-        An agenda holds the candidate merges of neighbours, best score first,
-        then leftmost. A candidate that is taken out is skipped when the keyed
-        hash of its ends says so; it comes back only as part of a new neighbour.
         Characters without a piece become bytes; so does the character that
         stands for a blank, so that it is not mistaken for one.
         """
-        symbols: list[str | None] = []
-        for c in word:
-            symbols.append(BLANK if c == " " else c)
-        n = len(symbols)
-        plain = [c != BLANK for c in word]
-        ids, score = self.ids, self.score
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        agenda: list[tuple[float, int, int, str]] = []
-        limit = int(dropout * 2.0**32)
-
-        def propose(left: int, right: int) -> None:
-            if plain[left] and plain[right]:
-                piece = symbols[left] + symbols[right]
-                k = ids.get(piece)
-                if k is not None:
-                    heapq.heappush(agenda, (-score[k], left, right, piece))
-
-        for k in range(n - 1):
-            propose(k, k + 1)
-        while agenda:
-            _, left, right, piece = heapq.heappop(agenda)
-            if symbols[left] is None or symbols[right] is None or after[left] != right or len(symbols[left]) + len(symbols[right]) != len(piece):
-                continue  # one of the two has been merged with another meanwhile
-            if limit:
-                h = (key ^ (left * 0x9E3779B97F4A7C15 + (left + len(piece)) * 0xD1B54A32D192ED03)) & _M64
-                h = ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9) & _M64
-                if (h >> 32) < limit:
-                    continue
-            symbols[left], symbols[right] = piece, None
-            after[left] = after[right]
-            if after[right] < n:
-                before[after[right]] = left
-                propose(left, after[right])
-            if before[left] >= 0:
-                propose(before[left], left)
-        out: list[int] = []
-        for symbol, ok in zip(symbols, plain):
-            if symbol is None:
-                continue
-            k = ids.get(symbol) if ok else None
-            if k is None:
-                out += [self.byte[b] for b in symbol.encode()]
-            else:
-                out.append(k)
-        return out
+        points = np.frombuffer(b"".join(words).decode().encode("utf-32-le"), np.uint32)
+        sizes = np.array([len(w.decode()) for w in words], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        symbols = self.piece_of[points]
+        lengths, parts = np.zeros(len(words), np.int64), []
+        # Words of like length together, so that little is padded.
+        widths = 1 << np.ceil(np.log2(np.maximum(sizes, 4))).astype(np.int64)
+        for width in np.unique(widths).tolist():
+            rows_at_once = max(1, 1_000_000 // width)
+            members = np.flatnonzero(widths == width)
+            for low in range(0, len(members), rows_at_once):
+                own = members[low : low + rows_at_once]
+                inside = np.arange(width) < sizes[own, None]
+                padded = np.full((len(own), width), -1, np.int64)
+                padded[inside] = symbols[ragged(starts[own], sizes[own])]
+                codes = np.zeros((len(own), width), np.int64)
+                codes[inside] = points[ragged(starts[own], sizes[own])]
+                # A character without a piece keeps its code, as a negative number.
+                merged, count = self._merge(np.where(padded < 0, -2 - codes, padded), sizes[own], keys[own], dropout)
+                unknown = np.flatnonzero(merged < 0)
+                if len(unknown):
+                    spelled = [[self.byte[x] for x in chr(-2 - c).encode()] for c in merged[unknown].tolist()]
+                    extra = np.array([len(x) for x in spelled])
+                    word = np.repeat(np.arange(len(own)), count)
+                    repeats = np.ones(len(merged), np.int64)
+                    repeats[unknown] = extra
+                    merged = np.repeat(merged, repeats)
+                    merged[merged < 0] = [x for b in spelled for x in b]
+                    count = np.bincount(word, repeats, len(own)).astype(np.int64)
+                lengths[own] = count
+                parts.append((own, merged))
+        out = np.zeros(int(lengths.sum()), np.uint32)
+        places = np.cumsum(lengths) - lengths
+        for own, merged in parts:
+            out[ragged(places[own], lengths[own])] = merged
+        return out, lengths
 
     def encode(self, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float, draws: int) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text).
@@ -137,12 +225,12 @@ class Pieces:
         with np.errstate(over="ignore"):
             drawn = mix(self.hasher.words(text, starts, lengths) + leads * np.uint64(0x5851F42D4C957F2D)) ^ mix(salt + np.uint64(seed << 8))
 
-        def encode(which: np.ndarray) -> list[list[int]]:
-            out = []
-            for s, n, lead, key in zip(starts[which].tolist(), lengths[which].tolist(), leads[which].tolist(), drawn[which].tolist()):
-                word = text[s : s + n].tobytes().decode()
-                out.append(self.segment(" " + word if lead else word, key, dropout))
-            return out
+        def encode(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            raw, ends = text.tobytes(), starts[which] + lengths[which]
+            words = [raw[s:e] for s, e in zip(starts[which].tolist(), ends.tolist())]
+            for k in np.flatnonzero(leads[which]).tolist():
+                words[k] = b" " + words[k]
+            return self.segments(words, drawn[which], dropout)
 
         ids, sizes = self.cache.ids(drawn, encode)
         ends = np.concatenate([[0], np.cumsum(sizes)])[first]

@@ -14,45 +14,59 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - lengths), lengths)
 
 
-class WordCache:
-    """Maps a word's key to its ids. It forgets all when it holds ``limit`` words: results do not change."""
+class _Words:
+    """Ids of words, in one array; a word's key leads to its place there."""
 
-    def __init__(self, limit: int = 600_000):
-        self.limit = limit
-        self._forget()
-
-    def _forget(self) -> None:
+    def __init__(self):
         self.slot: dict[int, int] = {}
-        self.starts = np.zeros(1024, np.int64)
-        self.lengths = np.zeros(1024, np.int64)
-        self.flat = np.zeros(8192, np.uint32)
-        self.used = 0
-
-    def _add(self, keys: list[int], ids: list[list[int]]) -> None:
-        first, lengths = len(self.slot), np.array([len(i) for i in ids], np.int64)
-        total = int(lengths.sum())
+        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.flat, self.used = np.zeros(8192, np.uint32), 0
+
+    def add(self, keys: list[int], ids: np.ndarray, lengths: np.ndarray) -> None:
+        first = len(self.slot)
         while first + len(keys) > len(self.starts):
             self.starts, self.lengths = np.resize(self.starts, 2 * len(self.starts)), np.resize(self.lengths, 2 * len(self.lengths))
-        while self.used + total > len(self.flat):
+        while self.used + len(ids) > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.slot.update(zip(keys, range(first, first + len(keys))))
         self.lengths[first : first + len(keys)] = lengths
         self.starts[first : first + len(keys)] = self.used + np.cumsum(lengths) - lengths
-        self.flat[self.used : self.used + total] = np.fromiter((x for i in ids for x in i), np.uint32, total)
-        self.used += total
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+
+    def get(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        lengths = self.lengths[slots]
+        return self.flat[ragged(self.starts[slots], lengths)], lengths
+
 
-    def ids(self, keys: np.ndarray, encode: Callable[[np.ndarray], list[list[int]]]) -> tuple[np.ndarray, np.ndarray]:
+class WordCache:
+    """Maps a word's key to its ids.
+
+    When ``limit`` words are held they become the old generation, and what it
+    held before is forgotten; words still in use move on to the new one. What is
+    remembered makes no difference to the result.
+    """
+
+    def __init__(self, limit: int = 600_000):
+        self.limit = limit
+        self.new, self.old = _Words(), _Words()
+
+    def ids(self, keys: np.ndarray, encode: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words one after the other, number of ids of each word).
 
-        ``encode`` gets indices into ``keys`` of one word for each new key.
+        ``encode`` gets indices into ``keys``, one word for each key not known,
+        and returns the same for them.
         """
         different, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
-        if len(self.slot) + len(different) > self.limit:
-            self._forget()
         names = different.tolist()
-        new = [k for k, x in enumerate(names) if x not in self.slot]
-        if new:
-            self._add([names[k] for k in new], encode(first[new]))
-        slots = np.fromiter((self.slot[x] for x in names), np.int64, len(names))[inverse]
-        lengths = self.lengths[slots]
-        return self.flat[ragged(self.starts[slots], lengths)], lengths
+        if len(self.new.slot) + len(names) > self.limit:
+            self.old, self.new = self.new, _Words()
+        missing = [k for k, x in enumerate(names) if x not in self.new.slot]
+        known = [k for k in missing if names[k] in self.old.slot]
+        if known:
+            self.new.add([names[k] for k in known], *self.old.get(np.array([self.old.slot[names[k]] for k in known])))
+            missing = [k for k in missing if names[k] not in self.new.slot]
+        if missing:
+            self.new.add([names[k] for k in missing], *encode(first[missing]))
+        slots = np.fromiter((self.new.slot[x] for x in names), np.int64, len(names))
+        return self.new.get(slots[inverse])

@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from brookledger.catalog import QUERIES
@@ -35,6 +36,7 @@ def main() -> None:
             "spark.master": f"local[{cpus}]",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": os.environ.get("BENCH_MEMORY", "12g"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="brookledger-bench-"),
             "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -142,6 +142,32 @@ def fact_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("fact_transactions_over_history")
+def fact_transactions_over_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the fact after the second delivery.
+
+    Facts and accounts of the first delivery keep their keys, and customers
+    resolve to the current version in the history dimension.
+    """
+    sample, stored = SampleBronze(spark, sf_dir), stored_silver(spark, sf_dir)
+    before = stage_all(
+        {e: to_silver(sample.first(e), e, AS_OF) for e in ("accounts", "transactions")}, "silver"
+    )
+    fact = gold.fact_transactions(
+        stored["transactions"],
+        stored["fraud_flags"],
+        gold.dim_accounts(
+            stored["accounts"], AS_OF,
+            stage(gold.dim_accounts(before["accounts"], AS_OF), "dim-accounts"),
+        ),
+        stage(_history(spark, sf_dir)[1].dimension, "dim-customers"),
+        gold.dim_date(spark, AS_OF),
+        AS_OF,
+        known=stage(gold.transaction_keys(before["transactions"]), "known-keys"),
+    )
+    return fact.select("transaction_id", "transaction_key", "account_key", "customer_key")
+
+
 @query("fact_fraud")
 def fact_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_silver(spark, sf_dir)
@@ -544,46 +570,81 @@ def bronze_forced_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _landed(spark: SparkSession, sf_dir: str, *entities: str) -> str:
+    """Each entity's first delivery, in two files."""
     sample, root = SampleBronze(spark, sf_dir), new_folder(spark, "landing")
     for entity in entities:
-        landing.land_csv(sample.first(entity), root, entity, LANDING_DAY)
+        rows = stage(sample.first(entity), "delivery").repartition(2)
+        landing.land_csv(rows, root, entity, LANDING_DAY)
     return root
 
 
+def _with_notes(spark: SparkSession, root: str, entity: str) -> str:
+    """Put a file of another type beside an entity's extracts."""
+    folder = landing.day_folder(root, entity, LANDING_DAY)
+    spark.range(1).selectExpr("'see the other files' as value").write.mode("append").text(folder)
+    return root
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 @query("landing_manifest")
 def landing_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landed(spark, sf_dir, *ENTITIES)
-    return landing.manifest(spark, root, AS_OF)
+    """Files of each entity and status, the rows they hold, and hashes that a second read does not confirm."""
+    root = _with_notes(spark, _landed(spark, sf_dir, *ENTITIES), "customers")
+    listed = stage(landing.manifest(spark, root, AS_OF), "manifest")
+    again = landing.manifest(spark, root, AS_OF).select("path", F.col("checksum_md5").alias("second_md5"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(root).groupBy(
+        F.col("_metadata.file_path").alias("path")).agg(F.count(F.lit(1)).alias("lines"))
+    whole = listed.join(again, "path").join(lines, "path", "left")
+    return whole.groupBy("entity", "status").agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum(F.when(F.col("status") == "SUCCESS", F.col("lines") - 1)).alias("data_rows"),
+        F.count_if(~F.col("checksum_md5").eqNullSafe(F.col("second_md5"))).alias("unconfirmed"),
+    )
 
 
 @query("landing_manifest_totals")
 def landing_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per entity: is every file in the manifest loaded. File counts vary by run."""
-    totals = landing.manifest_totals(landing_manifest(spark, sf_dir))
-    return totals.select(
-        "entity",
-        (F.col("total_files") > 0).alias("has_files"),
-        (F.col("successful") == F.col("total_files")).alias("all_successful"),
-        "failed",
+    root = _with_notes(spark, _landed(spark, sf_dir, *ENTITIES), "accounts")
+    listed = stage(landing.manifest(spark, root, AS_OF), "manifest")
+    sizes = landing.listing(spark, root).groupBy("entity").agg(F.sum("length").alias("listed_bytes"))
+    return landing.manifest_totals(listed).join(sizes, "entity").select(
+        "entity", "total_files", "successful", "failed",
+        (F.col("total_bytes") == F.col("listed_bytes")).alias("bytes_agree"),
     )
 
 
 @query("landing_eligibility")
 def landing_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _landed(spark, sf_dir, "customers", "accounts")
-    files = landing.eligibility(landing.listing(spark, root))
-    return files.select("entity", "is_valid", "reason").distinct()
+    """Files of each entity by verdict: whole extracts exceed the small limit, one row does not."""
+    root = _with_notes(spark, _landed(spark, sf_dir, "customers"), "customers")
+    one = stage(SampleBronze(spark, sf_dir).first("accounts").orderBy("account_id").limit(1), "one-row")
+    landing.land_csv(one, root, "accounts", LANDING_DAY)
+    files = landing.eligibility(landing.listing(spark, root), max_mb=0.002)
+    return files.groupBy("entity", "is_valid", "reason").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query("landing_reconciliation")
 def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The manifest of one day against the files after the next delivery."""
+    """A manifest against the files after a further delivery, one file changed and one gone."""
     root = _landed(spark, sf_dir, *ENTITIES)
     promised = stage(landing.manifest(spark, root, AS_OF), "manifest")
-    sample = SampleBronze(spark, sf_dir)
-    landing.land_csv(sample.following("customers"), root, "customers", NEXT_LANDING_DAY)
+    following = stage(SampleBronze(spark, sf_dir).following("customers"), "delivery").repartition(2)
+    landing.land_csv(following, root, "customers", NEXT_LANDING_DAY)
+    first = {
+        r.entity: r.path for r in promised.groupBy("entity").agg(F.min("path").alias("path")).collect()
+    }
+    fs, gone = _file_system(spark, first["fraud_flags"])
+    fs.delete(gone, False)
+    fs, changed = _file_system(spark, first["accounts"])
+    stream = fs.create(changed, True)
+    stream.writeBytes("other content")
+    stream.close()
     states = landing.reconcile(promised, landing.manifest(spark, root, AS_OF))
-    return states.select("entity", "state").distinct()
+    return states.groupBy("entity", "state").agg(F.count(F.lit(1)).alias("files"))
 
 
 @query("landing_missing_entities")
@@ -599,7 +660,12 @@ def bronze_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = bronze.read_extract(spark, landing.entity_folder(root, "accounts"), "accounts")
     sums = stage(landing.manifest(spark, root, AS_OF), "manifest")
     loaded = bronze.with_checksums(bronze.to_bronze(parsed, "accounts", AS_OF), sums)
-    return loaded.select("account_id", (F.length("_checksum") == 32).alias("has_checksum"))
+    second = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
+        F.col("path").alias("_source_file"), F.md5("content").alias("_second"))
+    return loaded.join(second, "_source_file", "left").select(
+        "account_id", (F.col("_checksum") == F.col("_second")).alias("checksum_confirmed"),
+        F.col("_source_file").endswith(".csv").alias("file_named"),
+    )
 
 
 @query("json_sink_accounts")
@@ -622,7 +688,9 @@ def required_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     for entity in ENTITIES:
         publish(spark, database, f"silver_{entity}", f"{root}/{entity}")
     wanted = [*[f"silver_{e}" for e in ENTITIES], "dim_date"]
-    return tables_present(spark, database, wanted)
+    present = stage(tables_present(spark, database, wanted), "present")
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return present
 
 
 # ---- ledger ---------------------------------------------------------------

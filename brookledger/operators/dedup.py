@@ -67,7 +67,7 @@ def roll_forward(
     """
     key = BUSINESS_KEY[entity]
     keys = batch.select(F.col(key).alias("_batch_key")).distinct()
-    if keys.limit(max_batch_keys + 1).count() > max_batch_keys:
+    if keys.count() > max_batch_keys:
         return latest_per_key(latest.unionByName(batch), entity)
     in_batch = F.col(key).eqNullSafe(F.col("_batch_key"))
     untouched = latest.join(F.broadcast(keys), in_batch, "left_anti")

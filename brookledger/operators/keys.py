@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-_BUCKET = "_key_bucket"
+#: Bucket of an id's digest; rows are dealt by it when they are numbered.
+BUCKET = "_key_bucket"
+_BUCKET = BUCKET
 _DIGEST = "_key_digest"
 _BEFORE = "_keys_before"
 _MIN_DIGITS, _MAX_DIGITS = 2, 5
@@ -33,16 +35,18 @@ def with_dense_key(
     *,
     tie_break: list[Column] | None = None,
     digits: int | None = None,
+    keep_bucket: bool = False,
 ) -> DataFrame:
     """Number the rows 1..n in the order of (md5(id), id).
 
     Rows are numbered inside buckets of the digest, which is uniform whatever
     the ids look like, and each bucket starts after the rows of the buckets
     before it. ``rows`` is read twice, once for its ids alone: pass a stored
-    table, not a long plan. ``tie_break`` orders rows that share an id.
+    table, not a long plan. ``tie_break`` orders rows that share an id. With
+    ``keep_bucket`` the result has the column BUCKET, by which its rows lie.
     """
     digits = digits or bucket_digits(rows.sparkSession)
-    digest = F.md5(F.coalesce(F.col(id_name), F.lit("")).cast("binary"))
+    digest = _digest_of(id_name)
     bucket = F.substring(digest, 1, digits)
 
     sizes = rows.groupBy(bucket.alias(_BUCKET)).agg(F.count(F.lit(1)).alias("_size"))
@@ -65,4 +69,38 @@ def with_dense_key(
     return numbered.join(F.broadcast(offsets), _BUCKET, "left").select(
         (F.col(key_name) + F.col(_BEFORE)).alias(key_name),
         *[numbered[c] for c in rows.columns],
+        *([F.col(_BUCKET)] if keep_bucket else []),
     )
+
+
+def _digest_of(id_name: str) -> Column:
+    return F.md5(F.coalesce(F.col(id_name), F.lit("")).cast("binary"))
+
+
+def with_bucket(rows: DataFrame, id_name: str, digits: int | None = None) -> DataFrame:
+    """Add the BUCKET of an id, as ``with_dense_key`` has it."""
+    digits = digits or bucket_digits(rows.sparkSession)
+    return rows.withColumn(BUCKET, F.substring(_digest_of(id_name), 1, digits))
+
+
+def with_lasting_key(
+    rows: DataFrame,
+    key_name: str,
+    id_name: str,
+    known: DataFrame,
+    *,
+    tie_break: list[Column] | None = None,
+) -> DataFrame:
+    """Members in ``known`` keep their key; only new ids are numbered, after the largest.
+
+    ``known`` has the columns ``id_name`` and ``key_name``, one row for each
+    id: the narrow side of the two joins. A NULL id is new each time.
+    """
+    names = [key_name, *rows.columns]
+    keys = known.select(id_name, key_name)
+    kept = rows.join(keys, id_name).select(*names)
+    fresh = with_dense_key(
+        rows.join(keys, id_name, "left_anti"), key_name, id_name, tie_break=tie_break
+    )
+    last = keys.agg(F.coalesce(F.max(key_name), F.lit(0))).scalar()
+    return kept.unionByName(fresh.withColumn(key_name, F.col(key_name) + last))

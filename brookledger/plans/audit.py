@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -107,3 +108,21 @@ def gold_load_rows(tables: Mapping[str, DataFrame], as_of: dt.datetime) -> DataF
 
 def append(log_rows: DataFrame, path: str) -> None:
     log_rows.write.mode("append").parquet(path)
+
+
+@contextlib.contextmanager
+def failure_logged(
+    spark: SparkSession, path: str, *, run_id: str, pipeline: str, entity: str, as_of: dt.datetime
+) -> Iterator[None]:
+    """Append a FAILED row with the message if the block raises, and raise on."""
+    try:
+        yield
+    except Exception as error:
+        append(
+            run_row(
+                spark.range(1), run_id=run_id, pipeline=pipeline, entity=entity,
+                started_at=as_of, status="FAILED", error=str(error),
+            ),
+            path,
+        )
+        raise

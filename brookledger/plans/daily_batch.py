@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import posixpath
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brookledger.fixed_values import SCD2_PIPELINE, SCD2_RUN_PREFIX
 from brookledger.functions.calendar import compact_stamp
 from brookledger.operators.dedup import latest_per_key, roll_forward
 from brookledger.plans import audit, gold, quality, rejects, scd2
@@ -21,6 +23,7 @@ from brookledger.sources.tables import (
     read_table,
     session_of,
     stage,
+    staged_copies_removed,
     write_tables,
 )
 
@@ -35,28 +38,39 @@ def store_silver(
 
 
 def store_gold(
-    silver: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+    silver: Mapping[str, DataFrame],
+    as_of: dt.datetime,
+    root: str,
+    previous: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Build the star schema from stored Silver tables.
 
     Dimensions first, then the transaction fact, then the fraud fact, each
-    from the stored tables of the step before.
+    from the stored tables of the step before. ``previous`` has the Gold tables
+    before, whose members keep their keys; its ``dim_customers_history``, if
+    there is one, is the customer dimension that facts are joined to.
     """
     spark = session_of(silver)
+    before = previous or {}
+    known_customers = before.get("dim_customers")
+    if "dim_customers_history" in before:
+        known_customers = gold.current_rows(before["dim_customers_history"])
     write_tables(
         {
             "dim_date": gold.dim_date(spark, as_of).coalesce(1),
-            "dim_customers": gold.dim_customers(silver["customers"], as_of),
-            "dim_accounts": gold.dim_accounts(silver["accounts"], as_of),
+            "dim_customers": gold.dim_customers(silver["customers"], as_of, known_customers),
+            "dim_accounts": gold.dim_accounts(silver["accounts"], as_of, before.get("dim_accounts")),
         },
         root,
     )
     tables = {n: read_table(spark, root, n) for n in ("dim_date", "dim_customers", "dim_accounts")}
-    dims = (tables["dim_accounts"], tables["dim_customers"], tables["dim_date"])
+    customers = before.get("dim_customers_history", tables["dim_customers"])
+    dims = (tables["dim_accounts"], customers, tables["dim_date"])
     write_tables(
         {
             "fact_transactions": gold.fact_transactions(
-                silver["transactions"], silver["fraud_flags"], *dims, as_of
+                silver["transactions"], silver["fraud_flags"], *dims, as_of,
+                before.get("fact_transactions"),
             )
         },
         root,
@@ -65,7 +79,8 @@ def store_gold(
     write_tables(
         {
             "fact_fraud": gold.fact_fraud(
-                silver["fraud_flags"], tables["fact_transactions"], *dims, as_of
+                silver["fraud_flags"], tables["fact_transactions"], *dims, as_of,
+                before.get("fact_fraud"),
             )
         },
         root,
@@ -79,10 +94,23 @@ def run_batch(
 ) -> dict[str, DataFrame]:
     """One full rebuild of Silver and Gold under ``root``, which must be new.
 
-    Rejects of the run and its log rows are written next to the tables.
+    Rejects of the run and its log rows are written next to the tables; a run
+    that fails leaves a FAILED row with the message.
     """
-    silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
-    return _after_silver(spark, silver, as_of, root)
+    with _run(spark, "BATCH", as_of, root):
+        silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
+        return _after_silver(spark, silver, as_of, root)
+
+
+@contextlib.contextmanager
+def _run(spark: SparkSession, kind: str, as_of: dt.datetime, root: str) -> Iterator[None]:
+    """What every run does: log its failure, and remove what it staged."""
+    run_id = f"{kind}_{compact_stamp(as_of)}"
+    log = posixpath.join(root, "run_log")
+    with staged_copies_removed(spark), audit.failure_logged(
+        spark, log, run_id=run_id, pipeline="daily_batch", entity="all", as_of=as_of
+    ):
+        yield
 
 
 def store_latest(raw: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
@@ -97,34 +125,41 @@ def run_increment(
     batch: Mapping[str, DataFrame],
     as_of: dt.datetime,
     root: str,
+    previous: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The state after one more batch, from the newest rows so far.
 
-    Gives what ``run_batch`` gives over all of Bronze. Silver is projected from
+    Gives what ``run_batch`` gives over all of Bronze, except that members of
+    ``previous``, the Gold tables before, keep their keys. Silver is projected from
     the newest rows without a further shuffle; it is projected whole, because
     ages and tenures move with the day. The new newest rows are returned as
     ``latest_*`` for the next run. Entities without a delivery stay as they are.
     """
-    rolled = {
-        e: roll_forward(df, batch[e], e) if e in batch else df for e, df in latest.items()
-    }
-    latest_root = posixpath.join(root, "latest")
-    write_tables(rolled, latest_root)
-    stored = {e: read_table(spark, latest_root, e) for e in latest}
-    silver_root = posixpath.join(root, "silver")
-    write_tables({e: clean_silver(df, e, as_of) for e, df in stored.items()}, silver_root)
-    silver = {e: read_table(spark, silver_root, e) for e in latest}
-    return {
-        **_after_silver(spark, silver, as_of, root),
-        **{f"latest_{e}": df for e, df in stored.items()},
-    }
+    with _run(spark, "INCREMENT", as_of, root):
+        rolled = {
+            e: roll_forward(df, batch[e], e) if e in batch else df for e, df in latest.items()
+        }
+        latest_root = posixpath.join(root, "latest")
+        write_tables(rolled, latest_root)
+        stored = {e: read_table(spark, latest_root, e) for e in latest}
+        silver_root = posixpath.join(root, "silver")
+        write_tables({e: clean_silver(df, e, as_of) for e, df in stored.items()}, silver_root)
+        silver = {e: read_table(spark, silver_root, e) for e in latest}
+        return {
+            **_after_silver(spark, silver, as_of, root, previous),
+            **{f"latest_{e}": df for e, df in stored.items()},
+        }
 
 
 def _after_silver(
-    spark: SparkSession, silver: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+    spark: SparkSession,
+    silver: Mapping[str, DataFrame],
+    as_of: dt.datetime,
+    root: str,
+    previous: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
-    tables = store_gold(silver, as_of, posixpath.join(root, "gold"))
+    tables = store_gold(silver, as_of, posixpath.join(root, "gold"), previous)
     log_rows = audit.silver_load_rows(silver, as_of).unionByName(
         audit.gold_load_rows(tables, as_of)
     )
@@ -151,13 +186,18 @@ def run_history(
     the run is returned and its log row appended to ``root``/run_log.
     """
     database, name = table
-    dim = scd2.bootstrap(spark.table(f"`{database}`.`{name}`"), as_of)
-    run = scd2.apply_history(dim, silver_customers, as_of)
-    path = posixpath.join(root, f"{name}-{compact_stamp(as_of)}-{uuid.uuid4().hex[:8]}")
-    run.dimension.write.parquet(path)
-    audit.append(run.log_row, posixpath.join(root, "run_log"))
-    summary = stage(run.summary, "history-summary")
-    publish(spark, database, name, path)
+    log = posixpath.join(root, "run_log")
+    with audit.failure_logged(
+        spark, log, run_id=f"{SCD2_RUN_PREFIX}{compact_stamp(as_of)}", pipeline=SCD2_PIPELINE,
+        entity="DIM_CUSTOMERS", as_of=as_of,
+    ):
+        dim = scd2.bootstrap(spark.table(f"`{database}`.`{name}`"), as_of)
+        run = scd2.apply_history(dim, silver_customers, as_of)
+        path = posixpath.join(root, f"{name}-{compact_stamp(as_of)}-{uuid.uuid4().hex[:8]}")
+        run.dimension.write.parquet(path)
+        audit.append(run.log_row, log)
+        summary = stage(run.summary, "history-summary")
+        publish(spark, database, name, path)
     return summary
 
 
@@ -174,7 +214,9 @@ def check_quality(
         "gold_layer": (dict(gold_tables), GOLD_CHECKS),
     }
     measured = [
-        quality.with_suite_name(quality.run_suite(tables, checks, as_of, spark=spark), name)
+        quality.with_suite_name(
+            quality.run_suite_apart(tables, checks, as_of, spark=spark), name
+        )
         for name, (tables, checks) in suites.items()
     ]
     results = stage(reduce(DataFrame.unionByName, measured), "dq-results")

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookledger.fixed_values import (
@@ -29,7 +29,7 @@ from brookledger.fixed_values import (
 )
 from brookledger.functions.bands import band_at_least, band_below, is_true, value_map
 from brookledger.functions.calendar import date_key, moment
-from brookledger.operators.keys import with_dense_key
+from brookledger.operators.keys import BUCKET, with_bucket, with_dense_key, with_lasting_key
 
 
 def valid_rows(silver: DataFrame) -> DataFrame:
@@ -83,17 +83,28 @@ def customer_attributes(silver_customers: DataFrame) -> DataFrame:
     )
 
 
-def dim_customers(silver_customers: DataFrame, as_of: dt.datetime) -> DataFrame:
-    keyed = with_dense_key(
-        customer_attributes(silver_customers),
-        "customer_key",
-        "customer_id",
-        tie_break=[F.col("email"), F.col("full_name")],
+def _keyed(
+    rows: DataFrame, key: str, id_name: str, known: DataFrame | None, tie_break: list[Column]
+) -> DataFrame:
+    """Keys from 1 on for a first load; later loads pass the table before as ``known``."""
+    if known is None:
+        return with_dense_key(rows, key, id_name, tie_break=tie_break)
+    return with_lasting_key(rows, key, id_name, known, tie_break=tie_break)
+
+
+def dim_customers(
+    silver_customers: DataFrame, as_of: dt.datetime, known: DataFrame | None = None
+) -> DataFrame:
+    keyed = _keyed(
+        customer_attributes(silver_customers), "customer_key", "customer_id", known,
+        [F.col("email"), F.col("full_name")],
     )
     return keyed.withColumn("_gold_loaded_at", moment(as_of))
 
 
-def dim_accounts(silver_accounts: DataFrame, as_of: dt.datetime) -> DataFrame:
+def dim_accounts(
+    silver_accounts: DataFrame, as_of: dt.datetime, known: DataFrame | None = None
+) -> DataFrame:
     rows = valid_rows(silver_accounts).select(
         "account_id", "customer_id", "account_number", "account_type",
         value_map(
@@ -107,11 +118,9 @@ def dim_accounts(silver_accounts: DataFrame, as_of: dt.datetime) -> DataFrame:
         is_true(F.col("status") == ACTIVE).alias("is_active"),
         "_silver_loaded_at",
     )
-    keyed = with_dense_key(
-        rows,
-        "account_key",
-        "account_id",
-        tie_break=[F.col("customer_id"), F.col("account_number")],
+    keyed = _keyed(
+        rows, "account_key", "account_id", known,
+        [F.col("customer_id"), F.col("account_number")],
     )
     return keyed.withColumn("_gold_loaded_at", moment(as_of))
 
@@ -145,12 +154,13 @@ def transaction_keys(silver_transactions: DataFrame) -> DataFrame:
     return _number_transactions(ids).select("transaction_id", "transaction_key")
 
 
-def _number_transactions(rows: DataFrame) -> DataFrame:
+def _number_transactions(rows: DataFrame, *, keep_bucket: bool = False) -> DataFrame:
     return with_dense_key(
         rows,
         "transaction_key",
         "transaction_id",
         tie_break=[F.col("reference_number")],
+        keep_bucket=keep_bucket,
     )
 
 
@@ -161,7 +171,13 @@ def fact_transactions(
     customers: DataFrame,
     calendar: DataFrame,
     as_of: dt.datetime,
+    known: DataFrame | None = None,
 ) -> DataFrame:
+    """The transaction fact; rows of ``known`` (the fact before) keep their keys.
+
+    A first load moves the wide rows three times: by key bucket, where they are
+    numbered and meet the flags, by account and by customer.
+    """
     rows = valid_rows(silver_transactions).select(
         "transaction_id", "account_id", "customer_id", "transaction_type", "amount",
         "amount_abs", "is_debit", "is_credit", "currency", "balance_after",
@@ -176,9 +192,17 @@ def fact_transactions(
         .distinct()
         .withColumn("_flagged", F.lit(True))
     )
-    joined = with_dimension_keys(
-        _number_transactions(rows), accounts, customers, calendar
-    ).join(flagged, "transaction_id", "left")
+    if known is None:
+        on = [BUCKET, "transaction_id"]
+        numbered = _number_transactions(rows, keep_bucket=True).join(
+            with_bucket(flagged, "transaction_id"), on, "left"
+        )
+    else:
+        numbered = with_lasting_key(
+            rows, "transaction_key", "transaction_id", known,
+            tie_break=[F.col("reference_number")],
+        ).join(flagged, "transaction_id", "left")
+    joined = with_dimension_keys(numbered, accounts, customers, calendar)
     return joined.select(
         "transaction_key", "transaction_id", "account_key", "customer_key", "date_key",
         "account_id", "customer_id", "transaction_type", "amount", "amount_abs",
@@ -197,6 +221,7 @@ def fact_fraud(
     customers: DataFrame,
     calendar: DataFrame,
     as_of: dt.datetime,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """``keyed_transactions``: the transaction fact, or its id and key alone."""
     rows = valid_rows(silver_fraud_flags).select(
@@ -205,9 +230,7 @@ def fact_fraud(
         "reviewed_at", "days_to_review",
         date_key(F.to_date("flagged_at")).alias("_on_day"),
     )
-    numbered = with_dense_key(
-        rows, "fraud_key", "flag_id", tie_break=[F.col("transaction_id")]
-    )
+    numbered = _keyed(rows, "fraud_key", "flag_id", known, [F.col("transaction_id")])
     joined = with_dimension_keys(numbered, accounts, customers, calendar).join(
         keyed_transactions.select("transaction_id", "transaction_key"),
         "transaction_id",

@@ -28,7 +28,7 @@ from brookledger.plans.rule_catalogue import (
     Measure,
     Rule,
 )
-from brookledger.sources.tables import session_of, side_by_side
+from brookledger.sources.tables import session_of, side_by_side, stage
 
 PASSED, FAILED, WARNING = "PASSED", "FAILED", "WARNING"
 Item = Check | Rule
@@ -155,6 +155,34 @@ def run_suite(
     return reduce(DataFrame.unionByName, frames)
 
 
+def run_suite_apart(
+    tables: Mapping[str, DataFrame],
+    items: Sequence[Item],
+    as_of: dt.datetime,
+    *,
+    spark: SparkSession | None = None,
+) -> DataFrame:
+    """``run_suite`` with results stored at once, so that a check that fails
+    while it runs fails alone: its message is kept, the others have results.
+
+    A table's checks share their passes; only if those break is each of its
+    checks run by itself.
+    """
+    spark = spark or session_of(tables)
+
+    def stored(own: Sequence[Item]) -> list[DataFrame]:
+        try:
+            return [stage(run_suite(tables, own, as_of, spark=spark), "dq-results")]
+        except PySparkException as error:
+            if len(own) == 1:
+                return [_not_measured(spark, own, str(error), as_of)]
+            return [df for item in own for df in stored([item])]
+
+    names = dict.fromkeys(i.table for i in items)
+    frames = [df for t in names for df in stored([i for i in items if i.table == t])]
+    return reduce(DataFrame.unionByName, frames)
+
+
 def with_suite_name(results: DataFrame, suite: str) -> DataFrame:
     return results.select(F.lit(suite).alias("suite_name"), "*")
 

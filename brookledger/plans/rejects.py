@@ -32,8 +32,9 @@ COLUMNS = [
 def invalid_rows(silver: DataFrame, entity: str, as_of: dt.datetime) -> DataFrame:
     """The invalid Silver rows of one entity in the reject layout."""
     table = f"SILVER_{entity.upper()}"
-    # A missing business id must not blank the whole reject id.
-    shown_id = F.coalesce(F.col(BUSINESS_KEY[entity]), F.lit("NULL"))
+    # A row without a business id is told apart by a hash of what it came with.
+    row_hash = F.md5(F.concat_ws("|", F.lit(entity), "_batch_id", "_source_file", "dq_issues"))
+    shown_id = F.coalesce(F.col(BUSINESS_KEY[entity]), F.concat(F.lit("NULL_"), row_hash))
     ids = [
         (F.col(c) if c in REJECT_ID_COLUMNS[entity] else F.lit(None).cast("string")).alias(c)
         for c in ("account_id", "transaction_id", "customer_id")

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows that lie by key bucket can be joined on (bucket, id) where they are.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # Call sites of every column expression are only worth their cost in debugging.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.session.timeZone": "UTC",

@@ -91,7 +91,7 @@ def listing(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def eligibility(files: DataFrame, *, max_mb: int = LANDING_MAX_MB) -> DataFrame:
+def eligibility(files: DataFrame, *, max_mb: float = LANDING_MAX_MB) -> DataFrame:
     """Whether each file may be loaded, and why not.
 
     ``max_mb`` is the largest size of a file, in megabytes of 1024 * 1024 bytes.
@@ -106,7 +106,7 @@ def eligibility(files: DataFrame, *, max_mb: int = LANDING_MAX_MB) -> DataFrame:
 
 
 def manifest(
-    spark: SparkSession, root: str, as_of: dt.datetime, *, max_mb: int = LANDING_MAX_MB
+    spark: SparkSession, root: str, as_of: dt.datetime, *, max_mb: float = LANDING_MAX_MB
 ) -> DataFrame:
     """MD5 and size of each file that may be loaded; others are listed as FAILED.
 

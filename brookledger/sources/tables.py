@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import posixpath
-import tempfile
 import uuid
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
@@ -19,21 +19,40 @@ Result = TypeVar("Result")
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    Only a local session may fall back to a temporary folder.
-    """
+    """The folder every executor can reach, as spark.checkpoint.dir names it."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.gettempdir()
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return posixpath.join(folder, "brookledger", spark.sparkContext.applicationId)
 
 
+_open_scopes: list[list[str]] = []
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return posixpath.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    path = posixpath.join(shared_folder(spark), f"{label}-{uuid.uuid4().hex[:12]}")
+    for scope in _open_scopes[-1:]:
+        scope.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def staged_copies_removed(spark: SparkSession) -> Iterator[None]:
+    """Delete the copies staged inside the block when it ends.
+
+    For jobs that write all their output inside it; what they return must not
+    read a staged copy. Jobs of one driver open such blocks one at a time.
+    """
+    scope: list[str] = []
+    _open_scopes.append(scope)
+    try:
+        yield
+    finally:
+        _open_scopes.remove(scope)
+        for folder in scope:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -104,8 +123,7 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
 
     Beyond the bound it is returned as it is and joined like any table.
     """
-    counted = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df
 
 
 # ---- catalog tables -------------------------------------------------------

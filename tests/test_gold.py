@@ -176,7 +176,7 @@ def test_increment_equals_full_rebuild(spark, tmp_path):
     latest = daily_batch.store_latest(
         {e: sample.first(e) for e in ENTITIES}, str(tmp_path / "latest")
     )
-    batch = {e: sample.following(e) for e in ("customers", "transactions")}
+    batch = {e: sample.following(e) for e in ENTITIES}
     step = daily_batch.run_increment(spark, latest, batch, DEFAULT_AS_OF, str(tmp_path / "step"))
     for name in whole:
         assert step[name].exceptAll(whole[name]).isEmpty(), name
@@ -189,3 +189,76 @@ def test_fact_scan_reads_only_what_it_needs(spark, raw):
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(dq_is_valid), EqualTo(dq_is_valid,true)]" in plan
     assert "merchant_name" not in plan
+
+
+def _exchanges(df):
+    """Shuffles of the plan by the columns they carry, before adaptive changes."""
+    plan = df._jdf.queryExecution().executedPlan()
+    return [line for line in plan.toString().split("\n") if "Exchange hashpartitioning" in line]
+
+
+def test_the_fact_moves_wide_rows_three_times(spark):
+    from brookledger.fixed_values import ENTITIES
+    from brookledger.settings import DEFAULT_AS_OF
+    from brookledger.sources.sample_tables import SampleBronze
+
+    sample = SampleBronze(spark, "/root/testdata/sf0.001")
+    raw_tables = {e: sample.both(e) for e in ENTITIES}
+    stored = stage_all({e: to_silver(df, e, DEFAULT_AS_OF) for e, df in raw_tables.items()}, "silver")
+    accounts = gold.dim_accounts(stored["accounts"], DEFAULT_AS_OF)
+    customers = gold.dim_customers(stored["customers"], DEFAULT_AS_OF)
+    dims = stage_all({"accounts": accounts, "customers": customers}, "dims")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = gold.fact_transactions(
+            stored["transactions"], stored["fraud_flags"], dims["accounts"], dims["customers"],
+            gold.dim_date(spark, DEFAULT_AS_OF), DEFAULT_AS_OF,
+        )
+        by = [e.split("hashpartitioning(")[1] for e in _exchanges(fact)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # The fact and its narrow partner, by account and by customer, and by bucket once for the
+    # rows, once for the bucket sizes and once for the flags (which are made distinct before).
+    count = {k: sum(e.startswith(k) for e in by) for k in ("account_id", "customer_id", "_key_bucket", "transaction_id")}
+    assert count["account_id"] == 2 and count["customer_id"] == 2 and count["_key_bucket"] <= 3
+    assert count["transaction_id"] <= 1
+
+
+def test_keys_last_over_deliveries(spark):
+    from brookledger.catalog import QUERIES, _history
+    from brookledger.operators.keys import with_lasting_key
+
+    known = spark.createDataFrame([("b", 7), ("a", 3)], "id string, k long")
+    rows = spark.createDataFrame([("a", 1), ("c", 2), ("b", 3), (None, 4)], "id string, v int")
+    found = {r.id: r.k for r in with_lasting_key(rows, "k", "id", known).collect()}
+    assert found["a"] == 3 and found["b"] == 7 and {found["c"], found[None]} == {8, 9}
+
+    sf = "/root/testdata/sf0.001"
+    history = _history(spark, sf)[1].dimension.filter("is_current").select("customer_id", "customer_key")
+    silver = QUERIES["silver_transactions"](spark, sf).filter("dq_is_valid").select("transaction_id", "customer_id")
+    fact = QUERIES["fact_transactions_over_history"](spark, sf).drop("account_key").join(silver, "transaction_id")
+    wrong = fact.join(history.withColumnRenamed("customer_key", "want"), "customer_id", "left").filter("not customer_key <=> want")
+    assert wrong.count() == 0
+
+
+def test_a_run_that_fails_is_logged(spark, tmp_path):
+    from brookledger.settings import DEFAULT_AS_OF
+
+    broken = {"customers": spark.range(1)}
+    with pytest.raises(Exception):
+        daily_batch.run_batch(spark, broken, DEFAULT_AS_OF, str(tmp_path / "lake"))
+    (row,) = spark.read.parquet(str(tmp_path / "lake" / "run_log")).collect()
+    assert row.status == "FAILED" and row.error_message and row.pipeline_name == "daily_batch"
+
+
+def test_staged_copies_are_removed(spark):
+    from pathlib import Path
+
+    from brookledger.sources.tables import shared_folder, stage, staged_copies_removed
+
+    folder = Path(shared_folder(spark))
+    before = set(folder.glob("*")) if folder.exists() else set()
+    with staged_copies_removed(spark):
+        stage(spark.range(3), "one")
+    assert set(folder.glob("*")) <= before

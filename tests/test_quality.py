@@ -168,3 +168,20 @@ def test_masking(spark):
     rows = contracts.masked_accounts(numbers.withColumn("account_id", F.lit("A"))).collect()
     assert [r.account_number for r in rows] == ["****7890", "****7890", None]
     assert [r.was_masked for r in rows] == [False, True, None]
+
+
+def test_a_check_that_breaks_while_running_fails_alone(spark):
+    from brookledger.plans.quality import run_suite_apart
+    from brookledger.plans.rule_catalogue import ROWS, Check, Measure
+
+    table = spark.createDataFrame([("1",), ("x",)], "amount string")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
+    checks = [
+        Check("rows", "", "SILVER", "t", "HIGH", ROWS, "> 0"),
+        Check("broken", "", "SILVER", "t", "HIGH", Measure("breaches", predicate="cast(amount as int) > 0"), "= 0"),
+        Check("absent", "", "SILVER", "no_such_table", "HIGH", ROWS, "> 0"),
+    ]
+    found = {r.check_name: r for r in run_suite_apart({"t": table}, checks, AS_OF).collect()}
+    assert (found["rows"].status, found["rows"].actual) == ("PASSED", 2.0)
+    assert found["broken"].status == "FAILED" and "CAST_INVALID_INPUT" in found["broken"].error_message
+    assert found["absent"].status == "FAILED"

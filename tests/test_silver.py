@@ -210,3 +210,14 @@ def test_hot_key_is_split_and_stays_whole(spark):
     found = [r.id for r in got.select("id").collect()]
     assert len(found) == len(set(found)) == len(expected)
     assert set(found) == expected
+
+
+def test_sizes_are_counted_without_a_single_task_limit(spark, raw):
+    from conftest import plan_of
+
+    from brookledger.sources.tables import broadcast_if_small
+
+    table = spark.range(100).repartition(4)
+    assert "SinglePartition" not in plan_of(broadcast_if_small(table, 1000))
+    rolled = roll_forward(raw("customers", GOOD), raw("customers", GOOD), "customers")
+    assert "GlobalLimit" not in plan_of(rolled)

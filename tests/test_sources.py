@@ -229,7 +229,7 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_folder(FakeSession("s3a://shared/x", "yarn")) == "s3a://shared/x/brookledger/app"
 
 
-def test_without_a_shared_folder_only_local_sessions_run():
-    assert shared_folder(FakeSession(None, "local[4]")).endswith("brookledger/app")
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession(None, "yarn"))
+def test_without_a_shared_folder_nothing_is_staged():
+    for master in ("local[4]", "yarn"):
+        with pytest.raises(ValueError):
+            shared_folder(FakeSession(None, master))

@@ -39,6 +39,8 @@ oracle(
 for _t in ("dim_customers", "dim_accounts", "fact_transactions", "fact_fraud"):
     oracle(_t, f"select * from {_t}")
 
+oracle("fact_transactions_over_history", "select * from fact_over_history")
+
 # ---- verification ---------------------------------------------------------
 def _counts(tables: dict[str, str], more: str = "") -> str:
     return " union all ".join(

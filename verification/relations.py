@@ -281,7 +281,8 @@ _REJECT_IDS = {
 for _e in ENTITIES:
     _severity = "CRITICAL" if _e in ("transactions", "fraud_flags") else "HIGH"
     RELATIONS[f"rejects_{_e}"] = f"""
-        select 'REJ_{STAMP}_' || coalesce({BUSINESS_KEY[_e]}, 'NULL') as reject_id,
+        select 'REJ_{STAMP}_' || coalesce({BUSINESS_KEY[_e]}, 'NULL_' || md5(concat_ws('|',
+                '{_e}', _batch_id, _source_file, dq_issues))) as reject_id,
             'SILVER_{_e.upper()}' as source_table, 'SILVER' as source_layer,
             _batch_id as batch_id, '{_e}' as entity,
             coalesce(dq_issues, 'Unknown DQ failure') as reject_reason,
@@ -361,6 +362,25 @@ for _name in ("history_expired", "history_inserted", "history"):
         .replace("history_inserted", "history_inserted_middle")
     )
 
+# ---- keys that last -----------------------------------------------------------
+for _e, _id in (("accounts", "account"), ("transactions", "transaction")):
+    RELATIONS[f"lasting_{_e}"] = f"""
+        with before as (select {_id}_id, {dense('k', f'{_id}_id')} from silver1_{_e} where dq_is_valid)
+        select n.{_id}_id, coalesce(b.k, (select max(k) from before) + row_number() over (
+            partition by b.k is null order by md5(n.{_id}_id), n.{_id}_id)) as {_id}_key
+        from (select {_id}_id from silver_{_e} where dq_is_valid) n
+        left join before b using ({_id}_id)
+    """
+RELATIONS["fact_over_history"] = """
+    select t.transaction_id, k.transaction_key, a.account_key, c.customer_key
+    from silver_transactions t
+    join lasting_transactions k on k.transaction_id = t.transaction_id
+    left join lasting_accounts a on a.account_id = t.account_id
+    left join (select customer_id, customer_key from history where is_current) c
+      on c.customer_id = t.customer_id
+    where t.dq_is_valid
+"""
+
 # ---- ledger -----------------------------------------------------------------
 RELATIONS["balance_breaks"] = """
     select * from (

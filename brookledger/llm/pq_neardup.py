@@ -277,7 +277,8 @@ def near_duplicates(
     of_node = nodes.join(linked, "node", "left").join(classes, "node", "left").select(
         "label", "dim", "raw", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "node").alias("component"))
     result = written(rows.join(of_node, ["label", "dim", "raw"], "left").select("vec_id", "label", "n_links", "component"), "classes")
-    lowest = result.groupBy("component").agg(F.min("vec_id").alias("lowest")).where("component IS NOT NULL")
+    # Stored, so that the join with it is of two plain exchanges, whose hot partitions can be split.
+    lowest = written(result.where("component IS NOT NULL").groupBy("component").agg(F.min("vec_id").alias("lowest")), "lowest")
     return result.join(lowest, "component", "left").select(
         "vec_id", "label", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("lowest", "vec_id").alias("component_id"), F.coalesce(F.col("vec_id") == F.coalesce("lowest", "vec_id"), F.lit(False)).alias("kept"),

@@ -11,7 +11,7 @@ from brookledger.llm.shared_folder import written
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the smallest of its neighbourhood."""
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+    lowest = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low")).hint("rebalance")
     return (
         both.where(F.col("b") > F.col("a")).join(lowest, "a")
         .select(F.col("low").alias("a"), "b").where(F.col("a") != F.col("b")).distinct()
@@ -20,7 +20,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every smaller neighbour of a node, and the node, move to the smallest of them."""
-    lowest = edges.groupBy("b").agg(F.min("a").alias("low"))
+    lowest = edges.groupBy("b").agg(F.min("a").alias("low")).hint("rebalance")
     joined = edges.join(lowest, "b")
     return (
         joined.select(F.col("low").alias("a"), F.col("a").alias("b"))
@@ -34,8 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges: columns a and b of any orderable type; loops, repeats and nulls are
     ignored. Each round is written out and shortens the longest path; it stops
-    when a round changes nothing. Minima are combined before the shuffle, and
-    the joins are inner ones whose hot partitions adaptive execution splits.
+    when a round changes nothing. Minima are combined before the shuffle and
+    dealt anew before they are joined, so that both sides of the join are plain
+    exchanges, whose hot partitions adaptive execution splits.
     """
     known = written(
         edges.where("a != b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(),

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brookledger.llm.batches import NOT_SPACE, Hasher, Texts, column, slices, small_batches
-from brookledger.llm.shared_folder import written
-from brookledger.llm.word_cache import WordCache, ragged
+from brookledger.llm.shared_folder import release_exchanges, written
+from brookledger.llm.word_cache import WordCache
 from brookledger.sources.tables import new_folder
 
 END_ID = 1
@@ -66,6 +66,18 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path), WordCache(), Hasher(6)
 
 
+def _encode_words(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(ids of the words one after the other, number of each), from one call over all of them.
+
+    A token is of the word in which it begins.
+    """
+    starts = np.cumsum([0] + [len(w) + 1 for w in words])
+    encoding = tokenizer.encode_batch([" ".join(words)], add_special_tokens=False)[0]
+    begins = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.ids))
+    lengths = np.diff(np.searchsorted(begins, starts))
+    return np.array(encoding.ids, np.uint32), lengths
+
+
 def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(ids of all texts one after the other, number of ids of each text), each text ended by END_ID.
 
@@ -78,9 +90,10 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     words = Texts(texts)
     words.split(NOT_SPACE)
 
-    def encode(which: np.ndarray) -> list[list[int]]:
-        strings = [words.text[s : s + n].tobytes().decode() for s, n in zip(words.starts[which].tolist(), words.lengths[which].tolist())]
-        return [e.ids for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+    def encode(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = words.starts[which] + words.lengths[which]
+        raw = words.text.tobytes()
+        return _encode_words(tokenizer, [raw[s:e].decode() for s, e in zip(words.starts[which].tolist(), ends.tolist())])
 
     ids, lengths = cache.ids(hasher.words(words.text, words.starts, words.lengths), encode)
     ends = np.concatenate([[0], np.cumsum(lengths)])[words.first]
@@ -94,56 +107,91 @@ def _binaries(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
 
-def tokenized(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, tie, ids): little-endian ids of 4 bytes of each row, END_ID included."""
+PLAIN = "shard int, block int, before long, doc_ids array<long>, counts array<long>, n_ids long, ids binary"
+
+
+def tokenized_blocks(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Blocks of documents in ascending order of the id, with their plain ids (2 bytes each where all fit, else 4).
+
+    The texts are dealt by ranges of the id and encoded where they arrive; to
+    find the ranges Spark reads the ids only. ``shard`` numbers the ranges,
+    ``block`` the blocks of a range, ``before`` counts the ids before it in its range. Null ids come last; rows of one id are
+    ordered by a hash of their text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        width = "<u2" if _tokenizer(path)[0].get_vocab_size() <= 1 << 16 else "<u4"
+        block, shard, before, held, doc_ids, counts = 0, 0, 0, [], [], []
+
+        def flush() -> pa.RecordBatch:
+            ids = np.concatenate(held)
+            lists = [pa.array([x], pa.list_(pa.int64())) for x in (doc_ids, counts)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([shard], pa.int32()), pa.array([block], pa.int32()), pa.array([before], pa.int64()), *lists, pa.array([len(ids)], pa.int64()), _binaries([ids.astype(width).tobytes()])],
+                ["shard", "block", "before", "doc_ids", "counts", "n_ids", "ids"],
+            )
+
         for part, texts in slices(batches):
-            ids, counts = token_ids(texts, path)
-            raw, ends = ids.astype("<u4").tobytes(), np.cumsum(counts) * 4
-            parts = [raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
-            yield pa.RecordBatch.from_arrays([column(part, "doc_id"), column(part, "tie"), _binaries(parts)], ["doc_id", "tie", "ids"])
+            ids, n = token_ids(texts, path)
+            shard = column(part, "shard")[0].as_py()
+            held.append(ids)
+            doc_ids += column(part, "doc_id").to_pylist()
+            counts += n.tolist()
+            if sum(map(len, held)) >= BLOCK_IDS:
+                yield flush()
+                block, before, held, doc_ids, counts = block + 1, before + sum(map(len, held)), [], [], []
+        if held:
+            yield flush()
 
+    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("tie")]
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("tie"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, tie long, ids binary")
+    ranges = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    return ranges.select("doc_id", F.spark_partition_id().alias("shard"), "text").mapInArrow(run, PLAIN)
+
+
+def _ids_of(batch: pa.RecordBatch, row: int) -> np.ndarray:
+    raw, n = column(batch, "ids")[row].as_buffer(), column(batch, "n_ids")[row].as_py()
+    return np.frombuffer(raw, f"<u{len(raw) // max(1, n)}") if n else np.zeros(0, np.uint32)
 
 
-def ranked_ids(tokens: DataFrame) -> np.ndarray:
-    """Ids by falling frequency over all rows, then rising id; at most the vocabulary's size."""
+def ranked_ids(blocks: DataFrame) -> np.ndarray:
+    """Ids by falling frequency over all blocks, then rising id; at most the vocabulary's size."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            for x in column(batch, "ids"):
-                n = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
+            for row in range(batch.num_rows):
+                n = np.bincount(_ids_of(batch, row))
                 if len(n) > len(total):
                     total, n = n, total
                 total[: len(n)] += n
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
-    counts = tokens.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counts = blocks.select("n_ids", "ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     return counts.sort_values(["n", "id"], ascending=[False, True])["id"].to_numpy(np.uint32)
 
 
 # ---- files -----------------------------------------------------------------
-BLOCK = "shard int, block int, doc_ids array<long>, counts array<long>, n_ids long, control binary, data binary"
+BLOCK = "shard int, block int, before long, doc_ids array<long>, counts array<long>, n_ids long, control binary, data binary"
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, doc_id: str = "doc_id", text: str = "text") -> None:
     """Write the coded ids of all rows under ``folder``, in ascending order of the id.
 
-    ``folder/ranks`` has the id of each rank, ``folder/blocks`` a file for each
-    range of ids: blocks of documents, each with the ids and counts of its
+    ``folder/ranks`` has the id of each rank, ``folder/blocks`` blocks of
+    documents by range and number, each with the ids and counts of its
     documents, control bytes and data bytes. Files are Parquet containers, so
     that Spark's committer leaves one copy of each, whatever is lost or retried.
     Null ids come last; rows of one id are ordered by a hash of their text.
-    Null text has no ids but END_ID.
+    Null text has no ids but END_ID. Other columns are ignored; an empty table
+    gives files without blocks.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    tokens = written(tokenized(docs, path, doc_id, text), "tokens")
-    ranked = ranked_ids(tokens)
+    blocks = written(tokenized_blocks(docs, path, doc_id, text), "tokens", codec="zstd")
+    release_exchanges(spark)  # the texts that were dealt by ranges
+    ranked = ranked_ids(blocks)
     spark.createDataFrame(
         [(k, int(x)) for k, x in enumerate(ranked)], "rank int, id long"
     ).coalesce(1).write.parquet(posixpath.join(folder, "ranks"))
@@ -153,36 +201,12 @@ def write_token_files(docs: DataFrame, folder: str, path: str, doc_id: str = "do
         ranked = shared.value
         rank_of = np.zeros(int(ranked.max()) + 1 if len(ranked) else 1, np.uint32)
         rank_of[ranked] = np.arange(len(ranked), dtype=np.uint32)
-        block, held, size, shard = 0, [], 0, 0
-
-        def flush() -> pa.RecordBatch:
-            ids = np.frombuffer(b"".join(x for _, x in held), "<u4")
-            control, data = encode_ranks(rank_of[ids])
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([shard], pa.int32()), pa.array([block], pa.int32()),
-                    pa.array([[i for i, _ in held]], pa.list_(pa.int64())), pa.array([[len(x) // 4 for _, x in held]], pa.list_(pa.int64())),
-                    pa.array([len(ids)], pa.int64()), _binaries([control]), _binaries([data]),
-                ],
-                ["shard", "block", "doc_ids", "counts", "n_ids", "control", "data"],
-            )
-
         for batch in batches:
-            for i, s, x in zip(column(batch, "doc_id").to_pylist(), column(batch, "shard").to_pylist(), column(batch, "ids")):
-                held.append((i, x.as_buffer().to_pybytes()))
-                size, shard = size + len(x.as_buffer()) // 4, s
-                if size >= BLOCK_IDS:
-                    yield flush()
-                    block, held, size = block + 1, [], 0
-        if held:
-            yield flush()
+            coded = [encode_ranks(rank_of[_ids_of(batch, row)]) for row in range(batch.num_rows)]
+            same = ["shard", "block", "before", "doc_ids", "counts", "n_ids"]
+            yield pa.RecordBatch.from_arrays([column(batch, n) for n in same] + [_binaries([c[k] for c in coded]) for k in (0, 1)], [*same, "control", "data"])
 
-    order = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("tie")]
-    (
-        tokens.repartitionByRange(*order).sortWithinPartitions(*order)
-        .select("doc_id", F.spark_partition_id().alias("shard"), "ids")
-        .mapInArrow(code, BLOCK).write.option("compression", "none").parquet(posixpath.join(folder, "blocks"))
-    )
+    blocks.mapInArrow(code, BLOCK).write.option("compression", "zstd").parquet(posixpath.join(folder, "blocks"))
 
 
 def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -190,13 +214,10 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     ranks = spark.read.schema("rank int, id long").parquet(posixpath.join(folder, "ranks")).orderBy("rank").toPandas()
     shared = spark.sparkContext.broadcast(ranks["id"].to_numpy(np.uint32))
     blocks = spark.read.schema(BLOCK).parquet(posixpath.join(folder, "blocks"))
-    # Ids before a block: those of the files before (a row for each file), and of the blocks before in its own.
-    per_shard = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).withColumn(
-        "shard_from", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ).select("shard", "shard_from")
-    inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("shard", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("before")).join(per_shard, "shard")
-    placed = blocks.join(starts.select("shard", "block", (F.col("before") + F.col("shard_from")).alias("start")), ["shard", "block"])
+    # Ids before a range: a row for each, at most spark.sql.shuffle.partitions of them when they were written.
+    per_shard = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n")).select(
+        "shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("shard_from"))
+    placed = blocks.join(F.broadcast(per_shard), "shard").withColumn("start", F.col("shard_from") + F.col("before"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = shared.value

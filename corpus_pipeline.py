@@ -8,14 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from brookledger.llm.exact_dedup import without_copies
+from brookledger.llm.jaccard_join import one_of_each_group
+from brookledger.llm.language_id import in_known_language, learn
 from brookledger.llm.mixing import mixed
+from brookledger.llm.sentencepiece_dropout import encoded
 from brookledger.llm.shared_folder import written
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages."""
     corpus = spark.read.parquet(posixpath.join(sf_dir, "documents.parquet"))
-    return language_id.in_known_language(docs, language_id.learn(corpus))
+    return in_known_language(docs, learn(corpus))
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +38,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of each document, and whether they decode to its text."""
-    return sentencepiece_dropout.encoded(docs)
+    return encoded(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

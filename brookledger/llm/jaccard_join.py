@@ -11,17 +11,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brookledger.llm import shared_grams as grams
-from brookledger.llm.batches import NOT_SPACE, Hasher, Texts, column, mix, signed, slices, small_batches
+from brookledger.llm.batches import NOT_SPACE, Hasher, Texts, column, mix, slices, small_batches
 from brookledger.llm.components import components
 from brookledger.llm.row_keys import rows_of_keys
-from brookledger.llm.shared_folder import written
+from brookledger.llm.shared_folder import release_exchanges, written
+from brookledger.sources.tables import new_folder, staged_copies_removed
 
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
 PART = 1 << 14  # counters of a sketch that travel together
 
-_HASH, _CHECK = Hasher(101), Hasher(102)
+_HASH = Hasher(101)
 
 
 # ---- sets ------------------------------------------------------------------
@@ -142,7 +143,7 @@ def _postings(rows: DataFrame, rarity: np.ndarray, size: int) -> DataFrame:
             owner = sets.owner[chosen]
             ids, ties = (column(part, n).to_numpy(zero_copy_only=False) for n in ("owner", "tie"))
             entries = {
-                "h1": sets.values[chosen], "h2": np.zeros(len(owner), np.uint64), "owner": ids[owner], "tie": ties[owner],
+                "h1": sets.values[chosen] & grams.SHORT, "h2": np.zeros(len(owner), np.uint64), "owner": ids[owner], "tie": ties[owner],
                 "place": place[chosen].astype(np.int32), "extra": sets.sizes[owner].astype(np.int32),
             }
             yield grams.to_batch(list(grams.deal(entries, n_buckets, in_company)))
@@ -205,8 +206,10 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     profiles = written(rows.select("doc_id", "tie", "text").mapInArrow(_profiles(size, bits), PROFILE).withColumn("row", F.monotonically_increasing_id()), "profiles")
     known = profiles.where("part IS NULL")
 
+    # Grouped sides are dealt anew before they are joined: then both sides of the
+    # join are plain exchanges, and adaptive execution can split a hot partition.
     # A node is a set; its name is the row of one of its documents.
-    nodes = known.where("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("row").alias("node"))
+    nodes = known.where("n_shingles > 0").groupBy("digest", "n_shingles").agg(F.min("row").alias("node")).hint("rebalance")
     owners = written(
         known.join(nodes, ["digest", "n_shingles"], "left").select(
             "doc_id", "tie", "n_shingles", "node", "row", F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("owner")), "owners")
@@ -226,7 +229,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
                     else keyed.join(spoken, ["owner", "tie"]).select("node", "text"), "texts")
 
     # First answers: each set against the first set of its block (list and size band).
-    leaders = lists.groupBy("shingle", "band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    leaders = lists.groupBy("shingle", "band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n").hint("rebalance")
     led = lists.join(leaders, ["shingle", "band"])
     answers = written(
         _measured(led.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), texts, size), "answers")
@@ -238,7 +241,7 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     # are skipped too, and so are pairs whose places leave too few common shingles.
     distance = answers.select(F.col("a").alias("node"), F.col("b").alias("leader"), (1 - F.col("shared") / F.col("united")).alias("distance"))
     grouped = lists.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = grouped.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("shingle")
+    mixed = grouped.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("shingle").hint("rebalance")
     open_lists = (
         grouped.join(mixed, "shingle", "left_semi").join(leaders, ["shingle", "band"], "left")
         .join(distance, ["node", "leader"], "left")
@@ -265,6 +268,19 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
         "doc_id", "tie", "row", "n_shingles", "node", F.coalesce("component", "node").alias("component"))
 
 
+def _stored_classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """``_classes``, written; what was written on the way is deleted."""
+    spark = docs.sparkSession
+    path = new_folder(spark, "llm-classes")
+    with staged_copies_removed(spark):
+        found = _classes(docs, doc_id, text, size)
+        found.write.parquet(path)
+    schema = found.schema
+    del found
+    release_exchanges(spark)
+    return spark.read.schema(schema).parquet(path)
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = WORDS) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id.
 
@@ -285,8 +301,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     leave open are compared further. No list is cut and no pair is left out
     that may reach the threshold.
     """
-    found = _classes(docs, doc_id, text, size)
-    lowest = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("lowest"))
+    found = _stored_classes(docs, doc_id, text, size)
+    lowest = found.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("lowest")).hint("rebalance")
     return found.join(lowest, "component", "left").select(
         "doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("lowest")).alias("component_id"))
 
@@ -297,7 +313,7 @@ def one_of_each_group(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     Documents without words are groups of their own; repeated rows of such a
     document count as one.
     """
-    found = _classes(docs, doc_id, text, size)
+    found = _stored_classes(docs, doc_id, text, size)
     key = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), F.col("tie").alias("content"))
     first = found.where("component IS NOT NULL").groupBy("component").agg(F.min(key).alias("k")).select("k.id", "k.content")
     empty = found.where("component IS NULL").select(F.col("doc_id").alias("id"), F.col("tie").alias("content")).distinct()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from brookledger.llm.batches import LOWER, Texts, column, slices, small_batches
 from brookledger.llm.labelled import fold, sampled
+from brookledger.llm.row_keys import free_names
 
 #: Bytes of context of the deepest level.
 ORDER = 3
@@ -170,11 +171,11 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     return Model(languages, counted["lang"].map(code).to_numpy(np.int64), counted["gram"].to_numpy(np.int64), counted["n"].to_numpy(np.int64), max_contexts)
 
 
-def _verdicts(model: Model, part: pa.RecordBatch, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+def _verdicts(model: Model, part: pa.RecordBatch, texts: pa.Array, letter: str = "_has_letter") -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and bits a byte of each text of a slice."""
     seen = Texts(texts)
     lengths = np.diff(seen.bounds)
-    letters = column(part, "_has_letter").to_numpy(zero_copy_only=False)
+    letters = column(part, letter).to_numpy(zero_copy_only=False)
     if not model.languages:
         return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.full(len(texts), RAW_BITS)
     bits = model.build().bits(seen)
@@ -227,12 +228,13 @@ def in_known_language(docs: DataFrame, model: Model, text: str = "text") -> Data
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
+    (letter,) = free_names(names, "_has_letter")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, text):
-            langs, _, bits = _verdicts(shared.value, part, texts)
+            langs, _, bits = _verdicts(shared.value, part, texts, letter)
             good = pa.array([x != UNKNOWN for x in langs]) if len(langs) else pa.array([], pa.bool_())
             mask = np.logical_and(good.to_numpy(zero_copy_only=False), bits < RAW_BITS)
             yield part.select(names).filter(pa.array(mask))
 
-    return docs.withColumn("_has_letter", _with_letter(F.col(text))).mapInArrow(keep, docs.schema)
+    return docs.withColumn(letter, _with_letter(F.col(text))).mapInArrow(keep, docs.schema)

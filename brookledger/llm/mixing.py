@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from brookledger.llm.row_keys import free_names
 from brookledger.llm.shared_folder import written
 
 #: The weights that sources take in turn, and how often a source may be repeated.
@@ -83,6 +87,7 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
     sized = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"), key.alias("key"),
+        F.xxhash64(F.col(text)).alias("content"),
     ).withColumn("bucket", (F.conv(F.substring("key", 1, 8), 16, 10).cast("long") % BUCKETS).cast("int"))
     sized = written(sized, "sizes")
     buckets = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
@@ -93,7 +98,7 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
         .join(sources.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s", "bucket_size")
         .withColumnsRenamed({"source": "s", "bucket": "b"})
     )
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "content").rowsBetween(Window.unboundedPreceding, -1)
     laid = (
         sized.withColumn("within", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(begins, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
@@ -107,19 +112,34 @@ def mixture(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
         laid.withColumn("copies", copies)
         .withColumn("taken", F.size("copies") * F.col("size"))
         .withColumn("times", F.transform("copies", lambda at: time_of(at / F.col("target"), F.col("ordinal"))))
-        .select("doc_id", "size", "source", "source_size", "target", "taken", "key",
+        .select("doc_id", "size", "source", "source_size", "target", "taken", "content",
                 F.size("copies").alias("copies"), "times")
     )
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """The documents of the mix with their own columns, a row for each copy, in training order."""
+    """The documents of the mix with their own columns, a row for each copy, in training order.
+
+    A document is found by id, source and a hash of its text. Rows that repeat
+    all three cannot be told apart by that: they, and only they, are made one
+    row by an aggregate, which then stands for all their copies.
+    """
     names = docs.columns
-    plan = mixture(docs, doc_id, text, source).where("copies > 0").groupBy("doc_id", "source", "size").agg(
-        F.sort_array(F.flatten(F.collect_list("times"))).alias("_times"), F.count(F.lit(1)).alias("_rows"),
-    ).withColumnsRenamed({"doc_id": "_id", "source": "_source", "size": "_size"})
-    found = docs.join(
-        plan,
-        F.col(doc_id).eqNullSafe(F.col("_id")) & F.col(source).eqNullSafe(F.col("_source")) & (n_words(F.col(text)) == F.col("_size")),
-    )
-    return found.select(*names, F.explode("_times").alias("_time")).orderBy("_time", doc_id).select(*names)
+    keys = free_names(names, "_id", "_source", "_content")
+    marks = free_names(names, "_plan_id", "_plan_source", "_plan_content")
+    times, time = free_names(names, "_times", "_time")
+    planned = mixture(docs, doc_id, text, source).where("copies > 0").groupBy("doc_id", "source", "content").agg(
+        F.sort_array(F.flatten(F.collect_list("times"))).alias(times), F.count(F.lit(1)).alias("n_rows"))
+    plan = written(planned.withColumnsRenamed(dict(zip(("doc_id", "source", "content"), marks))), "mix")
+    keyed = docs.withColumns(dict(zip(keys, (F.col(doc_id), F.col(source), F.xxhash64(F.col(text))))))
+    same = reduce(and_, (F.col(k).eqNullSafe(F.col(m)) for k, m in zip(keys, marks)))
+
+    def found(wanted: DataFrame, rows: DataFrame) -> DataFrame:
+        return rows.join(wanted.drop("n_rows"), same).select(*names, times, keys[0])
+
+    chosen = found(plan.where("n_rows = 1"), keyed)
+    repeated = plan.where("n_rows > 1")
+    if not repeated.isEmpty():
+        several = keyed.join(repeated.select(*marks), same, "left_semi").dropDuplicates(keys)
+        chosen = chosen.unionAll(found(repeated, several))
+    return chosen.select(*names, F.explode(times).alias(time), keys[0]).orderBy(time, keys[0]).select(*names)

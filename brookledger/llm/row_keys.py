@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from brookledger.llm.shared_folder import written
 
 
+def free_names(taken: list[str], *wanted: str) -> list[str]:
+    """The wanted column names, lengthened where a table has them already (case aside)."""
+    lower = {n.lower() for n in taken}
+    out = []
+    for name in wanted:
+        while name.lower() in lower:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def rows_of_keys(docs: DataFrame, doc_id: str, content: Column, wanted: DataFrame) -> DataFrame:
     """One row of ``docs`` for each (id, content) of ``wanted``, with the columns of ``docs``.
 
@@ -16,16 +27,18 @@ def rows_of_keys(docs: DataFrame, doc_id: str, content: Column, wanted: DataFram
     made distinct by an aggregate; all others pass through semi-joins.
     """
     names = docs.columns
-    keyed = docs.select(*names, F.col(doc_id).alias("_key_id"), content.alias("_key_content"))
-    keys = wanted.select(F.col("id").alias("_key_id"), F.col("content").alias("_key_content"))
-    repeated = written(keyed.groupBy("_key_id", "_key_content").count().where("count > 1").drop("count"), "repeated-keys")
+    id_key, content_key = free_names(names, "_key_id", "_key_content")
+    keyed = docs.select(*names, F.col(doc_id).alias(id_key), content.alias(content_key))
+    keys = wanted.select(F.col("id").alias(id_key), F.col("content").alias(content_key))
+    counted = keyed.groupBy(id_key, content_key).agg(F.count(F.lit(1)).alias("rows"))
+    repeated = written(counted.where("rows > 1").drop("rows"), "repeated-keys")
 
     def same(left: DataFrame, right: DataFrame) -> Column:
-        return left["_key_id"].eqNullSafe(right["_key_id"]) & (left["_key_content"] == right["_key_content"])
+        return left[id_key].eqNullSafe(right[id_key]) & (left[content_key] == right[content_key])
 
     chosen = keyed.join(keys, same(keyed, keys), "left_semi")
     if repeated.isEmpty():
         return chosen.select(*names)
     single = chosen.join(repeated, same(chosen, repeated), "left_anti")
-    several = chosen.join(repeated, same(chosen, repeated), "left_semi").dropDuplicates(["_key_id", "_key_content"])
+    several = chosen.join(repeated, same(chosen, repeated), "left_semi").dropDuplicates([id_key, content_key])
     return single.select(*names).unionAll(several.select(*names))

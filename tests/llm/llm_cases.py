@@ -13,7 +13,7 @@ SF_DIR = "/root/testdata/sf0.001"
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
-    "node string, tie string, row string, owner string, digest string, score string, kept string, places string, "
+    "_id string, _key_id string, node string, tie string, row string, owner string, digest string, score string, kept string, places string, "
     "component string, size string, target string, _has_letter string"
 )
 
@@ -31,7 +31,7 @@ def awkward_rows() -> list[tuple]:
     ]
     rows = [(i, t, "en", "web", 1) for i, t in texts]
     rows[0] = (1, texts[0][1], None, None, None)
-    return [(*r, *["x"] * 12) for r in rows]
+    return [(*r, *["x"] * 14) for r in rows]
 
 
 def sample_rows(table: str = "documents") -> list[dict]:

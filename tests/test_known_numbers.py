@@ -14,20 +14,21 @@ from brookledger.sources.sample_tables import SampleBronze
 SF_DIR = "/root/testdata/sf0.01"
 FAILING = {
     "silver_customers_no_null_ids": 1.0,
-    "silver_transactions_no_null_amounts": 155.0,
-    "silver_customers_no_null_emails": 41.0,
+    "silver_transactions_no_null_amounts": 156.0,
+    "silver_customers_no_null_emails": 42.0,
     "silver_customers_valid_status": 14.0,
-    "silver_customers_valid_credit_score": 16.0,
-    "silver_dq_pass_rate": 93.84,
-    "gold_fact_txn_account_key_integrity": 130.0,
-    "gold_fact_txn_customer_key_integrity": 970.0,
+    "silver_customers_valid_credit_score": 22.0,
+    "silver_fraud_valid_score_range": 75.0,
+    "silver_dq_pass_rate": 94.02,
+    "gold_fact_txn_account_key_integrity": 407.0,
+    "gold_fact_txn_customer_key_integrity": 1003.0,
 }
 
 
 def test_suites_and_gate(spark, tmp_path):
     sample = SampleBronze(spark, SF_DIR)
     silver = daily_batch.store_silver(
-        {e: sample.first(e) for e in ENTITIES}, DEFAULT_AS_OF, str(tmp_path / "silver")
+        {e: sample.both(e) for e in ENTITIES}, DEFAULT_AS_OF, str(tmp_path / "silver")
     )
     tables = daily_batch.store_gold(silver, DEFAULT_AS_OF, str(tmp_path / "gold"))
     with pytest.raises(CriticalChecksFailed) as stopped:
@@ -53,6 +54,6 @@ def test_row_counts(spark):
         for r in queries()["silver_valid_counts"](spark, SF_DIR).collect()
     }
     assert counts == {
-        "SILVER_CUSTOMERS": (1493, 1401), "SILVER_ACCOUNTS": (3000, 3000),
-        "SILVER_TRANSACTIONS": (15000, 14731), "SILVER_FRAUD_FLAGS": (2143, 2127),
+        "SILVER_CUSTOMERS": (1523, 1432), "SILVER_ACCOUNTS": (3043, 3000),
+        "SILVER_TRANSACTIONS": (15040, 14637), "SILVER_FRAUD_FLAGS": (2185, 2067),
     }

@@ -18,9 +18,20 @@ Item = TypeVar("Item")
 Result = TypeVar("Result")
 
 
+_own_folder: list[str] = []
+
+
+def use_folder(folder: str) -> None:
+    """Name the folder for sessions of this process that set no spark.checkpoint.dir."""
+    _own_folder[:] = [folder]
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as spark.checkpoint.dir names it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder every executor can reach, as spark.checkpoint.dir names it.
+
+    Where the setting is missing, it is the one that ``use_folder`` named.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_own_folder), None)
     if not folder:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return posixpath.join(folder, "brookledger", spark.sparkContext.applicationId)

@@ -229,7 +229,13 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_folder(FakeSession("s3a://shared/x", "yarn")) == "s3a://shared/x/brookledger/app"
 
 
-def test_without_a_shared_folder_nothing_is_staged():
+def test_without_a_shared_folder_nothing_is_staged(monkeypatch):
+    from brookledger.sources import tables
+
+    monkeypatch.setattr(tables, "_own_folder", [])
     for master in ("local[4]", "yarn"):
         with pytest.raises(ValueError):
             shared_folder(FakeSession(None, master))
+    tables.use_folder("/own")
+    assert shared_folder(FakeSession(None, "local[4]")) == "/own/brookledger/app"
+    assert shared_folder(FakeSession("/named", "yarn")) == "/named/brookledger/app"

@@ -21,6 +21,8 @@ PER_LANGUAGE = 1500
 MAX_CONTEXTS = 40_000
 #: Bits of a byte that no context predicts: all 256 are alike.
 RAW_BITS = 8.0
+#: Bytes that are scored at a time, so that a long text takes no more memory than a short one.
+BLOCK = 1 << 18
 UNKNOWN = "und"
 
 
@@ -138,18 +140,25 @@ class Model:
         return out
 
     def bits(self, texts: Texts) -> np.ndarray:
-        """Code length of each text under each language."""
-        size = self.size
-        s = self.symbol[texts.text]
-        at = np.arange(len(s)) - np.repeat(texts.bounds[:-1], np.diff(texts.bounds))
-        context = np.zeros(len(s), np.int64)
-        for back in range(ORDER, 0, -1):
-            context *= size
-            context[back:] += np.where(at[back:] >= back, s[:-back], 0)
-        cost = self._cost(ORDER, context, s)
-        total = np.zeros((len(s) + 1, cost.shape[1]))
-        np.cumsum(cost, axis=0, dtype=np.float64, out=total[1:])
-        return total[texts.bounds[1:]] - total[texts.bounds[:-1]]
+        """Code length of each text under each language, worked out in blocks of BLOCK bytes."""
+        size, n = self.size, len(texts.text)
+        symbols = self.symbol[texts.text].astype(np.int32)
+        at = np.minimum(np.arange(n) - np.repeat(texts.bounds[:-1], np.diff(texts.bounds)), ORDER).astype(np.int8)
+        out = np.zeros((len(texts.bounds) - 1, len(self.languages)))
+        for low in range(0, n, BLOCK):
+            high = min(n, low + BLOCK)
+            context = np.zeros(high - low, np.int64)
+            for back in range(ORDER, 0, -1):
+                context *= size
+                skip = max(0, back - low)  # places without so many symbols before them
+                before = symbols[low + skip - back : high - back]
+                context[skip:] += np.where(at[low + skip : high] >= back, before, 0)
+            cost = self._cost(ORDER, context, symbols[low:high])
+            total = np.zeros((high - low + 1, cost.shape[1]))
+            np.cumsum(cost, axis=0, dtype=np.float64, out=total[1:])
+            cuts = np.clip(texts.bounds, low, high) - low
+            out += total[cuts[1:]] - total[cuts[:-1]]
+        return out
 
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, max_contexts: int = MAX_CONTEXTS) -> Model:

@@ -24,14 +24,14 @@ BLANK = "▁"
 class PairTable:
     """A number for each of many pairs of numbers: hash tables, each for what the ones before cannot hold."""
 
-    BITS, TABLES = 20, 6
+    BITS, TABLES = 19, 12
 
     def __init__(self, pairs: np.ndarray, values: np.ndarray):
         keys = (pairs[:, 0] << 32) | pairs[:, 1]
         self.keys, self.values, self.odd = [], [], []
         for k in range(self.TABLES):
             odd = np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x1000003D)
-            table, value = np.full(1 << self.BITS, -1, np.int64), np.full(1 << self.BITS, -1, np.int64)
+            table, value = np.full(1 << self.BITS, -1, np.int64), np.full(1 << self.BITS, -1, np.int32)
             at = self._place(keys, odd)
             table[at], value[at] = keys, values
             self.keys.append(table)
@@ -88,7 +88,7 @@ class Pieces:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(content), np.uint8)
         #: The piece of each character; -1 where it has none, and for the character that stands for a blank.
-        self.piece_of = np.full(0x110000, -1, np.int64)
+        self.piece_of = np.full(0x110000, -1, np.int32)
         for piece, k in ids.items():
             if len(piece) == 1 and piece != BLANK:
                 self.piece_of[ord(piece)] = k

@@ -47,7 +47,7 @@ class WordCache:
     remembered makes no difference to the result.
     """
 
-    def __init__(self, limit: int = 600_000):
+    def __init__(self, limit: int = 400_000):
         self.limit = limit
         self.new, self.old = _Words(), _Words()
 

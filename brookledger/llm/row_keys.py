@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brookledger.llm.shared_folder import written
@@ -42,3 +42,11 @@ def rows_of_keys(docs: DataFrame, doc_id: str, content: Column, wanted: DataFram
     single = chosen.join(repeated, same(chosen, repeated), "left_anti")
     several = chosen.join(repeated, same(chosen, repeated), "left_semi").dropDuplicates([id_key, content_key])
     return single.select(*names).unionAll(several.select(*names))
+
+
+def numbered_copies(docs: DataFrame, doc_id: str, text: str, name: str) -> DataFrame:
+    """``docs`` in the order it is read in, with the number (from 0) of each row among those of equal id and text."""
+    at, content = free_names([*docs.columns, name], "_at", "_content")
+    same = Window.partitionBy(doc_id, content).orderBy(at)
+    placed = docs.withColumn(at, F.monotonically_increasing_id()).withColumn(content, F.sha2(text, 256))
+    return placed.withColumn(name, F.row_number().over(same) - 1).orderBy(at).select(*docs.columns, name)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,12 +15,29 @@ from brookledger.llm.word_cache import WordCache, ragged
 
 SEED = 5
 DROPOUT = 0.1
-#: Different draws of a word; its occurrences are dealt over them by seed, document and place.
-DRAWS = 4
+#: Longest word, in characters, whose segmentations are remembered.
+SHORT = 16
+#: Missing segmentations that are made at once.
+AT_ONCE = 50_000
 #: Fixed value: how the vocabulary writes a blank.
 BLANK = "▁"
 
 
+#: Gets candidates as arrays (number of the word, start, end).
+Candidates = Callable[[np.ndarray, np.ndarray, np.ndarray], "np.ndarray | None"]
+#: The bytes of words, by their indices.
+Spelled = Callable[[np.ndarray], list[bytes]]
+
+
+def dropped(draws: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
+    """Whether candidates are dropped: by the hash of the occurrence's draw and the two ends."""
+    if not dropout:
+        return np.zeros(len(draws), bool)
+    with np.errstate(over="ignore"):
+        h = mix(draws ^ (start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + end.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
+    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout
+
+
 class PairTable:
     """A number for each of many pairs of numbers: hash tables, each for what the ones before cannot hold."""
 
@@ -98,26 +115,17 @@ class Pieces:
         self.score = np.array(score, np.float32)
         self.cache = WordCache()
         self.hasher = Hasher(55)
+        #: A number for each candidate of a short word, by start * (SHORT + 1) + end.
+        self.marks = mix(mix(np.arange(1, (SHORT + 1) ** 2 + 1, dtype=np.uint64)) + np.uint64(77))
 
-    def _candidates(self, left, right, start, end, key, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-        """(score, merged piece) of neighbouring symbols; minus infinity where they do not merge or are skipped.
-
-        A candidate is skipped when the hash of the word's key and its two ends says so.
-        """
-        piece = self.merges.get(left, right)
-        score = np.where(piece >= 0, self.score[piece], -np.inf).astype(np.float32)
-        if dropout:
-            with np.errstate(over="ignore"):
-                h = mix(key ^ (start.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + end.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
-            score[(h >> np.uint64(11)).astype(np.float64) * 2.0**-53 < dropout] = -np.inf
-        return score, piece
-
-    def _merge(self, symbols: np.ndarray, sizes: np.ndarray, keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
+    def _merge(self, symbols: np.ndarray, sizes: np.ndarray, skipped: Candidates, meet: Candidates | None) -> tuple[np.ndarray, np.ndarray]:
         """(pieces of all words one after the other, number of each), from rows of padded symbols.
 
         Each row has an agenda of candidates. In each round every word with a
         candidate left takes its best one, the leftmost of equal scores, and the
-        merged symbol proposes itself to its two neighbours.
+        merged symbol proposes itself to its two neighbours. ``skipped`` says
+        which candidates (row, start, end) are dropped, ``meet`` is told of all
+        that merge or would, had they not been dropped.
         """
         n, width = symbols.shape
         at = np.arange(width)
@@ -135,8 +143,14 @@ class Pieces:
             good = (symbols[row, left] >= 0) & (symbols[row, right] >= 0)
             score[row[~good], left[~good]] = -np.inf
             row, left, right = row[good], left[good], right[good]
-            score[row, left], piece[row, left] = self._candidates(
-                symbols[row, left], symbols[row, right], left, end[row, right], keys[row], dropout)
+            merged = self.merges.get(symbols[row, left], symbols[row, right])
+            score[row[merged < 0], left[merged < 0]] = -np.inf
+            found = merged >= 0
+            row, left, stop, merged = row[found], left[found], end[row, right][found], merged[found]
+            if meet is not None:
+                meet(row, left, stop)
+            score[row, left] = np.where(skipped(row, left, stop), np.float32(-np.inf), self.score[merged])
+            piece[row, left] = merged
 
         propose(row, left)
         rows = np.arange(n)
@@ -156,9 +170,10 @@ class Pieces:
             propose(rows[led], before[rows[led], left[led]])
         return symbols[alive], alive.sum(axis=1)
 
-    def segments(self, words: list[bytes], keys: np.ndarray, dropout: float) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all words one after the other, number of each). Blanks in words are plain spaces.
+    def segments(self, words: list[bytes], skipped: Candidates, meet: Candidates | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words one after the other, number of ids of each). Blanks in words are plain spaces.
 
+        ``skipped`` and ``meet`` get candidates as (index of the word, start, end).
         Characters without a piece become bytes; so does the character that
         stands for a blank, so that it is not mistaken for one.
         """
@@ -180,7 +195,9 @@ class Pieces:
                 codes = np.zeros((len(own), width), np.int64)
                 codes[inside] = points[ragged(starts[own], sizes[own])]
                 # A character without a piece keeps its code, as a negative number.
-                merged, count = self._merge(np.where(padded < 0, -2 - codes, padded), sizes[own], keys[own], dropout)
+                merged, count = self._merge(
+                    np.where(padded < 0, -2 - codes, padded), sizes[own], lambda row, *ends: skipped(own[row], *ends),
+                    meet and (lambda row, *ends: meet(own[row], *ends)))
                 unknown = np.flatnonzero(merged < 0)
                 if len(unknown):
                     spelled = [[self.byte[x] for x in chr(-2 - c).encode()] for c in merged[unknown].tolist()]
@@ -199,11 +216,73 @@ class Pieces:
             out[ragged(places[own], lengths[own])] = merged
         return out, lengths
 
-    def encode(self, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float, draws: int) -> tuple[np.ndarray, np.ndarray]:
+    def _remembered(self, names: np.ndarray, draws: np.ndarray, dropout: float, spelled: Spelled) -> list[tuple]:
+        """Parts (words, ids of all of them one after the other, number of ids of each) that cover all short words.
+
+        names: a number for each word; draws: one for each occurrence. What
+        comes out depends only on the candidates met and which of them are
+        dropped. So segmentations are remembered by word and dropped candidates,
+        with the other candidates that were met on the way: an occurrence whose
+        own draw drops none of those has its answer, any other goes on to the
+        segmentation without them.
+        """
+        at, node, parts = np.arange(len(names)), names, []
+        gone_at, gone = np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        while len(at):
+
+            def make(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                made = [self._made(at[which[k : k + AT_ONCE]], gone_at, gone, spelled) for k in range(0, len(which), AT_ONCE)]
+                return np.concatenate([r for r, _ in made]), np.concatenate([n for _, n in made])
+
+            runs, sizes = self.cache.ids(node, make)
+            heads = np.cumsum(sizes) - sizes
+            n_ids = runs[heads].astype(np.int64)
+            n_met = sizes - 1 - n_ids
+            met = runs[ragged(heads + 1 + n_ids, n_met)]
+            owner = np.repeat(np.arange(len(at)), n_met)
+            start, end = np.divmod(met, np.uint32(SHORT + 1))
+            drop = dropped(draws[at[owner]], start, end, dropout)
+            owner, met = owner[drop], met[drop]
+            settled = np.ones(len(at), bool)
+            settled[owner] = False
+            parts.append((at[settled], runs[ragged(heads[settled] + 1, n_ids[settled])], n_ids[settled]))
+            if settled.all():
+                break
+            gone_at, gone = np.concatenate([gone_at, at[owner]]), np.concatenate([gone, met])
+            firsts = np.flatnonzero(np.diff(owner, prepend=-1))
+            with np.errstate(over="ignore"):
+                node = node[~settled] + np.add.reduceat(self.marks[met], firsts)
+            at = at[~settled]
+        return parts
+
+    def _made(self, words: np.ndarray, gone_at: np.ndarray, gone: np.ndarray, spelled: Spelled) -> tuple[np.ndarray, np.ndarray]:
+        """A run for each word without its dropped candidates: number of ids, ids, the other candidates met; and its length."""
+        row_of = np.full(max(int(words.max()), int(gone_at.max(initial=0))) + 1, -1, np.int64)
+        row_of[words] = np.arange(len(words))
+        out, met = np.zeros((2, len(words), (SHORT + 1) ** 2), bool)
+        own = row_of[gone_at] >= 0
+        out[row_of[gone_at[own]], gone[own]] = True
+
+        def meet(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+            met[row, start * (SHORT + 1) + end] = True
+
+        ids, n_ids = self.segments(spelled(words), lambda row, start, end: out[row, start * (SHORT + 1) + end], meet)
+        row, code = np.nonzero(met & ~out)
+        n_met = np.bincount(row, minlength=len(words))
+        lengths = 1 + n_ids + n_met
+        heads = np.cumsum(lengths) - lengths
+        runs = np.zeros(int(lengths.sum()), np.uint32)
+        runs[heads] = n_ids
+        runs[ragged(heads + 1, n_ids)] = ids
+        runs[ragged(heads + 1 + n_ids, n_met)] = code
+        return runs, lengths
+
+    def encode(self, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float, copies: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, number of ids of each text).
 
-        keys: a number for each text, which its draws depend on. A blank is put
-        before a text that is not empty, as the vocabulary expects.
+        keys and copies: numbers for each text (or one for all) that its draws
+        depend on, besides the seed; each word draws for its place in the text.
+        A blank is put before a text that is not empty, as the vocabulary expects.
         """
         seen = Texts(texts)
         text, bounds = seen.text, seen.bounds
@@ -219,22 +298,36 @@ class Pieces:
         counts = np.diff(first)
         owner = np.repeat(np.arange(len(counts)), counts)
         place = np.arange(len(starts)) - first[:-1][owner]
-        with np.errstate(over="ignore"):
-            salt = mix(mix(keys.astype(np.int64).view(np.uint64) + np.uint64(seed))[owner] + place.astype(np.uint64)) % np.uint64(draws)
+        copies = np.broadcast_to(np.asarray(copies, np.int64), len(counts)).astype(np.uint64)
         leads = place == 0  # these get the blank
         with np.errstate(over="ignore"):
-            drawn = mix(self.hasher.words(text, starts, lengths) + leads * np.uint64(0x5851F42D4C957F2D)) ^ mix(salt + np.uint64(seed << 8))
+            of_text = mix(mix(keys.astype(np.int64).view(np.uint64) + np.uint64(seed)) + copies * np.uint64(0xD1B54A32D192ED03))
+            draws = mix(of_text[owner] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+            names = mix(self.hasher.words(text, starts, lengths) + leads * np.uint64(0x5851F42D4C957F2D))
+        raw, ends = text.tobytes(), starts + lengths
 
-        def encode(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            raw, ends = text.tobytes(), starts[which] + lengths[which]
-            words = [raw[s:e] for s, e in zip(starts[which].tolist(), ends.tolist())]
+        def spelled(which: np.ndarray) -> list[bytes]:
+            words = [raw[s:e] for s, e in zip(starts[which].tolist(), ends[which].tolist())]
             for k in np.flatnonzero(leads[which]).tolist():
                 words[k] = b" " + words[k]
-            return self.segments(words, drawn[which], dropout)
-
-        ids, sizes = self.cache.ids(drawn, encode)
-        ends = np.concatenate([[0], np.cumsum(sizes)])[first]
-        return ids, np.diff(ends)
+            return words
+
+        points = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
+        is_short = points[ends] - points[starts] + leads <= SHORT
+        short, long = np.flatnonzero(is_short), np.flatnonzero(~is_short)
+        parts = [
+            (short[own], ids, n)
+            for own, ids, n in self._remembered(names[short], draws[short], dropout, lambda which: spelled(short[which]))
+        ]
+        if len(long):
+            parts.append((long, *self.segments(spelled(long), lambda row, *at: dropped(draws[long[row]], *at, dropout))))
+        sizes = np.zeros(len(starts), np.int64)
+        for own, _, n in parts:
+            sizes[own] = n
+        out, places = np.zeros(int(sizes.sum()), np.uint32), np.cumsum(sizes) - sizes
+        for own, ids, n in parts:
+            out[ragged(places[own], n)] = ids
+        return out, np.diff(np.concatenate([[0], np.cumsum(sizes)])[first])
 
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The texts back, by a table of the pieces' bytes; the blank in front is dropped."""
@@ -245,8 +338,8 @@ class Pieces:
 
 
 @functools.cache
-def _pieces(path: str, seed: int, dropout: float, draws: int) -> Pieces:
-    """Words are remembered under one setting: another setting has its own."""
+def _pieces(path: str) -> Pieces:
+    """What is remembered holds for any seed and dropout."""
     return Pieces(path)
 
 
@@ -261,23 +354,24 @@ SCHEMA = "doc_id long, n_tokens long, ids array<int>, lossless boolean"
 
 def encoded(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None,
-    seed: int = SEED, dropout: float = DROPOUT, draws: int = DRAWS,
+    seed: int = SEED, dropout: float = DROPOUT, copy: str | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, n_tokens, ids, and whether they decode to the text.
 
     The whole text is encoded; null and empty texts have no ids. The same seed,
-    id and text give the same ids, in any order of the rows; a null id draws
-    like id 0. Dropout 0 gives the ids of the library. Repeated rows are
-    repeated, other columns are ignored. By row, without a shuffle.
+    id, text and number in the column ``copy`` (if there is one) give the same
+    ids, in any order of the rows; a null id or number draws like 0. Dropout 0
+    gives the ids of the library. Repeated rows are repeated, other columns are
+    ignored. By row, without a shuffle.
     """
     small_batches(docs.sparkSession)
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = _pieces(path, seed, dropout, draws)
+        pieces = _pieces(path)
         for part, texts in slices(batches):
-            keys = column(part, "doc_id").fill_null(0).to_numpy(zero_copy_only=False)
-            ids, counts = pieces.encode(texts, keys, seed, dropout, draws)
+            keys, copies = (column(part, c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("doc_id", "copy"))
+            ids, counts = pieces.encode(texts, keys, seed, dropout, copies)
             back = pieces.decode(ids, counts)
             same = [t.as_buffer().to_pybytes() == b for t, b in zip(texts, back)]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids.astype(np.int32)))
@@ -285,5 +379,6 @@ def encoded(
                 [column(part, "doc_id"), pa.array(counts), lists, pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "lossless"]
             )
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    number = F.col(copy) if copy else F.lit(0)
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), number.cast("long").alias("copy"))
     return rows.mapInArrow(run, SCHEMA)

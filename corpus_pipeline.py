@@ -11,6 +11,7 @@ from brookledger.llm.exact_dedup import without_copies
 from brookledger.llm.jaccard_join import one_of_each_group
 from brookledger.llm.language_id import in_known_language, learn
 from brookledger.llm.mixing import mixed
+from brookledger.llm.row_keys import free_names, numbered_copies
 from brookledger.llm.sentencepiece_dropout import encoded
 from brookledger.llm.shared_folder import written
 
@@ -37,8 +38,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of each document, and whether they decode to its text."""
-    return encoded(docs)
+    """The pieces of each document, drawn anew for each of its copies, and whether they decode to its text."""
+    (copy,) = free_names(docs.columns, "_copy")
+    return encoded(numbered_copies(docs, "doc_id", "text", copy), copy=copy)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

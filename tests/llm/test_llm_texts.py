@@ -183,6 +183,35 @@ def test_sentencepiece_dropout_varies_and_decodes():
     assert all(len(i) >= len(p) for i, p in zip(_encoded(texts, 1.0)[1], plain))
 
 
+def test_sentencepiece_drops_a_frequent_word_s_merge_at_its_rate():
+    """Each of these words has one candidate; it is dropped in a tenth of the word's occurrences, not in 0, 25 or 50 percent."""
+    letters = "abcdefghijklmnop"
+    pieces, (ids,) = _encoded(["x" + "".join(f" {c}" for c in letters) * 5000], 0.1)
+    plain = {c: _encoded([f"x {c}"], 0.0)[1][0][-1] for c in letters}
+    assert all(0.08 < 1 - ids.count(k) / 5000 < 0.12 for k in plain.values())
+
+
+def test_sentencepiece_remembered_words_are_those_drawn_in_full(monkeypatch):
+    texts = [r["text"] for r in sample_rows()][:200] + ["the people " * 300, "", "ﬁ ünï 😀\x00"]
+    for dropout in (0.1, 0.6, 1.0):
+        remembered = _encoded(texts, dropout)[1]
+        with monkeypatch.context() as m:
+            m.setattr("brookledger.llm.sentencepiece_dropout.SHORT", 0)
+            assert _encoded(texts, dropout)[1] == remembered
+
+
+def test_sentencepiece_draws_anew_for_each_copy(spark):
+    import corpus_pipeline
+
+    rows = [(k // 3, f"some words that are the same in every copy of text {k // 3}", "en") for k in range(30)] + [(None, None, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _copy string")
+    got = corpus_pipeline.encoding_stage(spark, docs, SF_DIR).collect()
+    assert [r["doc_id"] for r in got] == [i for i, *_ in rows] and all(r["lossless"] for r in got)
+    assert len({(r["doc_id"], tuple(r["ids"])) for r in got[:30]}) > 25
+    again = corpus_pipeline.encoding_stage(spark, docs.repartition(4), SF_DIR).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+
+
 def test_sentencepiece_of_awkward_rows(awkward, empty):
     got = encoded(awkward).collect()
     assert len(got) == 16 and all(r["lossless"] and r["n_tokens"] == len(r["ids"]) for r in got)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brookledger.fixed_values import ENTITIES, SOURCE_COLUMNS
+from brookledger.fixed_values import ENTITIES, LANDING_MAX_MB, SOURCE_COLUMNS
 from brookledger.operators import ledger
 from brookledger.operators.dedup import latest_per_key, roll_forward
 from brookledger.plans import (
@@ -569,12 +569,16 @@ def bronze_forced_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verify.batches(bronze.rows(spark, table, "accounts"))
 
 
+#: About the largest file that a delivery is landed in, well under what may be loaded.
+LANDING_FILE_MB = 128
+
+
 def _landed(spark: SparkSession, sf_dir: str, *entities: str) -> str:
-    """Each entity's first delivery, in two files."""
+    """Each entity's first delivery, in two files or, where it is large, more."""
     sample, root = SampleBronze(spark, sf_dir), new_folder(spark, "landing")
     for entity in entities:
-        rows = stage(sample.first(entity), "delivery").repartition(2)
-        landing.land_csv(rows, root, entity, LANDING_DAY)
+        rows = stage(sample.first(entity), "delivery")
+        landing.land_csv(landing.in_files(rows, file_mb=LANDING_FILE_MB), root, entity, LANDING_DAY)
     return root
 
 
@@ -632,8 +636,8 @@ def landing_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A manifest against the files after a further delivery, one file changed and one gone."""
     root = _landed(spark, sf_dir, *ENTITIES)
     promised = stage(landing.manifest(spark, root, AS_OF), "manifest")
-    following = stage(SampleBronze(spark, sf_dir).following("customers"), "delivery").repartition(2)
-    landing.land_csv(following, root, "customers", NEXT_LANDING_DAY)
+    following = stage(SampleBronze(spark, sf_dir).following("customers"), "delivery")
+    landing.land_csv(landing.in_files(following, file_mb=LANDING_FILE_MB), root, "customers", NEXT_LANDING_DAY)
     first = {
         r.entity: r.path for r in promised.groupBy("entity").agg(F.min("path").alias("path")).collect()
     }
@@ -660,7 +664,8 @@ def bronze_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = bronze.read_extract(spark, landing.entity_folder(root, "accounts"), "accounts")
     sums = stage(landing.manifest(spark, root, AS_OF), "manifest")
     loaded = bronze.with_checksums(bronze.to_bronze(parsed, "accounts", AS_OF), sums)
-    second = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root).select(
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    second = files.where(F.col("length") <= LANDING_MAX_MB * 1024 * 1024).select(
         F.col("path").alias("_source_file"), F.md5("content").alias("_second"))
     return loaded.join(second, "_source_file", "left").select(
         "account_id", (F.col("_checksum") == F.col("_second")).alias("checksum_confirmed"),

@@ -7,10 +7,11 @@ hashed and reconciled by executors, not by a loop on the driver.
 from __future__ import annotations
 
 import datetime as dt
+import math
 import posixpath
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookledger.fixed_values import (
@@ -47,6 +48,24 @@ def _dated(df: DataFrame, entity: str, day: dt.date) -> DataFrame:
     )
 
 
+def csv_bytes(df: DataFrame) -> int:
+    """Bytes that the rows take as CSV at most, without headers: quoted fields, quotes doubled, separators."""
+
+    def field(name: str) -> Column:
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        return 2 * F.octet_length(text) - F.octet_length(F.replace(text, F.lit('"'), F.lit(""))) + 3
+
+    return df.agg(F.sum(sum(map(field, df.columns), F.lit(0)).cast("long"))).first()[0] or 0
+
+
+def in_files(df: DataFrame, *, file_mb: float, at_least: int = 2) -> DataFrame:
+    """The rows dealt evenly to as many partitions, so files, as keep each at about ``file_mb`` megabytes or less.
+
+    ``df`` is read twice, first for its size.
+    """
+    return df.repartition(max(at_least, math.ceil(csv_bytes(df) / (file_mb * _BYTES_PER_MB))))
+
+
 def land_csv(df: DataFrame, root: str, entity: str, day: dt.date) -> None:
     """Write source rows as CSV files of one landing day. Blanks are kept."""
     (

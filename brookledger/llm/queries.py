@@ -42,9 +42,12 @@ SELECT doc_id, keep_id, group_size, kept, text_sha256 FROM r
 
 @query
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents and their shares of the mix, sorted by the training time of the first copy; those left out come last."""
     from brookledger.llm.mixing import mixture
 
-    return mixture(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    planned = mixture(table(spark, sf_dir, "documents"))
+    ordered = planned.orderBy(F.get("times", F.lit(0)).asc_nulls_last(), "doc_id")
+    return ordered.select("doc_id", "size", "source_size", "target", "taken")
 
 
 ORACLES["op9_mixing"] = r"""
@@ -92,6 +95,33 @@ FROM laid
 """
 
 
+@query
+def op9_mixing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each copy of the mix with its training time, sorted by it."""
+    from brookledger.llm.mixing import mixture
+
+    planned = mixture(table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", F.posexplode("times").alias("copy", "time")).orderBy("time", "doc_id", "copy")
+
+
+ORACLES["op9_mixing_order"] = ORACLES["op9_mixing"].partition("laid AS (")[0] + r"""placed AS (
+    SELECT doc_id, size, t.source_size, target, [-0.5, 0.0, 0.5][(s.ordinal - 1) % 3 + 1]::DOUBLE AS slope,
+           (coalesce(sum(size) OVER (
+               PARTITION BY d.source
+               ORDER BY ('0x' || key[1:8])::BIGINT % 4096, key, doc_id, size
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS start
+    FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source JOIN s ON d.source IS NOT DISTINCT FROM s.source),
+copies AS (
+    SELECT doc_id, copy::INTEGER AS copy, slope, (start + copy * source_size)::DOUBLE / target AS share
+    FROM placed, range(0, 3) AS c(copy)
+    WHERE size > 0 AND 2 * (start + copy * source_size) + size < 2 * target)
+SELECT doc_id, copy,
+       CASE WHEN slope = 0 THEN share
+            ELSE (sqrt((1 - slope) * (1 - slope) + 4 * slope * share) - (1 - slope)) / (2 * slope) END AS time
+FROM copies
+"""
+
+
 @query
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     from brookledger.llm.license_scan import license_scan

@@ -312,3 +312,19 @@ def test_mixture_of_awkward_rows(awkward, empty):
     kept = mixed(awkward)
     assert kept.columns == awkward.columns and kept.count() == sum(r["copies"] for r in got)
     assert mixture(empty).count() == 0 and mixed(empty).count() == 0
+
+
+def test_mixing_queries_follow_the_schedule(spark, docs, monkeypatch):
+    from brookledger.llm import mixing, queries
+
+    def orders():
+        plan = mixture(docs).collect()
+        want = [i for *_, i in sorted((not r["times"], min(r["times"], default=0), r["doc_id"]) for r in plan)]
+        copies = [i for _, i in sorted((t, r["doc_id"]) for r in plan for t in r["times"])]
+        got = [r["doc_id"] for r in queries.op9_mixing(spark, SF_DIR).collect()]
+        assert got == want and [r["doc_id"] for r in queries.op9_mixing_order(spark, SF_DIR).collect()] == copies
+        return got
+
+    before = orders()
+    monkeypatch.setattr(mixing, "SLOPES", (0.5, -0.5, 0.25))
+    assert orders() != before

@@ -200,3 +200,12 @@ def op1_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from brookledger.llm.pq_neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@query
+def op12_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from brookledger.llm.toxic_passages import learn, toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
+    return scored.withColumn("n_passages", F.size("passages").cast("long")).drop("passages")

@@ -209,3 +209,12 @@ def op12_toxic_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
     return scored.withColumn("n_passages", F.size("passages").cast("long")).drop("passages")
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from brookledger.llm.tokenizer_alignment import alignment
+
+    return alignment(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))

@@ -17,6 +17,7 @@ from brookledger.plans import (
     contracts,
     daily_batch,
     gold,
+    history_store,
     quality,
     rejects,
     reports,
@@ -32,7 +33,7 @@ from brookledger.plans.rule_catalogue import (
 )
 from brookledger.plans.silver import clean_silver, to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
-from brookledger.sources import bronze, landing
+from brookledger.sources import bronze, landing, snapshots
 from brookledger.sources.sample_tables import SampleBronze
 from brookledger.sources.tables import new_folder, publish, stage, stage_all
 from brookledger.sources.tables import required_tables as tables_present
@@ -308,6 +309,24 @@ def scd2_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir)[1].dimension
 
 
+#: Rows of a file in the queries on versioned tables, so that the sample is many files.
+SAMPLE_ROWS_PER_FILE = 200
+
+
+def _history_by_files(spark: SparkSession, sf_dir: str) -> history_store.HistoryDay:
+    """The second delivery applied to the stored dimension, file by file."""
+    root = new_folder(spark, "history")
+    first = stage(_first_dimension(spark, sf_dir), "dim-customers")
+    history_store.start(spark, root, first, rows_per_file=SAMPLE_ROWS_PER_FILE)
+    delivered = to_silver(SampleBronze(spark, sf_dir).following("customers"), "customers", AS_OF)
+    return history_store.apply_day(spark, root, delivered, AS_OF, rows_per_file=SAMPLE_ROWS_PER_FILE)
+
+
+@query("scd2_copy_on_write")
+def scd2_copy_on_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshots.read(spark, _history_by_files(spark, sf_dir).version, history_store.TABLE)
+
+
 @query("scd2_run_summary")
 def scd2_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir)[1].summary

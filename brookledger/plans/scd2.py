@@ -125,16 +125,25 @@ def expire(dim: DataFrame, changes: DataFrame, as_of: dt.datetime) -> DataFrame:
     return finished.unionByName(closed)
 
 
-def new_versions(dim: DataFrame, changes: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Versions for NEW and CHANGED customers; keys go on after the largest."""
+def new_versions(
+    dim: DataFrame, changes: DataFrame, as_of: dt.datetime, last_key: int | None = None
+) -> DataFrame:
+    """Versions for NEW and CHANGED customers; keys go on after the largest.
+
+    ``last_key`` is the largest key where that is known; ``dim`` is not read for it then.
+    """
     rows = changes.filter(F.col("change_type").isin("NEW", "CHANGED"))
     numbered = with_dense_key(
         rows, "customer_key", "customer_id", tie_break=[F.col("email"), F.col("full_name")]
     )
-    last_key = dim.agg(F.coalesce(F.max("customer_key"), F.lit(0))).scalar()
+    last = (
+        dim.agg(F.coalesce(F.max("customer_key"), F.lit(0))).scalar()
+        if last_key is None
+        else F.lit(last_key)
+    )
     return numbered.withColumns(
         {
-            "customer_key": F.col("customer_key") + last_key,
+            "customer_key": F.col("customer_key") + last,
             "_gold_loaded_at": moment(as_of),
             "effective_from": day(as_of),
             "effective_to": F.lit(OPEN_END),

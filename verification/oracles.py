@@ -113,6 +113,7 @@ oracle("scd2_classify", "select * from history_changes")
 oracle("scd2_expire", "select * from history_expired")
 oracle("scd2_insert_versions", "select * from history_inserted")
 oracle("scd2_dim_customers", "select * from history")
+oracle("scd2_copy_on_write", "select * from history")
 _MESSAGE = (
     "'SCD2 Complete — Inserted: ' || rows_inserted || ' | Expired: ' || rows_expired "
     "|| ' | Unchanged: ' || rows_unchanged"

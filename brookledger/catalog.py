@@ -16,6 +16,7 @@ from brookledger.plans import (
     audit,
     contracts,
     daily_batch,
+    fact_delta,
     gold,
     history_store,
     quality,
@@ -39,6 +40,9 @@ from brookledger.sources.tables import new_folder, publish, stage, stage_all
 from brookledger.sources.tables import required_tables as tables_present
 from brookledger.streaming.incremental import ingest_new_files
 
+#: Rows of a file in the queries on versioned tables, so that the smallest sample is some files.
+SAMPLE_ROWS_PER_FILE = 50_000
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -169,6 +173,44 @@ def fact_transactions_over_history(spark: SparkSession, sf_dir: str) -> DataFram
     return fact.select("transaction_id", "transaction_key", "account_key", "customer_key")
 
 
+def _facts_by_changes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Both facts built from the first delivery and brought to the second by its changes alone."""
+    sample, root = SampleBronze(spark, sf_dir), new_folder(spark, "facts")
+    first = stage_all({e: to_silver(sample.first(e), e, AS_OF) for e in ENTITIES}, "silver-first")
+    second = stage_all(silver(spark, sf_dir, "accounts", "customers", "fraud_flags"), "silver-second")
+    calendar = gold.dim_date(spark, AS_OF)
+    before = stage_all({
+        "dim_accounts": gold.dim_accounts(first["accounts"], AS_OF),
+        "dim_customers": scd2.bootstrap(gold.dim_customers(first["customers"], AS_OF), AS_OF),
+    }, "dims-first")
+    after = stage_all({
+        "dim_accounts": gold.dim_accounts(second["accounts"], AS_OF, before["dim_accounts"]),
+        "dim_customers": scd2.apply_history(before["dim_customers"], second["customers"], AS_OF).dimension,
+    }, "dims-second")
+    dims = (before["dim_accounts"], before["dim_customers"], calendar)
+    transactions = stage(gold.fact_transactions(first["transactions"], first["fraud_flags"], *dims, AS_OF), "fact-first")
+    fraud = stage(gold.fact_fraud(first["fraud_flags"], transactions, *dims, AS_OF), "fraud-first")
+    states = {
+        name: fact_delta.create(spark, root, name, fact, rows_per_file=SAMPLE_ROWS_PER_FILE)
+        for name, fact in ((fact_delta.TRANSACTIONS, transactions), (fact_delta.FRAUD, fraud))
+    }
+    snapshots.commit(spark, root, snapshots.EMPTY, states)
+    delivered = {e: to_silver(sample.following(e), e, AS_OF) for e in ("transactions", "fraud_flags")}
+    version, _ = fact_delta.run_day(
+        spark, root, delivered, second, before, after, calendar, AS_OF, rows_per_file=SAMPLE_ROWS_PER_FILE)
+    return {name: snapshots.read(spark, version, name) for name in states}
+
+
+@query("fact_transactions_by_changes")
+def fact_transactions_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _facts_by_changes(spark, sf_dir)[fact_delta.TRANSACTIONS]
+
+
+@query("fact_fraud_by_changes")
+def fact_fraud_by_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _facts_by_changes(spark, sf_dir)[fact_delta.FRAUD]
+
+
 @query("fact_fraud")
 def fact_fraud(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = stored_silver(spark, sf_dir)
@@ -309,10 +351,6 @@ def scd2_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _history(spark, sf_dir)[1].dimension
 
 
-#: Rows of a file in the queries on versioned tables, so that the sample is many files.
-SAMPLE_ROWS_PER_FILE = 200
-
-
 def _history_by_files(spark: SparkSession, sf_dir: str) -> history_store.HistoryDay:
     """The second delivery applied to the stored dimension, file by file."""
     root = new_folder(spark, "history")

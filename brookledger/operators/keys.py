@@ -90,9 +90,12 @@ def with_lasting_key(
     known: DataFrame,
     *,
     tie_break: list[Column] | None = None,
+    last_key: int | None = None,
 ) -> DataFrame:
     """Members in ``known`` keep their key; only new ids are numbered, after the largest.
 
+    ``last_key`` is the largest key given so far where ``known`` does not hold all of them.
+
     ``known`` has the columns ``id_name`` and ``key_name``, one row for each
     id: the narrow side of the two joins. A NULL id is new each time.
     """
@@ -102,5 +105,5 @@ def with_lasting_key(
     fresh = with_dense_key(
         rows.join(keys, id_name, "left_anti"), key_name, id_name, tie_break=tie_break
     )
-    last = keys.agg(F.coalesce(F.max(key_name), F.lit(0))).scalar()
+    last = keys.agg(F.coalesce(F.max(key_name), F.lit(0))).scalar() if last_key is None else F.lit(last_key)
     return kept.unionByName(fresh.withColumn(key_name, F.col(key_name) + last))

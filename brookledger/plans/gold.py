@@ -84,12 +84,13 @@ def customer_attributes(silver_customers: DataFrame) -> DataFrame:
 
 
 def _keyed(
-    rows: DataFrame, key: str, id_name: str, known: DataFrame | None, tie_break: list[Column]
+    rows: DataFrame, key: str, id_name: str, known: DataFrame | None, tie_break: list[Column],
+    last_key: int | None = None,
 ) -> DataFrame:
     """Keys from 1 on for a first load; later loads pass the table before as ``known``."""
     if known is None:
         return with_dense_key(rows, key, id_name, tie_break=tie_break)
-    return with_lasting_key(rows, key, id_name, known, tie_break=tie_break)
+    return with_lasting_key(rows, key, id_name, known, tie_break=tie_break, last_key=last_key)
 
 
 def dim_customers(
@@ -172,9 +173,12 @@ def fact_transactions(
     calendar: DataFrame,
     as_of: dt.datetime,
     known: DataFrame | None = None,
+    last_key: int | None = None,
 ) -> DataFrame:
     """The transaction fact; rows of ``known`` (the fact before) keep their keys.
 
+    ``last_key`` is the largest key so far where ``known`` is a part of the fact.
+
     A first load moves the wide rows three times: by key bucket, where they are
     numbered and meet the flags, by account and by customer.
     """
@@ -200,7 +204,7 @@ def fact_transactions(
     else:
         numbered = with_lasting_key(
             rows, "transaction_key", "transaction_id", known,
-            tie_break=[F.col("reference_number")],
+            tie_break=[F.col("reference_number")], last_key=last_key,
         ).join(flagged, "transaction_id", "left")
     joined = with_dimension_keys(numbered, accounts, customers, calendar)
     return joined.select(
@@ -222,6 +226,7 @@ def fact_fraud(
     calendar: DataFrame,
     as_of: dt.datetime,
     known: DataFrame | None = None,
+    last_key: int | None = None,
 ) -> DataFrame:
     """``keyed_transactions``: the transaction fact, or its id and key alone."""
     rows = valid_rows(silver_fraud_flags).select(
@@ -230,7 +235,7 @@ def fact_fraud(
         "reviewed_at", "days_to_review",
         date_key(F.to_date("flagged_at")).alias("_on_day"),
     )
-    numbered = _keyed(rows, "fraud_key", "flag_id", known, [F.col("transaction_id")])
+    numbered = _keyed(rows, "fraud_key", "flag_id", known, [F.col("transaction_id")], last_key)
     joined = with_dimension_keys(numbered, accounts, customers, calendar).join(
         keyed_transactions.select("transaction_id", "transaction_key"),
         "transaction_id",

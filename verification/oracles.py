@@ -41,6 +41,23 @@ for _t in ("dim_customers", "dim_accounts", "fact_transactions", "fact_fraud"):
 
 oracle("fact_transactions_over_history", "select * from fact_over_history")
 
+oracle(
+    "fact_transactions_by_changes",
+    """select f.* replace (h.transaction_key as transaction_key, h.account_key as account_key,
+           h.customer_key as customer_key)
+       from fact_transactions f join fact_over_history h using (transaction_id)""",
+)
+oracle(
+    "fact_fraud_by_changes",
+    """select f.* replace (k.flag_key as fraud_key, t.transaction_key as transaction_key,
+           a.account_key as account_key, c.customer_key as customer_key)
+       from fact_fraud f join lasting_fraud_flags k on k.flag_id = f.flag_id
+       left join lasting_transactions t on t.transaction_id = f.transaction_id
+       left join lasting_accounts a on a.account_id = f.account_id
+       left join (select customer_id, customer_key from history where is_current) c
+         on c.customer_id = f.customer_id""",
+)
+
 # ---- verification ---------------------------------------------------------
 def _counts(tables: dict[str, str], more: str = "") -> str:
     return " union all ".join(

@@ -363,7 +363,7 @@ for _name in ("history_expired", "history_inserted", "history"):
     )
 
 # ---- keys that last -----------------------------------------------------------
-for _e, _id in (("accounts", "account"), ("transactions", "transaction")):
+for _e, _id in (("accounts", "account"), ("transactions", "transaction"), ("fraud_flags", "flag")):
     RELATIONS[f"lasting_{_e}"] = f"""
         with before as (select {_id}_id, {dense('k', f'{_id}_id')} from silver1_{_e} where dq_is_valid)
         select n.{_id}_id, coalesce(b.k, (select max(k) from before) + row_number() over (

@@ -34,7 +34,7 @@ from brookledger.plans.rule_catalogue import (
 )
 from brookledger.plans.silver import clean_silver, to_silver
 from brookledger.settings import DEFAULT_AS_OF as AS_OF
-from brookledger.sources import bronze, landing, snapshots
+from brookledger.sources import bronze, csv_records, landing, snapshots
 from brookledger.sources.sample_tables import SampleBronze
 from brookledger.sources.tables import new_folder, publish, stage, stage_all
 from brookledger.sources.tables import required_tables as tables_present
@@ -580,6 +580,39 @@ def bronze_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze.quarantine(spark, table, "fraud_flags").select("record", "_source_entity", "_batch_id")
 
 
+@query("bronze_quoted_breaks")
+def bronze_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements whose description has line breaks, quotes and separators, landed and loaded from many splits."""
+    root, table = new_folder(spark, "landing"), new_folder(spark, "bronze")
+    rows = SampleBronze(spark, sf_dir).first("transactions")
+    note = F.concat(F.col("transaction_id"), F.lit(' said "so",\nand\n\nmore'))
+    noted = rows.withColumn("description", F.when(F.col("channel") != "atm", note).otherwise(F.col("transaction_id")))
+    landing.land_csv(noted, root, "transactions", LANDING_DAY)
+    found = csv_records.records(spark, landing.day_folder(root, "transactions", LANDING_DAY))
+    loaded = bronze.to_bronze(csv_records.parsed(found, "transactions"), "transactions", AS_OF, "path")
+    bronze.store(loaded, table)
+    return bronze.rows(spark, table, "transactions").select("transaction_id", "description", "reference_number", "_batch_id")
+
+
+@query("bronze_load_results")
+def bronze_load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of loading each month's flags: those without a review lack fields, confirmed ones have a line break."""
+    names = SOURCE_COLUMNS["fraud_flags"]
+    flags = SampleBronze(spark, sf_dir).first("fraud_flags").withColumn(
+        "flag_reason", F.when(F.col("is_confirmed_fraud") == "True", F.lit('"two\nlines"')).otherwise(F.lit("one")))
+    fields = [F.coalesce(c, F.lit("")) for c in names]
+    line = F.when(F.col("reviewed_at").isNull(), F.concat_ws(",", *fields[:9])).otherwise(F.concat_ws(",", *fields))
+    month = F.coalesce(F.substring("flagged_at", 1, 7), F.lit("none")).alias("month")
+    lines = stage(flags.select(month, F.coalesce("flag_id", F.lit("")).alias("place"), line.alias("value")), "flag-lines")
+    header = lines.select("month").distinct().select("month", F.lit(None).cast("string").alias("place"), F.lit(",".join(names)).alias("value"))
+    root = new_folder(spark, "landing")
+    ordered = lines.unionAll(header).repartition("month").sortWithinPartitions("month", F.col("place").asc_nulls_first())
+    ordered.select("month", "value").write.partitionBy("month").text(root)
+    rows = csv_records.parsed(csv_records.records(spark, root, glob="*"), "fraud_flags")
+    results = csv_records.load_results(landing.listing(spark, root), rows, "fraud_flags")
+    return results.withColumn("month", F.url_decode(F.regexp_extract("path", "month=([^/]+)/", 1))).drop("path")
+
+
 def backdate(spark: SparkSession, folder: str, days: int) -> None:
     """Give the files of a folder older times, as copies have that keep theirs."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

@@ -94,11 +94,14 @@ def _null_tokens_out(name: str) -> Column:
     return F.when(~F.col(name).isin(NULL_TOKENS), F.col(name)).alias(name)
 
 
-def to_bronze(parsed: DataFrame, entity: str, as_of: dt.datetime) -> DataFrame:
-    """Source columns as text, lineage, and whether the row is quarantined."""
+def to_bronze(parsed: DataFrame, entity: str, as_of: dt.datetime, file: str = "_metadata.file_path") -> DataFrame:
+    """Source columns as text, lineage, and whether the row is quarantined.
+
+    ``file`` names the column with the file a row came from.
+    """
     return parsed.select(
         *[_null_tokens_out(c) for c in SOURCE_COLUMNS[entity]],
-        F.col("_metadata.file_path").alias("_source_file"),
+        F.col(file).alias("_source_file"),
         F.lit(entity).alias("_source_entity"),
         moment(as_of).alias("_load_timestamp"),
         F.lit(f"{BATCH_PREFIX}{compact_day(as_of)}").alias("_batch_id"),

@@ -20,8 +20,6 @@ THRESHOLD = 0.93
 #: Vectors that the index is fitted on at least and at most, lists at most.
 FIT_LEAST, FIT_MOST, MAX_LISTS = 20_000, 131_072, 4096
 SUBSPACES, CODES = 8, 256
-#: Deviations of the cut between two lists that probes allow for: see ``Index.probes``.
-PROBE_DEVIATIONS = 4.0
 #: Vectors of a tile, on each side.
 TILE = 1024
 
@@ -74,16 +72,15 @@ class Index:
         error = np.sqrt(sum(((rest[:, m] - self.books[m][codes[:, m]]) ** 2).sum(axis=1) for m in range(SUBSPACES)))
         return nearest, codes, error
 
-    def probes(self, x: np.ndarray, nearest: np.ndarray, radius: float, deviations: float | None) -> list[np.ndarray]:
-        """Lists that may hold vectors within ``radius`` of each vector.
+    def probes(self, x: np.ndarray, nearest: np.ndarray, radius: float) -> list[np.ndarray]:
+        """Lists whose cut (the plane half way between the centres) lies within half the ``radius`` of each vector.
 
-        A vector of another list lies beyond the cut (the plane half way)
-        between the two centres. The step to a vector at the radius goes towards
-        the cut by radius / sqrt(dimensions) in the mean square, if it has no
-        preferred direction; ``deviations`` times that is allowed for. None
-        allows the whole radius: then nothing can be missed.
+        Two vectors of different lists lie on different sides of the cut between
+        their centres, so their distances from it add up to at most their own.
+        One of two vectors within the radius therefore lies within half of it
+        from the cut: each link is found from one of its ends at least.
         """
-        limit = radius if deviations is None else min(radius, deviations * radius / math.sqrt(x.shape[1]))
+        limit = radius / 2
         square = (self.centres**2).sum(axis=1)
         out = []
         for at in range(0, len(x), 1024):
@@ -151,7 +148,7 @@ def _fit(nodes: DataFrame) -> dict[int, Index]:
     return {d: Index.fit(_unit(part["raw"], d), lists[d]) for d, part in sample.groupby("dim")}
 
 
-def _coded(indexes, radius: float, deviations: float | None):
+def _coded(indexes, radius: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = column(batch, "dim").to_numpy()
@@ -160,7 +157,7 @@ def _coded(indexes, radius: float, deviations: float | None):
                 index = indexes.value.get(d) or Index.trivial(d)
                 x = _unit([r.as_buffer().to_pybytes() for r in column(part, "raw")], d)
                 nearest, codes, error = index.encode(x)
-                probes = index.probes(x, nearest, radius, deviations)
+                probes = index.probes(x, nearest, radius)
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(column(part, n) for n in ("node", "label", "dim", "copies", "raw")), pa.array(nearest.astype(np.int32)),
@@ -210,11 +207,17 @@ def _tile(indexes, threshold: float, radius: float):
         if not len(i):
             return empty
         n = np.bincount(i, copies[j], len(q)).astype(np.int64)
+        # A link counts for the other end too, unless that end looks into this one's list and finds it itself.
+        probes = members["probes"]
+        n_probes = np.array([len(p) for p in probes], np.int64)
+        asking = np.repeat(np.arange(len(x)), n_probes) << 32 | np.concatenate([*probes, np.zeros(0, np.int32)]).astype(np.int64)
+        one_sided = ~np.isin(j << 32 | queries["own"].to_numpy(np.int64)[i], asking)
+        n_x = np.bincount(j[one_sided], queries["copies"].to_numpy()[i[one_sided]], len(x)).astype(np.int64)
         of_q, of_x = _roots(i, j, len(q), len(x))
         has_q, has_x = np.unique(i), np.unique(j)
         return pd.DataFrame({
             "node": np.concatenate([q_node[has_q], x_node[has_x]]),
-            "n": np.concatenate([n[has_q], np.zeros(len(has_x), np.int64)]),
+            "n": np.concatenate([n[has_q], n_x[has_x]]),
             "root": q_node[np.concatenate([of_q[has_q], of_x[has_x]])],
         })
 
@@ -223,7 +226,7 @@ def _tile(indexes, threshold: float, radius: float):
 
 def near_duplicates(
     vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
-    threshold: float = THRESHOLD, probe_deviations: float | None = PROBE_DEVIATIONS,
+    threshold: float = THRESHOLD,
 ) -> DataFrame:
     """One row per input row: vec_id, label, n_links, component_id, kept.
 
@@ -236,7 +239,8 @@ def near_duplicates(
 
     Equal vectors of a label are one node with a number of copies. Nodes are
     put in the inverted list of their nearest coarse centre and coded by what is
-    left of them; each looks into all lists that may hold a link, filters by
+    left of them; each looks into the lists within half the radius (so one end
+    of every link sees it, and it counts for both ends), filters by
     distances from its table and compares the rest exactly. The work on a list
     is cut into tiles of at most about TILE queries and TILE members, so a list
     (or a cluster) with a third of all vectors is many tasks; a tile returns
@@ -251,10 +255,10 @@ def near_duplicates(
         rows.where("raw IS NOT NULL").groupBy("label", "dim", "raw", "vec_id").agg(F.min("row").alias("row"))
         .groupBy("label", "dim", "raw").agg(F.min("row").alias("node"), F.count(F.lit(1)).alias("copies")), "nodes")
     indexes = spark.sparkContext.broadcast(_fit(nodes))
-    coded = written(nodes.select("node", "label", "dim", "copies", "raw").mapInArrow(_coded(indexes, radius, probe_deviations), CODED.format(label=kind)), "coded")
+    coded = written(nodes.select("node", "label", "dim", "copies", "raw").mapInArrow(_coded(indexes, radius), CODED.format(label=kind)), "coded")
 
     group = ["label", "dim", "list"]
-    asked = coded.select("node", "label", "dim", "raw", F.explode("probes").alias("list"))
+    asked = coded.select("node", "label", "dim", "raw", "copies", F.col("list").alias("own"), F.explode("probes").alias("list"))
     n_members = coded.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("member_tiles"))
     n_queries = asked.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("query_tiles"))
     tiles = written(n_members.join(n_queries, group), "tiles")
@@ -266,8 +270,8 @@ def near_duplicates(
             other, F.explode(F.sequence(F.lit(0), F.col(f"{other}s") - 1)))
 
     queries = dealt(asked, "query_tile", "member_tile").select(
-        *(F.col(n).alias(n) for n in [*group, "query_tile", "member_tile", "node", "raw"]))  # columns of its own
-    members = dealt(coded.drop("probes"), "member_tile", "query_tile").select(*group, "query_tile", "member_tile", "node", "raw", "codes", "error", "copies")
+        *(F.col(n).alias(n) for n in [*group, "query_tile", "member_tile", "node", "raw", "copies", "own"]))  # columns of its own
+    members = dealt(coded, "member_tile", "query_tile").select(*group, "query_tile", "member_tile", "node", "raw", "codes", "error", "copies", "probes")
     keys = [*group, "query_tile", "member_tile"]
     found = written(
         queries.groupBy(*keys).cogroup(members.groupBy(*keys)).applyInPandas(_tile(indexes, threshold, radius), "node long, n long, root long"), "links")

@@ -251,3 +251,26 @@ FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.same
  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
 QUALIFY rank <= 5
 """
+
+
+ORACLES["op1_embedding_neardup"] = r"""
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS x
+    FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+    WHERE list_cosine_similarity(a.x, b.x) >= 0.93),
+reached AS (
+    SELECT a, b FROM links
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a, least(a, min(b)) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT a, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, coalesce(component_id, vec_id) AS component_id,
+       coalesce(component_id, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN lowest l ON vec_id = l.a LEFT JOIN counted c ON vec_id = c.a
+"""

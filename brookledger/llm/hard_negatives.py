@@ -23,7 +23,7 @@ FIT_MOST, MAX_CENTRES, PER_CENTRE = 16_384, 1024, 8192
 #: Members and anchors that meet in one task at most (about).
 MEMBERS, ANCHORS = 16_384, 4096
 #: Children of a node and members of a leaf at most, and how a level's radius shrinks to the next.
-CHILDREN, LEAF, SHRINK = 64, 128, 0.7
+CHILDREN, LEAF, SHRINK = 16, 1024, 0.7
 #: Whole numbers up to this are exact in double precision.
 EXACT = float(1 << 53)
 UNBOUNDED = 1 << 62
@@ -53,10 +53,8 @@ def product_bounds(q: np.ndarray, centres: np.ndarray, radii: np.ndarray, larges
 
 def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Exact inner products of whole-numbered vectors with one, cut off at the ends of a long's range."""
-    if len(x) and x.shape[1] and x.shape[1] * float(np.abs(x).max()) * float(np.abs(q).max()) >= EXACT:
-        whole = [sum(int(a) * int(b) for a, b in zip(row, q)) for row in x.tolist()]
-        return np.array([max(-(1 << 63), min((1 << 63) - 1, v)) for v in whole], np.int64)
-    return (x @ q).astype(np.int64)
+    whole = [sum(int(a) * int(b) for a, b in zip(row, q)) for row in x.tolist()]
+    return np.array([max(-(1 << 63), min((1 << 63) - 1, v)) for v in whole], np.int64)
 
 
 # ---- the tree ------------------------------------------------------------------
@@ -87,6 +85,11 @@ class CoverTree:
         self.labels = labels
         self.root = self._build(points, 0, len(x), points[0] if len(x) else np.zeros(points.shape[1]))
         self.x, self.ids, self.labels = x[self.order], ids[self.order], labels[self.order]
+        self.widest = float(np.abs(x).max()) * max(1, x.shape[1]) if x.size else 0.0
+
+    def scores(self, node: Node, q: np.ndarray, exact: bool) -> np.ndarray:
+        own = self.x[node.low : node.high]
+        return own @ q if exact else products(own, q)
 
     def _build(self, points: np.ndarray, low: int, high: int, centre: np.ndarray) -> Node:
         own = self.order[low:high]
@@ -101,7 +104,8 @@ class CoverTree:
         # A net of the next level: the nearest to the parent's centre first, then always the one that is least covered.
         picked = [int(away.argmin())]
         nearest, owner = np.sqrt(((points[own] - points[own[picked[0]]]) ** 2).sum(axis=1)), np.zeros(len(own), np.int64)
-        while len(picked) < CHILDREN and nearest.max() > radius:
+        most = min(CHILDREN, 2 * -(-len(own) // LEAF))
+        while len(picked) < most and nearest.max() > radius:
             picked.append(int(nearest.argmax()))
             d = np.sqrt(((points[own] - points[own[picked[-1]]]) ** 2).sum(axis=1))
             closer = d < nearest
@@ -124,11 +128,13 @@ class CoverTree:
         label or its products lie outside what every window still takes.
         """
         top = max(w.high for w in windows)
+        exact = self.widest * (float(np.abs(q).max()) if q.size else 0.0) < EXACT
         heap: list[tuple[float, int, Node]] = [(-float(top), 0, self.root)]
         pushed = 0
+        least = min(w.least for w in windows)
         while heap:
             greatest, _, node = heapq.heappop(heap)
-            if -greatest < min(w.least for w in windows):
+            if -greatest < least:
                 break
             if node.label is not None and (node.label == label) != same:
                 continue
@@ -139,13 +145,20 @@ class CoverTree:
                         pushed += 1
                         heapq.heappush(heap, (-min(b, float(top)), pushed, child))
                 continue
-            labels, ids = self.labels[node.low : node.high], self.ids[node.low : node.high]
-            wanted = ((labels == label) == same) & (ids != own_id)
-            scores = products(self.x[node.low : node.high], q)
+            scores = self.scores(node, q, exact)
+            inside = np.flatnonzero((scores >= least) & (scores <= top))
+            if not len(inside):
+                continue
+            at = node.low + inside
+            inside = inside[((self.labels[at] == label) == same) & (self.ids[at] != own_id)]
+            if not len(inside):
+                continue
+            found, ids = scores[inside].astype(np.int64), self.ids[node.low + inside]
             for w in windows:
-                inside = np.flatnonzero(wanted & (scores <= w.high) & (scores >= w.least))
-                if len(inside):
-                    w.offer(scores[inside], ids[inside])
+                own = (found <= w.high) & (found >= w.least)
+                if own.any():
+                    w.offer(found[own], ids[own])
+            least = min(w.least for w in windows)
 
 
 class Best:

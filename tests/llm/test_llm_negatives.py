@@ -92,14 +92,15 @@ def test_bounds_hold_for_every_candidate():
 
 
 def test_the_tree_skips_nodes_outside_the_window(monkeypatch):
+    monkeypatch.setattr(hn, "LEAF", 64)
     draw = np.random.default_rng(7)
     centres = draw.normal(size=(40, 16))
     x = np.floor(256 * (centres[draw.integers(0, 40, 8000)] + 0.02 * draw.normal(size=(8000, 16))))
     ids, labels = np.arange(8000), draw.integers(0, 2, 8000)
     tree = CoverTree(x, ids, labels, float(np.sqrt((x * x).sum(axis=1)).max()))
     looked = []
-    plain = hn.products
-    monkeypatch.setattr(hn, "products", lambda part, q: looked.append(len(part)) or plain(part, q))
+    plain = CoverTree.scores
+    monkeypatch.setattr(CoverTree, "scores", lambda self, node, q, exact: looked.append(node.high - node.low) or plain(self, node, q, exact))
     best = Best(-(1 << 62), 1 << 62, 5)
     tree.search(x[0], 0, labels[0], True, [best])
     scores = x @ x[0]

@@ -15,6 +15,7 @@ from brookledger.llm.batches import NOT_SPACE, Hasher, Texts, column, mix, slice
 from brookledger.llm.components import components
 from brookledger.llm.row_keys import rows_of_keys
 from brookledger.llm.shared_folder import release_exchanges, written
+from brookledger.llm.worker_memory import turn_of
 from brookledger.sources.tables import new_folder, staged_copies_removed
 
 WORDS = 5
@@ -62,6 +63,7 @@ class Sets:
 
 def _profiles(size: int, bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of("jaccard")
         sketch, seen = np.zeros(1 << bits, np.uint32), False
         for part, texts in slices(batches):
             sets = Sets(texts, size)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from brookledger.llm.batches import LOWER, Texts, column, slices, small_batches
 from brookledger.llm.labelled import fold, sampled
 from brookledger.llm.row_keys import free_names
+from brookledger.llm.worker_memory import turn_of
 
 #: Bytes of context of the deepest level.
 ORDER = 3
@@ -240,6 +241,7 @@ def in_known_language(docs: DataFrame, model: Model, text: str = "text") -> Data
     (letter,) = free_names(names, "_has_letter")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of("language_id")
         for part, texts in slices(batches, text):
             langs, _, bits = _verdicts(shared.value, part, texts, letter)
             good = pa.array([x != UNKNOWN for x in langs]) if len(langs) else pa.array([], pa.bool_())

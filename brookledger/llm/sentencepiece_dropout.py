@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from brookledger.llm.batches import Hasher, Texts, byte_table, column, mix, slices, small_batches
 from brookledger.llm.word_cache import WordCache, ragged
+from brookledger.llm.worker_memory import remembered_by, turn_of
 
 SEED = 5
 DROPOUT = 0.1
@@ -343,6 +344,9 @@ def _pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
+remembered_by("sentencepiece", _pieces)
+
+
 def default_path() -> str:
     import public_tokenizers
 
@@ -354,9 +358,9 @@ SCHEMA = "doc_id long, n_tokens long, ids array<int>, lossless boolean"
 
 def encoded(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str | None = None,
-    seed: int = SEED, dropout: float = DROPOUT, copy: str | None = None,
+    seed: int = SEED, dropout: float = DROPOUT, copy: str | None = None, position: str | None = None,
 ) -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids, and whether they decode to the text.
+    """One row per input row: doc_id, n_tokens, ids, whether they decode to the text, and the column ``position`` (if one is named).
 
     The whole text is encoded; null and empty texts have no ids. The same seed,
     id, text and number in the column ``copy`` (if there is one) give the same
@@ -368,6 +372,7 @@ def encoded(
     path = path or default_path()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        turn_of("sentencepiece")
         pieces = _pieces(path)
         for part, texts in slices(batches):
             keys, copies = (column(part, c).fill_null(0).to_numpy(zero_copy_only=False) for c in ("doc_id", "copy"))
@@ -376,9 +381,12 @@ def encoded(
             same = [t.as_buffer().to_pybytes() == b for t, b in zip(texts, back)]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [column(part, "doc_id"), pa.array(counts), lists, pa.array(same, pa.bool_())], ["doc_id", "n_tokens", "ids", "lossless"]
+                [column(part, "doc_id"), pa.array(counts), lists, pa.array(same, pa.bool_()), *(column(part, n) for n in placed)],
+                ["doc_id", "n_tokens", "ids", "lossless", *placed],
             )
 
     number = F.col(copy) if copy else F.lit(0)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), number.cast("long").alias("copy"))
-    return rows.mapInArrow(run, SCHEMA)
+    placed = ["position"] if position else []
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), number.cast("long").alias("copy"),
+        *([F.col(position).cast("long").alias("position")] if position else []))
+    return rows.mapInArrow(run, SCHEMA + (", position long" if position else ""))

@@ -38,9 +38,12 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of each document, drawn anew for each of its copies, and whether they decode to its text."""
-    (copy,) = free_names(docs.columns, "_copy")
-    return encoded(numbered_copies(docs, "doc_id", "text", copy), copy=copy)
+    """The pieces of each document, drawn anew for each of its copies, whether they decode to its text, and its position.
+
+    Positions rise in training order, as the stage before wrote it.
+    """
+    copy, position = free_names(docs.columns, "_copy", "_position")
+    return encoded(numbered_copies(docs, "doc_id", "text", copy, position), copy=copy, position=position)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

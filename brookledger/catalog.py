@@ -603,7 +603,11 @@ def bronze_load_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [F.coalesce(c, F.lit("")) for c in names]
     line = F.when(F.col("reviewed_at").isNull(), F.concat_ws(",", *fields[:9])).otherwise(F.concat_ws(",", *fields))
     month = F.coalesce(F.substring("flagged_at", 1, 7), F.lit("none")).alias("month")
-    lines = stage(flags.select(month, F.coalesce("flag_id", F.lit("")).alias("place"), line.alias("value")), "flag-lines")
+    # Rows of one id lie with the short ones first, then those of two lines, so that line numbers have one answer.
+    place = F.concat_ws(
+        "|", F.coalesce("flag_id", F.lit("")), F.when(F.col("reviewed_at").isNull(), "0").otherwise("1"),
+        F.when(F.col("is_confirmed_fraud") == "True", "0").otherwise("1"))
+    lines = stage(flags.select(month, place.alias("place"), line.alias("value")), "flag-lines")
     header = lines.select("month").distinct().select("month", F.lit(None).cast("string").alias("place"), F.lit(",".join(names)).alias("value"))
     root = new_folder(spark, "landing")
     ordered = lines.unionAll(header).repartition("month").sortWithinPartitions("month", F.col("place").asc_nulls_first())

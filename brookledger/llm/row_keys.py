@@ -45,24 +45,33 @@ def rows_of_keys(docs: DataFrame, doc_id: str, content: Column, wanted: DataFram
     return single.select(*names).unionAll(several.select(*names))
 
 
-def position_in_files(docs: DataFrame) -> Column:
+def position_in_files(docs: DataFrame) -> Column | None:
     """Where each row of stored Parquet files lies: larger for later rows of a file, and for later files of a write.
 
     A table that was written in an order is read in another, as Spark packs
     files by size; the number of the file and the row's own in it still tell
-    the order. For rows that come from no file it is the order they are read in.
+    the order. None for rows that come from no file.
     """
     try:
         docs.select("_metadata.row_index").schema  # noqa: B018 - resolves the column or raises
     except AnalysisException:
-        return F.monotonically_increasing_id()
+        return None
     number = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).try_cast("long")
     return F.shiftleft(F.coalesce(number, F.lit(0)), 32) + F.col("_metadata.row_index")
 
 
 def numbered_copies(docs: DataFrame, doc_id: str, text: str, name: str, position: str) -> DataFrame:
-    """``docs`` with each row's position in the files, and its number (from 0) among the rows of equal id and text by position."""
-    (content,) = free_names([*docs.columns, name, position], "_content")
-    same = Window.partitionBy(doc_id, content).orderBy(position)
-    placed = docs.withColumn(position, position_in_files(docs)).withColumn(content, F.sha2(text, 256))
-    return placed.withColumn(name, F.row_number().over(same) - 1).select(*docs.columns, name, position)
+    """``docs`` in the order of the files they are stored in, with the number (from 0) of each row among those of equal id and text.
+
+    ``position`` is the row's place in the files; rows that come from no file
+    have none and stay in the order they are read in.
+    """
+    at, content = free_names([*docs.columns, name, position], "_at", "_content")
+    same = Window.partitionBy(doc_id, content).orderBy(at)
+    place = position_in_files(docs)
+    placed = docs.withColumns({
+        position: F.lit(None).cast("long") if place is None else place,
+        at: F.monotonically_increasing_id() if place is None else place,
+        content: F.sha2(text, 256),
+    })
+    return placed.withColumn(name, F.row_number().over(same) - 1).orderBy(at).select(*docs.columns, name, position)

@@ -1,4 +1,7 @@
-"""Exact dedup by a tree merge of sorted digest runs, in DataFrame operations only."""
+"""Exact dedup by a tree merge of digest runs, in DataFrame operations only.
+
+Runs are neither sorted nor exchanged in pairs: each level is a hash aggregation over up to FAN_IN runs.
+"""
 
 from __future__ import annotations
 
@@ -31,7 +34,7 @@ def _merge(runs: DataFrame, *group: str) -> DataFrame:
 
 
 def sorted_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One entry per row: its run (input partition), place, digest and lengths."""
+    """One entry per row: its run (input partition), place, digest and lengths; not sorted, whatever the name says."""
     reduced = docs.select(
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row"),

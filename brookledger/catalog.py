@@ -20,6 +20,7 @@ from brookledger.plans import (
     gold,
     history_store,
     quality,
+    quality_state,
     rejects,
     reports,
     scd2,
@@ -443,6 +444,20 @@ def dq_silver_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_suite(_silver_tables(spark, sf_dir), SILVER_CHECKS, AS_OF)
 
 
+@query("dq_silver_suite_carried")
+def dq_silver_suite_carried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The Silver suite over both deliveries from the first one's state and the second one's changes."""
+    sample, root = SampleBronze(spark, sf_dir), new_folder(spark, "dq-state")
+    latest = stage_all({e: latest_per_key(sample.first(e), e) for e in ENTITIES}, "latest-rows")
+    counted = {f"silver_{e}": clean_silver(df, e, AS_OF) for e, df in latest.items()}
+    quality_state.start(spark, root, counted, SILVER_CHECKS, rows_per_file=SAMPLE_ROWS_PER_FILE)
+    batches = stage_all({e: sample.following(e) for e in ENTITIES}, "batches")
+    changes = {f"silver_{e}": quality_state.day_changes(latest[e], batches[e], e, AS_OF) for e in ENTITIES}
+    gone, came = ({name: pair[n] for name, pair in changes.items()} for n in (0, 1))
+    version = quality_state.advance(spark, root, gone, came, SILVER_CHECKS, rows_per_file=SAMPLE_ROWS_PER_FILE)
+    return quality_state.suite(spark, version, SILVER_CHECKS, AS_OF)
+
+
 @query("dq_gold_suite")
 def dq_gold_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_suite(star(spark, sf_dir)[1], GOLD_CHECKS, AS_OF)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import posixpath
 from collections.abc import Callable
 from functools import reduce
 
@@ -10,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brookledger.fixed_values import ENTITIES, LANDING_MAX_MB, SOURCE_COLUMNS
+from brookledger.functions.calendar import compact_stamp
 from brookledger.operators import ledger
 from brookledger.operators.dedup import latest_per_key, roll_forward
 from brookledger.plans import (
@@ -119,7 +122,7 @@ def latest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("duplicate_rejects")
 def duplicate_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     sample = SampleBronze(spark, sf_dir)
-    return rejects.all_duplicates({e: sample.both(e) for e in ENTITIES}, AS_OF)
+    return rejects.all_duplicates(stage_all({e: sample.both(e) for e in ENTITIES}, "bronze"), AS_OF)
 
 
 # ---- Gold -----------------------------------------------------------------
@@ -295,6 +298,21 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(audit.RUN_LOG_SCHEMA).parquet(path)
 
 
+@query("run_log_observed")
+def run_log_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of Silver loads, counted by the jobs that write them, and of the quality gate, which stops the run."""
+    root, loads, sample = new_folder(spark, "observed-run"), audit.Loads(), SampleBronze(spark, sf_dir)
+    log = posixpath.join(root, "run_log")
+    stored = daily_batch.store_silver({e: sample.both(e) for e in ENTITIES}, AS_OF, posixpath.join(root, "silver"), loads)
+    audit.append(loads.log_rows(spark, ENTITIES, "SILVER", "bronze_to_silver", AS_OF), log)
+    gate = audit.failure_logged(
+        spark, log, run_id=f"QUALITY_{compact_stamp(AS_OF)}", pipeline="data_quality", entity="silver", as_of=AS_OF)
+    with contextlib.suppress(quality.CriticalChecksFailed), gate:
+        tables = {f"silver_{e}": df for e, df in stored.items()}
+        quality.require_no_critical_failure(quality.run_suite(tables, SILVER_CHECKS, AS_OF))
+    return spark.read.schema(audit.RUN_LOG_SCHEMA).parquet(log)
+
+
 # ---- customer history -----------------------------------------------------
 def _first_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dimension after the first delivery, which the history starts from."""
@@ -521,7 +539,8 @@ def dq_report_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("coded_rejects")
 def coded_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows that break a rule, later copies of a key, and balances that do not add up."""
-    raw, stored = _raw_tables(spark, sf_dir), _silver_tables(spark, sf_dir)
+    raw = stage_all(_raw_tables(spark, sf_dir), "bronze")
+    stored = stage_all({f"silver_{e}": to_silver(raw[f"raw_{e}"], e, AS_OF) for e in ENTITIES}, "silver")
     by_rule = quality.coded_rejects({**raw, **stored}, BRONZE_RULES + SILVER_RULES, AS_OF)
     copies = rejects.all_duplicates({e: raw[f"raw_{e}"] for e in ENTITIES}, AS_OF)
     return by_rule.unionByName(quality.coded_duplicates(copies, SILVER_RULES)).unionByName(
@@ -732,11 +751,13 @@ def landing_manifest_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("landing_eligibility")
 def landing_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of each entity by verdict: whole extracts exceed the small limit, one row does not."""
+    """Files of each entity by verdict, under a limit between those of accounts and the larger ones of customers."""
     root = _with_notes(spark, _landed(spark, sf_dir, "customers"), "customers")
-    one = stage(SampleBronze(spark, sf_dir).first("accounts").orderBy("account_id").limit(1), "one-row")
-    landing.land_csv(one, root, "accounts", LANDING_DAY)
-    files = landing.eligibility(landing.listing(spark, root), max_mb=0.002)
+    accounts = stage(SampleBronze(spark, sf_dir).first("accounts"), "delivery")
+    landing.land_csv(landing.in_files(accounts, file_mb=LANDING_FILE_MB / 4, at_least=4), root, "accounts", LANDING_DAY)
+    listed = landing.listing(spark, root)
+    largest = listed.where("entity = 'accounts'").agg(F.max("length")).first()[0]
+    files = landing.eligibility(listed, max_mb=largest / landing.BYTES_PER_MB)
     return files.groupBy("entity", "is_valid", "reason").agg(F.count(F.lit(1)).alias("files"))
 
 

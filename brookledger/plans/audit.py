@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import contextlib
 import datetime as dt
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,21 +89,33 @@ def silver_load_rows(silver: Mapping[str, DataFrame], as_of: dt.datetime) -> Dat
     return reduce(DataFrame.unionByName, rows)
 
 
-def gold_load_rows(tables: Mapping[str, DataFrame], as_of: dt.datetime) -> DataFrame:
-    """Log rows of Gold loads: every row of a stored table was loaded."""
-    rows = [
-        run_row(
-            df.agg(F.count(F.lit(1)).alias("n")),
-            run_id=f"GOLD_{name.upper()}_{as_of:%Y%m%d_%H%M%S}",
-            pipeline="silver_to_gold",
-            entity=name,
-            started_at=as_of,
-            read=F.col("n"),
-            loaded=F.col("n"),
-        )
-        for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, rows)
+class Loads:
+    """Counts of loads, observed by the jobs that write them.
+
+    ``watched`` goes around the rows that a job writes, as the last step before
+    the write, whose tasks count each row once however often they are redone.
+    The log rows then come without a look at the stored table.
+    """
+
+    def __init__(self) -> None:
+        self._seen: dict[str, Observation] = {}
+
+    def watched(self, df: DataFrame, name: str, valid: Column | None = None) -> DataFrame:
+        """The rows unchanged; all are read, and loaded are those that are ``valid`` (all, if not said)."""
+        self._seen[name] = Observation(f"load-{name}")
+        loaded = F.count(F.lit(1)) if valid is None else F.count_if(valid)
+        return df.observe(self._seen[name], F.count(F.lit(1)).alias("read"), loaded.alias("loaded"))
+
+    def log_rows(self, spark: SparkSession, names: Iterable[str], layer: str, pipeline: str, as_of: dt.datetime) -> DataFrame:
+        """A SUCCESS row for each of these loads; their writes must have ended."""
+        frames = []
+        for name in names:
+            seen = self._seen[name].get
+            read, loaded = F.lit(seen["read"]), F.lit(seen["loaded"])
+            frames.append(run_row(
+                spark.range(1), run_id=f"{layer}_{name.upper()}_{as_of:%Y%m%d_%H%M%S}", pipeline=pipeline,
+                entity=name, started_at=as_of, read=read, loaded=loaded, failed=read - loaded))
+        return reduce(DataFrame.unionByName, frames)
 
 
 def append(log_rows: DataFrame, path: str) -> None:

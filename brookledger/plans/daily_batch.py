@@ -29,19 +29,24 @@ from brookledger.sources.tables import (
 
 
 def store_silver(
-    raw: Mapping[str, DataFrame], as_of: dt.datetime, root: str
+    raw: Mapping[str, DataFrame], as_of: dt.datetime, root: str, loads: audit.Loads | None = None
 ) -> dict[str, DataFrame]:
     """Rebuild all Silver tables from all of Bronze and read them back."""
-    spark = session_of(raw)
-    write_tables({e: to_silver(df, e, as_of) for e, df in raw.items()}, root)
+    spark, loads = session_of(raw), loads or audit.Loads()
+    write_tables({e: _watched_silver(loads, to_silver(df, e, as_of), e) for e, df in raw.items()}, root)
     return {e: read_table(spark, root, e) for e in raw}
 
 
+def _watched_silver(loads: audit.Loads, silver: DataFrame, entity: str) -> DataFrame:
+    return loads.watched(silver, entity, F.col("dq_is_valid"))
+
+
 def store_gold(
     silver: Mapping[str, DataFrame],
     as_of: dt.datetime,
     root: str,
     previous: Mapping[str, DataFrame] | None = None,
+    loads: audit.Loads | None = None,
 ) -> dict[str, DataFrame]:
     """Build the star schema from stored Silver tables.
 
@@ -50,40 +55,41 @@ def store_gold(
     before, whose members keep their keys; its ``dim_customers_history``, if
     there is one, is the customer dimension that facts are joined to.
     """
-    spark = session_of(silver)
+    spark, loads = session_of(silver), loads or audit.Loads()
     before = previous or {}
+
+    def write(made: Mapping[str, DataFrame]) -> None:
+        write_tables({n: loads.watched(df, n) for n, df in made.items()}, root)
+
     known_customers = before.get("dim_customers")
     if "dim_customers_history" in before:
         known_customers = gold.current_rows(before["dim_customers_history"])
-    write_tables(
+    write(
         {
             "dim_date": gold.dim_date(spark, as_of).coalesce(1),
             "dim_customers": gold.dim_customers(silver["customers"], as_of, known_customers),
             "dim_accounts": gold.dim_accounts(silver["accounts"], as_of, before.get("dim_accounts")),
-        },
-        root,
+        }
     )
     tables = {n: read_table(spark, root, n) for n in ("dim_date", "dim_customers", "dim_accounts")}
     customers = before.get("dim_customers_history", tables["dim_customers"])
     dims = (tables["dim_accounts"], customers, tables["dim_date"])
-    write_tables(
+    write(
         {
             "fact_transactions": gold.fact_transactions(
                 silver["transactions"], silver["fraud_flags"], *dims, as_of,
                 before.get("fact_transactions"),
             )
-        },
-        root,
+        }
     )
     tables["fact_transactions"] = read_table(spark, root, "fact_transactions")
-    write_tables(
+    write(
         {
             "fact_fraud": gold.fact_fraud(
                 silver["fraud_flags"], tables["fact_transactions"], *dims, as_of,
                 before.get("fact_fraud"),
             )
-        },
-        root,
+        }
     )
     tables["fact_fraud"] = read_table(spark, root, "fact_fraud")
     return tables
@@ -98,8 +104,9 @@ def run_batch(
     that fails leaves a FAILED row with the message.
     """
     with _run(spark, "BATCH", as_of, root):
-        silver = store_silver(raw, as_of, posixpath.join(root, "silver"))
-        return _after_silver(spark, silver, as_of, root)
+        loads = audit.Loads()
+        silver = store_silver(raw, as_of, posixpath.join(root, "silver"), loads)
+        return _after_silver(spark, silver, as_of, root, loads)
 
 
 @contextlib.contextmanager
@@ -143,10 +150,12 @@ def run_increment(
         write_tables(rolled, latest_root)
         stored = {e: read_table(spark, latest_root, e) for e in latest}
         silver_root = posixpath.join(root, "silver")
-        write_tables({e: clean_silver(df, e, as_of) for e, df in stored.items()}, silver_root)
+        loads = audit.Loads()
+        write_tables(
+            {e: _watched_silver(loads, clean_silver(df, e, as_of), e) for e, df in stored.items()}, silver_root)
         silver = {e: read_table(spark, silver_root, e) for e in latest}
         return {
-            **_after_silver(spark, silver, as_of, root, previous),
+            **_after_silver(spark, silver, as_of, root, loads, previous),
             **{f"latest_{e}": df for e, df in stored.items()},
         }
 
@@ -156,12 +165,13 @@ def _after_silver(
     silver: Mapping[str, DataFrame],
     as_of: dt.datetime,
     root: str,
+    loads: audit.Loads,
     previous: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     write_tables({"reject_records": rejects.all_invalid_rows(silver, as_of)}, root)
-    tables = store_gold(silver, as_of, posixpath.join(root, "gold"), previous)
-    log_rows = audit.silver_load_rows(silver, as_of).unionByName(
-        audit.gold_load_rows(tables, as_of)
+    tables = store_gold(silver, as_of, posixpath.join(root, "gold"), previous, loads)
+    log_rows = loads.log_rows(spark, silver, "SILVER", "bronze_to_silver", as_of).unionByName(
+        loads.log_rows(spark, tables, "GOLD", "silver_to_gold", as_of)
     )
     audit.append(log_rows, posixpath.join(root, "run_log"))
     return {

@@ -28,6 +28,7 @@ from brookledger.fixed_values import (
 )
 from brookledger.functions.bands import is_true
 from brookledger.functions.calendar import compact_stamp, day, moment
+from brookledger.operators.asof import with_state
 from brookledger.operators.keys import with_dense_key
 from brookledger.plans.audit import run_row
 from brookledger.plans.gold import customer_attributes
@@ -257,18 +258,10 @@ def with_state_at(
 ) -> DataFrame:
     """Customer columns as of each fact row's own day; none known leaves NULL.
 
-    An equi-join on the customer with the day as residual condition: a fact
-    row meets only the versions of its own customer, of which it keeps one.
+    Versions and days of a customer are merged (``asof.with_state``), so a
+    customer with very many facts and versions is not their product.
     """
-    versions = dim.select(
-        F.col("customer_id").alias("_member"), "effective_from", "effective_to", *columns
-    )
-    happened = F.to_date(F.col(on))
-    covers = (
-        (F.col("customer_id") == F.col("_member"))
-        & (happened >= F.col("effective_from"))
-        & (happened <= F.col("effective_to"))
-    )
-    return fact.join(versions, covers, "left").drop(
-        "_member", "effective_from", "effective_to"
+    return with_state(
+        fact, dim, key="customer_id", day=F.to_date(F.col(on)),
+        since="effective_from", until="effective_to", columns=columns,
     )

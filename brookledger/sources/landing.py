@@ -22,7 +22,7 @@ from brookledger.fixed_values import (
 )
 from brookledger.functions.calendar import moment
 
-_BYTES_PER_MB = 1024 * 1024
+BYTES_PER_MB = 1024 * 1024
 _ENTITY_IN_PATH = r"/raw/([^/]+)/year="
 
 
@@ -63,7 +63,7 @@ def in_files(df: DataFrame, *, file_mb: float, at_least: int = 2) -> DataFrame:
 
     ``df`` is read twice, first for its size.
     """
-    return df.repartition(max(at_least, math.ceil(csv_bytes(df) / (file_mb * _BYTES_PER_MB))))
+    return df.repartition(max(at_least, math.ceil(csv_bytes(df) / (file_mb * BYTES_PER_MB))))
 
 
 def land_csv(df: DataFrame, root: str, entity: str, day: dt.date) -> None:
@@ -117,7 +117,7 @@ def eligibility(files: DataFrame, *, max_mb: float = LANDING_MAX_MB) -> DataFram
     """
     extension = F.regexp_extract("path", r"(\.[^./]+)$", 1)
     reason = F.when(~extension.isin(LANDING_EXTENSIONS), "Invalid file type").when(
-        F.col("length") > max_mb * _BYTES_PER_MB, "File too large"
+        F.col("length") > max_mb * BYTES_PER_MB, "File too large"
     )
     return files.select(
         "path", "entity", "length", reason.isNull().alias("is_valid"), reason.alias("reason")
@@ -135,7 +135,7 @@ def manifest(
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     )
-    limit = max_mb * _BYTES_PER_MB
+    limit = max_mb * BYTES_PER_MB
     allowed = F.regexp_extract("path", r"(\.[^./]+)$", 1).isin(LANDING_EXTENSIONS)
     entity = F.regexp_extract("path", _ENTITY_IN_PATH, 1).alias("entity")
     hashed = files.filter((F.col("length") <= limit) & allowed).select(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from brookledger.fixed_values import ENTITIES
-from verification.quality_oracles import QUALITY_ORACLES
+from verification.quality_oracles import QUALITY_ORACLES, SILVER_SUITE
 from verification.relations import HASH, NOW, with_relations, yyyymmdd
 from verification.source_oracles import SOURCE_ORACLES
 
@@ -97,20 +97,27 @@ oracle(
 )
 _GOLD = ("dim_date", "dim_customers", "dim_accounts", "fact_transactions", "fact_fraud")
 oracle("gold_row_counts", _counts({t.upper(): t for t in _GOLD}))
-oracle(
-    "run_log",
-    " union all ".join(
-        f"""select 'SILVER_{e.upper()}_20280101_000000' as run_id,
-            'bronze_to_silver' as pipeline_name, '{e}' as entity, 'SUCCESS' as status,
-            count(*) as records_read,
-            count(*) filter (where dq_is_valid) as records_loaded,
-            count(*) filter (where not dq_is_valid) as records_failed,
-            {NOW} as started_at, {NOW} as completed_at,
-            cast(null as varchar) as error_message,
-            cast(null as varchar) as s3_source_path, {NOW} as created_at
-            from silver_{e}"""
-        for e in ENTITIES
-    ),
+_SILVER_LOADS = " union all ".join(
+    f"""select 'SILVER_{e.upper()}_20280101_000000' as run_id,
+        'bronze_to_silver' as pipeline_name, '{e}' as entity, 'SUCCESS' as status,
+        count(*) as records_read,
+        count(*) filter (where dq_is_valid) as records_loaded,
+        count(*) filter (where not dq_is_valid) as records_failed,
+        {NOW} as started_at, {NOW} as completed_at,
+        cast(null as varchar) as error_message,
+        cast(null as varchar) as s3_source_path, {NOW} as created_at
+        from silver_{e}"""
+    for e in ENTITIES
+)
+oracle("run_log", _SILVER_LOADS)
+oracle(
+    "run_log_observed",
+    f"""{_SILVER_LOADS} union all
+        select 'QUALITY_20280101_000000', 'data_quality', 'silver', 'FAILED', 0, 0, 0, {NOW}, {NOW},
+            'Critical DQ checks failed: ['
+                || string_agg(chr(39) || check_name || chr(39), ', ' order by check_name) || ']',
+            null, {NOW}
+        from ({SILVER_SUITE}) where status = 'FAILED' and severity = 'CRITICAL' having count(*) > 0""",
 )
 oracle(
     "dim_date_activity",

@@ -183,8 +183,13 @@ def _overlaps(size: int):
 def _measured(pairs: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(a, b, shared, united) of pairs of nodes, from their texts."""
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
+    return _met(pairs.join(left, "a"), texts, size)
+
+
+def _met(left: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(a, b, shared, united) of pairs that come with the text of their first node."""
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_overlaps(size), "a long, b long, shared long, united long")
+    return left.join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(_overlaps(size), "a long, b long, shared long, united long")
 
 
 def _links(measured: DataFrame) -> DataFrame:
@@ -225,16 +230,18 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
         _postings(keyed, _rarity(profiles, bits), size).join(of_owner, ["owner", "tie"])
         .groupBy("shingle", "node").agg(F.min("place").alias("place"), F.min("size").alias("size"))
         .withColumn("band", F.floor(F.log("size") / F.log(F.lit(100 / PERCENT))).cast("int")), "lists")
-    wanted = lists.select("node").distinct()
-    spoken = named.where(F.col("node") == F.col("row")).join(wanted, "node", "left_semi").select("owner", "tie", "node")
-    texts = written(keyed.join(spoken, ["owner", "tie"]).select("node", "text").dropDuplicates(["node"]) if ambiguous
-                    else keyed.join(spoken, ["owner", "tie"]).select("node", "text"), "texts")
-
-    # First answers: each set against the first set of its block (list and size band).
+    # First answers: each set against the first set of its block (list and size
+    # band). A text is stored with the leaders that its set is compared with, so
+    # that it goes straight to them, and only leaders' texts wait there.
     leaders = lists.groupBy("shingle", "band").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n").hint("rebalance")
-    led = lists.join(leaders, ["shingle", "band"])
-    answers = written(
-        _measured(led.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), texts, size), "answers")
+    asked = lists.join(leaders, ["shingle", "band"], "left").groupBy("node").agg(
+        F.collect_set(F.when(F.col("node") != F.col("leader"), F.col("leader"))).alias("leaders"),
+        F.coalesce(F.bool_or(F.col("node") == F.col("leader")), F.lit(False)).alias("leads")).hint("rebalance")
+    spoken = named.where(F.col("node") == F.col("row")).select("owner", "tie", "node").join(asked, "node")
+    carried = keyed.join(spoken, ["owner", "tie"]).select("node", "text", "leaders", "leads")
+    texts = written(carried.dropDuplicates(["node"]) if ambiguous else carried, "texts")
+    sent = texts.select(F.col("node").alias("a"), F.explode("leaders").alias("b"), F.col("text").alias("text_a"))
+    answers = written(_met(sent, texts.where("leads"), size), "answers")
     first = components(_links(answers))
 
     # What these answers do not settle. A list whose sets are in one component by

@@ -22,9 +22,11 @@ BASE_PHRASES = {
 #: Licences: label, names in words, identifiers, and addresses (host and path).
 LICENCES: list[tuple[str, tuple[str, ...], tuple[str, ...], tuple[str, ...]]] = [
     ("gpl", ("gnu general public licen[cs]e", "gnu gpl"), ("gpl",), ("gnu.org/licenses/gpl",)),
-    ("gpl-2.0", ("gnu general public licen[cs]e,? version 2", "gnu general public licen[cs]e v2"), ("gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later", "gplv2"), ("gnu.org/licenses/old-licenses/gpl-2.0",)),
-    ("gpl-3.0", ("gnu general public licen[cs]e,? version 3", "gnu general public licen[cs]e v3"), ("gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later", "gplv3"), ("gnu.org/licenses/gpl-3.0",)),
+    ("gpl-2.0", ("gnu general public licen[cs]e,? version 2", "gnu general public licen[cs]e v2", "gnu gpl,? version 2", "gnu gpl v2", "gnu gpl 2.0"), ("gpl-2.0", "gpl-2.0-only", "gpl-2.0-or-later", "gplv2"), ("gnu.org/licenses/old-licenses/gpl-2.0",)),
+    ("gpl-3.0", ("gnu general public licen[cs]e,? version 3", "gnu general public licen[cs]e v3", "gnu gpl,? version 3", "gnu gpl v3", "gnu gpl 3.0"), ("gpl-3.0", "gpl-3.0-only", "gpl-3.0-or-later", "gplv3"), ("gnu.org/licenses/gpl-3.0",)),
     ("lgpl", ("gnu lesser general public licen[cs]e", "gnu library general public licen[cs]e"), ("lgpl", "lgpl-2.1", "lgpl-3.0", "lgplv3"), ("gnu.org/licenses/lgpl",)),
+    ("lgpl-2.1", ("gnu lesser general public licen[cs]e,? version 2.1", "lesser general public licen[cs]e,? version 2.1", "gnu lesser general public licen[cs]e v2.1", "lesser general public licen[cs]e v2.1", "gnu lgpl,? version 2.1", "gnu lgpl v2.1"), ("lgpl-2.1-only", "lgpl-2.1-or-later"), ("gnu.org/licenses/old-licenses/lgpl-2.1",)),
+    ("lgpl-3.0", ("gnu lesser general public licen[cs]e,? version 3", "lesser general public licen[cs]e,? version 3", "gnu lesser general public licen[cs]e v3", "lesser general public licen[cs]e v3", "gnu lgpl,? version 3", "gnu lgpl v3"), ("lgpl-3.0-only", "lgpl-3.0-or-later"), ("gnu.org/licenses/lgpl-3.0",)),
     ("agpl", ("gnu affero general public licen[cs]e",), ("agpl", "agpl-3.0", "agplv3"), ("gnu.org/licenses/agpl",)),
     ("gfdl", ("gnu free documentation licen[cs]e",), ("gfdl", "gfdl-1.3"), ("gnu.org/licenses/fdl",)),
     ("apache", ("apache licen[cs]e", "apache software licen[cs]e"), ("apache",), ("apache.org/licenses",)),

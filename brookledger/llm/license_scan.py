@@ -36,22 +36,42 @@ def _compiled():
     return rules, base, automaton
 
 
-def suppress(found: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Detections (start, end, priority, label) that no other one contains.
+Found = tuple[int, int, int, str]
+
+
+def suppress(found: list[Found]) -> list[Found]:
+    """Detections (start, end, priority, label) that no other one contains or outranks.
 
     Of detections on the same span the smallest priority stays, then the first
-    label in order. Overlapping detections of which neither contains the other
-    both stay.
+    label in order; what another contains goes. Of two that overlap otherwise,
+    the one of smaller priority suppresses the other, unless it is suppressed
+    itself; with equal priority both stay.
     """
-    kept: list[tuple[int, int, int, str]] = []
+    outer: list[Found] = []
     reach = -1
     # By start, longer first: whatever contains a detection comes before it, so
     # the furthest end placed so far decides.
     for one in sorted(set(found), key=lambda d: (d[0], -d[1], d[2], d[3])):
         if one[1] > reach:
-            kept.append(one)
+            outer.append(one)
             reach = one[1]
-    return kept
+    # Starts and ends both rise now, so those that overlap one lie next to it.
+    kept: set[int] = set()
+    for k in sorted(range(len(outer)), key=lambda k: outer[k][2]):
+        if not any(j in kept and outer[j][2] < outer[k][2] for j in _overlapping(outer, k)):
+            kept.add(k)
+    return [outer[k] for k in sorted(kept)]
+
+
+def _overlapping(outer: list[Found], k: int) -> Iterator[int]:
+    j = k - 1
+    while j >= 0 and outer[j][1] > outer[k][0]:
+        yield j
+        j -= 1
+    j = k + 1
+    while j < len(outer) and outer[j][0] < outer[k][1]:
+        yield j
+        j += 1
 
 
 def detect(text: str) -> tuple[list[tuple[int, int, int, str]], list[tuple[int, int, str]]]:
@@ -114,8 +134,8 @@ def license_scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
     Works on the whole lower-cased text (A-Z only); null is an empty text, with
     no words, empty labels, score 0 and null positions. score is the share of
-    the words that detections cover. spans are the detections that are not
-    contained in another, in words. A null id stays null, repeated rows are
+    the words that detections cover. spans are the detections that no
+    other one contains or, by priority, suppresses, in words. A null id stays null, repeated rows are
     repeated, other columns are ignored. The work is by row; no shuffle.
     """
     small_batches(docs.sparkSession)

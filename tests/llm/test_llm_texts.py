@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 
@@ -71,8 +72,37 @@ def test_license_prefilter_loses_nothing():
 
 def test_license_rules_and_suppression():
     assert len(build_rules()) > 200
-    assert suppress([(0, 9, 2, "b"), (0, 9, 1, "a"), (2, 5, 0, "c"), (5, 12, 9, "d")]) == [(0, 9, 1, "a"), (5, 12, 9, "d")]
+    assert suppress([(0, 9, 2, "b"), (0, 9, 1, "a"), (2, 5, 0, "c"), (9, 12, 9, "d")]) == [(0, 9, 1, "a"), (9, 12, 9, "d")]
+    assert suppress([(0, 9, 1, "a"), (5, 12, 9, "d")]) == [(0, 9, 1, "a")]
+    assert suppress([(0, 9, 3, "a"), (5, 12, 2, "b"), (11, 20, 1, "c")]) == [(0, 9, 3, "a"), (11, 20, 1, "c")]
+    assert suppress([(0, 9, 1, "a"), (5, 12, 1, "d")]) == [(0, 9, 1, "a"), (5, 12, 1, "d")]
     assert license_scan_labels("licensed under the apache license, version 2.0") == {"apache-2.0"}
+    assert license_scan_labels("licensed under gnu gpl-3.0") == {"gpl-3.0"}
+    assert license_scan_labels("the lesser general public license version 2.1") == {"lgpl-2.1"}
+    assert license_scan_labels("under the gnu lesser general public licence, version 2.1 or later") == {"lgpl-2.1"}
+
+
+def _suppressed_plainly(found):
+    """Every detection against every other one."""
+    def order(d):
+        return d[2], d[3]
+
+    found = sorted(set(found))
+    outer = [
+        d for d in found
+        if not any(o != d and o[0] <= d[0] and d[1] <= o[1] and (o[:2] != d[:2] or order(o) < order(d)) for o in found)]
+    kept = []
+    for d in sorted(outer, key=lambda d: d[2]):
+        if not any(o[0] < d[1] and d[0] < o[1] and o[2] < d[2] for o in kept):
+            kept.append(d)
+    return sorted(kept)
+
+
+def test_license_suppression_like_all_against_all():
+    draw = random.Random(5)
+    for _ in range(300):
+        found = [(s, s + draw.randint(1, 12), draw.randint(0, 4), draw.choice("abc")) for s in (draw.randint(0, 40) for _ in range(draw.randint(0, 14)))]
+        assert suppress(found) == _suppressed_plainly(found)
 
 
 def license_scan_labels(text):

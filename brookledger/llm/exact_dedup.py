@@ -1,6 +1,10 @@
-"""Exact dedup by a tree merge of digest runs, in DataFrame operations only.
+"""Exact dedup by a tree merge of sorted digest runs, in DataFrame operations only.
 
-Runs are neither sorted nor exchanged in pairs: each level is a hash aggregation over up to FAN_IN runs.
+Every input partition is a run. A round joins FAN_IN neighbouring runs into one:
+each task sorts its entries and combines equal neighbours, sends them to the task
+of their digest, and there the sorted entries of all runs of a group are merged.
+A run that is the result of several lies over as many tasks as they had, so no
+task ever holds a whole run, and the last round leaves one.
 """
 
 from __future__ import annotations
@@ -13,28 +17,30 @@ from brookledger.llm.shared_folder import written
 
 #: Fixed value: the characters that do not count when texts are compared.
 IGNORED = r"[\x20\x09-\x0D]+"
-#: Runs that one merge takes in; the number of rounds is the logarithm of the partitions to this base.
-FAN_IN = 64
+#: Runs that one merge takes in, a power of two; the number of rounds is the logarithm of the partitions to this base.
+FAN_IN = 8
 
 
 def normalised(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), IGNORED, "")
 
 
-def _merge(runs: DataFrame, *group: str) -> DataFrame:
+def _merge(runs: DataFrame) -> DataFrame:
     """One level: equal entries of the runs of a group become one, which keeps the best row.
 
     An entry is equal only if digest, second hash and length all are: the
-    digest alone is never trusted.
+    digest alone is never trusted. The best row is a struct, for which Spark
+    aggregates by sorting: on both sides of the exchange it sorts by group and
+    digest and combines neighbours (a test reads that off the plan).
     """
-    return runs.groupBy(*group, "digest", "check", "n_points").agg(
+    return runs.groupBy("run", "digest", "check", "n_points").agg(
         F.sum("members").alias("members"),
         F.max("rank").alias("rank"),
     )
 
 
-def sorted_runs(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """One entry per row: its run (input partition), place, digest and lengths; not sorted, whatever the name says."""
+def digest_entries(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One entry per row: its run (input partition), place, digest and lengths."""
     reduced = docs.select(
         F.spark_partition_id().alias("run"),
         F.monotonically_increasing_id().alias("row"),
@@ -59,16 +65,16 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan
     repeated rows one. A null id comes after all others; where it wins, keep_id
     is null. Other columns are ignored; an empty table gives an empty one.
 
-    The runs are the input partitions. Each round merges ``fan_in`` runs into
-    one: entries meet by (group of runs, digest), sums and maxima combine
-    before the shuffle, so a text that is a third of all rows is one entry of
-    each run from the first level on. The last round leaves one run, and each
-    row then finds its group's winner by an inner join on the digest, in which
-    adaptive execution splits a hot digest.
+    The runs are the input partitions. A round of the tree merges runs
+    k * fan_in to (k + 1) * fan_in - 1 into run k, so runs meet first those
+    nearest to them and after r rounds those up to fan_in ** r away. Each run
+    holds a text once, also one that is a third of all rows: it reaches a merge
+    at most fan_in times. Each row then finds its group's winner by an inner
+    join on the digest, in which adaptive execution splits a hot digest.
     """
-    entries = written(sorted_runs(docs, doc_id, text), "digests")
+    entries = written(digest_entries(docs, doc_id, text), "digests")
     level = entries.select(
-        "run", "digest", "check", "n_points", F.lit(1).cast("long").alias("members"),
+        (F.floor(F.col("run") / fan_in)).alias("run"), "digest", "check", "n_points", F.lit(1).cast("long").alias("members"),
         F.struct(
             "points",
             F.col("id").isNotNull().alias("named"),
@@ -77,9 +83,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", fan
         ).alias("rank"),
     )
     runs = entries.agg(F.max("run")).first()[0] or 0
-    level = _merge(level, "run")
+    level, runs = _merge(level), runs // fan_in
     while runs:
-        level = _merge(level.withColumn("run", F.floor(F.col("run") / fan_in)), "run")
+        level = _merge(level.withColumn("run", F.floor(F.col("run") / fan_in)))
         runs //= fan_in
     winners = level.select(
         "digest", "check", "n_points", F.col("members").alias("group_size"),

@@ -17,9 +17,8 @@ from brookledger.llm.worker_memory import turn_of
 
 #: Bytes of context of the deepest level.
 ORDER = 3
-#: Learned documents of each language, and contexts of the deepest level that are kept (the most frequent).
+#: Learned documents of each language.
 PER_LANGUAGE = 1500
-MAX_CONTEXTS = 40_000
 #: Bits of a byte that no context predicts: all 256 are alike.
 RAW_BITS = 8.0
 #: Bytes that are scored at a time, so that a long text takes no more memory than a short one.
@@ -49,13 +48,29 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass
 class Level:
-    """Contexts of one length: what they predict for each language, in bits."""
+    """Contexts of one length: what they predict for each language, in bits.
+
+    The symbols seen after a context are marked in words of 64 bits; a row of
+    ``cost`` is found by counting marks, so that a context costs no more memory
+    than it has symbols, and all contexts are kept.
+    """
 
     context: np.ndarray  # of all symbol strings of this length: its index, or -1
-    row: np.ndarray  # of (index, symbol): the row in cost, or -1
+    words: int  # of marks for each context
+    marks: np.ndarray  # of (index, word)
+    before: np.ndarray  # of (index, word): marks in all words before it
     escape: np.ndarray  # of (index, language)
     cost: np.ndarray  # of (row, language)
 
+    def row(self, at: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """Rows of symbols after contexts of these indices, or -1."""
+        if not len(self.cost):
+            return np.full(len(at), -1)
+        word = at.astype(np.int64) * self.words + (symbol >> 6)
+        held, bit = self.marks[word], np.uint64(1) << (symbol & 63).astype(np.uint64)
+        place = self.before[word] + np.bitwise_count(held & (bit - np.uint64(1)))
+        return np.where((at >= 0) & (held & bit != 0), place, -1)
+
 
 class Model:
     """Context trees of all languages side by side, laid out as arrays for lookups.
@@ -67,7 +82,7 @@ class Model:
     exact code lengths of method C with no further updates.
     """
 
-    def __init__(self, languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray, max_contexts: int):
+    def __init__(self, languages: list[str], lang: np.ndarray, gram: np.ndarray, n: np.ndarray):
         self.languages = languages
         used = np.unique(np.concatenate([(gram >> (8 * k)) & 255 for k in range(ORDER + 1)])) if len(gram) else np.zeros(0, np.int64)
         self.symbol = np.zeros(256, np.int64)  # 0: the start, and bytes that were never seen
@@ -79,7 +94,6 @@ class Model:
         for k in range(ORDER, -1, -1):
             dense = dense * self.size + self.symbol[(gram >> (8 * k)) & 255]
         self.counts = (lang, dense, n)
-        self.max_contexts = max_contexts
         self.levels: list[Level] | None = None
 
     def __getstate__(self):
@@ -97,18 +111,16 @@ class Model:
     def _level(self, order: int, lang: np.ndarray, gram: np.ndarray, n: np.ndarray) -> Level:
         size, width = self.size, len(self.languages)
         context_of, symbol_of = gram // size, gram % size
-        contexts, index, total = np.unique(context_of, return_inverse=True, return_counts=True)
-        total = np.bincount(index, n, len(contexts))
-        if len(contexts) > self.max_contexts:
-            keep = np.zeros(len(contexts), bool)
-            keep[np.argsort(-total, kind="stable")[: self.max_contexts]] = True
-            mask = keep[index]
-            return self._level(order, lang[mask], gram[mask], n[mask])
+        contexts, index = np.unique(context_of, return_inverse=True)
         where = np.full(size**order, -1, np.int32)
         where[contexts] = np.arange(len(contexts), dtype=np.int32)
         cells, cell = np.unique(index * size + symbol_of, return_inverse=True)
-        row = np.full(len(contexts) * size, -1, np.int32)
-        row[cells] = np.arange(len(cells), dtype=np.int32)
+        words = -(-size // 64)
+        marks = np.zeros(len(contexts) * words, np.uint64)
+        marked = cells % size
+        np.bitwise_or.at(marks, cells // size * words + (marked >> 6), np.uint64(1) << (marked & 63).astype(np.uint64))
+        seen = np.bitwise_count(marks).astype(np.int64)
+        before = (np.cumsum(seen) - seen).astype(np.int32)
         count = np.zeros((len(cells), width))
         np.add.at(count, (cell, lang), n)
         owner = cells // size
@@ -120,7 +132,7 @@ class Model:
             cost = -np.log2(count / (all_n + kinds)[owner])
         lower = self._cost(order - 1, contexts[owner] % max(1, size ** (order - 1)), cells % size)
         cost = np.where(count > 0, cost, escape[owner] + lower)
-        return Level(where, row, escape.astype(np.float32), cost.astype(np.float32))
+        return Level(where, words, marks, before, escape.astype(np.float32), cost.astype(np.float32))
 
     def _cost(self, order: int, context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """Bits of symbols after contexts, for each language, from the level of this order down."""
@@ -128,8 +140,7 @@ class Model:
             return np.full((len(context), len(self.languages)), RAW_BITS, np.float32)
         level = self.levels[order]
         at = level.context[context]
-        row = level.row[at.astype(np.int64) * self.size + symbol] if len(level.row) else np.full(len(at), -1)
-        row = np.where(at < 0, -1, row)
+        row = level.row(at, symbol)
         missing = np.flatnonzero(row < 0)
         out = level.cost[row] if len(level.cost) else np.zeros((len(row), len(self.languages)), np.float32)
         if len(missing):
@@ -162,13 +173,13 @@ class Model:
         return out
 
 
-def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE, max_contexts: int = MAX_CONTEXTS) -> Model:
+def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Model:
     """The model from rows with a text and a language, outside the held-out fold.
 
     It is fitted on a bounded sample: about ``per_language`` whole texts of each
-    language, drawn by a hash of the id; of the deepest contexts the
-    ``max_contexts`` most frequent ones are kept. Counting is done by Spark; the
-    driver gets counts of byte strings of that sample only.
+    language, drawn by a hash of the id; all contexts met in it are kept.
+    Counting is done by Spark; the driver gets counts of byte strings of that
+    sample only.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
@@ -178,7 +189,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str
     languages = sorted(counted["lang"].unique())
     code = {x: k for k, x in enumerate(languages)}
     counted = counted.sort_values(["lang", "gram"])
-    return Model(languages, counted["lang"].map(code).to_numpy(np.int64), counted["gram"].to_numpy(np.int64), counted["n"].to_numpy(np.int64), max_contexts)
+    return Model(languages, counted["lang"].map(code).to_numpy(np.int64), counted["gram"].to_numpy(np.int64), counted["n"].to_numpy(np.int64))
 
 
 def _verdicts(model: Model, part: pa.RecordBatch, texts: pa.Array, letter: str = "_has_letter") -> tuple[list[str], np.ndarray, np.ndarray]:

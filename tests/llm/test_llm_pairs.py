@@ -54,6 +54,18 @@ def test_exact_dedup_uses_no_python(awkward):
     assert "Python" not in exact_dedup(awkward)._jdf.queryExecution().toString()
 
 
+def test_exact_dedup_merges_sorted_runs_in_rounds(spark):
+    """64 runs at four a round: three exchanges, each between a sort with its combining pass and a merge of what arrives."""
+    docs = spark.createDataFrame([(k, f"text {k % 50 if k % 3 else 0}") for k in range(640)], "doc_id long, text string").repartition(64)
+    found = exact_dedup(docs, fan_in=4)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortAggregate(") == 6 and plan.count("HashAggregate(") == 0
+    want: dict = {}
+    for r in docs.collect():
+        want.setdefault(r["text"].replace(" ", ""), []).append((-len(r["text"]), r["doc_id"]))
+    assert {(r["keep_id"], r["group_size"]) for r in found.collect()} == {(min(g)[1], len(g)) for g in want.values()}
+
+
 def test_without_copies_keeps_columns(awkward, empty):
     kept = without_copies(awkward)
     assert kept.columns == awkward.columns

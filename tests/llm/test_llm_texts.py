@@ -13,6 +13,7 @@ import sentencepiece
 from llm_cases import SCHEMA, SF_DIR, awkward_rows, blank_words, sample_rows
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+import zstandard
 
 from brookledger.llm import language_id, quality_zstd
 from brookledger.llm.license_rules import BASE_PHRASES, build_rules
@@ -134,12 +135,22 @@ def test_language_of_awkward_rows(docs, awkward, empty):
     assert language_id.language_id(empty, model).count() == 0
 
 
+def test_language_model_keeps_every_context_of_its_sample(docs):
+    model = language_id.learn(docs).build()
+    grams = set()
+    for r in docs.where("text is not null and lang is not null").collect():
+        if zlib.crc32(str(r["doc_id"]).encode()) % 4 != 2:
+            codes = language_id._grams(language_id.Texts(pa.array([r["text"]])), language_id.LOWER)
+            grams.update((codes >> 8).tolist())
+    assert (model.levels[3].context >= 0).sum() == len(grams)
+
+
 def test_language_code_lengths_are_those_of_the_trees():
     """Bits of a text against a direct computation from the counts."""
     texts = {"aa": "abracadabra abra", "bb": "banana bandana"}
     grams = [(lang, g) for lang, t in texts.items() for g in language_id._grams(language_id.Texts(pa.array([t])), language_id.LOWER).tolist()]
     seen = sorted(set(grams))
-    model = language_id.Model(["aa", "bb"], np.array([["aa", "bb"].index(x) for x, _ in seen]), np.array([g for _, g in seen]), np.array([grams.count(x) for x in seen]), 1000)
+    model = language_id.Model(["aa", "bb"], np.array([["aa", "bb"].index(x) for x, _ in seen]), np.array([g for _, g in seen]), np.array([grams.count(x) for x in seen]))
     text = "abra banana q"
     bits = model.build().bits(language_id.Texts(pa.array([text])))[0]
 
@@ -169,15 +180,48 @@ def test_language_code_lengths_are_those_of_the_trees():
 
 # ---- quality ------------------------------------------------------------------------
 def test_quality_of_held_out_documents(spark):
-    big = "/root/testdata/sf0.01"
+    big = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
     rows = quality_zstd.quality(docs, quality_zstd.learn(docs, labels)).join(labels, "doc_id").where("held_out").collect()
     good = [r["predicted"] for r in rows if r["quality"] == 1]
     bad = [r["predicted"] for r in rows if r["quality"] == 0]
-    assert np.mean(good) > 0.95 and np.mean(bad) < 0.5
+    assert np.mean(good) > 0.95 and np.mean(bad) < 0.1
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
 
 
+def test_quality_scores_are_those_of_a_plain_recomputation(spark, docs):
+    """Sample, halves, dictionaries, compressed sizes, curve and its shift, each worked out again from the rows."""
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = quality_zstd.learn(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality_zstd.quality(docs, model).collect()}
+    mark = {r["doc_id"]: r["quality"] for r in sample_rows("labels") if r["quality"] in (0, 1) and zlib.crc32(str(r["doc_id"]).encode()) % 3 != 1}
+    learned = sorted((r["doc_id"], r["text"]) for r in sample_rows() if r["doc_id"] in mark and r["text"] is not None)
+    assert max(list(mark.values()).count(q) for q in (0, 1)) < quality_zstd.PER_LABEL  # so all labelled rows are the sample
+    half = {}
+    for k, (i, text) in enumerate(learned):
+        half.setdefault((mark[i], k % 2), []).append(text.encode())
+    content = [quality_zstd._dictionary(half[q, 0], quality_zstd.DICTIONARY_BYTES) for q in (0, 1)]
+
+    def features(raw):
+        n = [
+            len(zstandard.ZstdCompressor(level=quality_zstd.LEVEL, dict_data=zstandard.ZstdCompressionDict(c, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False).compress(raw))
+            for c in content
+        ]
+        return [(n[0] - n[1]) / sum(n), min(n) / (len(raw) + 16), np.log1p(len(raw))]
+
+    x = np.array([features(t) for q in (0, 1) for t in half[q, 1]])
+    y = np.repeat([0.0, 1.0], [len(half[0, 1]), len(half[1, 1])])
+    centre, scale = x.mean(axis=0), x.std(axis=0) + 1e-9
+    shift = np.log(list(mark.values()).count(1) / list(mark.values()).count(0)) - np.log(y.sum() / (len(y) - y.sum()))
+    weights = np.array(model.weights) - np.array([shift, 0, 0, 0])
+    a = np.column_stack([np.ones(len(x)), (x - centre) / scale])
+    slope = a.T @ (y - 1 / (1 + np.exp(-a @ weights))) - np.array([1e-6, 1e-2, 1e-2, 1e-2]) * weights
+    assert np.abs(slope).max() < 1e-6  # the penalised likelihood has its maximum there
+    for r in sample_rows():
+        z = model.weights[0] + ((np.array(features((r["text"] or "").encode())) - centre) / scale) @ model.weights[1:]
+        assert abs(got[r["doc_id"]] - 1 / (1 + np.exp(-z))) < 1e-9
+
+
 def test_quality_of_awkward_rows(spark, docs, awkward, empty):
     labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
     model = quality_zstd.learn(docs, labels)

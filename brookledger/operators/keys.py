@@ -10,6 +10,7 @@ BUCKET = "_key_bucket"
 _BUCKET = BUCKET
 _DIGEST = "_key_digest"
 _BEFORE = "_keys_before"
+_ID, _NO_ID, _KEY, _ROWS, _FROM = "_key_id", "_key_no_id", "_key_known", "_key_rows", "_key_from"
 _MIN_DIGITS, _MAX_DIGITS = 2, 5
 
 
@@ -96,14 +97,33 @@ def with_lasting_key(
 
     ``last_key`` is the largest key given so far where ``known`` does not hold all of them.
 
-    ``known`` has the columns ``id_name`` and ``key_name``, one row for each
-    id: the narrow side of the two joins. A NULL id is new each time.
+    ``known`` has the columns ``id_name`` and ``key_name``; of an id that it
+    holds more than once the smallest key counts. A NULL id is new each time.
+    Keys are found on the ids alone: known and present ids meet in one narrow
+    aggregate, and each new id gets a place after the rows of the ids before it.
+    The wide rows then move once, to their id. ``rows`` is read twice, once for
+    its ids: pass a stored table.
     """
-    names = [key_name, *rows.columns]
-    keys = known.select(id_name, key_name)
-    kept = rows.join(keys, id_name).select(*names)
-    fresh = with_dense_key(
-        rows.join(keys, id_name, "left_anti"), key_name, id_name, tie_break=tie_break
-    )
-    last = keys.agg(F.coalesce(F.max(key_name), F.lit(0))).scalar() if last_key is None else F.lit(last_key)
-    return kept.unionByName(fresh.withColumn(key_name, F.col(key_name) + last))
+    digits = bucket_digits(rows.sparkSession)
+    at = [_ID, _NO_ID]
+    placed = {_ID: F.coalesce(F.col(id_name), F.lit("")), _NO_ID: F.col(id_name).isNull()}
+    given = known.where(F.col(id_name).isNotNull()).withColumns(placed).select(
+        *at, F.col(key_name).cast("long").alias(_KEY), F.lit(0).cast("long").alias(_ROWS))
+    present = rows.select(id_name).withColumns(placed).select(
+        *at, F.lit(None).cast("long").alias(_KEY), F.lit(1).cast("long").alias(_ROWS))
+    ids = given.unionByName(present).groupBy(*at).agg(F.min(_KEY).alias(_KEY), F.sum(_ROWS).alias(_ROWS)).where(F.col(_ROWS) > 0)
+    fresh = F.when(F.col(_KEY).isNull(), F.col(_ROWS)).otherwise(0)
+    ids = ids.withColumn(_DIGEST, _digest_of(_ID)).withColumn(_BUCKET, F.substring(_DIGEST, 1, digits))
+    sizes = ids.groupBy(_BUCKET).agg(F.sum(fresh).alias("_size"))
+    # One row per bucket, as in with_dense_key.
+    running = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(_BUCKET, F.coalesce(F.sum("_size").over(running), F.lit(0)).alias(_BEFORE))
+    in_bucket = Window.partitionBy(_BUCKET).orderBy(_DIGEST, F.desc(_NO_ID)).rowsBetween(Window.unboundedPreceding, -1)
+    numbered = ids.withColumn(_FROM, F.coalesce(F.sum(fresh).over(in_bucket), F.lit(0))).join(
+        F.broadcast(offsets), _BUCKET, "left"
+    ).select(*at, _KEY, (F.col(_FROM) + F.col(_BEFORE)).alias(_FROM))
+    last = known.agg(F.coalesce(F.max(key_name), F.lit(0))).scalar() if last_key is None else F.lit(last_key)
+    in_id = Window.partitionBy(*at).orderBy(*(tie_break or [F.lit(1)]))
+    return rows.withColumns(placed).join(numbered, at).withColumn(
+        key_name, F.coalesce(F.col(_KEY), last + F.col(_FROM) + F.row_number().over(in_id)).cast("long")
+    ).select(key_name, *rows.columns)

@@ -30,6 +30,7 @@ from brookledger.fixed_values import (
 from brookledger.functions.bands import band_at_least, band_below, is_true, value_map
 from brookledger.functions.calendar import date_key, moment
 from brookledger.operators.keys import BUCKET, with_bucket, with_dense_key, with_lasting_key
+from brookledger.operators.sieve import may_match
 
 
 def valid_rows(silver: DataFrame) -> DataFrame:
@@ -228,7 +229,11 @@ def fact_fraud(
     known: DataFrame | None = None,
     last_key: int | None = None,
 ) -> DataFrame:
-    """``keyed_transactions``: the transaction fact, or its id and key alone."""
+    """``keyed_transactions``: the transaction fact, or its id and key alone.
+
+    Transactions that no flag can name are left out by a Bloom filter before
+    their exchange. The flags are counted: pass a stored table.
+    """
     rows = valid_rows(silver_fraud_flags).select(
         "flag_id", "transaction_id", "account_id", "customer_id", "flag_reason",
         "severity", "severity_rank", "fraud_score", "is_confirmed_fraud", "flagged_at",
@@ -236,10 +241,12 @@ def fact_fraud(
         date_key(F.to_date("flagged_at")).alias("_on_day"),
     )
     numbered = _keyed(rows, "fraud_key", "flag_id", known, [F.col("transaction_id")], last_key)
+    keys = may_match(
+        keyed_transactions.select("transaction_id", "transaction_key"), "transaction_id",
+        valid_rows(silver_fraud_flags), "transaction_id",
+    )
     joined = with_dimension_keys(numbered, accounts, customers, calendar).join(
-        keyed_transactions.select("transaction_id", "transaction_key"),
-        "transaction_id",
-        "left",
+        keys, "transaction_id", "left"
     )
     return joined.select(
         "fraud_key", "flag_id", "transaction_key", "account_key", "customer_key",

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from brookledger.fixed_values import BUSINESS_KEY, ENTITIES, ESCALATION
 from brookledger.functions.calendar import compact_stamp, moment
 from brookledger.operators.dedup import all_but_first
+from brookledger.operators.sieve import may_match
 from brookledger.plans.rule_catalogue import (
     REJECT,
     REJECT_REPEATS,
@@ -350,29 +351,48 @@ REFERENCES = [
 ]
 
 
+#: A parent is sieved before its exchange if it has this many times the rows that refer to it.
+SIEVE_RATIO = 4
+
+
 def orphans(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Foreign-key values without a parent, and how many rows hold each.
 
-    Child rows are counted per value before the anti-join, so a value held by
-    a third of the rows is one row in it. A missing value is no orphan.
+    Each child is read once for all its references, and rows are counted per
+    value before the one anti-join, so a value held by a third of the rows is
+    one row in it. Keys of a parent much larger than what refers to it are held
+    against a Bloom filter of the references first. A missing value is no
+    orphan. ``tables`` are counted: pass stored tables.
     """
-    frames = []
-    for child, column, parent in REFERENCES:
-        values = (
-            tables[child]
-            .filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).alias("missing_id"))
-            .agg(F.count(F.lit(1)).alias("row_count"))
-        )
-        parents = tables[parent].select(F.col(BUSINESS_KEY[parent]).alias("missing_id"))
-        frames.append(
-            values.join(parents, "missing_id", "left_anti").select(
-                F.lit(child).alias("child_table"),
-                F.lit(column).alias("foreign_key"),
-                F.lit(parent).alias("parent_table"),
-                "missing_id",
-                "row_count",
-                F.lit("REFERENTIAL_INTEGRITY").alias("reason_code"),
-            )
-        )
-    return reduce(DataFrame.unionByName, frames)
+    values = reduce(DataFrame.unionByName, [
+        _references(tables[child], child) for child in dict.fromkeys(c for c, _, _ in REFERENCES)
+    ])
+    counted = values.groupBy(*values.columns).agg(F.count(F.lit(1)).alias("row_count"))
+    parents = reduce(DataFrame.unionByName, [
+        _referred(tables, parent).select(F.lit(parent).alias("parent_table"), F.col(BUSINESS_KEY[parent]).alias("missing_id"))
+        for parent in dict.fromkeys(p for _, _, p in REFERENCES)
+    ])
+    return counted.join(parents, ["parent_table", "missing_id"], "left_anti").select(
+        "child_table", "foreign_key", "parent_table", "missing_id", "row_count",
+        F.lit("REFERENTIAL_INTEGRITY").alias("reason_code"),
+    )
+
+
+def _references(rows: DataFrame, child: str) -> DataFrame:
+    """A row for each foreign-key value of each row of a child."""
+    fields = [
+        F.struct(F.lit(column).alias("foreign_key"), F.lit(parent).alias("parent_table"), F.col(column).alias("missing_id"))
+        for c, column, parent in REFERENCES if c == child
+    ]
+    return rows.select(F.inline(F.array(*fields))).where("missing_id IS NOT NULL").select(
+        F.lit(child).alias("child_table"), "foreign_key", "parent_table", "missing_id")
+
+
+def _referred(tables: Mapping[str, DataFrame], parent: str) -> DataFrame:
+    """The key column of a parent, without most rows that nothing refers to if there are many of them."""
+    key = BUSINESS_KEY[parent]
+    keys = tables[parent].select(key)
+    asking = reduce(DataFrame.unionAll, [tables[c].select(F.col(column).alias("_asked")) for c, column, p in REFERENCES if p == parent])
+    if keys.count() < SIEVE_RATIO * asking.count():
+        return keys
+    return may_match(keys, key, asking, "_asked")

@@ -21,6 +21,10 @@ from brookledger.sources.tables import new_folder, staged_copies_removed
 WORDS = 5
 #: Two sets link when 100 * intersection >= PERCENT * union.
 PERCENT = 80
+#: A list is crowded when it has more open pairs than this for each set outside its largest component.
+CROWDED = 64
+#: Hubs of a crowded list in a round.
+HUBS = 32
 PART = 1 << 14  # counters of a sketch that travel together
 
 _HASH = Hasher(101)
@@ -191,6 +195,76 @@ def _links(measured: DataFrame) -> DataFrame:
     return measured.where(100 * F.col("shared") >= PERCENT * F.col("united")).select("a", "b")
 
 
+def _tried(answers: DataFrame) -> DataFrame:
+    return answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def _may_link(x: str, y: str) -> Column:
+    """Whether the sizes of two sets, and the places of a common shingle, allow a link."""
+    sizes, places = ([F.col(f"{side}.{name}") for side in (x, y)] for name in ("size", "place"))
+    most = F.least(*(n - p for n, p in zip(sizes, places)))
+    return (100 * F.least(*sizes) >= PERCENT * F.greatest(*sizes)) & ((100 + PERCENT) * most >= PERCENT * (sizes[0] + sizes[1]))
+
+
+# ---- crowds ----------------------------------------------------------------
+def _stars(found: DataFrame) -> DataFrame:
+    """Components as edges: as few as there are nodes."""
+    return found.select(F.col("component").alias("a"), F.col("node").alias("b"))
+
+
+def _in_components(lists: DataFrame, found: DataFrame) -> DataFrame:
+    return lists.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def _mixed(grouped: DataFrame) -> DataFrame:
+    """(shingle, outside, crossing) of lists with several components: sets outside the largest, and pairs of different components."""
+    parts = grouped.groupBy("shingle", "component").agg(F.count(F.lit(1)).alias("n"))
+    sums = parts.groupBy("shingle").agg(F.sum("n").alias("members"), F.max("n").alias("largest"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    return sums.select(
+        "shingle", F.expr("members - largest").alias("outside"), F.expr("(members * members - squares) / 2").alias("crossing")).where("crossing > 0")
+
+
+def _joined_by_hubs(lists: DataFrame, answers: DataFrame, first: DataFrame, texts: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """The answers and components after comparing the sets of crowded lists with hubs of theirs.
+
+    A crowd that the blocks' first sets left in several components would have all
+    pairs across them compared. In each round every list that is crowded has up to
+    HUBS hubs: its sets are dealt by hash, and of each lot the one with the most
+    links that was no hub before is a hub. Sets of other components are compared
+    with them. Rounds go on while crowded lists have more than four open pairs for
+    each entry of all lists, and a round takes away a quarter; whatever stays open is left to the comparison of all pairs,
+    so no link depends on the hubs.
+    """
+    used, before, turn, few = None, None, 0, 4 * lists.count()
+    while True:
+        grouped = written(_in_components(lists, first), "grouped")
+        crowded = written(_mixed(grouped).where(F.col("crossing") > CROWDED * F.col("outside")), "crowded")
+        left = crowded.agg(F.sum("crossing")).first()[0] or 0
+        if left <= few or (before is not None and 4 * left > 3 * before):
+            return answers, first
+        before, turn = left, turn + 1
+        links = _links(answers)
+        degrees = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).groupBy(F.col("a").alias("node")).agg(F.count(F.lit(1)).alias("degree"))
+        if used is not None:
+            degrees = degrees.join(used, "node", "left_anti").unionAll(used.select("node", F.lit(-1).cast("long").alias("degree")))
+        members = grouped.join(crowded.select("shingle").hint("rebalance"), "shingle", "left_semi")
+        rank = F.struct(F.coalesce("degree", F.lit(0)).alias("degree"), (-F.col("node")).alias("order"))
+        lot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(HUBS))
+        hubs = written(
+            members.join(degrees.hint("rebalance"), "node", "left").groupBy("shingle", lot.alias("lot"))
+            .agg(F.max_by(F.struct("node", "component", "place", "size"), rank).alias("hub")).select("shingle", "hub.*"), "hubs")
+        x, y = members.alias("x"), hubs.alias("y")
+        pairs = x.join(y, F.col("x.shingle") == F.col("y.shingle")).where((F.col("x.component") != F.col("y.component")) & _may_link("x", "y"))
+        new = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+        named = new.withColumns({"low": F.least("a", "b"), "high": F.greatest("a", "b")}).dropDuplicates(["low", "high"])
+        tried = answers.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high"))
+        met = written(_measured(named.join(tried, ["low", "high"], "left_anti").select("a", "b"), texts, size), "hub-answers")
+        answers = written(answers.unionAll(met), "answers")
+        first = components(_stars(first).unionAll(_links(met)))
+        used = hubs.select("node").distinct() if used is None else written(used.unionAll(hubs.select("node")).distinct(), "used-hubs")
+        release_exchanges(lists.sparkSession)
+
+
 # ---- the join --------------------------------------------------------------
 def _tie(docs: DataFrame, doc_id: str, text: str) -> Column:
     return F.xxhash64(F.col(doc_id).isNull(), F.col(text))
@@ -235,15 +309,19 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     led = lists.join(leaders, ["shingle", "band"])
     answers = written(
         _measured(led.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct(), texts, size), "answers")
+    release_exchanges(spark)  # the texts that were dealt by owner and for the pairs
     first = components(_links(answers))
 
-    # What these answers do not settle. A list whose sets are in one component by
-    # now is skipped whole. The distance 1 - J obeys the triangle inequality:
+    # A list whose sets are in one component by now is skipped whole. Where a crowd
+    # is in several, each set is compared with hubs of the crowd before any two sets are.
+    answers, first = _joined_by_hubs(lists, answers, first, texts, size)
+
+    # What these answers do not settle. The distance 1 - J obeys the triangle inequality:
     # sets whose distances to a common leader differ by more than a link allows
     # are skipped too, and so are pairs whose places leave too few common shingles.
     distance = answers.select(F.col("a").alias("node"), F.col("b").alias("leader"), (1 - F.col("shared") / F.col("united")).alias("distance"))
-    grouped = lists.join(first, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = grouped.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low != high").select("shingle").hint("rebalance")
+    grouped = _in_components(lists, first)
+    mixed = _mixed(grouped).select("shingle").hint("rebalance")
     open_lists = (
         grouped.join(mixed, "shingle", "left_semi").join(leaders, ["shingle", "band"], "left")
         .join(distance, ["node", "leader"], "left")
@@ -251,21 +329,17 @@ def _classes(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
     )
     open_lists = written(open_lists, "open-lists")
     x, y = open_lists.alias("x"), open_lists.alias("y")
-    most = 1 + F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place")) - 1
     derived = F.col("x.leader").eqNullSafe(F.col("y.leader")) & (F.abs(F.col("x.distance") - F.col("y.distance")) > (100 - PERCENT) / 100 + 1e-9)
     rest = (
         x.join(y, F.col("x.shingle") == F.col("y.shingle"))
         .where(
             (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component"))
-            & (100 * F.least("x.size", "y.size") >= PERCENT * F.greatest("x.size", "y.size"))
-            & ((100 + PERCENT) * most >= PERCENT * (F.col("x.size") + F.col("y.size")))
-            & ~F.coalesce(derived, F.lit(False))
+            & _may_link("x", "y") & ~F.coalesce(derived, F.lit(False))
         )
         .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
     )
-    tried = answers.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    later = _links(_measured(rest.join(tried, ["a", "b"], "left_anti"), texts, size))
-    every = components(_links(answers).unionAll(later))
+    later = _links(_measured(rest.join(_tried(answers), ["a", "b"], "left_anti"), texts, size))
+    every = components(_stars(first).unionAll(later))
     return owners.join(every, "node", "left").select(
         "doc_id", "tie", "row", "n_shingles", "node", F.coalesce("component", "node").alias("component"))
 
@@ -299,8 +373,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     share is in few prefixes. In each block of a list (sizes of one band) every
     set is compared with the block's first, which costs as many comparisons as
     the list is long; copies with few changes are one component after that,
-    and their lists are skipped from then on. Only pairs that these answers
-    leave open are compared further. No list is cut and no pair is left out
+    and their lists are skipped from then on. Where a crowd is left in several
+    components, its sets are compared with its hubs next. Only pairs that these
+    answers leave open are compared further. No list is cut and no pair is left out
     that may reach the threshold.
     """
     found = _stored_classes(docs, doc_id, text, size)

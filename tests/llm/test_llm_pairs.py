@@ -135,6 +135,35 @@ def test_jaccard_join_of_crowds_and_chains(spark):
     assert {r["doc_id"] for r in kept.collect()} == {c for _, c in got.values()}
 
 
+def test_a_crowd_left_in_several_components_meets_its_hubs_first(spark, monkeypatch):
+    """Copies that link with their source alone, which comes last: all pairs across them would be compared."""
+    from brookledger.llm import jaccard_join
+
+    rng = np.random.default_rng(3)
+    source = [f"s{k}" for k in range(150)]
+    rows = []
+    for i in range(100):
+        words = list(source)
+        for k in rng.choice(np.arange(3) * 45, 3, replace=False) + rng.integers(5, 40):
+            words[k] = f"new{i}x{k}"
+        rows.append((i, " ".join(words)))
+    rows.append((100, " ".join(source)))
+    counts, measured = [], jaccard_join._measured
+
+    def counting(pairs, *others):
+        counts.append(pairs.count())
+        return measured(pairs, *others)
+
+    monkeypatch.setattr(jaccard_join, "_measured", counting)
+    monkeypatch.setattr(jaccard_join, "CROWDED", 4, raising=False)
+    monkeypatch.setattr(jaccard_join, "HUBS", 2, raising=False)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_components(docs).collect()}
+    assert got == jaccard_answer(rows)
+    assert {c for _, c in got.values()} == {0}
+    assert sum(counts) < 1500, counts
+
+
 def test_jaccard_join_of_awkward_rows(awkward, empty):
     got = jaccard_components(awkward).collect()
     assert len(got) == 16

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import posixpath
 import zlib
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brookledger.llm.batches import NOT_SPACE, Hasher, Texts, column, slices, small_batches
+from brookledger.llm.batches import NOT_SPACE, Hasher, Texts, byte_table, column, slices, small_batches
 from brookledger.llm.shared_folder import release_exchanges, written
 from brookledger.llm.word_cache import WordCache
 from brookledger.sources.tables import new_folder
@@ -63,14 +64,52 @@ def _tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_file(path), WordCache(), Hasher(6)
+    tokenizer = Tokenizer.from_file(path)
+    return tokenizer, WordCache(), Hasher(6), _cuts_words(tokenizer)
+
+
+#: A special token put between words: where its id comes out, a word ends.
+MARK = "<|endoftext|>"
+#: Letters and digits, and signs that no token joins to one before them: a word is cut between the two.
+#: The apostrophe begins tokens such as 's, and | is part of the special tokens.
+ALNUM = byte_table([*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)])
+SIGN = byte_table(k for k in range(0x21, 0x7F) if not chr(k).isalnum() and chr(k) not in "'|")
+#: How the tokenizer must split for words to be cut.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _cuts_words(tokenizer) -> bool:
+    """Whether signs after a letter always begin a token."""
+    first = (json.loads(tokenizer.to_str())["pre_tokenizer"] or {}).get("pretokenizers", [{}])[0]
+    return first.get("pattern") == {"Regex": SPLIT}
+
+
+def _cut(words: Texts) -> None:
+    """Cut the words before signs that follow a letter or digit: fewer different ones are left."""
+    text = words.text
+    letter = ALNUM[text]
+    letter[1:] |= (text[:-1] == 0xC3) & (text[1:] >= 0x80) & (text[1:] < 0xC0) & (text[1:] != 0x97) & (text[1:] != 0xB7)
+    at = np.flatnonzero(letter[:-1] & SIGN[text[1:]]) + 1
+    # Only inside a word, not where a text ends in a letter and the next begins with a sign.
+    at = at[~np.isin(at, words.starts)]
+    ends = words.starts + words.lengths
+    words.starts = np.sort(np.concatenate([words.starts, at]))
+    words.lengths = np.sort(np.concatenate([ends, at])) - words.starts
+    words.first = np.searchsorted(words.starts, words.bounds)
 
 
 def _encode_words(tokenizer, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(ids of the words one after the other, number of each), from one call over all of them.
 
-    A token is of the word in which it begins.
+    Words are told apart by a special token between them; where a word holds
+    its text, by the places in which tokens begin.
     """
+    mark = tokenizer.token_to_id(MARK)
+    if mark is not None:
+        ids = np.array(tokenizer.encode_batch_fast([MARK.join(words)], add_special_tokens=False)[0].ids, np.uint32)
+        at = np.flatnonzero(ids == mark)
+        if len(at) == len(words) - 1:
+            return np.delete(ids, at), np.diff(np.concatenate([[-1], at, [len(ids)]])) - 1
     starts = np.cumsum([0] + [len(w) + 1 for w in words])
     encoding = tokenizer.encode_batch([" ".join(words)], add_special_tokens=False)[0]
     begins = np.fromiter((o[0] for o in encoding.offsets), np.int64, len(encoding.ids))
@@ -86,9 +125,11 @@ def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     and words are encoded once. Words are cut at six blanks only, which are
     white space for the tokenizer; tests compare with whole texts.
     """
-    tokenizer, cache, hasher = _tokenizer(path)
+    tokenizer, cache, hasher, cuts = _tokenizer(path)
     words = Texts(texts)
     words.split(NOT_SPACE)
+    if cuts:
+        _cut(words)
 
     def encode(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ends = words.starts[which] + words.lengths[which]

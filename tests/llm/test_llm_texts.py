@@ -329,6 +329,23 @@ def test_words_encode_like_whole_texts():
     assert [ids[e - n : e - 1].tolist() for e, n in zip(ends, counts)] == [e.ids for e in Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_cut_at_signs_encode_like_whole_texts():
+    from brookledger.llm.batches import NOT_SPACE, Texts
+    from brookledger.llm.token_files import _cut, token_ids
+
+    words = Texts(pa.array(["été, été. ab's", ", x|y a×. 9≠"]))
+    words.split(NOT_SPACE)
+    _cut(words)
+    got = [words.text[a : a + n].tobytes().decode() for a, n in zip(words.starts, words.lengths)]
+    assert got == ["été", ",", "été", ".", "ab's", ",", "x|y", "a×.", "9", "≠"] and words.counts.tolist() == [5, 5]
+    signs = [*"aZ9éÿ×÷ß'.,<|>=-_ \u0301\u0338\n…İ", "'s", "<|endoftext|>", "<|endoftext|", "|>", "<<"]
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(signs, rng.integers(0, 30))) for _ in range(3000)]
+    ids, counts = token_ids(pa.array(texts), WORD_BPE)
+    ends = np.cumsum(counts)
+    assert [ids[e - n : e - 1].tolist() for e, n in zip(ends, counts)] == [e.ids for e in Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_token_files_of_no_rows(spark, empty):
     folder = token_folder(spark)
     write_token_files(empty, folder, WORD_BPE)

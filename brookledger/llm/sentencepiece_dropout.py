@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from brookledger.llm.batches import Hasher, Texts, byte_table, column, mix, slices, small_batches
-from brookledger.llm.word_cache import WordCache, ragged
+from brookledger.llm.word_cache import Numbers, WordCache, ragged
 from brookledger.llm.worker_memory import remembered_by, turn_of
 
 SEED = 5
@@ -26,8 +26,8 @@ BLANK = "▁"
 
 #: Gets candidates as arrays (number of the word, start, end).
 Candidates = Callable[[np.ndarray, np.ndarray, np.ndarray], "np.ndarray | None"]
-#: The bytes of words, by their indices.
-Spelled = Callable[[np.ndarray], list[bytes]]
+#: Symbols one after the other, where each word begins in them, and its number of them.
+Spelled = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 def dropped(draws: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: float) -> np.ndarray:
@@ -40,39 +40,18 @@ def dropped(draws: np.ndarray, start: np.ndarray, end: np.ndarray, dropout: floa
 
 
 class PairTable:
-    """A number for each of many pairs of numbers: hash tables, each for what the ones before cannot hold."""
-
-    BITS, TABLES = 19, 12
+    """A number for each of many pairs of numbers."""
 
     def __init__(self, pairs: np.ndarray, values: np.ndarray):
-        keys = (pairs[:, 0] << 32) | pairs[:, 1]
-        self.keys, self.values, self.odd = [], [], []
-        for k in range(self.TABLES):
-            odd = np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x1000003D)
-            table, value = np.full(1 << self.BITS, -1, np.int64), np.full(1 << self.BITS, -1, np.int32)
-            at = self._place(keys, odd)
-            table[at], value[at] = keys, values
-            self.keys.append(table)
-            self.values.append(value)
-            self.odd.append(odd)
-            left = table[at] != keys
-            keys, values = keys[left], values[left]
-            if not len(keys):
-                return
-        raise ValueError("too many merges for the tables")
-
-    def _place(self, keys: np.ndarray, odd: np.uint64) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return ((keys.view(np.uint64) * odd) >> np.uint64(64 - self.BITS)).astype(np.int64)
+        self.numbers, self.values = Numbers(), np.append(values, -1).astype(np.int32)
+        self.numbers.add(self._keys(pairs[:, 0], pairs[:, 1]))
+
+    def _keys(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return ((left.astype(np.int64) << 32) | right).view(np.uint64)
 
     def get(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The numbers of pairs, -1 for a pair that is not there."""
-        keys = (left.astype(np.int64) << 32) | right
-        out = np.full(len(keys), -1, np.int64)
-        for table, value, odd in zip(self.keys, self.values, self.odd):
-            at = self._place(keys, odd)
-            out = np.where(table[at] == keys, value[at], out)
-        return out
+        return self.values[self.numbers.get(self._keys(left, right))]
 
 
 class Pieces:
@@ -113,76 +92,72 @@ class Pieces:
         self.piece_of[0x20] = ids[BLANK]
         pairs = {(ids[p[:n]], ids[p[n:]]): k for p, k in ids.items() for n in range(1, len(p)) if p[:n] in ids and p[n:] in ids}
         self.merges = PairTable(np.array(list(pairs), np.int64).reshape(-1, 2), np.array(list(pairs.values()), np.int64))
-        self.score = np.array(score, np.float32)
+        #: By piece; the last for no piece.
+        self.score = np.array([*score, -np.inf], np.float32)
         self.cache = WordCache()
         self.hasher = Hasher(55)
         #: A number for each candidate of a short word, by start * (SHORT + 1) + end.
         self.marks = mix(mix(np.arange(1, (SHORT + 1) ** 2 + 1, dtype=np.uint64)) + np.uint64(77))
 
-    def _merge(self, symbols: np.ndarray, sizes: np.ndarray, skipped: Candidates, meet: Candidates | None) -> tuple[np.ndarray, np.ndarray]:
-        """(pieces of all words one after the other, number of each), from rows of padded symbols.
+    def symbols(self, points: np.ndarray) -> np.ndarray:
+        """The pieces of characters; one without a piece keeps its code, as a number below -1."""
+        pieces = self.piece_of[points]
+        return np.where(pieces < 0, -2 - points.astype(np.int32), pieces)
+
+    def _merge(self, symbols: np.ndarray, skipped: Candidates | None, merges: Candidates | None) -> tuple[np.ndarray, np.ndarray]:
+        """(pieces of all words one after the other, number of each), from rows of symbols that end in at least one -1.
 
         Each row has an agenda of candidates. In each round every word with a
         candidate left takes its best one, the leftmost of equal scores, and the
         merged symbol proposes itself to its two neighbours. ``skipped`` says
-        which candidates (row, start, end) are dropped, ``meet`` is told of all
-        that merge or would, had they not been dropped.
+        which candidates (row, start, end) are dropped, ``merges`` is told of
+        those that merge, at most one of a row in each call.
         """
         n, width = symbols.shape
-        at = np.arange(width)
-        end = np.broadcast_to(at + 1, (n, width)).copy()
-        before = np.broadcast_to(at - 1, (n, width)).copy()
-        alive = at < sizes[:, None]
-        symbols = np.where(alive, symbols, -1)
-        score, piece = np.full((n, width), -np.inf, np.float32), np.full((n, width), -1, np.int64)
-        row, left = np.nonzero((symbols >= 0) & (at + 1 < sizes[:, None]))
-        right_ok = symbols[row, left + 1] >= 0
-        row, left = row[right_ok], left[right_ok]
-
-        def propose(row: np.ndarray, left: np.ndarray) -> None:
-            right = end[row, left]
-            good = (symbols[row, left] >= 0) & (symbols[row, right] >= 0)
-            score[row[~good], left[~good]] = -np.inf
-            row, left, right = row[good], left[good], right[good]
-            merged = self.merges.get(symbols[row, left], symbols[row, right])
-            score[row[merged < 0], left[merged < 0]] = -np.inf
-            found = merged >= 0
-            row, left, stop, merged = row[found], left[found], end[row, right][found], merged[found]
-            if meet is not None:
-                meet(row, left, stop)
-            score[row, left] = np.where(skipped(row, left, stop), np.float32(-np.inf), self.score[merged])
-            piece[row, left] = merged
-
-        propose(row, left)
+        symbols = symbols.ravel()
+        # Places count through all rows; beyond a row's ends there is no symbol to meet.
+        end, before = np.arange(1, len(symbols) + 1), np.arange(-1, len(symbols) - 1)
+        score, piece = np.full(len(symbols), -np.inf, np.float32), np.full(len(symbols), -1, np.int32)
+        by_row = score.reshape(n, width)
+
+        def propose(left: np.ndarray) -> None:
+            right = end[left]
+            merged = self.merges.get(symbols[left], symbols[right])
+            worth = self.score[merged]
+            if skipped is not None:
+                found = np.flatnonzero(merged >= 0)
+                row, start = np.divmod(left[found], width)
+                worth[found[skipped(row, start, end[right[found]] - row * width)]] = -np.inf
+            score[left], piece[left] = worth, merged
+
+        propose(np.flatnonzero(symbols >= 0))
         rows = np.arange(n)
         while len(rows):
-            best = score[rows].argmax(axis=1)
-            going = score[rows, best] > -np.inf
-            rows, left = rows[going], best[going]
-            right = end[rows, left]
-            symbols[rows, left] = piece[rows, left]
-            end[rows, left] = end[rows, right]
-            alive[rows, right] = False
-            score[rows, right] = score[rows, left] = -np.inf
-            follows = end[rows, left] < sizes[rows]
-            before[rows[follows], end[rows, left][follows]] = left[follows]
-            propose(rows[follows], left[follows])
-            led = left > 0
-            propose(rows[led], before[rows[led], left[led]])
-        return symbols[alive], alive.sum(axis=1)
-
-    def segments(self, words: list[bytes], skipped: Candidates, meet: Candidates | None = None) -> tuple[np.ndarray, np.ndarray]:
+            start = (by_row if len(rows) == n else by_row[rows]).argmax(axis=1)
+            left = rows * width + start
+            going = score[left] > -np.inf
+            if not going.all():
+                rows, start, left = rows[going], start[going], left[going]
+            right = end[left]
+            after = end[right]
+            symbols[left], symbols[right] = piece[left], -1
+            score[right] = -np.inf
+            end[left], before[after] = after, left
+            if merges is not None:
+                merges(rows, start, after - rows * width)
+            propose(np.concatenate([left, before[left[start > 0]]]))
+        alive = symbols != -1
+        return symbols[alive], alive.reshape(n, width).sum(axis=1)
+
+    def segments(self, spelled: Spelled, skipped: Candidates | None, merges: Candidates | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all words one after the other, number of ids of each). Blanks in words are plain spaces.
 
-        ``skipped`` and ``meet`` get candidates as (index of the word, start, end).
+        ``skipped`` and ``merges`` get candidates as (index of the word, start, end).
         Characters without a piece become bytes; so does the character that
         stands for a blank, so that it is not mistaken for one.
         """
-        points = np.frombuffer(b"".join(words).decode().encode("utf-32-le"), np.uint32)
-        sizes = np.array([len(w.decode()) for w in words], np.int64)
-        starts = np.cumsum(sizes) - sizes
-        symbols = self.piece_of[points]
-        lengths, parts = np.zeros(len(words), np.int64), []
+        symbols, starts, sizes = spelled
+        lengths, parts = np.zeros(len(sizes), np.int64), []
         # Words of like length together, so that little is padded.
         widths = 1 << np.ceil(np.log2(np.maximum(sizes, 4))).astype(np.int64)
         for width in np.unique(widths).tolist():
@@ -190,15 +165,11 @@ class Pieces:
             members = np.flatnonzero(widths == width)
             for low in range(0, len(members), rows_at_once):
                 own = members[low : low + rows_at_once]
-                inside = np.arange(width) < sizes[own, None]
-                padded = np.full((len(own), width), -1, np.int64)
-                padded[inside] = symbols[ragged(starts[own], sizes[own])]
-                codes = np.zeros((len(own), width), np.int64)
-                codes[inside] = points[ragged(starts[own], sizes[own])]
-                # A character without a piece keeps its code, as a negative number.
+                padded = np.full((len(own), width + 1), -1, np.int32)
+                within = ragged(np.zeros(len(own), np.int64), sizes[own])
+                padded.ravel()[np.repeat(np.arange(len(own)) * (width + 1), sizes[own]) + within] = symbols[np.repeat(starts[own], sizes[own]) + within]
                 merged, count = self._merge(
-                    np.where(padded < 0, -2 - codes, padded), sizes[own], lambda row, *ends: skipped(own[row], *ends),
-                    meet and (lambda row, *ends: meet(own[row], *ends)))
+                    padded, skipped and (lambda row, *ends: skipped(own[row], *ends)), merges and (lambda row, *ends: merges(own[row], *ends)))
                 unknown = np.flatnonzero(merged < 0)
                 if len(unknown):
                     spelled = [[self.byte[x] for x in chr(-2 - c).encode()] for c in merged[unknown].tolist()]
@@ -221,11 +192,11 @@ class Pieces:
         """Parts (words, ids of all of them one after the other, number of ids of each) that cover all short words.
 
         names: a number for each word; draws: one for each occurrence. What
-        comes out depends only on the candidates met and which of them are
-        dropped. So segmentations are remembered by word and dropped candidates,
-        with the other candidates that were met on the way: an occurrence whose
-        own draw drops none of those has its answer, any other goes on to the
-        segmentation without them.
+        comes out depends only on which candidates merge: one that is dropped
+        but would not have merged makes no difference. So segmentations are
+        remembered by word and dropped candidates, with those that merged on
+        the way: an occurrence whose own draw drops none of these has its
+        answer, any other goes on to the segmentation without them.
         """
         at, node, parts = np.arange(len(names)), names, []
         gone_at, gone = np.zeros(0, np.int64), np.zeros(0, np.uint32)
@@ -235,47 +206,53 @@ class Pieces:
                 made = [self._made(at[which[k : k + AT_ONCE]], gone_at, gone, spelled) for k in range(0, len(which), AT_ONCE)]
                 return np.concatenate([r for r, _ in made]), np.concatenate([n for _, n in made])
 
-            runs, sizes = self.cache.ids(node, make)
-            heads = np.cumsum(sizes) - sizes
+            runs, heads, sizes = self.cache.places(node, make)
             n_ids = runs[heads].astype(np.int64)
-            n_met = sizes - 1 - n_ids
-            met = runs[ragged(heads + 1 + n_ids, n_met)]
-            owner = np.repeat(np.arange(len(at)), n_met)
-            start, end = np.divmod(met, np.uint32(SHORT + 1))
-            drop = dropped(draws[at[owner]], start, end, dropout)
-            owner, met = owner[drop], met[drop]
+            n_done = sizes - 1 - n_ids
+            done = runs[ragged(heads + 1 + n_ids, n_done)]
+            owner = np.repeat(np.arange(len(at)), n_done)
+            start, end = np.divmod(done, np.uint32(SHORT + 1))
+            drop = np.flatnonzero(dropped(draws[at[owner]], start, end, dropout))
+            owner, done = owner[drop], done[drop]
             settled = np.ones(len(at), bool)
             settled[owner] = False
             parts.append((at[settled], runs[ragged(heads[settled] + 1, n_ids[settled])], n_ids[settled]))
-            if settled.all():
+            if not len(owner):
                 break
-            gone_at, gone = np.concatenate([gone_at, at[owner]]), np.concatenate([gone, met])
+            gone_at, gone = np.concatenate([gone_at, at[owner]]), np.concatenate([gone, done])
             firsts = np.flatnonzero(np.diff(owner, prepend=-1))
             with np.errstate(over="ignore"):
-                node = node[~settled] + np.add.reduceat(self.marks[met], firsts)
+                node = node[~settled] + np.add.reduceat(self.marks[done], firsts)
             at = at[~settled]
         return parts
 
     def _made(self, words: np.ndarray, gone_at: np.ndarray, gone: np.ndarray, spelled: Spelled) -> tuple[np.ndarray, np.ndarray]:
-        """A run for each word without its dropped candidates: number of ids, ids, the other candidates met; and its length."""
-        row_of = np.full(max(int(words.max()), int(gone_at.max(initial=0))) + 1, -1, np.int64)
-        row_of[words] = np.arange(len(words))
-        out, met = np.zeros((2, len(words), (SHORT + 1) ** 2), bool)
-        own = row_of[gone_at] >= 0
-        out[row_of[gone_at[own]], gone[own]] = True
-
-        def meet(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
-            met[row, start * (SHORT + 1) + end] = True
-
-        ids, n_ids = self.segments(spelled(words), lambda row, start, end: out[row, start * (SHORT + 1) + end], meet)
-        row, code = np.nonzero(met & ~out)
-        n_met = np.bincount(row, minlength=len(words))
-        lengths = 1 + n_ids + n_met
+        """A run for each word without its dropped candidates: number of ids, ids, the candidates that merged; and its length."""
+        symbols, starts, sizes = spelled
+        skipped = None
+        if len(gone):
+            row_of = np.full(len(sizes), -1, np.int64)
+            row_of[words] = np.arange(len(words))
+            out, codes = np.zeros(len(words) * (SHORT + 1) ** 2, bool), (SHORT + 1) ** 2
+            row = row_of[gone_at]
+            out[(row * codes + gone)[row >= 0]] = True
+
+            def skipped(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+                return out[row * codes + start * (SHORT + 1) + end]
+
+        done, n_done = np.zeros((len(words), SHORT), np.uint32), np.zeros(len(words), np.int64)
+
+        def merges(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+            done[row, n_done[row]] = start * (SHORT + 1) + end
+            n_done[row] += 1
+
+        ids, n_ids = self.segments((symbols, starts[words], sizes[words]), skipped, merges)
+        lengths = 1 + n_ids + n_done
         heads = np.cumsum(lengths) - lengths
         runs = np.zeros(int(lengths.sum()), np.uint32)
         runs[heads] = n_ids
         runs[ragged(heads + 1, n_ids)] = ids
-        runs[ragged(heads + 1 + n_ids, n_met)] = code
+        runs[ragged(heads + 1 + n_ids, n_done)] = done[np.arange(SHORT) < n_done[:, None]]
         return runs, lengths
 
     def encode(self, texts: pa.Array, keys: np.ndarray, seed: int, dropout: float, copies: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
@@ -305,23 +282,21 @@ class Pieces:
             of_text = mix(mix(keys.astype(np.int64).view(np.uint64) + np.uint64(seed)) + copies * np.uint64(0xD1B54A32D192ED03))
             draws = mix(of_text[owner] + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             names = mix(self.hasher.words(text, starts, lengths) + leads * np.uint64(0x5851F42D4C957F2D))
-        raw, ends = text.tobytes(), starts + lengths
-
-        def spelled(which: np.ndarray) -> list[bytes]:
-            words = [raw[s:e] for s, e in zip(starts[which].tolist(), ends[which].tolist())]
-            for k in np.flatnonzero(leads[which]).tolist():
-                words[k] = b" " + words[k]
-            return words
-
+        # The characters, with a blank before each text that is not empty.
         points = np.concatenate([[0], np.cumsum((text & 0xC0) != 0x80)])
-        is_short = points[ends] - points[starts] + leads <= SHORT
+        filled = np.cumsum(counts > 0)
+        symbols = self.symbols(np.insert(np.frombuffer(text.tobytes().decode().encode("utf-32-le"), np.uint32), points[bounds[:-1][counts > 0]], 0x20))
+        chars = points[starts + lengths] - points[starts] + leads
+        where = points[starts] + filled[owner] - leads
+        is_short = chars <= SHORT
         short, long = np.flatnonzero(is_short), np.flatnonzero(~is_short)
         parts = [
             (short[own], ids, n)
-            for own, ids, n in self._remembered(names[short], draws[short], dropout, lambda which: spelled(short[which]))
+            for own, ids, n in self._remembered(names[short], draws[short], dropout, (symbols, where[short], chars[short]))
         ]
         if len(long):
-            parts.append((long, *self.segments(spelled(long), lambda row, *at: dropped(draws[long[row]], *at, dropout))))
+            spelled = symbols, where[long], chars[long]
+            parts.append((long, *self.segments(spelled, lambda row, *at: dropped(draws[long[row]], *at, dropout))))
         sizes = np.zeros(len(starts), np.int64)
         for own, _, n in parts:
             sizes[own] = n

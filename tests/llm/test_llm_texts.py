@@ -274,6 +274,66 @@ def test_sentencepiece_remembered_words_are_those_drawn_in_full(monkeypatch):
             assert _encoded(texts, dropout)[1] == remembered
 
 
+def test_sentencepiece_with_dropout_is_the_plain_merging_of_each_word():
+    from brookledger.llm.batches import mix
+
+    model = sentencepiece.SentencePieceProcessor(model_file=default_path())
+    ids_of = {model.id_to_piece(k): k for k in range(model.get_piece_size()) if not (model.is_byte(k) or model.is_control(k) or model.is_unknown(k))}
+
+    def scramble(x: int) -> int:
+        return int(mix(np.array([x % 2**64], np.uint64))[0])
+
+    def plain(text: str, key: int, seed: int, dropout: float, copy: int) -> list[int]:
+        of_text, out = scramble(scramble(key + seed) + copy * 0xD1B54A32D192ED03), []
+        # Line ends, which no merge takes in, are words too.
+        for place, word in enumerate(re.findall(r"\n| +[^ \n]*|[^ \n]+", " " + text)):
+            word, draw = word.replace(" ", "▁"), scramble(of_text + place * 0x9E3779B97F4A7C15)
+            ends = [*range(len(word) + 1)]
+            while True:
+                pairs = [(a, c) for a, c in zip(ends, ends[2:]) if word[a:c] in ids_of]
+                kept = [(-model.get_score(ids_of[word[a:c]]), a, c) for a, c in pairs
+                    if (scramble(draw ^ (a * 0x9E3779B97F4A7C15 + c * 0xD1B54A32D192ED03) % 2**64) >> 11) * 2.0**-53 >= dropout]
+                if not kept:
+                    break
+                _, a, c = min(kept)
+                ends = [e for e in ends if not a < e < c]
+            for a, c in zip(ends, ends[1:]):
+                out += [ids_of[word[a:c]]] if word[a:c] in ids_of else [model.piece_to_id(f"<0x{b:02X}>") for b in word[a:c].encode()]
+        return out
+
+    texts = [r["text"][:300] for r in sample_rows() if r["text"] and not re.search("[\x00-\x09\x0b-\x1f▁]", r["text"])][:12]
+    texts += ["the people  of a 😀 international\nunderstanding, internationalunderstandings!", "x\n\ny ", "a" * 40]
+    for dropout in (0.1, 0.5):
+        assert _encoded(texts * 2, dropout)[1] == [plain(t, k, 5, dropout, 4) for k, t in enumerate(texts * 2)]
+
+
+def test_sentencepiece_makes_no_segmentation_for_a_dropped_candidate_that_would_not_merge(monkeypatch):
+    """An occurrence is made anew only where candidates are dropped that merged."""
+    made, real = [], Pieces._made
+    monkeypatch.setattr(Pieces, "_made", lambda self, words, gone_at, gone, spelled: made.append((len(words), len(gone))) or real(self, words, gone_at, gone, spelled))
+    pieces, (ids,) = _encoded(["x" + " the" * 20_000], 0.1)
+    assert made[0] == (2, 0)
+    # Each set of the three merges of the word, but the empty one; those that were met and did not merge are not in it.
+    assert made[1][0] <= 7 and ids.count(sentencepiece.SentencePieceProcessor(model_file=default_path()).encode("x the")[-1]) > 0.7 * 20_000
+
+
+def test_numbers_of_many_keys():
+    from brookledger.llm.word_cache import Numbers, WordCache
+
+    keys = np.random.default_rng(1).permutation(np.arange(200_000, dtype=np.uint64) * np.uint64(0x100000001))
+    numbers = Numbers()
+    assert (numbers.get(keys[:5]) == -1).all()
+    for k in range(0, 150_000, 15_000):
+        numbers.add(keys[k : k + 15_000])
+    assert (numbers.get(keys[:150_000]) == np.arange(150_000)).all() and (numbers.get(keys[150_000:]) == -1).all()
+    cache = WordCache(limit=100)  # smaller than a call's words: generations follow each other
+    for _ in range(3):
+        for k in range(0, 400, 80):
+            own = np.repeat(keys[k : k + 130], 2)
+            ids, lengths = cache.ids(own, lambda which: ((own[which] % np.uint64(1000)).astype(np.uint32), np.ones(len(which), np.int64)))
+            assert (ids == own % np.uint64(1000)).all() and (lengths == 1).all()
+
+
 def test_sentencepiece_draws_anew_for_each_copy(spark):
     import corpus_pipeline
 

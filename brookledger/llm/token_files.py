@@ -65,7 +65,7 @@ def _tokenizer(path: str):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    return tokenizer, WordCache(), Hasher(6), _cuts_words(tokenizer)
+    return tokenizer, WordCache(1_000_000), Hasher(6), _cuts_words(tokenizer)
 
 
 #: A special token put between words: where its id comes out, a word ends.

@@ -406,6 +406,24 @@ def test_words_cut_at_signs_encode_like_whole_texts():
     assert [ids[e - n : e - 1].tolist() for e, n in zip(ends, counts)] == [e.ids for e in Tokenizer.from_file(WORD_BPE).encode_batch(texts, add_special_tokens=False)]
 
 
+def test_token_files_remember_more_words_than_some_slices_have(monkeypatch):
+    from brookledger.llm import token_files
+
+    asked = []
+
+    def encode(tokenizer, words):
+        asked.append(len(words))
+        return np.zeros(len(words), np.uint32), np.ones(len(words), np.int64)
+
+    monkeypatch.setattr(token_files, "_encode_words", encode)
+    token_files._tokenizer.cache_clear()
+    try:
+        slices = [pa.array([" ".join(f"w{k}" for k in range(a, a + 250_000))]) for a in (0, 250_000, 500_000, 0)]
+        assert [token_files.token_ids(s, WORD_BPE)[1].tolist() for s in slices] == [[250_001]] * 4 and asked == [250_000] * 3
+    finally:
+        token_files._tokenizer.cache_clear()
+
+
 def test_token_files_of_no_rows(spark, empty):
     folder = token_folder(spark)
     write_token_files(empty, folder, WORD_BPE)

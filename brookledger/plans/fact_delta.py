@@ -96,8 +96,7 @@ def change(
     came = stage(delivered.where(F.col(shape.id_column).isNotNull()).select(shape.id_column).distinct(), "delivered-ids")
     moved = [Lookup(x.id_column, x.column, stage(x.moved.where(F.col(x.id_column).isNotNull()), f"moved-{x.column}")) for x in lookups]
     sets = [(shape.id_column, came), *((x.id_column, x.moved.select(x.id_column)) for x in moved)]
-    found = reduce(DataFrame.unionAll, [snapshots.files_holding(manifest, column, ids).select("path") for column, ids in sets])
-    opened = [r[0] for r in found.distinct().orderBy("path").collect()]
+    opened = snapshots.paths_holding(spark, manifest, sets)
 
     touched: list[str] = []
     if opened:
@@ -149,8 +148,7 @@ def run_day(
     flagged = valid_rows(silver["fraud_flags"]).select("transaction_id").distinct().withColumn("_flagged", F.lit(True))
     flags = stage(delivered["fraud_flags"], "delivered-flags")
     known_flags = base.tables[FRAUD]
-    flag_files = [r[0] for r in snapshots.files_holding(
-        snapshots.manifest_of(spark, known_flags), "flag_id", flags.select("flag_id")).select("path").distinct().collect()]
+    flag_files = snapshots.paths_holding(spark, snapshots.manifest_of(spark, known_flags), [("flag_id", flags.select("flag_id"))])
     earlier = snapshots.read_files(spark, known_flags, flag_files).join(flags.select("flag_id"), "flag_id", "left_semi").select("transaction_id")
     named = flags.select("transaction_id").unionAll(earlier).distinct()
     marks = named.join(flagged, "transaction_id", "left").select("transaction_id", F.coalesce("_flagged", F.lit(False)).alias(_VALUE))
@@ -168,7 +166,7 @@ def run_day(
     state = facts[TRANSACTIONS].state
     manifest = snapshots.manifest_of(spark, state)
     asked = stage(transactions.select("transaction_id").unionAll(flags.select("transaction_id")).where("transaction_id IS NOT NULL").distinct(), "asked-transactions")
-    holding = [r[0] for r in snapshots.files_holding(manifest, "transaction_id", asked).select("path").distinct().collect()]
+    holding = snapshots.paths_holding(spark, manifest, [("transaction_id", asked)])
     keyed = stage(snapshots.read_files(spark, state, holding).join(asked, "transaction_id", "left_semi").select("transaction_id", "transaction_key"), "asked-keys")
     numbered = transactions.select("transaction_id").distinct().join(keyed, "transaction_id", "left").select(
         "transaction_id", F.col("transaction_key").alias(_VALUE))

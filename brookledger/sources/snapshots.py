@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import accumulate
 from operator import and_
 
 from py4j.protocol import Py4JJavaError
@@ -28,8 +29,11 @@ from pyspark.sql import types as T
 ROWS_PER_FILE = 1_000_000
 #: Bits of one block of a Bloom filter (what a bitmap aggregate holds), bits set for a key, keys of a block.
 BLOCK_BITS, BITS_PER_KEY, KEYS_PER_BLOCK = 32_768, 5, 3_000
-#: Equal bins of the hash range, by which keys find the files whose range holds them.
-BIN_BITS = 12
+#: Equal bins of the hash range, by which keys find the files whose range holds them: so many bits of the hash at
+#: least and at most, and keys of a bin, about, between these.
+BIN_BITS_MIN, BIN_BITS, KEYS_PER_BIN = 6, 12, 64
+#: A file whose range holds so many of the keys asked for is opened without its filter, which would let some through by chance.
+CROWD = 4_096
 MANIFEST = "path string, key string, rows long, low long, high long, blocks int, block int, bits binary"
 
 
@@ -163,8 +167,37 @@ def index_files(spark: SparkSession, folder: str, schema: T.StructType, keys: Se
     return reduce(DataFrame.unionAll, [of(k) for k in keys])
 
 
-def _bin(h: Column) -> Column:
-    return F.shiftright(h, 64 - BIN_BITS)
+def _bin(h: Column, bits: int = BIN_BITS) -> Column:
+    return F.shiftright(h, 64 - bits)
+
+
+def _wanted(values: DataFrame) -> DataFrame:
+    """(value, h): the distinct values of a one-column table that are not null, with their hashes."""
+    wanted = values.select(F.col(values.columns[0]).alias("value")).where("value IS NOT NULL").distinct()
+    return wanted.withColumn("h", key_hash(F.col("value")))
+
+
+def _bin_counts(wanted: DataFrame) -> dict[int, int]:
+    """How many values each bin holds; at most 2**BIN_BITS short rows come to the driver."""
+    return dict(map(tuple, wanted.groupBy(_bin(F.col("h")).alias("bin")).count().collect()))
+
+
+def _bin_bits(n: int) -> int:
+    return min(BIN_BITS, max(BIN_BITS_MIN, math.ceil(math.log2(max(1, n) / KEYS_PER_BIN))))
+
+
+def _probed(manifest: DataFrame, key: str, wanted: DataFrame, n: int) -> DataFrame:
+    """(path, value) of the files whose range and filter let a value through; ``n`` is about the number of values."""
+    bits, own = _bin_bits(n), manifest.where((F.col("key") == key) & F.col("blocks").isNotNull())
+    # A file is a row for each bin that it reaches, and what is counted before that says nothing of their number:
+    # the hint keeps them from being taken for few and sent through the driver.
+    reached = own.select("path", "low", "high", "blocks").distinct().withColumn(
+        "bin", F.explode(F.sequence(_bin(F.col("low"), bits), _bin(F.col("high"), bits)))).hint("merge")
+    inside = wanted.withColumn("bin", _bin(F.col("h"), bits)).join(reached, "bin").where(
+        (F.col("h") >= F.col("low")) & (F.col("h") <= F.col("high")))
+    asked = inside.select("path", "value", _block(F.col("value"), F.col("blocks")).alias("block"))
+    met = asked.join(own.select("path", "block", "bits"), ["path", "block"])
+    return met.where(reduce(and_, [_is_set(F.col("bits"), _bit(F.col("value"), k)) for k in range(BITS_PER_KEY)])).select("path", "value")
 
 
 def files_holding(manifest: DataFrame, key: str, values: DataFrame) -> DataFrame:
@@ -173,15 +206,41 @@ def files_holding(manifest: DataFrame, key: str, values: DataFrame) -> DataFrame
     A file that holds a value is always found; one that does not is found with
     the small chance of its Bloom filter. Files lie under the bins of the hash
     range that they reach, so a value meets only files whose range holds it.
+    ``values`` is counted first: pass a stored table.
     """
-    own = manifest.where((F.col("key") == key) & F.col("blocks").isNotNull())
-    ranges = own.select("path", "low", "high", "blocks").distinct().withColumn("bin", F.explode(F.sequence(_bin(F.col("low")), _bin(F.col("high")))))
-    wanted = values.select(F.col(values.columns[0]).alias("value")).where("value IS NOT NULL").distinct()
-    wanted = wanted.withColumn("h", key_hash(F.col("value"))).withColumn("bin", _bin(F.col("h")))
-    inside = wanted.join(ranges, "bin").where((F.col("h") >= F.col("low")) & (F.col("h") <= F.col("high")))
-    asked = inside.select("path", "value", _block(F.col("value"), F.col("blocks")).alias("block"))
-    met = asked.join(own.select("path", "block", "bits"), ["path", "block"])
-    return met.where(reduce(and_, [_is_set(F.col("bits"), _bit(F.col("value"), k)) for k in range(BITS_PER_KEY)])).select("path", "value")
+    wanted = _wanted(values)
+    return _probed(manifest, key, wanted, wanted.count())
+
+
+def paths_holding(spark: SparkSession, manifest: DataFrame, sets: Sequence[tuple[str, DataFrame]]) -> list[str]:
+    """The files that may hold a value of any of the sets (key column, one-column table of values), in order.
+
+    Every file that holds one is found. Values are counted by bin first, and a
+    file whose range holds CROWD of a set is found without asking its filter,
+    so a file meets CROWD values or so of a set at most, however many there
+    are. A file that was found for one set is not looked at for the next. The
+    driver gets a short row for each bin and each file. Values are read twice:
+    pass stored tables.
+    """
+    reach: dict[str, list[tuple[str, int, int]]] = {key: [] for key, _ in sets}
+    held = manifest.where(F.col("key").isin(*reach) & F.col("blocks").isNotNull())
+    for key, *file in held.select("key", "path", _bin(F.col("low")), _bin(F.col("high"))).distinct().collect():
+        reach[key].append(file)
+    found: set[str] = set()
+    first = -1 << (BIN_BITS - 1)
+    for key, values in sets:
+        files = [f for f in reach[key] if f[0] not in found]
+        wanted = _wanted(values)
+        counts = _bin_counts(wanted) if files else {}
+        before = [0, *accumulate(counts.get(b, 0) for b in range(first, -first))]
+        # All values of the bins between those in which a range begins and ends lie inside it.
+        inside = {path: before[max(high, low + 1) - first] - before[low + 1 - first] for path, low, high in files}
+        found |= {path for path, n in inside.items() if n >= CROWD}
+        rest = [path for path, low, high in files if path not in found and before[high + 1 - first] > before[low - first]]
+        if rest:
+            looked_at = manifest.join(spark.createDataFrame([(p,) for p in rest], "path string"), "path", "left_semi")
+            found |= {r[0] for r in _probed(looked_at, key, wanted, before[-1]).select("path").distinct().collect()}
+    return sorted(found)
 
 
 def _is_set(bits: Column, place: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from conftest import rows_of
+from conftest import executed_plan_of, rows_of
 from pyspark.sql import functions as F
 
 from brookledger.plans import history_store, scd2
@@ -75,6 +75,51 @@ def test_the_index_finds_every_file_and_few_others(spark, tmp_path):
     assert held <= found and len(found - held) < 0.1 * wanted.count() * len(paths)
 
 
+def broad_table(spark, root, n_files=12, rows_per_file=300):
+    """A table in whose second key each file reaches over all hashes, its (path, k, other) and its manifest."""
+    rows = numbers(spark, n_files * rows_per_file).withColumn("other", F.concat(F.lit("o"), F.reverse("k")))
+    state = snapshots.create_table(spark, root, "t", stage(rows, "rows"), ["k", "other"], rows_per_file=rows_per_file)
+    truth = snapshots.read_files(spark, state, snapshots.file_paths(spark, state)).select(F.col("_metadata.file_path").alias("path"), "k", "other")
+    return stage(truth, "truth"), snapshots.manifest_of(spark, state)
+
+
+def test_bins_of_a_file_are_not_sent_through_the_driver(spark, tmp_path):
+    truth, manifest = broad_table(spark, str(tmp_path))
+    wanted = stage(truth.select("other").limit(200), "wanted")
+    found = snapshots.files_holding(manifest, "other", wanted)
+    plan = executed_plan_of(found).split("Initial Plan")[0]
+    joins = [line for line in plan.splitlines() if "Join" in line and "bin#" in line]
+    assert joins and not any("Broadcast" in line for line in joins)
+    held = {tuple(r) for r in truth.join(wanted, "other", "left_semi").select("path", "other").collect()}
+    assert held <= {tuple(r) for r in found.collect()}
+
+
+@pytest.mark.parametrize("crowd", [1, 5, 40, 4_096])
+@pytest.mark.parametrize("step", [1, 13, 2_000])
+def test_paths_of_several_sets(spark, tmp_path, monkeypatch, crowd, step):
+    monkeypatch.setattr(snapshots, "CROWD", crowd)
+    truth, manifest = broad_table(spark, str(tmp_path))
+    paths = truth.select("path").distinct().count()
+    ids = stage(spark.range(0, 7_200, step).select(F.concat(F.lit("K"), "id").alias("k")).unionByName(
+        spark.createDataFrame([(None,), ("K0",)], "k string")), "ids")
+    others = stage(spark.createDataFrame([("o7K",), ("o7K",), ("nowhere",), (None,)], "other string"), "others")
+    held = {r[0] for x, key in ((ids, "k"), (others, "other")) for r in truth.join(x, key, "left_semi").select("path").collect()}
+    found = snapshots.paths_holding(spark, manifest, [("k", ids), ("other", others)])
+    assert held <= set(found) and found == sorted(set(found))
+    assert step < 2_000 or crowd < 5 or len(found) < paths
+    assert snapshots.paths_holding(spark, manifest, [("k", ids.limit(0)), ("other", others.where("other IS NULL"))]) == []
+
+
+def test_a_crowd_of_values_meets_no_filter(spark, tmp_path, monkeypatch):
+    """Values times files would be joined: each file reaches over all hashes of the second key."""
+    truth, manifest = broad_table(spark, str(tmp_path))
+    crowd = stage(spark.range(6_000).select(F.concat(F.lit("x"), "id").alias("other")), "crowd")
+    asked = []
+    monkeypatch.setattr(snapshots, "_probed", lambda *a: asked.append(a))
+    assert set(snapshots.paths_holding(spark, manifest, [("other", crowd)])) == {r[0] for r in truth.select("path").collect()}
+    assert asked == []
+
+
 def customer(raw_id, status="active", **more):
     return {
         "customer_id": raw_id, "first_name": "Ann", "last_name": "Lee", "email": "a@b.c", "phone": "+1", "date_of_birth": "1990-01-01",

@@ -13,7 +13,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,11 +97,7 @@ def change(
     sets = [(shape.id_column, came), *((x.id_column, x.moved.select(x.id_column)) for x in moved)]
     opened = snapshots.paths_holding(spark, manifest, sets)
 
-    touched: list[str] = []
-    if opened:
-        ids = snapshots.read_files(spark, state, opened).select(F.col("_metadata.file_path").alias("path"), *shape.indexed)
-        hit = reduce(DataFrame.unionAll, [ids.join(values, column, "left_semi").select("path") for column, values in sets])
-        touched = [r[0] for r in hit.distinct().orderBy("path").collect()]
+    touched = _holding(spark, state, opened, sets)
     before = snapshots.read_files(spark, state, touched)
     last = int(state.notes[LAST_KEY])
     known = before.join(came, shape.id_column, "left_semi").select(shape.id_column, shape.key_column)
@@ -125,6 +120,20 @@ def change(
     return FactChange(grown, opened, touched)
 
 
+def _holding(spark: SparkSession, state: snapshots.TableState, paths: Sequence[str], sets: Sequence[tuple[str, DataFrame]]) -> list[str]:
+    """Those of the files that hold a value of any of the sets (column, one-column table of values), in order.
+
+    Files that hold one of a set are not read for the next, so a day that
+    touches every file reads one column of them once.
+    """
+    held: set[str] = set()
+    for column, values in sets:
+        if rest := [p for p in paths if p not in held]:
+            ids = snapshots.read_files(spark, state, rest).select(F.col("_metadata.file_path").alias("path"), column)
+            held |= {r[0] for r in ids.join(values, column, "left_semi").select("path").distinct().collect()}
+    return sorted(held)
+
+
 def run_day(
     spark: SparkSession, root: str, delivered: Mapping[str, DataFrame], silver: Mapping[str, DataFrame],
     before: Mapping[str, DataFrame], after: Mapping[str, DataFrame], calendar: DataFrame, as_of: dt.datetime,

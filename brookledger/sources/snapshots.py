@@ -149,22 +149,27 @@ def index_files(spark: SparkSession, folder: str, schema: T.StructType, keys: Se
 
     A file's filter is cut into blocks of KEYS_PER_BLOCK keys or so; all bits
     of a key lie in one block. Null keys are left out of filter and range.
+    Keys of one type are read and dealt together, under the names of the files.
     """
-    rows = spark.read.schema(schema).parquet(folder).select(F.col("_metadata.file_path").alias("path"), *keys)
-    counted = rows.groupBy("path").agg(F.count(F.lit(1)).alias("rows"))
-
-    def of(key: str) -> DataFrame:
-        held = rows.where(F.col(key).isNotNull()).groupBy("path", F.col(key).alias("value")).agg(F.lit(1).alias("one"))
-        ranges = held.groupBy("path").agg(
+    path, file = F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file")
+    rows = spark.read.schema(schema).parquet(folder)
+    counted = rows.select(path, file).groupBy("path", "file").agg(F.count(F.lit(1)).alias("rows"))
+
+    def of(keys: Sequence[str]) -> DataFrame:
+        cells = rows.select(file, F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).alias("value")) for k in keys])))
+        held = cells.where(F.col("value").isNotNull()).groupBy("file", "key", "value").agg(F.lit(1).alias("one"))
+        ranges = held.groupBy("file", "key").agg(
             F.min(key_hash(F.col("value"))).alias("low"), F.max(key_hash(F.col("value"))).alias("high"),
             F.ceil(F.count(F.lit(1)) / KEYS_PER_BLOCK).cast("int").alias("blocks"))
-        bits = held.join(ranges, "path").select("path", _block(F.col("value"), F.col("blocks")).alias("block"), F.explode(
+        bits = held.join(ranges, ["file", "key"]).select("file", "key", _block(F.col("value"), F.col("blocks")).alias("block"), F.explode(
             F.array(*[_bit(F.col("value"), k) for k in range(BITS_PER_KEY)])).alias("bit"))
-        filters = bits.groupBy("path", "block").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
-        whole = counted.join(ranges, "path", "left").join(filters, "path", "left")
-        return whole.select("path", F.lit(key).alias("key"), "rows", "low", "high", "blocks", "block", "bits")
+        filters = bits.groupBy("file", "key", "block").agg(F.bitmap_construct_agg(F.col("bit")).alias("bits"))
+        files = counted.withColumn("key", F.explode(F.array(*map(F.lit, keys))))
+        whole = files.join(ranges, ["file", "key"], "left").join(filters, ["file", "key"], "left")
+        return whole.select("path", "key", "rows", "low", "high", "blocks", "block", "bits")
 
-    return reduce(DataFrame.unionAll, [of(k) for k in keys])
+    types = list(dict.fromkeys(schema[k].dataType for k in keys))
+    return reduce(DataFrame.unionAll, [of([k for k in keys if schema[k].dataType == t]) for t in types])
 
 
 def _bin(h: Column, bits: int = BIN_BITS) -> Column:
@@ -238,11 +243,17 @@ def paths_holding(spark: SparkSession, manifest: DataFrame, sets: Sequence[tuple
         found |= {path for path, n in inside.items() if n >= CROWD}
         rest = [path for path, low, high in files if path not in found and before[high + 1 - first] > before[low - first]]
         if rest:
-            looked_at = manifest.join(spark.createDataFrame([(p,) for p in rest], "path string"), "path", "left_semi")
+            looked_at = manifest.join(_paths(spark, rest), "path", "left_semi")
             found |= {r[0] for r in _probed(looked_at, key, wanted, before[-1]).select("path").distinct().collect()}
     return sorted(found)
 
 
+def _paths(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """A table of paths, made without Python workers on the executors."""
+    strings = spark._jvm.org.apache.spark.sql.Encoders.STRING()
+    return DataFrame(spark._jsparkSession.createDataset(list(paths), strings), spark).toDF("path")
+
+
 def _is_set(bits: Column, place: Column) -> Column:
     byte = F.conv(F.hex(F.substring(bits, (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return F.getbit(byte, place % 8) == 1
@@ -294,8 +305,7 @@ def replace_files(
     earlier versions.
     """
     folder = write_files(rows, new_data_folder(root, name), state.keys[0], rows_per_file=rows_per_file, spread=spread)
-    gone = spark.createDataFrame([(p,) for p in touched], "path string")
-    kept = manifest_of(spark, state).join(gone, "path", "left_anti")
+    kept = manifest_of(spark, state).join(_paths(spark, touched), "path", "left_anti")
     fresh = index_files(spark, folder, T.StructType.fromJson(json.loads(state.schema)), state.keys)
     manifest = posixpath.join(root, name, f"manifest-{uuid.uuid4().hex[:12]}")
     kept.unionByName(fresh).write.parquet(manifest)

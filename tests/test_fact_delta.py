@@ -6,6 +6,7 @@ import datetime as dt
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from brookledger.plans import fact_delta, gold, scd2
 from brookledger.plans.silver import to_silver
@@ -127,3 +128,31 @@ def test_moved_pairs(spark):
     before = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3), ("n", None)], "id string, v int")
     after = spark.createDataFrame([("a", 1), ("b", 5), ("d", 4), ("n", None)], "id string, v int")
     assert {tuple(r) for r in fact_delta.moved_pairs(before, after, "id", "v").collect()} == {("b", 5), ("c", None), ("d", 4)}
+
+
+def test_a_day_that_touches_every_file_reads_them_once_for_that(spark, world, monkeypatch):
+    """One column, not all columns of the index at once in as many joins."""
+    read, columns = snapshots.read_files, []
+
+    class Read:
+        def __init__(self, rows):
+            self.rows = rows
+
+        def select(self, path, *names):
+            columns.append(names)
+            return self.rows.select(path, *names)
+
+    before, _ = world
+    state = before.tables[fact_delta.TRANSACTIONS]
+    paths = snapshots.file_paths(spark, state)
+    truth = read(spark, state, paths).select(F.col("_metadata.file_path").alias("path"), "transaction_id", "account_id").collect()
+    monkeypatch.setattr(snapshots, "read_files", lambda *a: Read(read(*a)))
+    every = spark.createDataFrame([(f"T{k}",) for k in range(400)] + [(None,)], "transaction_id string")
+    some = spark.createDataFrame([("A1",), ("A2",), ("none",)], "account_id string")
+    of = lambda column, *ids: {r.path for r in truth if r[column] in ids}
+    assert fact_delta._holding(spark, state, paths, [("transaction_id", every), ("account_id", some)]) == sorted(paths)
+    assert columns == [("transaction_id",)]
+    one = every.where("transaction_id = 'T5'")
+    assert fact_delta._holding(spark, state, paths, [("transaction_id", one), ("account_id", some)]) == sorted(of("transaction_id", "T5") | of("account_id", "A1", "A2"))
+    assert columns[1:] == [("transaction_id",), ("account_id",)]
+    assert fact_delta._holding(spark, state, [], [("transaction_id", every)]) == []

@@ -110,6 +110,40 @@ def test_paths_of_several_sets(spark, tmp_path, monkeypatch, crowd, step):
     assert snapshots.paths_holding(spark, manifest, [("k", ids.limit(0)), ("other", others.where("other IS NULL"))]) == []
 
 
+def test_the_index_of_keys_of_several_types(spark, tmp_path):
+    root, n = str(tmp_path), 7_000
+    rows = numbers(spark, n).withColumns({
+        "number": F.when(F.col("k") != "K3", F.xxhash64("k") % 50), "gone": F.lit(None).cast("string"),
+        "twice": F.substring("k", 1, 4)})
+    keys = ["k", "number", "gone", "twice"]
+    state = snapshots.create_table(spark, root, "t", stage(rows, "rows"), keys, rows_per_file=3_500)
+    paths = snapshots.file_paths(spark, state)
+    whole = snapshots.read_files(spark, state, paths).select(F.col("_metadata.file_path").alias("path"), *keys)
+    hashed = whole.select("path", *keys, *[snapshots.key_hash(F.col(k)).alias(f"h_{k}") for k in keys]).collect()
+    index = snapshots.manifest_of(spark, state).collect()
+    assert {(r.path, r.key) for r in index} == {(p, k) for p in paths for k in keys}
+    for path in paths:
+        for key in keys:
+            own = [r for r in index if (r.path, r.key) == (path, key)]
+            held = {r[key]: r[f"h_{key}"] for r in hashed if r.path == path and r[key] is not None}
+            size = sum(r.path == path for r in hashed)
+            low, high, blocks = (min(held.values()), max(held.values()), -(-len(held) // snapshots.KEYS_PER_BLOCK)) if held else (None, None, None)
+            assert {(r.rows, r.low, r.high, r.blocks) for r in own} == {(size, low, high, blocks)}
+            assert [r.block for r in own if r.bits] == ([] if key == "gone" else list(dict.fromkeys(r.block for r in own)))
+    wanted = spark.createDataFrame([(v,) for v in range(-50, 50)], "number long")
+    truth = {(r.path, r.number) for r in hashed if r.number is not None}
+    assert truth <= {tuple(r) for r in snapshots.files_holding(snapshots.manifest_of(spark, state), "number", wanted).collect()}
+    assert snapshots.files_holding(snapshots.manifest_of(spark, state), "gone", rows.select("k")).count() == 0
+
+
+def test_keys_of_one_type_are_dealt_once(spark, tmp_path):
+    rows = numbers(spark, 100).withColumns({"a": F.reverse("k"), "b": F.upper("k")})
+    rows.write.parquet(str(tmp_path / "files"))
+    scans = [executed_plan_of(snapshots.index_files(spark, str(tmp_path / "files"), rows.schema, keys)).split("Initial Plan")[0].count("Scan parquet")
+             for keys in (["k"], ["k", "a", "b"])]
+    assert scans[0] == scans[1]
+
+
 def test_a_crowd_of_values_meets_no_filter(spark, tmp_path, monkeypatch):
     """Values times files would be joined: each file reaches over all hashes of the second key."""
     truth, manifest = broad_table(spark, str(tmp_path))

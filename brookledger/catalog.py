@@ -178,19 +178,24 @@ def fact_transactions_over_history(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def _facts_by_changes(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Both facts built from the first delivery and brought to the second by its changes alone."""
+    """Both facts built from the first delivery and brought to the second by its changes alone.
+
+    Tables are staged one after the other: each of these jobs has work for all
+    executors, and the driver plans and compiles for one at a time.
+    """
     sample, root = SampleBronze(spark, sf_dir), new_folder(spark, "facts")
-    first = stage_all({e: to_silver(sample.first(e), e, AS_OF) for e in ENTITIES}, "silver-first")
-    second = stage_all(silver(spark, sf_dir, "accounts", "customers", "fraud_flags"), "silver-second")
+    first = {e: stage(to_silver(sample.first(e), e, AS_OF), f"first-{e}") for e in ENTITIES}
+    second = {e: stage(df, f"second-{e}") for e, df in silver(spark, sf_dir, "accounts", "customers", "fraud_flags").items()}
     calendar = gold.dim_date(spark, AS_OF)
-    before = stage_all({
-        "dim_accounts": gold.dim_accounts(first["accounts"], AS_OF),
-        "dim_customers": scd2.bootstrap(gold.dim_customers(first["customers"], AS_OF), AS_OF),
-    }, "dims-first")
-    after = stage_all({
-        "dim_accounts": gold.dim_accounts(second["accounts"], AS_OF, before["dim_accounts"]),
-        "dim_customers": scd2.apply_history(before["dim_customers"], second["customers"], AS_OF).dimension,
-    }, "dims-second")
+    before = {
+        "dim_accounts": stage(gold.dim_accounts(first["accounts"], AS_OF), "dim-accounts-first"),
+        "dim_customers": stage(scd2.bootstrap(gold.dim_customers(first["customers"], AS_OF), AS_OF), "dim-customers-first"),
+    }
+    after = {
+        "dim_accounts": stage(gold.dim_accounts(second["accounts"], AS_OF, before["dim_accounts"]), "dim-accounts-second"),
+        "dim_customers": stage(
+            scd2.apply_history(before["dim_customers"], second["customers"], AS_OF).dimension, "dim-customers-second"),
+    }
     dims = (before["dim_accounts"], before["dim_customers"], calendar)
     transactions = stage(gold.fact_transactions(first["transactions"], first["fraud_flags"], *dims, AS_OF), "fact-first")
     fraud = stage(gold.fact_fraud(first["fraud_flags"], transactions, *dims, AS_OF), "fraud-first")

@@ -8,6 +8,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from brookledger import catalog
 from brookledger.plans import fact_delta, gold, scd2
 from brookledger.plans.silver import to_silver
 from brookledger.sources import snapshots
@@ -156,3 +157,24 @@ def test_a_day_that_touches_every_file_reads_them_once_for_that(spark, world, mo
     assert fact_delta._holding(spark, state, paths, [("transaction_id", one), ("account_id", some)]) == sorted(of("transaction_id", "T5") | of("account_id", "A1", "A2"))
     assert columns[1:] == [("transaction_id",), ("account_id",)]
     assert fact_delta._holding(spark, state, [], [("transaction_id", every)]) == []
+
+
+def test_the_query_stages_one_table_at_a_time(spark, monkeypatch):
+    """Side by side, the driver would plan and compile for four tables at once."""
+    staged = []
+
+    class Enough(Exception):
+        pass
+
+    def last(*a, **k):
+        raise Enough
+
+    monkeypatch.setattr(catalog, "stage_all", last)
+    monkeypatch.setattr(catalog, "SampleBronze", lambda *a: type("Tables", (), {"first": lambda self, e: e, "both": lambda self, e: e})())
+    monkeypatch.setattr(catalog, "to_silver", lambda df, entity, as_of: entity)
+    monkeypatch.setattr(catalog, "stage", lambda df, label: staged.append(df))
+    monkeypatch.setattr(gold, "dim_date", lambda *a: None)
+    monkeypatch.setattr(gold, "dim_accounts", last)
+    with pytest.raises(Enough):
+        catalog._facts_by_changes(spark, "nowhere")
+    assert staged == ["customers", "accounts", "transactions", "fraud_flags", "accounts", "customers", "fraud_flags"]
